@@ -158,3 +158,240 @@ def q_prepare_bitext(spark, sf_dir):
     FROM c1 GROUP BY split""")
 def q_split_counts(spark, sf_dir):
     return split_summary(c1(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------------------------
+# 2. Text functions
+# ---------------------------------------------------------------------------------------------
+
+from ..functions import text as TX  # noqa: E402
+from ..operators import encode as EN, vocab as VO  # noqa: E402
+
+WORD_RE_SQL = r"'[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+'"
+CJK_SQL = "'" + TX.CJK_CLASS + "'"
+
+
+def ids_str(col) -> "F.Column":
+    c = F.col(col) if isinstance(col, str) else col
+    return F.array_join(c.cast("array<string>"), " ")
+
+
+def _zh_tokens_sql(x: str) -> str:
+    s = f"regexp_replace({sql_strip(x)}, {CJK_SQL}, ' \\0 ', 'g')"
+    reps = [(r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", r" \1 "), (r"([^0-9])([\.,])", r"\1 \2 "),
+            (r"([\.,])([^0-9])", r" \1 \2"), (r"([0-9])(-)", r"\1 \2 ")]
+    for pat, rep in reps:
+        s = f"regexp_replace({s}, '{pat}', '{rep}', 'g')"
+    return f"trim(regexp_replace({s}, '\\s+', ' ', 'g'))"
+
+
+@register("normalize_text", with_inputs("doc_lines") +
+          "SELECT doc_id, pos, strip_accents(lower(line)) AS norm FROM doc_lines")
+def q_normalize_text(spark, sf_dir):
+    return I.doc_lines(spark, sf_dir).select("doc_id", "pos", TX.normalize("line").alias("norm"))
+
+
+@register("pretok_words", with_inputs("doc_lines") +
+          f"""SELECT doc_id, pos, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens
+    FROM (SELECT doc_id, pos, regexp_extract_all(line, {WORD_RE_SQL}) AS t FROM doc_lines)""")
+def q_pretok_words(spark, sf_dir):
+    t = TX.pretok_words("line")
+    return I.doc_lines(spark, sf_dir).select("doc_id", "pos", F.size(t).alias("n_tokens"),
+                                             F.array_join(t, " ").alias("tokens"))
+
+
+@register("pretok_bytes")
+def q_pretok_bytes(spark, sf_dir):
+    t = TX.pretok_bytes("zh")
+    return I.bitext(spark, sf_dir).select("pair_id", F.size(t).alias("n_pieces"),
+                                          F.array_join(t, " ").alias("pieces"))
+
+
+@register("bytes_roundtrip", with_inputs("doc_lines") + "SELECT doc_id, pos, line FROM doc_lines")
+def q_bytes_roundtrip(spark, sf_dir):
+    pieces = TX.pretok_bytes("line", add_prefix_space=False)
+    back = TX.symbols_to_text(F.array_join(pieces, ""))
+    return I.doc_lines(spark, sf_dir).select("doc_id", "pos", back.alias("line"))
+
+
+@register("script_convert", with_inputs("bitext") +
+          f"SELECT pair_id, translate(zh, '{T2S_FROM}', '{T2S_TO}') AS zh FROM bitext")
+def q_script_convert(spark, sf_dir):
+    return I.bitext(spark, sf_dir).select(
+        "pair_id", clean.convert_script("zh", SAMPLE_T2S_CHARS).alias("zh"))
+
+
+@register("zh_tokens", with_inputs("bitext") +
+          f"SELECT pair_id, {_zh_tokens_sql('en')} AS tokens FROM bitext")
+def q_zh_tokens(spark, sf_dir):
+    return I.bitext(spark, sf_dir).select("pair_id", F.array_join(TX.zh_tokens("en"), " ").alias("tokens"))
+
+
+def _cleanup_sql(x: str) -> str:
+    for old, new in TX.CLEANUP_REPLACEMENTS:
+        x = f"replace({x}, '{old.replace(chr(39), chr(39) * 2)}', '{new.replace(chr(39), chr(39) * 2)}')"
+    return x
+
+
+@register("cleanup_spaces", with_inputs("bitext") +
+          f"SELECT pair_id, {_cleanup_sql(_zh_tokens_sql('en'))} AS text FROM bitext")
+def q_cleanup_spaces(spark, sf_dir):
+    toks = F.array_join(TX.zh_tokens("en"), " ")
+    return I.bitext(spark, sf_dir).select("pair_id", TX.cleanup_spaces(toks).alias("text"))
+
+
+@register("tokenizer_by_lang")
+def q_tokenizer_by_lang(spark, sf_dir):
+    from ..operators.bpe import tokenizer_for
+    en, zh = tokenizer_for("en"), tokenizer_for("zh")
+    b = I.bitext(spark, sf_dir)
+    return b.select("pair_id",
+                    F.array_join(en.pretokenize(en.normalize(F.col("en"))), " ").alias("en_tokens"),
+                    F.array_join(zh.pretokenize(zh.normalize(F.col("zh"))), " ").alias("zh_tokens"))
+
+
+# ---------------------------------------------------------------------------------------------
+# 3. Vocabularies and word ids
+# ---------------------------------------------------------------------------------------------
+
+SPECIALS_SQL = "(VALUES ('<unk>', 0), ('<pad>', 1), ('<bos>', 2), ('<eos>', 3)) s(token, id)"
+WORD_VOCAB_CTES = [
+    ("doc_words", f"SELECT unnest(regexp_extract_all(lower(text), {WORD_RE_SQL})) AS word FROM documents"),
+    ("doc_counts", "SELECT word, count(*) AS count FROM doc_words GROUP BY word"),
+    ("word_vocab", f"""SELECT token, id FROM {SPECIALS_SQL} UNION ALL
+        SELECT word AS token, CAST(row_number() OVER (ORDER BY count DESC, word) + 3 AS INTEGER) AS id
+        FROM doc_counts WHERE count >= 4 AND word NOT IN ('<unk>', '<pad>', '<bos>', '<eos>')"""),
+    ("en_toks", f"""SELECT pair_id, unnest(t) AS token, unnest(range(1, len(t) + 1)) AS pos
+        FROM (SELECT pair_id, regexp_extract_all(lower(en), {WORD_RE_SQL}) AS t FROM bitext)"""),
+    ("en_ids", """SELECT b.pair_id, coalesce(list(coalesce(v.id, 0) ORDER BY t.pos)
+            FILTER (WHERE t.pos IS NOT NULL), []) AS ids
+        FROM bitext b LEFT JOIN en_toks t ON t.pair_id = b.pair_id LEFT JOIN word_vocab v ON v.token = t.token
+        GROUP BY b.pair_id"""),
+]
+WORD_WITH = with_inputs("bitext", extra=WORD_VOCAB_CTES)
+
+
+def doc_word_vocab(spark, sf_dir) -> DataFrame:
+    docs = read_table_cols(spark, sf_dir, "documents", "text")
+    counts = VO.word_counts(docs, TX.pretok_words(F.lower("text")))
+    return VO.word_vocab(counts)
+
+
+def read_table_cols(spark, sf_dir, name, *cols):
+    from ..session import read_table
+    return read_table(spark, sf_dir, name).select(*cols)
+
+
+def bitext_word_ids(spark, sf_dir) -> DataFrame:
+    b = I.bitext(spark, sf_dir).select("pair_id", TX.pretok_words(F.lower("en")).alias("toks"))
+    return EN.word_ids(b, "toks", doc_word_vocab(spark, sf_dir), out="ids")
+
+
+def c1_train_words(spark, sf_dir) -> DataFrame:
+    train = c1(spark, sf_dir).where(F.col("split") == "train")
+    return VO.word_counts(train, TX.pretok_words(TX.normalize("zh")))
+
+
+C1_WORD_CTES = [
+    ("train_words", f"""SELECT word, count(*) AS count FROM (SELECT unnest(regexp_extract_all(
+        strip_accents(lower(zh)), {WORD_RE_SQL})) AS word FROM c1 WHERE split = 'train') GROUP BY word"""),
+]
+C1_WORD_WITH = with_inputs("raw_news", "raw_titles", "raw_mined", extra=C1_CTES + C1_WORD_CTES)
+
+
+@register("word_counts", C1_WORD_WITH + "SELECT word, count FROM train_words")
+def q_word_counts(spark, sf_dir):
+    return c1_train_words(spark, sf_dir)
+
+
+@register("alphabet", C1_WORD_WITH + """SELECT token, CAST(row_number() OVER (ORDER BY token) + 3 AS INTEGER) AS id
+    FROM (SELECT DISTINCT unnest(string_split(word, '')) AS token FROM train_words)""")
+def q_alphabet(spark, sf_dir):
+    return VO.alphabet(c1_train_words(spark, sf_dir))
+
+
+@register("word_vocab", with_inputs(extra=WORD_VOCAB_CTES[:3]) + "SELECT token, id FROM word_vocab")
+def q_word_vocab(spark, sf_dir):
+    return doc_word_vocab(spark, sf_dir)
+
+
+@register("vocab_size", with_inputs(extra=WORD_VOCAB_CTES[:3]) +
+          "SELECT count(*) AS vocab_size FROM word_vocab")
+def q_vocab_size(spark, sf_dir):
+    return VO.vocab_size(doc_word_vocab(spark, sf_dir))
+
+
+@register("word_ids", WORD_WITH + """SELECT pair_id, CAST(len(ids) AS INTEGER) AS n_ids,
+        array_to_string(ids, ' ') AS ids FROM en_ids""")
+def q_word_ids(spark, sf_dir):
+    w = bitext_word_ids(spark, sf_dir)
+    return w.select("pair_id", F.size("ids").alias("n_ids"), ids_str("ids").alias("ids"))
+
+
+@register("decode_ids", WORD_WITH + """SELECT b.pair_id, coalesce(string_agg(v.token, ' ' ORDER BY t.pos)
+        FILTER (WHERE v.id > 3), '') AS text
+    FROM bitext b LEFT JOIN en_toks t ON t.pair_id = b.pair_id LEFT JOIN word_vocab v ON v.token = t.token
+    GROUP BY b.pair_id""")
+def q_decode_ids(spark, sf_dir):
+    return EN.decode_ids(bitext_word_ids(spark, sf_dir), "ids", doc_word_vocab(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------------------------
+# 7. BPE (the R keys are checked against the public tokenizers package in tests)
+# ---------------------------------------------------------------------------------------------
+
+from ..operators import bpe as BP  # noqa: E402
+
+BPE_MERGES_IN_QUERY = 40   # merges learned by the registered keys (the full 30k is a parameter)
+
+
+def c1_train(spark, sf_dir) -> DataFrame:
+    return c1(spark, sf_dir).where(F.col("split") == "train")
+
+
+def _train_small(spark, sf_dir, lang: str) -> "BP.BpeModel":
+    return BP.train_bpe(c1_train(spark, sf_dir), lang, lang, num_merges=BPE_MERGES_IN_QUERY)
+
+
+C1_EN_WORD_CTES = [
+    ("en_words", f"""SELECT word, count(*) AS c FROM (SELECT unnest(regexp_extract_all(
+        strip_accents(lower(en)), {WORD_RE_SQL})) AS word FROM c1 WHERE split = 'train') GROUP BY word"""),
+    ("en_pairs", """SELECT chars[i] AS a, chars[i + 1] AS b, sum(c) AS count
+        FROM (SELECT string_split(word, '') AS chars, c FROM en_words) w,
+             LATERAL (SELECT unnest(range(1, len(w.chars))) AS i) r
+        GROUP BY ALL"""),
+]
+C1_EN_WITH = with_inputs("raw_news", "raw_titles", "raw_mined", extra=C1_CTES + C1_EN_WORD_CTES)
+
+
+def _en_char_words(spark, sf_dir) -> DataFrame:
+    train = c1_train(spark, sf_dir)
+    w = BP.training_words(train, "en", "en")
+    return w.select(F.regexp_extract_all("word", F.lit(r"(?s)."), 0).alias("syms"), "c")
+
+
+@register("bpe_pair_counts", C1_EN_WITH + "SELECT a, b, count FROM en_pairs")
+def q_bpe_pair_counts(spark, sf_dir):
+    return BP.pair_counts(_en_char_words(spark, sf_dir))
+
+
+@register("bpe_best_pair", C1_EN_WITH + "SELECT a, b, count FROM en_pairs ORDER BY count DESC, a, b LIMIT 1")
+def q_bpe_best_pair(spark, sf_dir):
+    return BP.best_pairs(BP.pair_counts(_en_char_words(spark, sf_dir)), 1)
+
+
+@register("bpe_merges")
+def q_bpe_merges(spark, sf_dir):
+    return _train_small(spark, sf_dir, "en").merges_frame(spark)
+
+
+@register("tokenizer_tables")
+def q_tokenizer_tables(spark, sf_dir):
+    return _train_small(spark, sf_dir, "zh").vocab_frame(spark)
+
+
+@register("bpe_encode")
+def q_bpe_encode(spark, sf_dir):
+    model = _train_small(spark, sf_dir, "en")
+    enc = BP.bpe_encode(c1(spark, sf_dir).select("pair_id", "corpus", "en"), "en", model)
+    return enc.select("pair_id", F.size("ids").alias("n_ids"), ids_str("ids").alias("ids"))
