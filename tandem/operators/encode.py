@@ -20,6 +20,7 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(small)`` only after checking its row count; the frame itself otherwise."""
+    small = small.persist()          # counted once, then read from the cache by the join
     n = small.count()
     return F.broadcast(small) if n <= max_rows else small
 
@@ -54,3 +55,27 @@ def decode_ids(df: DataFrame, ids: str, vocab: DataFrame, key: str = "pair_id",
     joined = exploded.join(v, "_id", "left")
     toks = _regroup(joined, key, "_pos", F.col("_tok"), "_toks")
     return toks.select(key, F.array_join("_toks", sep).alias(out))
+
+
+def word_ids_sides(df: DataFrame, keys: list[str], sides: dict, vocab: DataFrame,
+                   unk: int = UNK_ID, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """J3 for several token columns at once: ``sides = {out_col: tokens Column}``.  One explode,
+    one vocabulary join and one regroup by ``keys`` for all sides (no join back)."""
+    v = sized_broadcast(vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id")),
+                        max_broadcast_rows)
+    names = list(sides)
+    def tag(j):
+        return lambda t, i: F.struct(F.lit(j).alias("side"), i.alias("pos"), t.alias("_tok"))
+
+    def of_side(j):
+        return lambda x: x["side"] == j
+
+    tagged = [F.transform(col, tag(j)) for j, col in enumerate(sides.values())]
+    ex = df.select(*keys, F.explode_outer(F.concat(*tagged)).alias("x")).select(
+        *keys, "x.side", "x.pos", "x._tok")
+    joined = ex.join(v, "_tok", "left")
+    item = F.when(F.col("side").isNotNull(), F.struct(
+        "side", "pos", F.coalesce(F.col("_id"), F.lit(unk)).alias("id")))
+    g = joined.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("_s"))
+    return g.select(*keys, *[F.transform(F.filter("_s", of_side(j)), lambda x: x["id"]).alias(name)
+                             for j, name in enumerate(names)])

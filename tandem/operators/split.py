@@ -46,11 +46,13 @@ def range_buckets(df: DataFrame, keys: Sequence[str], n: int, seed: int = 7,
     driver, so the bucket is a fixed function of the row and every re-evaluation -- a retried
     task, a lost executor -- puts a row in the same bucket.  A hot first key is split by the
     next keys, since bounds are whole tuples."""
-    total = df.count()
-    if total == 0 or n <= 1:
+    if n <= 1:
         return F.lit(0)
-    frac = min(1.0, per_bucket * n / total)
-    sample = sorted(tuple(r) for r in df.select(*keys).sample(False, frac, seed).collect())
+    key_rows = df.select(*keys).persist()
+    total = key_rows.count()
+    frac = min(1.0, per_bucket * n / max(total, 1))
+    sample = sorted(tuple(r) for r in key_rows.sample(False, frac, seed).collect())
+    key_rows.unpersist()
     if not sample:
         return F.lit(0)
     bounds, seen = [], set()

@@ -395,3 +395,407 @@ def q_bpe_encode(spark, sf_dir):
     model = _train_small(spark, sf_dir, "en")
     enc = BP.bpe_encode(c1(spark, sf_dir).select("pair_id", "corpus", "en"), "en", model)
     return enc.select("pair_id", F.size("ids").alias("n_ids"), ids_str("ids").alias("ids"))
+
+
+# ---------------------------------------------------------------------------------------------
+# 4. Batches
+# ---------------------------------------------------------------------------------------------
+
+from ..functions import arrays as AR  # noqa: E402
+from ..operators import batch as BA, metrics as ME  # noqa: E402
+
+
+def c1_ids(spark, sf_dir) -> DataFrame:
+    """C1 rows with word ids of both sides (doc vocabulary) and the seeded key."""
+    c = c1(spark, sf_dir)
+    ids = EN.word_ids_sides(c, ["corpus", "pair_id", "split"],
+                            {"en_ids": TX.pretok_words(F.lower("en")),
+                             "zh_ids": TX.pretok_words(F.lower("zh"))},
+                            doc_word_vocab(spark, sf_dir))
+    return ids.withColumn("shuffle_key", splitops.seeded_key(1, "corpus", "pair_id"))
+
+
+def c1_batches(spark, sf_dir, size=BA.TRAIN_BATCH) -> DataFrame:
+    return BA.assign_batches(c1_ids(spark, sf_dir), ["shuffle_key", "corpus", "pair_id"], size)
+
+
+IDS_CTES = WORD_VOCAB_CTES[:3] + [
+    ("c1_toks", f"""SELECT corpus, pair_id, side, unnest(t) AS token, unnest(range(1, len(t) + 1)) AS pos FROM (
+        SELECT corpus, pair_id, 0 AS side, regexp_extract_all(lower(en), {WORD_RE_SQL}) AS t FROM c1
+        UNION ALL SELECT corpus, pair_id, 1, regexp_extract_all(lower(zh), {WORD_RE_SQL}) FROM c1)"""),
+    ("side_ids", """SELECT t.corpus, t.pair_id, t.side, list(coalesce(v.id, 0) ORDER BY t.pos) AS ids
+        FROM c1_toks t LEFT JOIN word_vocab v ON v.token = t.token GROUP BY ALL"""),
+    ("c1_ids", """SELECT c.corpus, c.pair_id, c.split, k.r,
+            coalesce(e.ids, []::INTEGER[]) AS en_ids, coalesce(z.ids, []::INTEGER[]) AS zh_ids
+        FROM c1 c JOIN ranked k USING (corpus, pair_id)
+        LEFT JOIN side_ids e ON e.corpus = c.corpus AND e.pair_id = c.pair_id AND e.side = 0
+        LEFT JOIN side_ids z ON z.corpus = c.corpus AND z.pair_id = c.pair_id AND z.side = 1"""),
+    ("b128", """SELECT *, CAST(p // 128 AS BIGINT) AS batch_id, CAST(p % 128 AS INTEGER) AS row_in_batch,
+            CAST(ceil(cnt / 128) AS BIGINT) AS n_batches
+        FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY r) - 1 AS p,
+                     count(*) OVER (PARTITION BY split) AS cnt FROM c1_ids)"""),
+    ("b512", """SELECT *, CAST(p // 512 AS BIGINT) AS batch_id, CAST(p % 512 AS INTEGER) AS row_in_batch
+        FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY r) - 1 AS p FROM c1_ids)"""),
+    ("wrapped", """SELECT *, [2] || en_ids[1:128] || [3] AS src, [2] || zh_ids[1:128] || [3] AS tgt FROM b128"""),
+    ("padded", """SELECT *, src || list_transform(range(ms - len(src)), lambda x: 1) AS psrc,
+            tgt || list_transform(range(mt - len(tgt)), lambda x: 1) AS ptgt
+        FROM (SELECT *, max(len(src)) OVER (PARTITION BY split, batch_id) AS ms,
+                     max(len(tgt)) OVER (PARTITION BY split, batch_id) AS mt FROM wrapped)"""),
+]
+IDS_WITH = with_inputs("raw_news", "raw_titles", "raw_mined", extra=C1_CTES + IDS_CTES)
+
+
+def _s(col):
+    return ids_str(col)
+
+
+def _sql_s(x):
+    return f"array_to_string({x}, ' ')"
+
+
+@register("assign_batches", IDS_WITH + "SELECT corpus, pair_id, split, batch_id, row_in_batch, n_batches FROM b128")
+def q_assign_batches(spark, sf_dir):
+    return c1_batches(spark, sf_dir).select("corpus", "pair_id", "split", "batch_id",
+                                            "row_in_batch", "n_batches")
+
+
+@register("first_k_per_batch", IDS_WITH + "SELECT corpus, pair_id, split, batch_id, row_in_batch FROM b512 "
+          "WHERE row_in_batch < 2")
+def q_first_k_per_batch(spark, sf_dir):
+    b = c1_batches(spark, sf_dir, BA.EVAL_BATCH)
+    return BA.first_k_per_batch(b, 2).select("corpus", "pair_id", "split", "batch_id", "row_in_batch")
+
+
+STEP_SQL = """SELECT CAST(e.epoch AS INTEGER) AS epoch, b.batch_id, e.epoch * b.n_batches + b.batch_id + 1 AS step
+    FROM (SELECT DISTINCT batch_id, n_batches FROM b128 WHERE split = 'train') b,
+         LATERAL (SELECT unnest(range(0, 5)) AS epoch) e"""
+
+
+def _train_batches(spark, sf_dir):
+    b = c1_batches(spark, sf_dir)
+    return b.where((F.col("split") == "train") & (F.col("row_in_batch") == 0)).select("batch_id", "n_batches")
+
+
+@register("step_schedule", IDS_WITH + STEP_SQL)
+def q_step_schedule(spark, sf_dir):
+    return BA.step_schedule(_train_batches(spark, sf_dir), epochs=5)
+
+
+@register("every_nth", IDS_WITH + f"""SELECT epoch, batch_id, step, batch_id % 100 = 0 AS log, step % 10000 = 0 AS save
+    FROM ({STEP_SQL}) WHERE batch_id % 100 = 0 OR step % 10000 = 0""")
+def q_every_nth(spark, sf_dir):
+    return BA.every_nth(BA.step_schedule(_train_batches(spark, sf_dir), epochs=5))
+
+
+@register("truncate_ids", IDS_WITH + "SELECT corpus, pair_id, array_to_string(en_ids[1:128], ' ') AS ids FROM c1_ids")
+def q_truncate_ids(spark, sf_dir):
+    return c1_ids(spark, sf_dir).select("corpus", "pair_id", _s(AR.truncate_ids("en_ids")).alias("ids"))
+
+
+@register("wrap_ids", IDS_WITH + "SELECT corpus, pair_id, array_to_string([2] || zh_ids[1:128] || [3], ' ') AS ids FROM c1_ids")
+def q_wrap_ids(spark, sf_dir):
+    return c1_ids(spark, sf_dir).select("corpus", "pair_id",
+                                        _s(AR.wrap_ids(AR.truncate_ids("zh_ids"))).alias("ids"))
+
+
+def _padded(spark, sf_dir):
+    b = c1_batches(spark, sf_dir)
+    x = BA.wrap_and_truncate(BA.wrap_and_truncate(b, "en_ids", "src"), "zh_ids", "tgt")
+    return BA.pad_batches(BA.pad_batches(x, "src", out="psrc"), "tgt", out="ptgt")
+
+
+@register("pad_batches", IDS_WITH + """SELECT corpus, pair_id, split, batch_id, row_in_batch,
+        CAST(len(psrc) AS INTEGER) AS n_ids, array_to_string(psrc, ' ') AS ids FROM padded""")
+def q_pad_batches(spark, sf_dir):
+    return _padded(spark, sf_dir).select("corpus", "pair_id", "split", "batch_id", "row_in_batch",
+                                         F.size("psrc").alias("n_ids"), _s("psrc").alias("ids"))
+
+
+T5_SQL = """SELECT corpus, pair_id,
+        array_to_string(ii || list_transform(range(mi - len(ii)), lambda x: 0), ' ') AS input_ids,
+        array_to_string(list_transform(range(len(ii)), lambda x: 1) || list_transform(range(mi - len(ii)), lambda x: 0), ' ') AS attention_mask,
+        array_to_string(lb || list_transform(range(ml - len(lb)), lambda x: -100), ' ') AS labels
+    FROM (SELECT *, max(len(ii)) OVER (PARTITION BY split, batch_id) AS mi,
+                 max(len(lb)) OVER (PARTITION BY split, batch_id) AS ml
+          FROM (SELECT *, en_ids[1:127] || [1] AS ii, zh_ids[1:127] || [1] AS lb FROM b128))"""
+
+
+def _t5_batches(spark, sf_dir):
+    b = c1_batches(spark, sf_dir)
+    eos = F.array(F.lit(AR.T5_EOS_ID))
+    b = b.withColumn("ii", F.concat(F.slice("en_ids", 1, 127), eos)) \
+        .withColumn("lb", F.concat(F.slice("zh_ids", 1, 127), eos))
+    return BA.pad_for_t5(b, "ii", "lb")
+
+
+@register("pad_labels", IDS_WITH + T5_SQL)
+def q_pad_labels(spark, sf_dir):
+    return _t5_batches(spark, sf_dir).select("corpus", "pair_id", _s("ii").alias("input_ids"),
+                                             _s("attention_mask").alias("attention_mask"),
+                                             _s("lb").alias("labels"))
+
+
+@register("unmask_labels", IDS_WITH + f"""SELECT corpus, pair_id,
+        array_to_string(list_transform(string_split(labels, ' '), lambda x: CASE WHEN x = '-100' THEN '0' ELSE x END), ' ') AS labels
+    FROM ({T5_SQL})""")
+def q_unmask_labels(spark, sf_dir):
+    return _t5_batches(spark, sf_dir).select("corpus", "pair_id", _s(AR.unmask_labels("lb")).alias("labels"))
+
+
+@register("shift_targets", IDS_WITH + """SELECT corpus, pair_id, array_to_string(ptgt[1:len(ptgt) - 1], ' ') AS tgt_in,
+        array_to_string(ptgt[2:], ' ') AS tgt_out FROM padded""")
+def q_shift_targets(spark, sf_dir):
+    p = _padded(spark, sf_dir)
+    return p.select("corpus", "pair_id", _s(AR.decoder_input("ptgt")).alias("tgt_in"),
+                    _s(AR.decoder_target("ptgt")).alias("tgt_out"))
+
+
+@register("padding_mask", IDS_WITH + """SELECT corpus, pair_id,
+        array_to_string(list_transform(psrc, lambda x: CASE WHEN x = 1 THEN 1 ELSE 0 END), '') AS src_pad_mask,
+        CAST(len(psrc) AS INTEGER) AS src_mask_len FROM padded""")
+def q_padding_mask(spark, sf_dir):
+    p = _padded(spark, sf_dir)
+    m = F.transform(AR.padding_mask("psrc"), lambda x: x.cast("int"))
+    return p.select("corpus", "pair_id", F.array_join(m.cast("array<string>"), "").alias("src_pad_mask"),
+                    F.size(AR.all_false_mask(F.size("psrc"))).alias("src_mask_len"))
+
+
+@register("causal_mask", IDS_WITH + """SELECT n, array_to_string(flatten(list_transform(range(n), lambda i:
+            list_transform(range(n), lambda j: CASE WHEN j <= i THEN 0 ELSE 1 END))), '') AS blocked
+    FROM (SELECT DISTINCT CAST(len(ptgt) - 1 AS INTEGER) AS n FROM padded)""")
+def q_causal_mask(spark, sf_dir):
+    p = _padded(spark, sf_dir).select((F.size("ptgt") - 1).alias("n"))
+    m = BA.causal_masks(p, "n")
+    blocked = F.flatten(F.transform("mask", lambda row: F.transform(
+        row, lambda v: F.when(v == 0.0, "0").otherwise("1"))))
+    return m.select("n", F.array_join(blocked, "").alias("blocked"))
+
+
+@register("transpose_batch", IDS_WITH + """SELECT split, batch_id, CAST(t - 1 AS INTEGER) AS t,
+        array_to_string(list(psrc[t] ORDER BY row_in_batch), ' ') AS ids
+    FROM padded, LATERAL (SELECT unnest(range(1, len(psrc) + 1)) AS t) r GROUP BY split, batch_id, t""")
+def q_transpose_batch(spark, sf_dir):
+    tb = BA.transpose_batches(_padded(spark, sf_dir), "psrc")
+    return tb.select("split", "batch_id", "t", _s("ids").alias("ids"))
+
+
+@register("token_rows", IDS_WITH + """SELECT corpus, pair_id, CAST(t - 1 AS INTEGER) AS t, psrc[t] AS id
+    FROM padded, LATERAL (SELECT unnest(range(1, len(psrc) + 1)) AS t) r""")
+def q_token_rows(spark, sf_dir):
+    return BA.token_rows(_padded(spark, sf_dir), "psrc", ["corpus", "pair_id"])
+
+
+@register("model_batches", IDS_WITH + """SELECT corpus, pair_id, split, batch_id, row_in_batch,
+        array_to_string(psrc, ' ') AS src, array_to_string(ptgt[1:len(ptgt) - 1], ' ') AS tgt_in,
+        array_to_string(ptgt[2:], ' ') AS tgt_out,
+        CAST(len(list_filter(psrc, lambda x: x = 1)) AS INTEGER) AS n_src_pad FROM padded""")
+def q_model_batches(spark, sf_dir):
+    m = BA.model_batches(c1_batches(spark, sf_dir), "en_ids", "zh_ids")
+    return m.select("corpus", "pair_id", "split", "batch_id", "row_in_batch",
+                    _s("en_ids").alias("src"), _s("tgt_in").alias("tgt_in"), _s("tgt_out").alias("tgt_out"),
+                    F.size(F.filter("src_pad_mask", lambda x: x)).alias("n_src_pad"))
+
+
+@register("collate_udf", IDS_WITH + """SELECT corpus, pair_id, split, batch_id, row_in_batch,
+        CAST(len(psrc) AS INTEGER) AS n_ids, array_to_string(psrc, ' ') AS ids FROM padded""")
+def q_collate_udf(spark, sf_dir):
+    b = c1_batches(spark, sf_dir)
+    x = BA.wrap_and_truncate(b, "en_ids", "psrc").select("corpus", "pair_id", "split", "batch_id",
+                                                          "row_in_batch", "psrc")
+    schema = "corpus string, pair_id bigint, split string, batch_id bigint, row_in_batch int, psrc array<int>"
+    out = BA.collate_with(x, BA.pad_collate("psrc"), schema)
+    return out.select("corpus", "pair_id", "split", "batch_id", "row_in_batch",
+                      F.size("psrc").alias("n_ids"), _s("psrc").alias("ids"))
+
+
+# ---------------------------------------------------------------------------------------------
+# 5. Metrics
+# ---------------------------------------------------------------------------------------------
+
+LOGITS_NLL_SQL = """SELECT vec_id, batch_id, label,
+        ln(list_sum(list_transform(scores, lambda x: exp(x - m)))) + m - scores[label + 1] AS nll
+    FROM (SELECT *, list_max(scores) AS m FROM logits)"""
+
+
+@register("greedy_pick", with_inputs("logits") +
+          "SELECT vec_id, CAST(list_position(scores, list_max(scores)) - 1 AS INTEGER) AS pick FROM logits")
+def q_greedy_pick(spark, sf_dir):
+    return I.logits(spark, sf_dir).select("vec_id", AR.argmax("scores").alias("pick"))
+
+
+@register("greedy_pick_long", with_inputs("logits") + """SELECT vec_id, arg_max(token, (score, -token)) AS pick
+    FROM (SELECT vec_id, CAST(t - 1 AS INTEGER) AS token, scores[t] AS score
+          FROM logits, LATERAL (SELECT unnest(range(1, len(scores) + 1)) AS t) r) GROUP BY vec_id""")
+def q_greedy_pick_long(spark, sf_dir):
+    lg = I.logits(spark, sf_dir).select("vec_id", F.posexplode("scores").alias("token", "score"))
+    return ME.greedy_pick_long(lg, ["vec_id"])
+
+
+@register("log_softmax", with_inputs("logits") + """SELECT vec_id, round(scores[label + 1] - lse, 6) AS logp_label,
+        round(list_max(scores) - lse, 6) AS logp_max
+    FROM (SELECT *, ln(list_sum(list_transform(scores, lambda x: exp(x - list_max(scores))))) + list_max(scores) AS lse
+          FROM logits)""")
+def q_log_softmax(spark, sf_dir):
+    lg = I.logits(spark, sf_dir).withColumn("lsm", AR.log_softmax("scores"))
+    return lg.select("vec_id", F.round(F.element_at("lsm", F.col("label") + 1), 6).alias("logp_label"),
+                     F.round(F.array_max("lsm"), 6).alias("logp_max"))
+
+
+@register("masked_loss", with_inputs("logits", extra=[("nll", LOGITS_NLL_SQL)]) +
+          "SELECT batch_id, round(avg(nll), 6) AS loss, count(*) AS n_rows FROM nll WHERE label <> 1 GROUP BY batch_id")
+def q_masked_loss(spark, sf_dir):
+    ml = ME.masked_loss(I.logits(spark, sf_dir))
+    return ml.select("batch_id", F.round("loss", 6).alias("loss"), "n_rows")
+
+
+@register("eval_loss", with_inputs("logits", extra=[("nll", LOGITS_NLL_SQL), (
+    "bl", "SELECT batch_id, avg(nll) AS loss, count(*) AS n_rows FROM nll WHERE label <> 1 GROUP BY batch_id")]) +
+    """SELECT round(avg(loss), 6) AS loss_batch_mean, round(sum(loss * n_rows) / sum(n_rows), 6) AS loss_row_mean,
+        count(*) AS n_batches FROM bl""")
+def q_eval_loss(spark, sf_dir):
+    e = ME.eval_loss(ME.masked_loss(I.logits(spark, sf_dir)))
+    return e.select(F.round("loss_batch_mean", 6).alias("loss_batch_mean"),
+                    F.round("loss_row_mean", 6).alias("loss_row_mean"), "n_batches")
+
+
+def _ngram_sql(side: str, col: str, keys: str) -> str:
+    return f"""SELECT {keys}, n, '{side}' AS side, array_to_string(t[i:i + n - 1], ' ') AS g
+        FROM (SELECT {keys}, string_split({col}, ' ') AS t FROM toks WHERE {col} <> '') x,
+             LATERAL (SELECT unnest(range(1, 5)) AS n) nn,
+             LATERAL (SELECT unnest(range(1, len(x.t) - nn.n + 2)) AS i) ii"""
+
+
+def bleu_ctes(toks_sql: str, keys: str = "pair_id", by: str = "") -> list[tuple[str, str]]:
+    """DuckDB BLEU statistics: ``toks`` must give ``keys, [by,] h, r`` as space-joined tokens."""
+    kb = f"{keys}, {by}" if by else keys
+    b = f"{by}, " if by else ""
+    return [
+        ("toks", toks_sql),
+        ("grams", f"{_ngram_sql('h', 'h', kb)} UNION ALL {_ngram_sql('r', 'r', kb)}"),
+        ("per_gram", f"""SELECT {kb}, n, g, count(*) FILTER (WHERE side = 'h') AS h,
+            count(*) FILTER (WHERE side = 'r') AS r FROM grams GROUP BY ALL"""),
+        ("stats", f"""SELECT {b}CAST(n AS INTEGER) AS n, CAST(sum(least(h, r)) AS BIGINT) AS matches,
+            CAST(sum(h) AS BIGINT) AS total, CAST(sum(r) AS BIGINT) AS ref_total FROM per_gram GROUP BY {b}n"""),
+    ]
+
+
+def corpus_bleu_sql(by: str = "") -> str:
+    b = f"{by}, " if by else ""
+    group = f" GROUP BY {by}" if by else ""
+    sums = ", ".join(
+        f"coalesce(sum(matches) FILTER (WHERE n = {n}), 0) AS m{n}, coalesce(sum(total) FILTER (WHERE n = {n}), 0) AS t{n}"
+        for n in range(1, 5))
+    return f"""SELECT {b}round(CASE WHEN m1 + m2 + m3 + m4 = 0 THEN 0.0 ELSE bp * exp((l1 + l2 + l3 + l4) / 4) END, 6) AS bleu,
+        round(bp, 6) AS bp, hyp_len, ref_len FROM (
+    SELECT *, CASE WHEN hyp_len >= ref_len THEN 1.0 WHEN hyp_len > 0 THEN exp(1 - ref_len / hyp_len) ELSE 0.0 END AS bp,
+        CASE WHEN t1 = 0 THEN -9999999999 WHEN m1 = 0 THEN ln(100.0 / (2 * t1)) ELSE ln(100.0 * m1 / t1) END AS l1,
+        CASE WHEN t1 = 0 OR t2 = 0 THEN -9999999999 WHEN m2 = 0 THEN ln(100.0 / (pow(2, z2) * t2)) ELSE ln(100.0 * m2 / t2) END AS l2,
+        CASE WHEN t1 = 0 OR t2 = 0 OR t3 = 0 THEN -9999999999 WHEN m3 = 0 THEN ln(100.0 / (pow(2, z3) * t3)) ELSE ln(100.0 * m3 / t3) END AS l3,
+        CASE WHEN t1 = 0 OR t2 = 0 OR t3 = 0 OR t4 = 0 THEN -9999999999 WHEN m4 = 0 THEN ln(100.0 / (pow(2, z4) * t4)) ELSE ln(100.0 * m4 / t4) END AS l4
+    FROM (SELECT *, (m1 = 0)::INT + (m2 = 0)::INT AS z2, (m1 = 0)::INT + (m2 = 0)::INT + (m3 = 0)::INT AS z3,
+                 (m1 = 0)::INT + (m2 = 0)::INT + (m3 = 0)::INT + (m4 = 0)::INT AS z4
+          FROM (SELECT {b}{sums},
+                       coalesce(sum(total) FILTER (WHERE n = 1), 0) AS hyp_len,
+                       coalesce(sum(ref_total) FILTER (WHERE n = 1), 0) AS ref_len FROM stats{group})))"""
+
+
+BLEU_CTES = bleu_ctes(f"SELECT pair_id, {_zh_tokens_sql('en')} AS h, {_zh_tokens_sql('zh')} AS r FROM bitext")
+CORPUS_BLEU_SQL = corpus_bleu_sql()
+
+
+def _bleu_toks(spark, sf_dir, tok=TX.zh_tokens):
+    b = I.bitext(spark, sf_dir)
+    return b.select("pair_id", tok(F.col("en")).alias("h"), tok(F.col("zh")).alias("r"))
+
+
+@register("bleu_stats", with_inputs("bitext", extra=BLEU_CTES) + "SELECT n, matches, total, ref_total FROM stats")
+def q_bleu_stats(spark, sf_dir):
+    return ME.bleu_stats(_bleu_toks(spark, sf_dir), "h", "r")
+
+
+@register("corpus_bleu", with_inputs("bitext", extra=BLEU_CTES) + CORPUS_BLEU_SQL)
+def q_corpus_bleu(spark, sf_dir):
+    b = ME.corpus_bleu(ME.bleu_stats(_bleu_toks(spark, sf_dir), "h", "r"))
+    return b.select(F.round("bleu", 6).alias("bleu"), F.round("bp", 6).alias("bp"), "hyp_len", "ref_len")
+
+
+PLAIN_CTES = bleu_ctes(f"""SELECT pair_id, array_to_string(regexp_extract_all(lower(en), {WORD_RE_SQL}), ' ') AS h,
+        array_to_string(regexp_extract_all(lower(zh), {WORD_RE_SQL}), ' ') AS r FROM bitext""")
+
+
+@register("plain_bleu", with_inputs("bitext", extra=PLAIN_CTES) + """SELECT round(CASE WHEN m1 > 0 AND m2 > 0 AND m3 > 0 AND m4 > 0
+            THEN exp((ln(m1 / t1) + ln(m2 / t2) + ln(m3 / t3) + ln(m4 / t4)) / 4) ELSE 0 END
+            * CASE WHEN hyp_len / ref_len > 1 THEN 1.0 ELSE exp(1 - ref_len / hyp_len) END, 6) AS bleu,
+        round(hyp_len / ref_len, 6) AS ratio, hyp_len, ref_len
+    FROM (SELECT sum(matches) FILTER (WHERE n = 1) AS m1, sum(total) FILTER (WHERE n = 1) AS t1,
+                 sum(matches) FILTER (WHERE n = 2) AS m2, sum(total) FILTER (WHERE n = 2) AS t2,
+                 sum(matches) FILTER (WHERE n = 3) AS m3, sum(total) FILTER (WHERE n = 3) AS t3,
+                 sum(matches) FILTER (WHERE n = 4) AS m4, sum(total) FILTER (WHERE n = 4) AS t4,
+                 sum(total) FILTER (WHERE n = 1) AS hyp_len, sum(ref_total) FILTER (WHERE n = 1) AS ref_len FROM stats)""")
+def q_plain_bleu(spark, sf_dir):
+    t = _bleu_toks(spark, sf_dir, lambda c: TX.pretok_words(F.lower(c)))
+    p = ME.plain_bleu(ME.bleu_stats(t, "h", "r"))
+    return p.select(F.round("bleu", 6).alias("bleu"), F.round("ratio", 6).alias("ratio"), "hyp_len", "ref_len")
+
+
+@register("cut_eos", IDS_WITH + """SELECT corpus, pair_id, array_to_string((CASE WHEN list_position(l, 3) > 0
+        THEN l[1:list_position(l, 3) - 1] ELSE l END)[1:128], ' ') AS ids
+    FROM (SELECT corpus, pair_id, en_ids || [3] || zh_ids AS l FROM c1_ids)""")
+def q_cut_eos(spark, sf_dir):
+    c = c1_ids(spark, sf_dir)
+    pred = F.concat("en_ids", F.array(F.lit(3)), "zh_ids")
+    return c.select("corpus", "pair_id", _s(AR.truncate_ids(AR.cut_at_eos(pred))).alias("ids"))
+
+
+@register("empty_refs", IDS_WITH + """SELECT * FROM (SELECT batch_id, row_in_batch, ref,
+        lag(ref) OVER w AS prev_ref, lead(ref) OVER w AS next_ref
+    FROM (SELECT b.batch_id, b.row_in_batch, coalesce((SELECT string_agg(v.token, ' ' ORDER BY u.i)
+            FROM (SELECT unnest(b.zh_ids) AS id, unnest(range(1, len(b.zh_ids) + 1)) AS i) u
+            JOIN word_vocab v ON v.id = u.id WHERE u.id > 3), '') AS ref
+          FROM b512 b WHERE b.split = 'val') x
+    WINDOW w AS (PARTITION BY batch_id ORDER BY row_in_batch)) WHERE length(trim(ref)) = 0""")
+def q_empty_refs(spark, sf_dir):
+    b = c1_batches(spark, sf_dir, BA.EVAL_BATCH).where(F.col("split") == "val")
+    dec = EN.decode_ids(b.select(F.struct("batch_id", "row_in_batch").alias("k"), "zh_ids"), "zh_ids",
+                        doc_word_vocab(spark, sf_dir), key="k", out="ref")
+    d = dec.select("k.batch_id", "k.row_in_batch", "ref")
+    return clean.empty_refs(d, ref="ref", batch="batch_id", pos="row_in_batch")
+
+
+@register("scoreboard", with_inputs("labels_long") + """PIVOT (SELECT split, metric, model, round(value, 4) AS value FROM labels_long)
+    ON model USING first(value) GROUP BY split, metric""")
+def q_scoreboard(spark, sf_dir):
+    return ME.scoreboard(I.labels_long(spark, sf_dir))
+
+
+EVAL_SQL_BODY = """SELECT 'copy' AS model, 'all' AS split, 'bleu' AS metric, bleu AS value FROM cb
+    UNION ALL SELECT 'copy', 'all', 'hyp_len', CAST(hyp_len AS DOUBLE) FROM cb
+    UNION ALL SELECT 'copy', 'all', 'ref_len', CAST(ref_len AS DOUBLE) FROM cb
+    UNION ALL SELECT 'copy', 'all', 'loss', round(avg(loss), 6) FROM bl"""
+
+
+@register("evaluate", with_inputs("bitext", "logits", extra=BLEU_CTES + [
+    ("cb", CORPUS_BLEU_SQL), ("nll", LOGITS_NLL_SQL),
+    ("bl", "SELECT batch_id, avg(nll) AS loss, count(*) AS n_rows FROM nll WHERE label <> 1 GROUP BY batch_id")]) + EVAL_SQL_BODY)
+def q_evaluate(spark, sf_dir):
+    b = I.bitext(spark, sf_dir)
+    losses = ME.masked_loss(I.logits(spark, sf_dir))
+    rep = ME.evaluate(b.select("pair_id", F.col("en").alias("pred")), b.select("pair_id", F.col("zh").alias("ref")),
+                      TX.zh_tokens, losses=losses, model="copy")
+    return rep.select("model", "split", "metric", F.round("value", 6).alias("value"))
+
+
+REPORT_CTES = bleu_ctes(f"SELECT corpus, pair_id, split, {_zh_tokens_sql('en')} AS h, {_zh_tokens_sql('zh')} AS r FROM c1",
+                        keys="corpus, pair_id", by="split") + [("cb", corpus_bleu_sql("split"))]
+
+
+@register("eval_report", with_inputs("raw_news", "raw_titles", "raw_mined", extra=C1_CTES + REPORT_CTES) +
+    """SELECT 'copy' AS model, split, 'bleu' AS metric, bleu AS value FROM cb
+    UNION ALL SELECT 'copy', split, 'hyp_len', CAST(hyp_len AS DOUBLE) FROM cb
+    UNION ALL SELECT 'copy', split, 'ref_len', CAST(ref_len AS DOUBLE) FROM cb""")
+def q_eval_report(spark, sf_dir):
+    c = c1(spark, sf_dir)
+    rep = ME.evaluate(c.select("corpus", "pair_id", "split", F.col("en").alias("pred")),
+                      c.select("corpus", "pair_id", F.col("zh").alias("ref")),
+                      TX.zh_tokens, key=["corpus", "pair_id"], by=["split"], model="copy")
+    return rep.select("model", "split", "metric", F.round("value", 6).alias("value"))

@@ -96,7 +96,7 @@ def raw_bad(spark, sf_dir) -> DataFrame:
 
 def logits(spark, sf_dir) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings")
-    return emb.select("vec_id", F.col("embedding").alias("scores"), "label",
+    return emb.select("vec_id", F.col("embedding").cast("array<double>").alias("scores"), "label",
                       F.floor(F.col("vec_id") / BATCH_LOGITS).alias("batch_id"))
 
 
@@ -171,7 +171,7 @@ _SQL = {
     "raw_bad": """SELECT pair_id, value FROM raw_news UNION ALL
         SELECT * FROM (VALUES (-1, 'only one field'), (-2, 'a' || chr(9) || 'b' || chr(9) || 'c'),
             (-3, 'left side' || chr(9) || '   '), (-4, chr(12288) || chr(9) || 'right side')) v(pair_id, value)""",
-    "logits": f"""SELECT vec_id, embedding AS scores, label, CAST(floor(vec_id / {BATCH_LOGITS}) AS BIGINT) AS batch_id
+    "logits": f"""SELECT vec_id, CAST(embedding AS DOUBLE[]) AS scores, label, CAST(floor(vec_id / {BATCH_LOGITS}) AS BIGINT) AS batch_id
         FROM embeddings""",
     "log_own": """SELECT event_id AS seq, CASE WHEN event_type = 'error' THEN 'warning: ' || props
             ELSE 'batch loss at ' || CAST(event_id AS VARCHAR) || ' = ' || printf('%.4f', value) END AS value
