@@ -387,7 +387,12 @@ def q_bpe_merges(spark, sf_dir):
 
 @register("tokenizer_tables")
 def q_tokenizer_tables(spark, sf_dir):
-    return _train_small(spark, sf_dir, "zh").vocab_frame(spark)
+    from ..session import scratch_path
+    m = _train_small(spark, sf_dir, "zh")
+    path = scratch_path(spark, "tokenizer")
+    VO.save_tokenizer(m.vocab_frame(spark), m.merges_frame(spark), path)
+    vocab, _ = VO.load_tokenizer(spark, path)
+    return vocab
 
 
 @register("bpe_encode")
@@ -799,3 +804,247 @@ def q_eval_report(spark, sf_dir):
                       c.select("corpus", "pair_id", F.col("zh").alias("ref")),
                       TX.zh_tokens, key=["corpus", "pair_id"], by=["split"], model="copy")
     return rep.select("model", "split", "metric", F.round("value", 6).alias("value"))
+
+
+# ---------------------------------------------------------------------------------------------
+# 6. Logs
+# ---------------------------------------------------------------------------------------------
+
+from ..functions import logs as LG  # noqa: E402
+from ..operators import logs as LO  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+
+LOSS_RE_SQL = r"'^batch loss at \d+ = (\d+\.?\d+?)'"
+LOG_CTES = [
+    ("lines", "SELECT 'RNN' AS model, seq, value, false AS d FROM log_own "
+              "UNION ALL SELECT 'MT5 finetune', seq, value, true FROM log_trainer"),
+    ("parsed", f"""SELECT model, seq, CASE WHEN d THEN (CASE WHEN contains(value, '''loss''')
+            THEN CAST(json_extract(replace(value, '''', '"'), '$.loss') AS DOUBLE) END)
+        ELSE CAST(nullif(regexp_extract(value, {LOSS_RE_SQL}, 1), '') AS DOUBLE) END AS loss FROM lines"""),
+    ("kept", "SELECT * FROM parsed WHERE loss IS NOT NULL AND loss <> 0"),
+]
+LOG_WITH = with_inputs("log_own", "log_trainer", extra=LOG_CTES)
+
+
+@register("loss_lines", LOG_WITH + "SELECT seq, loss FROM parsed WHERE model = 'RNN' AND loss IS NOT NULL")
+def q_loss_lines(spark, sf_dir):
+    l = I.log_own(spark, sf_dir).select("seq", LG.loss_from_line("value").alias("loss"))
+    return l.where(F.col("loss").isNotNull())
+
+
+@register("loss_dicts", LOG_WITH + "SELECT seq, loss FROM parsed WHERE model <> 'RNN' AND loss IS NOT NULL")
+def q_loss_dicts(spark, sf_dir):
+    l = I.log_trainer(spark, sf_dir).select("seq", LG.loss_from_dict("value").alias("loss"))
+    return l.where(F.col("loss").isNotNull())
+
+
+def write_logs(spark, sf_dir) -> dict[str, str]:
+    """The two logs as text files in the shared folder, named like the reference's."""
+    base = scratch_path(spark, "logs")
+    files = {"RNN": f"{base}/output-rnn-orthogonal.log", "MT5 finetune": f"{base}/output-mt5.log"}
+    for (legend, path), frame in zip(files.items(), (I.log_own(spark, sf_dir), I.log_trainer(spark, sf_dir))):
+        frame.orderBy("seq").select("value").write.text(path)
+    return files
+
+
+@register("log_series", LOG_WITH + """SELECT model, row_number() OVER w - 1 AS idx,
+        round(CASE WHEN count(*) OVER p > 1 THEN 5.0 * (row_number() OVER w - 1) / (count(*) OVER p - 1) ELSE 0.0 END, 6) AS epoch,
+        loss FROM kept WINDOW w AS (PARTITION BY model ORDER BY seq), p AS (PARTITION BY model)""")
+def q_log_series(spark, sf_dir):
+    s = LO.log_series(spark, write_logs(spark, sf_dir))
+    return s.select("model", "idx", F.round("epoch", 6).alias("epoch"), "loss")
+
+
+# ---------------------------------------------------------------------------------------------
+# 7b. Remaining filters and joins
+# ---------------------------------------------------------------------------------------------
+
+MINED_SQL = (f"SELECT pair_id, CAST(f[1] AS DOUBLE) AS score, f[2] AS en, f[3] AS zh, f[4] AS from_lang, "
+             f"f[5] AS to_lang FROM {_split_sql('raw_mined')}")
+MARGIN = 1.10
+TASK_PREFIX = "translate English to Chinese: "
+
+
+@register("convert_where", with_inputs("raw_mined") + f"""SELECT pair_id, CASE WHEN to_lang <> 'zh-Hans'
+        THEN translate(zh, '{T2S_FROM}', '{T2S_TO}') ELSE zh END AS zh, to_lang FROM ({MINED_SQL})""")
+def q_convert_where(spark, sf_dir):
+    m = tsv.read_mined(I.raw_mined(spark, sf_dir))
+    return clean.convert_where(m, mode="non_simplified", chars=SAMPLE_T2S_CHARS).select("pair_id", "zh", "to_lang")
+
+
+@register("prefix_source", with_inputs("bitext") + f"SELECT pair_id, '{TASK_PREFIX}' || en AS en FROM bitext")
+def q_prefix_source(spark, sf_dir):
+    return clean.prefix_source(I.bitext(spark, sf_dir), TASK_PREFIX).select("pair_id", "en")
+
+
+@register("margin_filter", with_inputs("raw_mined") + f"SELECT pair_id, score, en, zh FROM ({MINED_SQL}) WHERE score >= {MARGIN}")
+def q_margin_filter(spark, sf_dir):
+    m = tsv.read_mined(I.raw_mined(spark, sf_dir))
+    return clean.margin_filter(m, MARGIN).select("pair_id", "score", "en", "zh")
+
+
+def _sides(spark, sf_dir):
+    c = c1(spark, sf_dir).withColumn("uid", F.concat_ws(":", "corpus", "pair_id"))
+    vocab = doc_word_vocab(spark, sf_dir)
+    en = EN.word_ids(c.select("uid", TX.pretok_words(F.lower("en")).alias("t")), "t", vocab, key="uid", out="en_ids")
+    zh = EN.word_ids(c.select("uid", TX.pretok_words(F.lower("zh")).alias("t")), "t", vocab, key="uid", out="zh_ids")
+    return en, zh
+
+
+@register("pair_sides", IDS_WITH + """SELECT corpus || ':' || CAST(pair_id AS VARCHAR) AS uid,
+        CAST(len(en_ids) AS INTEGER) AS n_en, CAST(len(zh_ids) AS INTEGER) AS n_zh FROM c1_ids""")
+def q_pair_sides(spark, sf_dir):
+    en, zh = _sides(spark, sf_dir)
+    return en.join(zh, "uid").select("uid", F.size("en_ids").alias("n_en"), F.size("zh_ids").alias("n_zh"))
+
+
+@register("unmatched_sides", IDS_WITH + """SELECT corpus || ':' || CAST(pair_id AS VARCHAR) AS uid,
+        false AS has_en, false AS has_zh FROM c1_ids WHERE false""")
+def q_unmatched_sides(spark, sf_dir):
+    en, zh = _sides(spark, sf_dir)
+    j = en.join(zh, "uid", "full_outer")
+    return j.where(F.col("en_ids").isNull() | F.col("zh_ids").isNull()).select(
+        "uid", F.col("en_ids").isNotNull().alias("has_en"), F.col("zh_ids").isNotNull().alias("has_zh"))
+
+
+# ---------------------------------------------------------------------------------------------
+# 10. Sinks and split files
+# ---------------------------------------------------------------------------------------------
+
+from ..sources import encoded as ENC  # noqa: E402
+
+
+@register("sink_pairs_tsv", with_inputs("bitext") + "SELECT en, zh FROM bitext")
+def q_sink_pairs_tsv(spark, sf_dir):
+    path = scratch_path(spark, "pairs-tsv")
+    tsv.write_pairs_tsv(I.bitext(spark, sf_dir), path)
+    return tsv.read_pairs(tsv.read_text_lines(spark, path)).select("en", "zh")
+
+
+def _write_splits(spark, sf_dir) -> str:
+    path = scratch_path(spark, "encoded")
+    ENC.write_encoded(c1_ids(spark, sf_dir).drop("shuffle_key"), path, model="word")
+    return path
+
+
+@register("sink_encoded", IDS_WITH + """SELECT 'word' AS model, split, count(*) AS n_rows,
+        sum(len(en_ids)) AS n_en_ids, sum(len(zh_ids)) AS n_zh_ids FROM c1_ids GROUP BY split""")
+def q_sink_encoded(spark, sf_dir):
+    back = spark.read.parquet(_write_splits(spark, sf_dir))
+    return back.groupBy("model", "split").agg(F.count(F.lit(1)).alias("n_rows"),
+                                               F.sum(F.size("en_ids")).alias("n_en_ids"),
+                                               F.sum(F.size("zh_ids")).alias("n_zh_ids"))
+
+
+@register("load_split", IDS_WITH + """SELECT corpus, pair_id, CAST(len(en_ids) AS INTEGER) AS n_en,
+        CAST(len(zh_ids) AS INTEGER) AS n_zh FROM c1_ids WHERE split = 'val'""")
+def q_load_split(spark, sf_dir):
+    v = ENC.load_split(spark, _write_splits(spark, sf_dir), "eval", model="word")
+    return v.select("corpus", "pair_id", F.size("en_ids").alias("n_en"), F.size("zh_ids").alias("n_zh"))
+
+
+# ---------------------------------------------------------------------------------------------
+# 9. Streaming and batched scoring
+# ---------------------------------------------------------------------------------------------
+
+from ..operators import scoring as SC, unigram as UG  # noqa: E402
+from ..streaming import streams as ST  # noqa: E402
+
+
+def _stream_dir(spark, frame: DataFrame, name: str) -> tuple[str, str]:
+    """Land a frame as files of a streaming source; returns (source dir, schema DDL)."""
+    path = scratch_path(spark, name)
+    frame.write.parquet(path)
+    return path, frame.schema.simpleString()[len("struct<"):-1].replace(":", " ")
+
+
+def _run(spark, stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    out, ckpt = scratch_path(spark, name + "-out"), scratch_path(spark, name + "-ckpt")
+    ST.run_to_parquet(stream, out, ckpt, mode)
+    return spark.read.parquet(out)
+
+
+@register("stream_clean", with_inputs("raw_bad") + f"""SELECT pair_id, en, zh, CASE WHEN b < 200 THEN 'test'
+        WHEN b < 300 THEN 'val' ELSE 'train' END AS split
+    FROM (SELECT pair_id, {sql_strip('f[1]')} AS en, {sql_strip('f[2]')} AS zh,
+                 ('0x' || substr(md5('1:' || CAST(pair_id AS VARCHAR)), 1, 8))::BIGINT % 1000 AS b
+          FROM {_split_sql('raw_bad')} WHERE len(f) = 2) WHERE length(en) > 0 AND length(zh) > 0""")
+def q_stream_clean(spark, sf_dir):
+    src, schema = _stream_dir(spark, I.raw_bad(spark, sf_dir), "raw-lines")
+    lines = spark.readStream.schema(schema).parquet(src)
+    return _run(spark, ST.clean_stream(lines), "clean").select("pair_id", "en", "zh", "split")
+
+
+@register("stream_encode", WORD_WITH + """SELECT pair_id, array_to_string([2] || ids[1:128] || [3], ' ') AS ids FROM en_ids""")
+def q_stream_encode(spark, sf_dir):
+    src, schema = _stream_dir(spark, I.bitext(spark, sf_dir).select("pair_id", F.col("en").alias("text")),
+                              "sentences")
+    sentences = spark.readStream.schema(schema).parquet(src)
+    out = _run(spark, ST.encode_stream(sentences, doc_word_vocab(spark, sf_dir)), "encode")
+    return out.select("pair_id", _s("ids").alias("ids"))
+
+
+@register("stream_losses", LOG_WITH + """SELECT CASE WHEN model = 'RNN' THEN 'rnn' ELSE 'mt5' END AS log, loss FROM kept""")
+def q_stream_losses(spark, sf_dir):
+    files = write_logs(spark, sf_dir)
+    lines = spark.readStream.text([p for p in files.values()][0].rsplit("/", 1)[0] + "/*/")
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), "value")
+    out = _run(spark, ST.loss_stream(lines), "losses")
+    return out.select(F.when(F.col("file").contains("mt5"), "mt5").otherwise("rnn").alias("log"), "loss")
+
+
+@register("stream_bleu_stats", with_inputs("bitext", extra=BLEU_CTES) + "SELECT n, matches, total, ref_total FROM stats")
+def q_stream_bleu_stats(spark, sf_dir):
+    src, schema = _stream_dir(spark, I.bitext(spark, sf_dir), "bleu-rows")
+    rows = spark.readStream.schema(schema).parquet(src)
+    toks = rows.select(TX.zh_tokens(F.col("en")).alias("h"), TX.zh_tokens(F.col("zh")).alias("r"))
+    out = _run(spark, ST.bleu_stats_stream(toks, "h", "r"), "bleu", mode="complete")
+    return out.select(F.col("n").cast("int").alias("n"), "matches", "total", "ref_total")
+
+
+@register("parallel_decode", WORD_WITH + """SELECT b.pair_id, coalesce(string_agg(v.token, ' ' ORDER BY t.pos)
+        FILTER (WHERE v.id > 3), '') AS text
+    FROM bitext b LEFT JOIN en_toks t ON t.pair_id = b.pair_id LEFT JOIN word_vocab v ON v.token = t.token
+    GROUP BY b.pair_id""")
+def q_parallel_decode(spark, sf_dir):
+    return SC.parallel_decode(bitext_word_ids(spark, sf_dir), "ids", doc_word_vocab(spark, sf_dir))
+
+
+PRED_VOCAB = 30_000
+
+
+@register("predict_batches", IDS_WITH + f"""SELECT corpus, pair_id, array_to_string(list_transform(p,
+        lambda x: CASE WHEN x < 4 THEN x ELSE (x * 7 + 3) % {PRED_VOCAB} END), ' ') AS pred
+    FROM (SELECT corpus, pair_id, src || list_transform(range(130 - len(src)), lambda x: 1) AS p FROM wrapped)""")
+def q_predict_batches(spark, sf_dir):
+    b = c1_batches(spark, sf_dir)
+    x = BA.wrap_and_truncate(b, "en_ids", "src").withColumn("src", AR.pad_to(F.col("src"), F.lit(130)))
+    p = SC.predict_batches(x, "src", SC.substitution_predictor(PRED_VOCAB), seq_len=130,
+                           batch_size=BA.GENERATE_BATCH)
+    return p.select("corpus", "pair_id", _s("pred").alias("pred"))
+
+
+def _doc_pieces(spark, sf_dir):
+    docs = read_table_cols(spark, sf_dir, "documents", "text")
+    counts = VO.word_counts(docs, TX.py_split_ws(F.col("text")))
+    return UG.pieces_from_counts(counts)
+
+
+@register("unigram_encode")
+def q_unigram_encode(spark, sf_dir):
+    b = I.bitext(spark, sf_dir)
+    e = UG.unigram_encode(b, "zh", _doc_pieces(spark, sf_dir))
+    return e.select("pair_id", F.size("input_ids").alias("n_ids"), _s("input_ids").alias("input_ids"),
+                    F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_mask"))
+
+
+@register("encode_bitext")
+def q_encode_bitext(spark, sf_dir):
+    train = c1_train(spark, sf_dir)
+    en_model = BP.train_bpe(train, "en", "en", num_merges=20)
+    zh_model = BP.train_bpe(train, "zh", "zh", num_merges=20)
+    c = c1(spark, sf_dir).withColumn("uid", F.concat_ws(":", "corpus", "pair_id"))
+    en = BP.bpe_encode(c.select("uid", "en"), "en", en_model, key="uid", out="en_ids")
+    zh = BP.bpe_encode(c.select("uid", "zh"), "zh", zh_model, key="uid", out="zh_ids")
+    return c.select("uid", "split").join(en, "uid").join(zh, "uid").select(
+        "uid", "split", F.size("en_ids").alias("n_en"), F.size("zh_ids").alias("n_zh"))

@@ -76,11 +76,14 @@ def raw_titles(spark, sf_dir) -> DataFrame:
 
 
 def mined_score(pair_id):
-    return F.concat(F.lit("1."), F.lpad(F.pmod(pair_id, F.lit(20)).cast("string"), 2, "0"))
+    """Margin score text ``1.00``-``1.19`` from the conversation id (``pair_id div 100``)."""
+    conv = F.floor(pair_id / 100).cast("bigint")
+    return F.concat(F.lit("1."), F.lpad(F.pmod(conv, F.lit(20)).cast("string"), 2, "0"))
 
 
 def mined_tag(pair_id):
-    return F.when(F.pmod(pair_id, F.lit(2)) == 0, "zh-Hans").otherwise("zh-Hant")
+    conv = F.floor(pair_id / 100).cast("bigint")
+    return F.when(F.pmod(conv, F.lit(2)) == 0, "zh-Hans").otherwise("zh-Hant")
 
 
 def raw_mined(spark, sf_dir) -> DataFrame:
@@ -164,9 +167,9 @@ _SQL = {
         WHERE zh IS NOT NULL""",
     "raw_news": "SELECT pair_id, en || chr(9) || zh AS value FROM bitext",
     "raw_titles": "SELECT pair_id, zh || chr(9) || en AS value FROM line_pairs",
-    "raw_mined": """SELECT pair_id, '1.' || lpad(CAST(pair_id % 20 AS VARCHAR), 2, '0') || chr(9) || en
+    "raw_mined": """SELECT pair_id, '1.' || lpad(CAST((pair_id // 100) % 20 AS VARCHAR), 2, '0') || chr(9) || en
             || chr(9) || zh || chr(9) || 'en' || chr(9)
-            || CASE WHEN pair_id % 2 = 0 THEN 'zh-Hans' ELSE 'zh-Hant' END AS value
+            || CASE WHEN (pair_id // 100) % 2 = 0 THEN 'zh-Hans' ELSE 'zh-Hant' END AS value
         FROM mined_pairs""",
     "raw_bad": """SELECT pair_id, value FROM raw_news UNION ALL
         SELECT * FROM (VALUES (-1, 'only one field'), (-2, 'a' || chr(9) || 'b' || chr(9) || 'c'),
