@@ -85,12 +85,21 @@ def argmax(col) -> Column:
     return (F.array_position(c, F.array_max(c)) - 1).cast("int")
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element ``transform``), so a
+    lambda over an array does not recompute an outer expression for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _lse(c: Column) -> Column:
+    return let(F.array_max(c).cast("double"), lambda m: F.log(
+        F.aggregate(c, F.lit(0.0), lambda acc, x: acc + F.exp(x - m))) + m)
+
+
 def log_softmax(col) -> Column:
     """numerically stable ``x - max - ln(sum(exp(x - max)))``."""
     c = _c(col)
-    m = F.array_max(c).cast("double")
-    lse = F.log(F.aggregate(c, F.lit(0.0), lambda acc, x: acc + F.exp(x - m))) + m
-    return F.transform(c, lambda x: x - lse)
+    return let(_lse(c), lambda lse: F.transform(c, lambda x: x - lse))
 
 
 def softmax(col) -> Column:
@@ -101,6 +110,4 @@ def softmax(col) -> Column:
 def nll(col_scores, col_label) -> Column:
     """Cross-entropy of one score vector: ``ln(sum(exp(s))) - s[label]`` (label 0-based)."""
     s = _c(col_scores)
-    m = F.array_max(s).cast("double")
-    lse = F.log(F.aggregate(s, F.lit(0.0), lambda acc, x: acc + F.exp(x - m))) + m
-    return lse - F.element_at(s, _c(col_label) + 1).cast("double")
+    return _lse(s) - F.element_at(s, _c(col_label) + 1).cast("double")

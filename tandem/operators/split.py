@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,7 +72,8 @@ def hash_key_buckets(key: str, n: int) -> Column:
 
 def dense_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
                    out: str = "pos", total: str | None = None,
-                   num_partitions: int | None = None, bucket: Column | None = None) -> DataFrame:
+                   num_partitions: int | None = None, bucket: Column | None = None,
+                   persist: bool = True) -> DataFrame:
     """0-based rank of every row inside its ``by`` group by the (unique) ``order`` columns.
 
     No single-partition window.  Rows get a range bucket that is monotone in ``order`` (a
@@ -79,7 +81,10 @@ def dense_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     locally and numbered with the partition-local row counter.  A small table of counts per
     (bucket, group) -- at most ``buckets x groups`` rows, so its broadcast is bounded by
     construction -- supplies the offsets.  ``by`` must be a low-cardinality key (split, model).
-    ``total`` adds the group size.
+    ``total`` adds the group size.  With ``persist`` the bucketed rows are kept
+    (memory, then disk) so the count pass and the numbering pass share one computation of ``df``;
+    a lost block is recomputed from lineage and gets the same numbers (the bucket is a fixed
+    function of the row and rows are sorted on unique keys).
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -88,6 +93,9 @@ def dense_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     parted = (df.withColumn("_b", bucket).repartition(n, "_b")
               .sortWithinPartitions("_b", *by, *order)
               .withColumn("_mid", F.monotonically_increasing_id()))
+    if persist:
+        # the counts and the rows read one materialisation instead of computing the input twice
+        parted = parted.persist(StorageLevel.MEMORY_AND_DISK)
     counts = parted.groupBy("_b", *by).agg(F.count(F.lit(1)).alias("_cnt"),
                                            F.min("_mid").alias("_first"))
     before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

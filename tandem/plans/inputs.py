@@ -55,8 +55,9 @@ def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line with the next line of the same document, paired inside the row (no shuffle)."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = F.split("text", "\n", -1)
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.split("text", "\n", -1).alias("lines"))
+    lines = F.col("lines")   # a column reference, so the lambda does not re-split per element
     pairs = F.when(F.size(lines) > 1, F.transform(
         F.sequence(F.lit(0), F.size(lines) - 2),
         lambda i: F.struct(i.alias("pos"), F.element_at(lines, i + 1).alias("en"),

@@ -7,6 +7,8 @@ Parquet with the checkpoint under the shared folder, so a restarted query resume
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,6 @@ from ..functions import arrays as A
 from ..functions.text import UNK_ID, pretok_words, py_strip
 from ..operators.clean import nonempty_pairs
 from ..operators.logs import DICT_LOG_MARKER, drop_missing, parse_losses
-from ..operators.metrics import ngrams
 from ..operators.split import hash_split
 from ..sources.tsv import parse_fields
 
@@ -57,28 +58,32 @@ def clean_stream(lines: DataFrame, mode: str = "DROPMALFORMED") -> DataFrame:
     return hash_split(nonempty_pairs(pairs), ["pair_id"])
 
 
-def _count_in(arr: Column, g: Column) -> Column:
-    return F.size(F.filter(arr, lambda x: x == g))
+def _row_stats_py(h, r, max_order: int) -> list[list[int]]:
+    out = []
+    h, r = list(h), list(r)
+    for n in range(1, max_order + 1):
+        hg = Counter(tuple(h[i:i + n]) for i in range(len(h) - n + 1))
+        rg = Counter(tuple(r[i:i + n]) for i in range(len(r) - n + 1))
+        out.append([sum(min(c, rg[g]) for g, c in hg.items()), sum(hg.values()), sum(rg.values())])
+    return out
 
 
-def row_bleu_counts(hyp: Column, ref: Column, n: int) -> Column:
-    """Clipped matches of one row and order by array functions (quadratic in the row's n-grams,
-    which are bounded by the 130-token cap of a decoded sentence)."""
-    hg, rg = ngrams(hyp, n), ngrams(ref, n)
-    return F.aggregate(F.array_distinct(hg), F.lit(0).cast("bigint"),
-                       lambda acc, g: acc + F.least(_count_in(hg, g), _count_in(rg, g)).cast("bigint"))
+def row_bleu_udf(max_order: int = 4):
+    """Per-row clipped matches and totals for n = 1..max_order, linear in the row's tokens (a
+    small helper: counting n-grams of one sentence)."""
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.LongType())))
+    def stats(h: pd.Series, r: pd.Series) -> pd.Series:
+        return pd.Series([_row_stats_py(a, b, max_order) for a, b in zip(h, r)])
+    return stats
 
 
 def bleu_stats_stream(df: DataFrame, hyp: str, ref: str, max_order: int = 4) -> DataFrame:
     """ST3: per-row statistics -> running sums per n (the state is one row per order)."""
-    items = F.array(*[F.struct(F.lit(n).alias("n"),
-                               row_bleu_counts(F.col(hyp), F.col(ref), n).alias("m"),
-                               F.size(ngrams(F.col(hyp), n)).cast("bigint").alias("t"),
-                               F.size(ngrams(F.col(ref), n)).cast("bigint").alias("rt"))
-                      for n in range(1, max_order + 1)])
-    ex = df.select(F.explode(items).alias("x"))
-    return ex.groupBy(F.col("x.n").alias("n")).agg(
-        F.sum("x.m").alias("matches"), F.sum("x.t").alias("total"), F.sum("x.rt").alias("ref_total"))
+    per_row = df.select(row_bleu_udf(max_order)(F.col(hyp), F.col(ref)).alias("s"))
+    ex = per_row.select(F.posexplode("s").alias("i", "x"))
+    return ex.groupBy((F.col("i") + 1).alias("n")).agg(
+        F.sum(F.col("x")[0]).alias("matches"), F.sum(F.col("x")[1]).alias("total"),
+        F.sum(F.col("x")[2]).alias("ref_total"))
 
 
 def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
