@@ -49,11 +49,13 @@ def range_buckets(df: DataFrame, keys: Sequence[str], n: int, seed: int = 7,
     next keys, since bounds are whole tuples."""
     if n <= 1:
         return F.lit(0)
-    key_rows = df.select(*keys).persist()
+    cached = df.is_cached
+    key_rows = df.select(*keys) if cached else df.select(*keys).persist()
     total = key_rows.count()
     frac = min(1.0, per_bucket * n / max(total, 1))
     sample = sorted(tuple(r) for r in key_rows.sample(False, frac, seed).collect())
-    key_rows.unpersist()
+    if not cached:
+        key_rows.unpersist()
     if not sample:
         return F.lit(0)
     bounds, seen = [], set()

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ def alphabet(words: DataFrame, word_col: str = "word", first_id: int = len(SPECI
     """A2: distinct characters of the words, ordered by code point, ids after the specials.
     Bounded by the number of distinct code points."""
     chars = words.select(F.explode(F.regexp_extract_all(F.col(word_col), F.lit(CHAR_PATTERN), 0))
-                         .alias("token")).distinct()
+                         .alias("token")).distinct().persist(StorageLevel.MEMORY_AND_DISK)
     ranked = dense_position(chars, ["token"], out="_r")
     return ranked.select("token", (F.col("_r") + first_id).cast("int").alias("id"))
 
@@ -43,6 +44,8 @@ def word_vocab(counts: DataFrame, min_freq: int = MIN_FREQ_WORDS, word_col: str
     specials; the specials themselves are the first rows."""
     kept = counts.where((F.col("count") >= min_freq) & ~F.col(word_col).isin(list(specials))) \
         .select(F.col(word_col).alias("token"), (-F.col("count")).alias("_neg"))
+    # vocabulary-sized: kept once for the bucket sample and the numbering pass
+    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     ranked = dense_position(kept, ["_neg", "token"], out="_r")
     spark = counts.sparkSession
     spec = spark.createDataFrame([(t, i) for i, t in enumerate(specials)], "token string, id int")
