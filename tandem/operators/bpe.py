@@ -26,6 +26,7 @@ from .encode import sized_broadcast
 from .vocab import CHAR_PATTERN
 
 VOCAB_SIZE = 30_000
+WORDS_PER_TASK = 100_000
 SPECIALS_PATTERN = "|".join(s.replace("<", "\\<").replace(">", "\\>") for s in SPECIALS)
 
 
@@ -195,7 +196,15 @@ def train_bpe(df: DataFrame, text: str, lang: str, vocab_size: int = VOCAB_SIZE,
     """
     wc = training_words(df, text, lang)
     tokens, words = initial_words(wc)
-    words = words.select("syms", "c").checkpoint(eager=True)
+    words = words.select("syms", "c").persist()
+    # one task per ~100k distinct words: every round scans this table, so its partition count
+    # follows its size rather than the shuffle setting
+    n_words = words.count()
+    n_parts = max(1, min(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                         -(-n_words // WORDS_PER_TASK)))
+    staged = words
+    words = words.repartition(n_parts).checkpoint(eager=True)
+    staged.unpersist()
     model = BpeModel(lang, tokens)
     target = vocab_size if num_merges is None else len(tokens) + num_merges
     rounds = 0

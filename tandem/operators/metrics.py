@@ -36,7 +36,6 @@ def bleu_stats(df: DataFrame, hyp: str, ref: str, key: str = "pair_id",
     """``[by...,] n, matches, total, ref_total`` (the n=1 totals are the two lengths).
     ``hyp``/``ref`` are token-array columns; one reference per row."""
     keys = [key] if isinstance(key, str) else list(key)
-    keys = [key] if isinstance(key, str) else list(key)
     grams = []
 
     def item(n, h, r):

@@ -92,7 +92,9 @@ def dense_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if bucket is None:
         bucket = range_buckets(df, list(order), n)
-    parted = (df.withColumn("_b", bucket).repartition(n, "_b")
+    # no explicit partition count: AQE may coalesce small buckets into one task (rows of a
+    # bucket stay together and sorted, which is all the numbering needs)
+    parted = (df.withColumn("_b", bucket).repartition("_b")
               .sortWithinPartitions("_b", *by, *order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     if persist:

@@ -33,6 +33,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -51,6 +52,37 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tandem`` importable in Python workers (pandas UDFs pickle functions by module):
+    zip the package into the shared folder once and ``addPyFile`` it."""
+    import zipfile
+    sc = spark.sparkContext
+    key = id(sc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    base = shared_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        # the zip is a driver-side upload source (Spark serves it to executors); a Hadoop-style
+        # shared folder is not writable with Python's zipfile
+        base = tempfile.mkdtemp(prefix="tandem-pyfiles-")
+    target = os.path.join(base.removeprefix("file:"), "pyfiles", f"tandem-{uuid.uuid4().hex[:8]}.zip")
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, dirs, files in os.walk(pkg):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder (one per call, never reused)."""
     return os.path.join(shared_dir(spark), "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
