@@ -124,16 +124,18 @@ def convert_where(df: DataFrame, col: str = "zh", tag_col: str = "to_lang",
 # Empty decoded references with their neighbours
 # ---------------------------------------------------------------------------------------------
 
-def empty_refs(df: DataFrame, ref: str = "ref", batch: str = "batch_id", pos: str = "pos",
-               fail: bool = False) -> DataFrame:
+def empty_refs(df: DataFrame, ref: str = "ref", batch: str | Sequence[str] = ("split", "batch_id"),
+               pos: str = "pos", fail: bool = False) -> DataFrame:
     """Rows whose reference is empty after strip, with the previous and next reference of the same
     batch (null at the edges, T26).  Batches have a bounded size, so the window per batch is
     bounded too.  ``fail=True`` stops the job on the first such row."""
-    w = Window.partitionBy(batch).orderBy(pos)
-    ctx = df.select(batch, pos, ref, F.lag(ref).over(w).alias("prev_ref"),
+    cols = [batch] if isinstance(batch, str) else list(batch)
+    w = Window.partitionBy(*cols).orderBy(pos)
+    ctx = df.select(*cols, pos, ref, F.lag(ref).over(w).alias("prev_ref"),
                     F.lead(ref).over(w).alias("next_ref"))
     bad = ctx.where(F.length(py_strip(ref)) == 0)
     if fail:
+        where = F.concat_ws("/", *[F.col(c).cast("string") for c in cols])
         bad = bad.withColumn(ref, F.raise_error(F.format_string(
-            "empty reference at batch %s position %s", F.col(batch), F.col(pos))).cast("string"))
+            "empty reference at batch %s position %s", where, F.col(pos))).cast("string"))
     return bad

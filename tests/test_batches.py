@@ -57,3 +57,12 @@ def test_decode_skips_specials(spark):
                                   "token string, id int")
     df = spark.createDataFrame([(1, [2, 4, 0, 5, 3, 1])], "pair_id long, ids array<int>")
     assert E.decode_ids(df, "ids", vocab).first()["text"] == "a b"
+
+
+def test_empty_refs_neighbours(spark):
+    from tandem.operators.clean import empty_refs
+    rows = [("val", 0, 0, "a"), ("val", 0, 1, "  "), ("val", 0, 2, "c"), ("val", 1, 0, ""),
+            ("test", 0, 1, "x")]
+    df = spark.createDataFrame(rows, "split string, batch_id long, pos int, ref string")
+    got = sorted(map(tuple, empty_refs(df).collect()))
+    assert got == [("val", 0, 1, "  ", "a", "c"), ("val", 1, 0, "", None, None)]

@@ -70,3 +70,17 @@ def test_zh_tokens_golden(spark):
 def test_cleanup_spaces(spark):
     got = one(spark, TX.cleanup_spaces(F.col("x")), "i do n't know , he 's here .")
     assert got == "i don't know, he's here."
+
+
+def test_script_conversion_chars_and_phrases(spark):
+    from tandem.operators import clean as C
+    chars = {"電": "电", "腦": "脑", "軟": "软", "體": "体"}
+    assert one(spark, C.convert_script(F.col("x"), chars), "電腦軟體") == "电脑软体"
+    # phrases first (longest match), then characters
+    assert one(spark, C.convert_script(F.col("x"), chars, {"軟體": "软件"}), "電腦軟體") == "电脑软件"
+    df = spark.createDataFrame([("x", "軟", "zh-Hans"), ("y", "軟", "zh-Hant")],
+                               "pair_id string, zh string, to_lang string")
+    allc = {r[0]: r[1] for r in C.convert_where(df, chars=chars).select("pair_id", "zh").collect()}
+    some = {r[0]: r[1] for r in C.convert_where(df, mode="non_simplified", chars=chars)
+            .select("pair_id", "zh").collect()}
+    assert allc == {"x": "软", "y": "软"} and some == {"x": "軟", "y": "软"}
