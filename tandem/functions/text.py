@@ -61,7 +61,22 @@ def _class_escape(cp: int) -> str:
     return f"\\x{{{cp:X}}}"
 
 
-PY_WS_CLASS = "[" + "".join(_class_escape(ord(c)) for c in PY_WHITESPACE) + "]"
+def _ranges_class(cps) -> str:
+    """Character class of code points, consecutive runs written as ranges (faster to match)."""
+    cps = sorted(cps)
+    parts, start, prev = [], None, None
+    for cp in cps + [None]:
+        if start is not None and cp == prev + 1:
+            prev = cp
+            continue
+        if start is not None:
+            parts.append(_class_escape(start) if start == prev
+                         else f"{_class_escape(start)}-{_class_escape(prev)}")
+        start = prev = cp
+    return "[" + "".join(parts) + "]"
+
+
+PY_WS_CLASS = _ranges_class(ord(c) for c in PY_WHITESPACE)
 
 
 # ---------------------------------------------------------------------------------------------

@@ -91,6 +91,9 @@ def dense_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if bucket is None:
+        if not df.is_cached:
+            # the bound sample and the numbering pass then read one computation of the input
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
         bucket = range_buckets(df, list(order), n)
     # no explicit partition count: AQE may coalesce small buckets into one task (rows of a
     # bucket stay together and sorted, which is all the numbering needs)
