@@ -8,7 +8,9 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+MAX_OFFSET_ROWS = 1_000_000   # (bucket, group) pairs that dense_position may broadcast
 TEST_SIZE = 0.2      # first split: held-out test share (rounded up)
 VAL_SIZE = 0.125     # second split: share of the remainder held out as validation (rounded up)
 SEED = 1
@@ -81,8 +83,8 @@ def dense_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     No single-partition window.  Rows get a range bucket that is monotone in ``order`` (a
     fixed function of the row, see :func:`range_buckets`), are hash-partitioned on it, sorted
     locally and numbered with the partition-local row counter.  A small table of counts per
-    (bucket, group) -- at most ``buckets x groups`` rows, so its broadcast is bounded by
-    construction -- supplies the offsets.  ``by`` must be a low-cardinality key (split, model).
+    (bucket, group) -- at most ``buckets x groups`` rows, counted and checked before it is
+    broadcast -- supplies the offsets.  ``by`` must be a low-cardinality key (split, model).
     ``total`` adds the group size.  With ``persist`` the bucketed rows are kept
     (memory, then disk) so the count pass and the numbering pass share one computation of ``df``;
     a lost block is recomputed from lineage and gets the same numbers (the bucket is a fixed
@@ -105,12 +107,33 @@ def dense_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
         parted = parted.persist(StorageLevel.MEMORY_AND_DISK)
     counts = parted.groupBy("_b", *by).agg(F.count(F.lit(1)).alias("_cnt"),
                                            F.min("_mid").alias("_first"))
-    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    cols = [F.col("_b"), *[F.col(b) for b in by], F.col("_first"),
-            F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")]
+    # the offsets table has one row per (bucket, group): collected with its size checked, the
+    # prefix sums are taken on the driver and the result is broadcast
+    rows = counts.limit(MAX_OFFSET_ROWS + 1).collect()
+    if len(rows) > MAX_OFFSET_ROWS:
+        raise ValueError(f"dense_position: more than {MAX_OFFSET_ROWS} (bucket, group) pairs; "
+                         f"'by' must be a low-cardinality key")
+    rows.sort(key=lambda r: (tuple((v is None, v) for v in (r[b] for b in by)), r["_b"]))
+    running: dict[tuple, int] = {}
+    sizes: dict[tuple, int] = {}
+    for r in rows:
+        g = tuple(r[b] for b in by)
+        sizes[g] = sizes.get(g, 0) + r["_cnt"]
+    table = []
+    for r in rows:
+        g = tuple(r[b] for b in by)
+        off = running.get(g, 0)
+        running[g] = off + r["_cnt"]
+        table.append((r["_b"], *g, r["_first"], off, sizes[g]))
+    schema = T.StructType([T.StructField("_b", parted.schema["_b"].dataType)]
+                          + [T.StructField(b, parted.schema[b].dataType) for b in by]
+                          + [T.StructField("_first", T.LongType()), T.StructField("_off", T.LongType()),
+                             T.StructField("_size", T.LongType())])
+    offsets = spark.createDataFrame(table, schema)
     if total:
-        cols.append(F.sum("_cnt").over(Window.partitionBy(*by)).alias(total))
-    offsets = counts.select(*cols)
+        offsets = offsets.withColumnRenamed("_size", total)
+    else:
+        offsets = offsets.drop("_size")
     return (parted.join(F.broadcast(offsets), ["_b", *by])
             .withColumn(out, F.col("_off") + F.col("_mid") - F.col("_first"))
             .drop("_b", "_mid", "_first", "_off"))
