@@ -84,3 +84,10 @@ def test_matches_public_library(spark, lang):
     pids = [r[0] for r in b.select("pair_id").collect()]
     for pid, t in zip(pids, texts):
         assert enc[pid] == lib.encode(t).ids
+
+
+def test_batched_rounds_reach_vocab_size(spark):
+    m = _model(spark, "the quick brown fox jumps over the lazy dog " * 3, 40, batch=4)
+    assert len(m.tokens) == 40 and len(set(m.tokens)) == 40
+    exact = _model(spark, "the quick brown fox jumps over the lazy dog " * 3, 40)
+    assert set(m.tokens[:len(exact.tokens) - len(exact.merges)]) == set(exact.tokens[:len(exact.tokens) - len(exact.merges)])

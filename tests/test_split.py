@@ -58,3 +58,24 @@ def test_hash_split_rates(spark):
     df = spark.range(20000).withColumnRenamed("id", "pair_id")
     c = {r["split"]: r["count"] for r in S.hash_split(df, ["pair_id"]).groupBy("split").count().collect()}
     assert abs(c["test"] / 20000 - 0.2) < 0.02 and abs(c["val"] / 20000 - 0.1) < 0.02
+
+
+def test_exact_split_independent_of_shuffle_partitions(spark):
+    df = spark.range(700).withColumnRenamed("id", "pair_id")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for n in ("3", "17"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            results.append(sorted(map(tuple, S.exact_split(df, ["pair_id"]).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] == results[1]
+
+
+def test_dense_position_rejects_unbounded_groups(spark, monkeypatch):
+    import pytest
+    monkeypatch.setattr(S, "MAX_OFFSET_ROWS", 10)
+    df = spark.range(100).select((F.col("id") % 50).alias("g"), "id")
+    with pytest.raises(ValueError):
+        S.dense_position(df, ["id"], by=["g"])
