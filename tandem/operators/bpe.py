@@ -184,16 +184,47 @@ def _exact_prefix(top: list, limit: int) -> list[tuple[int, int]]:
     return chosen
 
 
+def _apply_merges(frame: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
+    # one projection per merge: nesting them in one expression would repeat the array
+    for a, b, new in merges:
+        frame = frame.select(merge_pair(F.col("syms"), a, b, new).alias("syms"), "c")
+    return frame
+
+
+def _choose(top: list, room: int, batch) -> list[tuple[int, int]]:
+    if batch == "exact":
+        return _exact_prefix(top, room)
+    k = min(int(batch), room)
+    chosen, used = [], set()
+    for r in top:
+        if len(chosen) == k:
+            break
+        if r["a"] in used or r["b"] in used:
+            continue
+        chosen.append((r["a"], r["b"]))
+        used.update((r["a"], r["b"]))
+    return chosen
+
+
 def train_bpe(df: DataFrame, text: str, lang: str, vocab_size: int = VOCAB_SIZE,
               num_merges: int | None = None, batch: int | str = "exact",
-              candidates: int = 64, checkpoint_every: int = 8) -> BpeModel:
+              candidates: int = 64, checkpoint_every: int = 8,
+              counting: str = "full") -> BpeModel:
     """A4: learn merges until ``vocab_size`` entries (or ``num_merges`` merges) or no pair is left.
 
     ``batch="exact"`` (default) gives the exact merge list of the rule above, taking several
     merges per Spark round when they are provably the next ones (:func:`_exact_prefix`).
     ``batch=1`` is one merge per round.  ``batch=k`` applies up to ``k`` symbol-disjoint top
     pairs per round (approximate order, far fewer rounds for 30k vocabularies).
+
+    ``counting="full"`` recounts every adjacent pair of the word table each round (one fused
+    job).  ``counting="delta"`` keeps the pair-count table and updates it with the pairs of the
+    words that contain a chosen pair only (old pairs subtracted, new ones added): the word table
+    is then only filtered and rewritten per round, never exploded -- the form for large
+    vocabularies.  Both give the same merges.
     """
+    if counting not in ("full", "delta"):
+        raise ValueError(f"unknown counting {counting!r}")
     wc = training_words(df, text, lang)
     tokens, words = initial_words(wc)
     words = words.select("syms", "c").persist()
@@ -205,43 +236,55 @@ def train_bpe(df: DataFrame, text: str, lang: str, vocab_size: int = VOCAB_SIZE,
     staged = words
     words = words.repartition(n_parts).checkpoint(eager=True)
     staged.unpersist()
+    counts = pair_counts(words).checkpoint(eager=True) if counting == "delta" else None
     model = BpeModel(lang, tokens)
     target = vocab_size if num_merges is None else len(tokens) + num_merges
     rounds = 0
     prev = None
     while len(model.tokens) < target:
         room = target - len(model.tokens)
-        if batch == "exact":
-            top = best_pairs(pair_counts(words), candidates).collect()
-            chosen = _exact_prefix(top, room)
-        else:
-            k = min(int(batch), room)
-            top = best_pairs(pair_counts(words), k if k == 1 else 4 * k).collect()
-            chosen, used = [], set()
-            for r in top:
-                if len(chosen) == k:
-                    break
-                if r["a"] in used or r["b"] in used:
-                    continue
-                chosen.append((r["a"], r["b"]))
-                used.update((r["a"], r["b"]))
+        k = candidates if batch == "exact" else (1 if int(batch) == 1 else 4 * int(batch))
+        source = counts if counting == "delta" else pair_counts(words)
+        chosen = _choose(best_pairs(source, k).collect(), room, batch)
         if not chosen:
             break
-        nxt = words
+        merges = []
         for a, b in chosen:
             new = len(model.tokens)
             model.tokens.append(model.tokens[a] + model.tokens[b])
             model.merges.append((a, b, new))
-            # one projection per merge: nesting them in one expression would repeat the array
-            nxt = nxt.select(merge_pair(F.col("syms"), a, b, new).alias("syms"), "c")
+            merges.append((a, b, new))
         rounds += 1
-        nxt = nxt.checkpoint(eager=True) if rounds % checkpoint_every == 0 else nxt.persist()
+        cut = rounds % checkpoint_every == 0
+        nxt = _apply_merges(words, merges)
+        if counting == "delta":
+            touched = None
+            for a, b, _ in merges:
+                t = F.array_contains("syms", a) & F.array_contains("syms", b)
+                touched = t if touched is None else touched | t
+            before = words.where(touched)
+            delta = pair_counts(_apply_merges(before, merges)).unionByName(
+                pair_counts(before).select("a", "b", (-F.col("count")).alias("count")))
+            upd = (counts.unionByName(delta).groupBy("a", "b").agg(F.sum("count").alias("count"))
+                   .where(F.col("count") != 0))
+            upd = upd.checkpoint(eager=True) if cut else upd.persist()
+            upd.count()
+            counts.unpersist()
+            counts = upd
+            nxt = nxt.checkpoint(eager=True) if cut else nxt.persist()
+            nxt.count()
+            words.unpersist()
+            words = nxt
+            continue
+        nxt = nxt.checkpoint(eager=True) if cut else nxt.persist()
         if prev is not None:
             prev.unpersist()
         prev = words
         words = nxt
     if prev is not None:
         prev.unpersist()
+    if counts is not None:
+        counts.unpersist()
     words.unpersist()
     model.rounds = rounds
     return model

@@ -91,3 +91,14 @@ def test_batched_rounds_reach_vocab_size(spark):
     assert len(m.tokens) == 40 and len(set(m.tokens)) == 40
     exact = _model(spark, "the quick brown fox jumps over the lazy dog " * 3, 40)
     assert set(m.tokens[:len(exact.tokens) - len(exact.merges)]) == set(exact.tokens[:len(exact.tokens) - len(exact.merges)])
+
+
+def test_delta_counting_equals_full(spark):
+    from tandem.plans import inputs as I
+    from tests.conftest import SF001
+    b = I.bitext(spark, SF001).cache()
+    full = BP.train_bpe(b, "en", "en", num_merges=25)
+    delta = BP.train_bpe(b, "en", "en", num_merges=25, counting="delta")
+    assert full.merges == delta.merges and full.tokens == delta.tokens
+    approx = BP.train_bpe(b, "en", "en", num_merges=25, counting="delta", batch=3)
+    assert len(approx.merges) == 25
