@@ -356,7 +356,7 @@ def _train_small(spark, sf_dir, lang: str) -> "BP.BpeModel":
 C1_EN_WORD_CTES = [
     ("en_words", f"""SELECT word, count(*) AS c FROM (SELECT unnest(regexp_extract_all(
         strip_accents(lower(en)), {WORD_RE_SQL})) AS word FROM c1 WHERE split = 'train') GROUP BY word"""),
-    ("en_pairs", """SELECT chars[i] AS a, chars[i + 1] AS b, sum(c) AS count
+    ("en_pairs", """SELECT chars[i] AS a, chars[i + 1] AS b, CAST(sum(c) AS BIGINT) AS count
         FROM (SELECT string_split(word, '') AS chars, c FROM en_words) w,
              LATERAL (SELECT unnest(range(1, len(w.chars))) AS i) r
         GROUP BY ALL"""),
@@ -700,8 +700,8 @@ def corpus_bleu_sql(by: str = "") -> str:
     FROM (SELECT *, (m1 = 0)::INT + (m2 = 0)::INT AS z2, (m1 = 0)::INT + (m2 = 0)::INT + (m3 = 0)::INT AS z3,
                  (m1 = 0)::INT + (m2 = 0)::INT + (m3 = 0)::INT + (m4 = 0)::INT AS z4
           FROM (SELECT {b}{sums},
-                       coalesce(sum(total) FILTER (WHERE n = 1), 0) AS hyp_len,
-                       coalesce(sum(ref_total) FILTER (WHERE n = 1), 0) AS ref_len FROM stats{group})))"""
+                       CAST(coalesce(sum(total) FILTER (WHERE n = 1), 0) AS BIGINT) AS hyp_len,
+                       CAST(coalesce(sum(ref_total) FILTER (WHERE n = 1), 0) AS BIGINT) AS ref_len FROM stats{group})))"""
 
 
 BLEU_CTES = bleu_ctes(f"SELECT pair_id, {_zh_tokens_sql('en')} AS h, {_zh_tokens_sql('zh')} AS r FROM bitext")
@@ -736,7 +736,7 @@ PLAIN_CTES = bleu_ctes(f"""SELECT pair_id, array_to_string(regexp_extract_all(lo
                  sum(matches) FILTER (WHERE n = 2) AS m2, sum(total) FILTER (WHERE n = 2) AS t2,
                  sum(matches) FILTER (WHERE n = 3) AS m3, sum(total) FILTER (WHERE n = 3) AS t3,
                  sum(matches) FILTER (WHERE n = 4) AS m4, sum(total) FILTER (WHERE n = 4) AS t4,
-                 sum(total) FILTER (WHERE n = 1) AS hyp_len, sum(ref_total) FILTER (WHERE n = 1) AS ref_len FROM stats)""")
+                 CAST(sum(total) FILTER (WHERE n = 1) AS BIGINT) AS hyp_len, CAST(sum(ref_total) FILTER (WHERE n = 1) AS BIGINT) AS ref_len FROM stats)""")
 def q_plain_bleu(spark, sf_dir):
     t = _bleu_toks(spark, sf_dir, lambda c: TX.pretok_words(F.lower(c)))
     p = ME.plain_bleu(ME.bleu_stats(t, "h", "r"))
@@ -928,7 +928,7 @@ def _write_splits(spark, sf_dir) -> str:
 
 
 @register("sink_encoded", IDS_WITH + """SELECT 'word' AS model, split, count(*) AS n_rows,
-        sum(len(en_ids)) AS n_en_ids, sum(len(zh_ids)) AS n_zh_ids FROM c1_ids GROUP BY split""")
+        CAST(sum(len(en_ids)) AS BIGINT) AS n_en_ids, CAST(sum(len(zh_ids)) AS BIGINT) AS n_zh_ids FROM c1_ids GROUP BY split""")
 def q_sink_encoded(spark, sf_dir):
     back = spark.read.parquet(_write_splits(spark, sf_dir))
     return back.groupBy("model", "split").agg(F.count(F.lit(1)).alias("n_rows"),

@@ -64,7 +64,9 @@ def main(argv):
     for k in keys or list(qs):
         t0 = time.time()
         try:
-            sp = qs[k](spark, sf_dir).toPandas()
+            sdf = qs[k](spark, sf_dir)
+            stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+            sp = sdf.toPandas()
         except Exception as e:  # noqa: BLE001
             print(f"FAIL {k}: spark error {str(e)[:400]}")
             bad += 1
@@ -74,11 +76,18 @@ def main(argv):
             print(f"ROWS {k}: {len(sp)} rows (no oracle) {t1 - t0:.1f}s")
             continue
         try:
-            dd = con.sql(sqls[k]).df()
+            rel = con.sql(sqls[k])
+            dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+            dd = rel.df()
         except Exception as e:  # noqa: BLE001
             print(f"FAIL {k}: duckdb error {str(e)[:400]}")
             bad += 1
             continue
+        m = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN", "float": "FLOAT"}
+        tdiff = {c: (t, dtypes.get(c)) for c, t in stypes.items() if m.get(t, t) != dtypes.get(c)}
+        if tdiff:
+            print(f"TYPE {k}: {tdiff}")
         sc, sr = rows_of(sp)
         dc, dr = rows_of(dd)
         if sc != dc:
