@@ -39,9 +39,8 @@ def assign_batches(df: DataFrame, order: Sequence[str], size: int = TRAIN_BATCH,
 
 def first_k_per_batch(df: DataFrame, k: int = 2, batch_cols: Sequence[str] = ("split", "batch_id"),
                       order: str = "row_in_batch") -> DataFrame:
-    """The first ``k`` rows of each batch (T17: the Transformer's BLEU sample).  Within a
-    batch the row index is known, so this is a filter; ``ranked=True`` callers with another
-    order can use a window bounded by the batch size."""
+    """The first ``k`` rows of each batch (T17: the Transformer's BLEU sample).  The row
+    index inside the batch is already known from W1, so this is a plain filter (no window)."""
     return df.where(F.col(order) < k)
 
 

@@ -79,3 +79,13 @@ def test_dense_position_rejects_unbounded_groups(spark, monkeypatch):
     df = spark.range(100).select((F.col("id") % 50).alias("g"), "id")
     with pytest.raises(ValueError):
         S.dense_position(df, ["id"], by=["g"])
+
+
+def test_word_vocab_golden(spark):
+    from tandem.plans import catalog as C
+    from tests.conftest import SF01
+    v = C.doc_word_vocab(spark, SF01)
+    r = v.agg(F.count("*").alias("n"), F.max("id").alias("m")).first()
+    assert r["n"] - 4 == 12515 and r["m"] == 12518
+    first = {row["id"]: row["token"] for row in v.where(F.col("id") < 4).collect()}
+    assert first == {0: "<unk>", 1: "<pad>", 2: "<bos>", 3: "<eos>"}
