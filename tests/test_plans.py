@@ -40,3 +40,17 @@ def test_scan_prunes_columns(spark):
     plan = _plan(docs)
     assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in plan
     assert "ReadSchema: struct<doc_id:bigint,lang:string>" in plan
+
+
+def test_registered_plans_have_no_cartesian_or_row_udfs(spark):
+    """No cartesian product, nested-loop join or row-at-a-time Python UDF in the main pipelines;
+    a single-partition exchange only appears under a global aggregate of already-partial sums."""
+    import __spark_entry__ as E
+    from tests.conftest import SF001
+    qs = E.queries()
+    for k in ["prepare_bitext", "word_ids", "bleu_stats", "model_batches", "log_series",
+              "normalize_text", "assign_batches", "pad_batches"]:
+        plan = _plan(qs[k](spark, SF001))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+            assert bad not in plan, (k, bad)
+        assert "SinglePartition" not in plan, k
