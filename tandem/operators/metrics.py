@@ -177,6 +177,32 @@ def evaluate(pred: DataFrame, ref: DataFrame, tokenize, key: str = "pair_id",
     return rows
 
 
+def evaluate_ids(df: DataFrame, pred_ids: str, ref_ids: str, vocab: DataFrame, tokenize,
+                 key: str = "pair_id", by: Sequence[str] = (), cut_eos: bool = False,
+                 first_k: int | None = None, cleanup: bool = False,
+                 losses: DataFrame | None = None, model: str = "model",
+                 weighting: str = "batch") -> DataFrame:
+    """C5 from ids: optional EOS cut of the predictions (F17, T16), optional first ``k`` rows per
+    batch (W4, T17; needs ``split, batch_id, row_in_batch``), decode both sides with the
+    vocabulary (J4, F18), optional clean-up of spaces (F19), then :func:`evaluate`."""
+    from ..functions.text import cleanup_spaces
+    from .encode import decode_ids
+    rows = df
+    if first_k is not None:
+        rows = rows.where(F.col("row_in_batch") < first_k)
+    if cut_eos:
+        rows = rows.withColumn(pred_ids, A.cut_at_eos(F.col(pred_ids)))
+    pred = decode_ids(rows.select(key, pred_ids), pred_ids, vocab, key=key, out="pred")
+    ref = decode_ids(rows.select(key, ref_ids), ref_ids, vocab, key=key, out="ref")
+    if cleanup:
+        pred = pred.withColumn("pred", cleanup_spaces("pred"))
+        ref = ref.withColumn("ref", cleanup_spaces("ref"))
+    if by:
+        pred = pred.join(rows.select(key, *by), key)
+    return evaluate(pred, ref, tokenize, key=key, by=by, losses=losses, model=model,
+                    weighting=weighting)
+
+
 def bleu_formula_py(m: list[int], t: list[int], h: int, r: int) -> float:
     """A8 in plain Python (tests, hand goldens)."""
     if not any(m):

@@ -55,3 +55,16 @@ def test_log_softmax_sums_to_one(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0],)], "s array<double>")
     p = df.select(A.softmax("s")).first()[0]
     assert math.isclose(sum(p), 1.0)
+
+
+def test_evaluate_from_ids(spark):
+    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(
+        ["<unk>", "<pad>", "<bos>", "<eos>", "a", "b", "c", "d"])], "token string, id int")
+    df = spark.createDataFrame([(1, [2, 4, 5, 6, 7, 3, 7], [2, 4, 5, 6, 7, 3, 1])],
+                               "pair_id long, p array<int>, r array<int>")
+    split_tok = lambda c: F.split(c, " ")
+    cut = {r["metric"]: r["value"] for r in M.evaluate_ids(df, "p", "r", vocab, split_tok,
+                                                           cut_eos=True).collect()}
+    assert abs(cut["bleu"] - 100.0) < 1e-9
+    raw = {r["metric"]: r["value"] for r in M.evaluate_ids(df, "p", "r", vocab, split_tok).collect()}
+    assert raw["hyp_len"] == 5.0 and raw["bleu"] < 100.0
