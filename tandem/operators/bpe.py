@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import (SPECIALS, UNK_ID, normalize, pretok_bytes, pretok_words,
                               symbols_to_text)
-from .encode import sized_broadcast
+from .encode import bounded_collect, sized_broadcast
 from .vocab import CHAR_PATTERN
 
 VOCAB_SIZE = 30_000
@@ -119,12 +119,12 @@ class BpeModel:
 
     @classmethod
     def from_frames(cls, lang: str, vocab: DataFrame, merges: DataFrame | None) -> "BpeModel":
-        toks = sorted((r["id"], r["token"]) for r in vocab.collect())
+        toks = sorted((r["id"], r["token"]) for r in bounded_collect(vocab, what="vocabulary"))
         tokens = [t for _, t in toks]
         ids = {t: i for i, t in enumerate(tokens)}
         ms = []
         if merges is not None:
-            for r in sorted(merges.collect(), key=lambda r: r["rank"]):
+            for r in sorted(bounded_collect(merges, what="merges"), key=lambda r: r["rank"]):
                 ms.append((ids[r["left"]], ids[r["right"]], ids[r["left"] + r["right"]]))
         return cls(lang, tokens, ms)
 
@@ -140,7 +140,8 @@ def initial_words(word_counts: DataFrame) -> tuple[list[str], DataFrame]:
     """Alphabet (A2, bounded by distinct code points, brought to the driver) and the word table
     with character ids."""
     chars = F.regexp_extract_all(F.col("word"), F.lit(CHAR_PATTERN), 0)
-    alpha = sorted(r[0] for r in word_counts.select(F.explode(chars).alias("ch")).distinct().collect())
+    alpha = sorted(r[0] for r in bounded_collect(
+        word_counts.select(F.explode(chars).alias("ch")).distinct(), what="alphabet"))
     tokens = list(SPECIALS) + alpha
     alpha_df = word_counts.sparkSession.createDataFrame(
         [(ch, i + len(SPECIALS)) for i, ch in enumerate(alpha)], "ch string, cid int")

@@ -59,7 +59,8 @@ def _as_mapping(table) -> dict[str, str]:
         return dict(table)
     # a DataFrame (src, dst): dictionaries are reference data with a fixed bound (a few
     # thousand entries), so bringing them to the driver to build the expression is safe
-    rows = table.select(*table.columns[:2]).collect()
+    from .encode import bounded_collect
+    rows = bounded_collect(table.select(*table.columns[:2]), what="dictionary")
     return {r[0]: r[1] for r in rows}
 
 

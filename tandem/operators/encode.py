@@ -25,6 +25,15 @@ def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(small) if n <= max_rows else small
 
 
+def bounded_collect(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, what: str = "table"):
+    """Rows of a reference table (vocabulary, dictionary, alphabet) for the driver, refusing
+    anything larger than ``max_rows`` -- corpus-sized data never comes back."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"{what} has more than {max_rows} rows; too large to bring to the driver")
+    return rows
+
+
 def _regroup(df: DataFrame, key: str, pos: str, value: Column, out: str) -> DataFrame:
     items = F.collect_list(F.when(F.col(pos).isNotNull(), F.struct(F.col(pos).alias("p"),
                                                                     value.alias("v"))))

@@ -148,7 +148,9 @@ def scoreboard(long: DataFrame, models: Sequence[str] | None = None) -> DataFram
     """``split, metric`` x one column per model, 4 decimals.  Pass ``models`` to skip the
     extra job that finds the pivot values (a bounded distinct otherwise)."""
     if models is None:
-        models = sorted(r[0] for r in long.select("model").distinct().collect())
+        from .encode import bounded_collect
+        models = sorted(r[0] for r in bounded_collect(long.select("model").distinct(), 10_000,
+                                                       "model list"))
     return long.groupBy("split", "metric").pivot("model", list(models)).agg(
         F.round(F.first("value"), 4))
 

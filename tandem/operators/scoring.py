@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import SPECIALS
-from .encode import sized_broadcast
+from .encode import bounded_collect
 
 
 def parallel_decode(df: DataFrame, ids: str, vocab: DataFrame, key: str = "pair_id",
                     out: str = "text", sep: str = " ") -> DataFrame:
     """Ids -> text per partition (``mapInPandas``) with the id -> token table broadcast once;
     specials skipped.  The JVM form is :func:`tandem.operators.encode.decode_ids`."""
-    rows = sized_broadcast(vocab.select("id", "token")).collect()
+    rows = bounded_collect(vocab.select("id", "token"), what="vocabulary")
     table = {int(r["id"]): r["token"] for r in rows}
     bc = df.sparkSession.sparkContext.broadcast(table)
     n_spec = len(SPECIALS)

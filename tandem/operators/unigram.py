@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.arrays import MAX_IDS, T5_EOS_ID, T5_UNK_ID
 from ..functions.text import py_split_ws
-from .encode import encode_distinct, sized_broadcast
+from .encode import bounded_collect, encode_distinct
 from .split import dense_position
 
 SPACE = "▁"
@@ -81,7 +81,7 @@ def best_path_py(word: str, pieces: dict, max_len: int, unk_score: float) -> lis
 
 def unigram_encoder(spark, pieces: DataFrame):
     """Pandas UDF word -> ids over a broadcast pieces dictionary (size checked first)."""
-    rows = sized_broadcast(pieces.select("piece", "score", "id")).collect()
+    rows = bounded_collect(pieces.select("piece", "score", "id"), what="pieces table")
     table = {r["piece"]: (float(r["score"]), int(r["id"])) for r in rows}
     max_len = max((len(p) for p in table), default=1)
     unk = (min((s for s, _ in table.values()), default=0.0)) - UNK_PENALTY

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from ..functions import arrays as A
 from ..functions.text import UNK_ID, pretok_words, py_strip
 from ..operators.clean import nonempty_pairs
+from ..operators.encode import bounded_collect
 from ..operators.logs import DICT_LOG_MARKER, drop_missing, parse_losses
 from ..operators.split import hash_split
 from ..sources.tsv import parse_fields
@@ -26,10 +27,8 @@ def lookup_ids_udf(spark: SparkSession, vocab: DataFrame, max_rows: int = 2_000_
     """Token array -> id array through a broadcast dictionary (a stream cannot regroup rows
     without state, so the J3 join is replaced by an in-row lookup).  The vocabulary size is
     checked before it is broadcast."""
-    n = vocab.count()
-    if n > max_rows:
-        raise ValueError(f"vocabulary of {n} rows is too large to broadcast to a stream")
-    table = {r["token"]: r["id"] for r in vocab.select("token", "id").collect()}
+    rows = bounded_collect(vocab.select("token", "id"), max_rows, "vocabulary")
+    table = {r["token"]: r["id"] for r in rows}
     bc = spark.sparkContext.broadcast(table)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
