@@ -102,3 +102,16 @@ def test_delta_counting_equals_full(spark):
     assert full.merges == delta.merges and full.tokens == delta.tokens
     approx = BP.train_bpe(b, "en", "en", num_merges=25, counting="delta", batch=3)
     assert len(approx.merges) == 25
+
+
+def test_byte_level_roundtrip(spark):
+    """decode(encode(x)) == normalise(x) (with the prefix space, T13) for text whose bytes the
+    vocabulary covers."""
+    from tandem.functions.text import normalize_py
+    texts = ["Hello world, this is text.", "Große Überraschung für Ünal!", "naïve café au lait"]
+    df = spark.createDataFrame(list(enumerate(texts)), "pair_id long, zh string")
+    m = BP.train_bpe(df, "zh", "zh", num_merges=30)
+    enc = BP.bpe_encode(df, "zh", m)
+    dec = {r["pair_id"]: r["text"] for r in BP.bpe_decode(enc, "ids", m).collect()}
+    for i, t in enumerate(texts):
+        assert dec[i] == " " + normalize_py(t)
