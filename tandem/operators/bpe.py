@@ -26,7 +26,7 @@ from .encode import bounded_collect, sized_broadcast
 from .vocab import CHAR_PATTERN
 
 VOCAB_SIZE = 30_000
-WORDS_PER_TASK = 100_000
+WORDS_PER_TASK = 25_000
 SPECIALS_PATTERN = "|".join(s.replace("<", "\\<").replace(">", "\\>") for s in SPECIALS)
 
 
@@ -229,7 +229,7 @@ def train_bpe(df: DataFrame, text: str, lang: str, vocab_size: int = VOCAB_SIZE,
     wc = training_words(df, text, lang)
     tokens, words = initial_words(wc)
     words = words.select("syms", "c").persist()
-    # one task per ~100k distinct words: every round scans this table, so its partition count
+    # one task per ~25k distinct words: every round scans this table, so its partition count
     # follows its size rather than the shuffle setting
     n_words = words.count()
     n_parts = max(1, min(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")),
