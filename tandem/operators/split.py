@@ -97,9 +97,8 @@ def dense_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
             # the bound sample and the numbering pass then read one computation of the input
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
         bucket = range_buckets(df, list(order), n)
-    # no explicit partition count: AQE may coalesce small buckets into one task (rows of a
-    # bucket stay together and sorted, which is all the numbering needs)
-    parted = (df.withColumn("_b", bucket).repartition("_b")
+    # one task per bucket: the sort and numbering keep the full parallelism of the bucket count
+    parted = (df.withColumn("_b", bucket).repartition(n, "_b")
               .sortWithinPartitions("_b", *by, *order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     if persist:
