@@ -567,10 +567,14 @@ def q_padding_mask(spark, sf_dir):
 
 @register("causal_mask", IDS_WITH + """SELECT n, array_to_string(flatten(list_transform(range(n), lambda i:
             list_transform(range(n), lambda j: CASE WHEN j <= i THEN 0 ELSE 1 END))), '') AS blocked
-    FROM (SELECT DISTINCT CAST(len(ptgt) - 1 AS INTEGER) AS n FROM padded)""")
+    FROM (SELECT DISTINCT n FROM (SELECT CAST(len(ptgt) - 1 AS INTEGER) AS n FROM padded
+          UNION ALL SELECT CAST(len(tgt) - 1 AS INTEGER) FROM padded))""")
 def q_causal_mask(spark, sf_dir):
-    p = _padded(spark, sf_dir).select((F.size("ptgt") - 1).alias("n"))
-    m = BA.causal_masks(p, "n")
+    # every decoder-input size in use: the padded batch length and each row's own length
+    p = _padded(spark, sf_dir)
+    sizes = p.select((F.size("ptgt") - 1).alias("n")).unionByName(
+        p.select((F.size("tgt") - 1).alias("n")))
+    m = BA.causal_masks(sizes, "n")
     blocked = F.flatten(F.transform("mask", lambda row: F.transform(
         row, lambda v: F.when(v == 0.0, "0").otherwise("1"))))
     return m.select("n", F.array_join(blocked, "").alias("blocked"))
