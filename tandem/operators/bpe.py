@@ -27,6 +27,7 @@ from .vocab import CHAR_PATTERN
 
 VOCAB_SIZE = 30_000
 WORDS_PER_TASK = 25_000
+INLINE_ALPHABET = 4096      # alphabets up to this size are mapped to ids with a literal map
 SPECIALS_PATTERN = "|".join(s.replace("<", "\\<").replace(">", "\\>") for s in SPECIALS)
 
 
@@ -143,6 +144,13 @@ def initial_words(word_counts: DataFrame) -> tuple[list[str], DataFrame]:
     alpha = sorted(r[0] for r in bounded_collect(
         word_counts.select(F.explode(chars).alias("ch")).distinct(), what="alphabet"))
     tokens = list(SPECIALS) + alpha
+    if len(alpha) <= INLINE_ALPHABET:
+        # a small alphabet (byte level: at most 256 symbols) is a literal map: ids are looked up
+        # inside the row, no explode, join or regroup
+        lookup = F.create_map(*[x for i, ch in enumerate(alpha)
+                                for x in (F.lit(ch), F.lit(i + len(SPECIALS)))])
+        return tokens, word_counts.select(
+            "word", "c", F.transform(chars, lambda ch: lookup[ch]).alias("syms"))
     alpha_df = word_counts.sparkSession.createDataFrame(
         [(ch, i + len(SPECIALS)) for i, ch in enumerate(alpha)], "ch string, cid int")
     exploded = word_counts.select("word", "c", F.posexplode(chars).alias("pos", "ch"))

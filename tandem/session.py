@@ -88,6 +88,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def release(spark: SparkSession) -> None:
+    """Drop the intermediates operators persisted (bucketed rows, vocabularies, BPE word tables)
+    once their results have been consumed."""
+    spark.catalog.clearCache()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (never a local checkpoint)."""
     shared_dir(df.sparkSession)
