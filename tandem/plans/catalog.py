@@ -898,17 +898,18 @@ def _sides(spark, sf_dir):
 @register("pair_sides", IDS_WITH + """SELECT corpus || ':' || CAST(pair_id AS VARCHAR) AS uid,
         CAST(len(en_ids) AS INTEGER) AS n_en, CAST(len(zh_ids) AS INTEGER) AS n_zh FROM c1_ids""")
 def q_pair_sides(spark, sf_dir):
+    from ..operators.pairing import pair_sides
     en, zh = _sides(spark, sf_dir)
-    return en.join(zh, "uid").select("uid", F.size("en_ids").alias("n_en"), F.size("zh_ids").alias("n_zh"))
+    return pair_sides(en, zh, "uid").select("uid", F.size("en_ids").alias("n_en"),
+                                            F.size("zh_ids").alias("n_zh"))
 
 
 @register("unmatched_sides", IDS_WITH + """SELECT corpus || ':' || CAST(pair_id AS VARCHAR) AS uid,
         false AS has_en, false AS has_zh FROM c1_ids WHERE false""")
 def q_unmatched_sides(spark, sf_dir):
+    from ..operators.pairing import unmatched_sides
     en, zh = _sides(spark, sf_dir)
-    j = en.join(zh, "uid", "full_outer")
-    return j.where(F.col("en_ids").isNull() | F.col("zh_ids").isNull()).select(
-        "uid", F.col("en_ids").isNotNull().alias("has_en"), F.col("zh_ids").isNotNull().alias("has_zh"))
+    return unmatched_sides(en, zh, "en", "zh", key="uid")
 
 
 # ---------------------------------------------------------------------------------------------

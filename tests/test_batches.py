@@ -66,3 +66,16 @@ def test_empty_refs_neighbours(spark):
     df = spark.createDataFrame(rows, "split string, batch_id long, pos int, ref string")
     got = sorted(map(tuple, empty_refs(df).collect()))
     assert got == [("val", 0, 1, "  ", "a", "c"), ("val", 1, 0, "", None, None)]
+
+
+def test_pairing_and_unmatched_sides(spark):
+    import pytest
+    from tandem.operators import pairing as P
+    en = spark.createDataFrame([(1, [4]), (2, [5]), (3, [6])], "pair_id long, en_ids array<int>")
+    zh = spark.createDataFrame([(1, [7]), (2, [8]), (4, [9])], "pair_id long, zh_ids array<int>")
+    assert sorted(r["pair_id"] for r in P.pair_sides(en, zh).collect()) == [1, 2]
+    got = sorted(map(tuple, P.unmatched_sides(en, zh, "en", "zh").collect()))
+    assert got == [(3, True, False), (4, False, True)]
+    with pytest.raises(ValueError):
+        P.assert_paired(en, zh)
+    P.assert_paired(en.where("pair_id < 3"), zh.where("pair_id < 3"))
