@@ -53,13 +53,24 @@ def test_byte_level_golden_and_library(spark):
 
 
 def test_byte_decode_replaces_broken_sequences(spark):
-    df = spark.createDataFrame([(bytes([0xE4, 0xB8, 0x61]),)], "b binary")
-    sym = TX.bytes_to_symbols(F.decode(F.col("b"), "ISO-8859-1"))
-    # build the symbols directly from the raw bytes
+    # symbols of the raw bytes E4 B8 61: a truncated 3-byte sequence, then "a"
     syms = "".join(TX.BYTE_TO_CHAR[b] for b in [0xE4, 0xB8, 0x61])
     got = spark.createDataFrame([(syms,)], "x string").select(TX.symbols_to_text(F.col("x"))).first()[0]
-    assert got == "�a"
-    assert sym is not None
+    assert got == "\ufffda"
+
+
+def test_normalize_fast_path_equals_python_on_random_text(spark):
+    import random
+    rng = random.Random(7)
+    pools = [range(0x20, 0x250), range(0x370, 0x530), range(0x300, 0x370), range(0xAC00, 0xAC40),
+             range(0x4E00, 0x4E40), range(0x1E00, 0x1F00), range(0xFB00, 0xFB10)]
+    samples = []
+    for _ in range(300):
+        pool = rng.choice(pools)
+        samples.append("".join(chr(rng.choice(pool)) for _ in range(rng.randint(0, 20))))
+    df = spark.createDataFrame([(s,) for s in samples], "x string")
+    got = [r[0] for r in df.select(TX.normalize(F.col("x"))).collect()]
+    assert got == [TX.normalize_py(s) for s in samples]
 
 
 def test_zh_tokens_golden(spark):
