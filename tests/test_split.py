@@ -89,3 +89,19 @@ def test_word_vocab_golden(spark):
     assert r["n"] - 4 == 12515 and r["m"] == 12518
     first = {row["id"]: row["token"] for row in v.where(F.col("id") < 4).collect()}
     assert first == {0: "<unk>", 1: "<pad>", 2: "<bos>", 3: "<eos>"}
+
+
+def test_hot_first_key_is_split_across_buckets(spark):
+    """A third of the rows share one first key: bounds are whole key tuples, so that key's rows
+    still spread over several buckets, and the positions stay exact."""
+    n = 3000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                               F.col("id")).cache()
+    bucket = S.range_buckets(df, ["k", "id"], 8)
+    sizes = [r["count"] for r in df.select(bucket.alias("b")).groupBy("b").count().collect()]
+    assert max(sizes) < n / 4
+    hot = df.where(F.col("k") == 0).select(bucket.alias("b")).distinct().count()
+    assert hot >= 2
+    expected = {t: i for i, t in enumerate(sorted((r["k"], r["id"]) for r in df.collect()))}
+    out = S.dense_position(df, ["k", "id"]).collect()
+    assert all(expected[(r["k"], r["id"])] == r["pos"] for r in out)
