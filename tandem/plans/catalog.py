@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import inputs as I
-from .inputs import WS_SQL, sql_strip, with_inputs
+from .inputs import sql_strip, with_inputs
 from .pipelines import prepare_bitext, split_summary
 from ..operators import clean, split as splitops
 from ..operators.clean import SAMPLE_T2S_CHARS

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from tandem.operators import metrics as M
 from tandem.plans import catalog as C
 from tandem.plans import inputs as I
 from tandem.streaming import streams as ST
