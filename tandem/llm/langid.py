@@ -122,7 +122,7 @@ def identify(docs: DataFrame, langs: list[str], table: np.ndarray, key: str = "d
     nothing was learned), score (proportion of lang_pred in the mixture, 0 for ``und``), mixture
     ("lang:proportion" of the selected set).  Ties go to the first language in order.  Repeated
     rows give repeated rows."""
-    kept = docs.select(key, text, *carry)
+    kept = docs.select(*dict.fromkeys([key, text, *carry]))
     fields = ", ".join(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in (key, *carry))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -255,7 +255,8 @@ def _pairs_in_groups(rows: DataFrame, n: int) -> DataFrame:
 
 def _mixed(rows: DataFrame) -> DataFrame:
     """Rows (key, node, comp, ..) of groups that hold several components, with the group's size m."""
-    groups = (rows.groupBy("key").agg(F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    groups = (rows.groupBy("key").agg(F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                      F.min_by("node", "comp").alias("lo_node"), F.max_by("node", "comp").alias("hi_node"))
               .where("lo < hi"))
     return rows.join(groups, "key")
 
@@ -292,13 +293,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
               .select("node", "comp", "key", F.explode("bands").alias("other")).where("other != key")
               .select("node", "comp", F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"))
               .distinct())
-    second = written(_mixed(second), "second")
+    second = written(_mixed(second), "split_groups")
     small = (mixed.where(F.col("m") <= SMALL).select("key", "node", "comp")
              .union(second.where(F.col("m") <= SMALL).select("key", "node", "comp")))
     pairs = _pairs_in_groups(small.join(facts, "node"), n)
     still = second.where(F.col("m") > SMALL)
     edges = [still.where(F.col("comp") != F.col(c)).select(
-        F.least("node", c).alias("a"), F.greatest("node", c).alias("b")) for c in ("lo", "hi")]
+        F.least("node", f"{c}_node").alias("a"), F.greatest("node", f"{c}_node").alias("b")) for c in ("lo", "hi")]
     pairs = pairs.union(edges[0]).union(edges[1]).distinct().join(star, ["a", "b"], "left_anti")
     more = _links(docs, written(pairs, "round2"), classes, key, text, kind, "round2")
     if not more.isEmpty():

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm import decontaminate, katz, langid, licenses, pii, token_counts, token_store
+from tandem.llm import (decontaminate, fingerprint, katz, langid, licenses, minhash, mixing, pii, token_counts,
+                        token_store)
 from tandem.session import read_table, scratch_path
 
 END_ID = 2
@@ -36,6 +37,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.katz_scores(docs, "held")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(
         "doc_id", "text", "lang", (remainder("doc_id", 4) == 2).alias("held_out"))
@@ -47,12 +52,20 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(documents(spark, sf_dir))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_store.write_tokens(documents(spark, sf_dir), path, tokenizer_file(), END_ID)
     return token_store.read_documents(spark, path)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(documents(spark, sf_dir))
 
@@ -62,6 +75,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_lm_scoring, op4_language_id, op5_license_scan,
-                            op7_token_store, op9_pii, op10_decontamination)}
+    f.__name__: f for f in (
+        op1_token_counts, op2_lm_scoring, op3_fingerprints, op4_language_id, op5_license_scan,
+        op6_near_duplicates, op7_token_store, op8_mixing, op9_pii, op10_decontamination)}
 ORACLES: dict[str, str] = {}
