@@ -96,6 +96,8 @@ def token_features(token: str) -> list[str]:
     if "=" in core:
         left, right = core.split("=", 1)
         f.append("secret-pair" if len(right) >= 12 and re.search(r"pass|token|key|secret", left, re.I) else "pair")
+    if len(core) >= 16 and re.fullmatch(r"[A-Z0-9]+", core) and re.search(r"[A-Z]", core):
+        f.append("long-capitals")
     if len(core) >= 16 and d >= 3 and re.search(r"[A-Za-z]", core):
         f.append("long-mixed")
     if not d and "@" not in core:
