@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tandem.llm.common import SPACE_WORDS, mix64, partitions, segment_sum, slices, split_words, written
 from tandem.session import scratch_path
 
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 HOT = 4_000_000
 K = 5
 END = np.uint64(1)           # hash of the end token; words of that hash do not occur in practice
@@ -377,6 +377,7 @@ def _score(joined: DataFrame, key: str, kind: str, n: int, hot: int, uni: Unigra
     base_den = math.log10(uni.tokens + 0.1 * (uni.types + 1))
     split_h, split_few, split_mass = split
     left_of = np.array([(1 - d2[r]) * r for r in range(1, K + 1)])
+    split_left = split_few @ left_of
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -387,20 +388,19 @@ def _score(joined: DataFrame, key: str, kind: str, n: int, hot: int, uni: Unigra
                 h, _, _, groups = _pair_layout(keys, number, count, train_docs, hot, n)
                 got = {x["bucket"]: x for x in row["pair_answers"] or []}
                 total = np.zeros(len(keys), np.int64)
-                few, mass = np.zeros((len(keys), K)), np.zeros(len(keys))
+                left, mass = np.zeros(len(keys)), np.zeros(len(keys))
                 for k, at in groups:
                     total[at] = unpack(got[k]["counts"])
                     _, runs = _runs(h[at])
-                    few[at] = np.repeat(unpack(got[k]["few"]).reshape(-1, K), runs, axis=0)
+                    left[at] = np.repeat(unpack(got[k]["few"]).reshape(-1, K) @ left_of, runs)
                     mass[at] = np.repeat(unpack(got[k]["mass"]), runs)
                 at = np.minimum(np.searchsorted(split_h, h), max(0, len(split_h) - 1))
                 hit = np.flatnonzero(split_h[at] == h) if len(split_h) else []
                 if len(hit):
-                    few[hit], mass[hit] = split_few[at[hit]], split_mass[at[hit]]
+                    left[hit], mass[hit] = split_left[at[hit]], split_mass[at[hit]]
                 size = len(number) + 1
                 hist = keys // size
                 ch = np.append(count, train_docs)[hist].astype(float)
-                left = few @ left_of
                 none = left <= 0
                 den = np.where(none, ch + 1, ch)
                 p_pair = d2[np.where(total <= K, total, 0)] * total / den
