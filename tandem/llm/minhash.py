@@ -7,14 +7,14 @@ coordinate k is the minimum of the second, circularly shifted by k.  ``ROWS`` co
 Equal shingle sets are one class first (128-bit fingerprint); links are sought between classes only and no
 group is ever expanded into all its pairs:
 
-* round 1 links every member of a band group to the group's smallest member;
-* round 2 looks at groups that still hold several components.  Groups of up to ``SMALL`` members
-  compare the members of different components; larger groups are first split by a second band (a
-  pair at 0.75 shares two bands with probability 0.9999), and what is still large after that is linked to
-  the members of its smallest and its largest component.
-
-Candidates must agree in half the coordinates (at 0.75: 6.5 standard deviations below the mean)
-and in size; every link is then confirmed on the full shingle sets.
+* round 1 links every member of a group of the first ``FIRST_BANDS`` bands to the group's smallest member;
+* round 2 looks at the groups of all bands that still hold several components.  Groups of up to ``SMALL``
+  members compare the members of different components; larger groups are first split by one of the
+  next ``PARTNERS`` bands (a pair at 0.75 shares two bands so close with probability 0.999), and what is
+  still large after that is linked to the members of its smallest and its largest component.
+
+Candidates must agree in ``AGREE`` of the coordinates (at 0.75: 4.3 standard deviations below the mean,
+missed with probability 1e-5) and in size; every link is then confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -33,7 +33,9 @@ SHINGLE = 5
 COORDS, ROWS = 128, 4
 BANDS = COORDS // ROWS
 NEEDED, OUT_OF = 75, 100
-SMALL = 32
+SMALL = 256
+FIRST_BANDS, PARTNERS = 8, 8
+AGREE = 75
 SLOTS = 1 << 22
 BLOCK = 1 << 14
 PLACE, ODD1, ODD2 = 0x51ED270B, np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -159,7 +161,7 @@ def _alike(joined: DataFrame) -> DataFrame:
         for b in batches:
             x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, COORDS)
                     for c in ("sig_a", "sig_b"))
-            keep = pa.array((x == y).sum(axis=1) * 2 >= COORDS)
+            keep = pa.array((x == y).sum(axis=1) >= AGREE)
             yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
 
     kinds = dict(joined.dtypes)
@@ -227,7 +229,7 @@ def _pairs_in_groups(rows: DataFrame, n: int) -> DataFrame:
             i, j = i[ok], j[ok]
             for s in range(0, len(i), 1 << 16):
                 p, q = i[s: s + (1 << 16)], j[s: s + (1 << 16)]
-                near = (sig[p] == sig[q]).sum(axis=1) * 2 >= COORDS
+                near = (sig[p] == sig[q]).sum(axis=1) >= AGREE
                 out_a.append(np.minimum(node[p[near]], node[q[near]]))
                 out_b.append(np.maximum(node[p[near]], node[q[near]]))
         a = np.concatenate(out_a) if out_a else np.zeros(0, node.dtype)
@@ -276,10 +278,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         signed.where("fp is not null").groupBy("fp")
         .agg(F.min(key).alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
              F.first("sig").alias("sig")).where("node is not null"), "classes")
-    members = classes.select("node", F.explode("bands").alias("key"))
+    members = classes.select("node", F.posexplode("bands").alias("band", "key"))
     groups = members.groupBy("key").agg(F.count("*").alias("m"), F.min("node").alias("center")).where("m > 1")
     members = written(members.join(groups, "key"), "members")
-    star = members.where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+    star = members.where((F.col("band") < FIRST_BANDS) & (F.col("node") != F.col("center"))).select(
+        F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     first = _links(docs, star, classes, key, text, kind, "round1")
     comp = components(first)
 
@@ -287,12 +290,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         return rows.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
     facts = classes.select("node", "n", "sig")
-    mixed = written(_mixed(with_comp(members.select("key", "node"))), "mixed")
+    mixed = written(_mixed(with_comp(members.select("key", "band", "node"))), "mixed")
     large = mixed.where(F.col("m") > SMALL)
-    second = (large.select("key", "node", "comp").join(classes.select("node", "bands"), "node")
-              .select("node", "comp", "key", F.explode("bands").alias("other")).where("other != key")
-              .select("node", "comp", F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"))
-              .distinct())
+    ring = F.concat("bands", "bands")
+    second = (large.select("key", "band", "node", "comp").join(classes.select("node", "bands"), "node")
+              .select("node", "comp", "key", F.explode(F.slice(ring, F.col("band") + 2, F.lit(PARTNERS))).alias("other"))
+              .select("node", "comp", F.xxhash64("key", "other").alias("key")))
     second = written(_mixed(second), "split_groups")
     small = (mixed.where(F.col("m") <= SMALL).select("key", "node", "comp")
              .union(second.where(F.col("m") <= SMALL).select("key", "node", "comp")))
