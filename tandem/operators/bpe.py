@@ -13,7 +13,9 @@ seen once are merged; training stops at the vocabulary size or when no pair is l
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from typing import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +29,7 @@ from .vocab import CHAR_PATTERN
 
 VOCAB_SIZE = 30_000
 WORDS_PER_TASK = 25_000
+CACHE_WORDS = 200_000        # words an encoding task keeps
 INLINE_ALPHABET = 4096      # alphabets up to this size are mapped to ids with a literal map
 SPECIALS_PATTERN = "|".join(s.replace("<", "\\<").replace(">", "\\>") for s in SPECIALS)
 
@@ -167,7 +170,9 @@ def _exact_prefix(top: list, limit: int) -> list[tuple[int, int]]:
     The first is the exact next merge.  A later candidate that shares no symbol with the chosen
     ones keeps its count, and every pair whose count can still move (it touches a chosen symbol,
     or is created by a chosen merge) is bounded by an old count that is strictly smaller -- so it
-    is the next merge too.  Stop at the first candidate that cannot be proven."""
+    is the next merge too.  After a merge of a symbol with itself the bound fails: its new pair
+    (aa, a) can reach the count of (a, a) itself, so a self-pair ends the round.  Stop at the first
+    candidate that cannot be proven."""
     chosen: list[tuple[int, int]] = []
     touched: set[int] = set()
     for i, r in enumerate(top):
@@ -190,6 +195,8 @@ def _exact_prefix(top: list, limit: int) -> list[tuple[int, int]]:
                 break
         chosen.append((a, b))
         touched.update((a, b))
+        if a == b:
+            break
     return chosen
 
 
@@ -334,33 +341,24 @@ def _encoder_udf(spark: SparkSession, model: BpeModel):
     bc = spark.sparkContext.broadcast((char_ids, ranks))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def enc(words: pd.Series) -> pd.Series:
+    def enc_rows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cids, rk = bc.value
-        cache: dict[str, list[int]] = {}
-
-        def one(w):
-            got = cache.get(w)
-            if got is None:
-                got = cache[w] = encode_word_py(w, cids, rk)
-            return got
-        return words.map(one)
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def enc_rows(rows: pd.Series) -> pd.Series:
-        cids, rk = bc.value
-        cache: dict[str, list[int]] = {}
+        cache: dict[str, list[int]] = {}      # words of the whole task, bounded
 
         def one(ws):
             out = []
-            for w in ws:
+            for w in ws if ws is not None else ():
                 got = cache.get(w)
                 if got is None:
+                    if len(cache) >= CACHE_WORDS:
+                        cache.clear()
                     got = cache[w] = encode_word_py(w, cids, rk)
                 out.extend(got)
             return out
-        return rows.map(one)
+        for rows in batches:
+            yield rows.map(one)
 
-    return enc, enc_rows
+    return enc_rows
 
 
 def special_segments(text: Column) -> Column:
@@ -369,38 +367,27 @@ def special_segments(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), 0)
 
 
-def bpe_encode(df: DataFrame, text: str, model: BpeModel, key: str = "pair_id",
-               out: str = "ids", distinct_words: bool | None = None) -> DataFrame:
-    """sentence -> ids.  Specials are cut out first, the rest is normalised and
-    pre-tokenised; each distinct word is encoded once (J6) and joined back (AQE splits a hot
-    word's partition), then the ids are regrouped per row in order.  Byte-level "words" are
-    clause-long (T13), so for ``zh`` the rows are encoded directly (``distinct_words=False``)."""
-    spark = df.sparkSession
+def bpe_encode(df: DataFrame, text: str, model: BpeModel, key: str | Sequence[str] = "pair_id",
+               out: str = "ids") -> DataFrame:
+    """sentence -> ids; ``key`` is one column or the list of columns that identify a row.
+
+    Rows are encoded where they lie: normalise and pre-tokenise in the JVM, then one iterator pandas
+    UDF with a word cache per task -- no shuffle, so no hot word.  Only rows that hold a special
+    string are cut into segments first and put together again by ``key``."""
+    keys = [key] if isinstance(key, str) else list(key)
     p = tokenizer_for(model.lang)
-    if distinct_words is None:
-        distinct_words = model.lang == "en"
-    enc, enc_rows = _encoder_udf(spark, model)
+    enc_rows = _encoder_udf(df.sparkSession, model)
+    rows = df.select(*keys, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    special = F.col("_text").rlike(SPECIALS_PATTERN)
+    plain = rows.where(~special).select(*keys, enc_rows(p.pretokenize(p.normalize(F.col("_text")))).alias(out))
     special_id = F.create_map(*[x for i, s in enumerate(SPECIALS) for x in (F.lit(s), F.lit(i))])
-    segs = df.select(key, F.posexplode_outer(special_segments(F.col(text))).alias("seg", "s"))
-    segs = segs.withColumn("sid", special_id[F.col("s")])
-    specials = segs.where(F.col("sid").isNotNull()).select(
-        key, "seg", F.lit(0).alias("w"), F.array(F.col("sid")).alias("ids"))
-    plain = segs.where(F.col("sid").isNull() & F.col("s").isNotNull())
-    words = plain.select(key, "seg", p.pretokenize(p.normalize(F.col("s"))).alias("words"))
-    if distinct_words:
-        occ = words.select(key, "seg", F.posexplode("words").alias("w", "word"))
-        uniq = occ.select("word").distinct()
-        coded = uniq.select("word", enc(F.col("word")).alias("ids"))
-        pieces = occ.join(coded, "word").select(key, "seg", "w", "ids")
-    else:
-        pieces = words.select(key, "seg", F.lit(0).alias("w"), enc_rows(F.col("words")).alias("ids"))
-    # one empty piece per row, so rows without any text keep an empty array
-    base = df.select(key, F.lit(-1).alias("seg"), F.lit(0).alias("w"),
-                     F.array().cast("array<int>").alias("ids"))
-    allp = pieces.unionByName(specials).unionByName(base)
-    grouped = allp.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("seg", "w", "ids"))).alias("_s"))
-    return grouped.select(key, F.flatten(F.transform("_s", lambda x: x["ids"])).alias(out))
+    segs = (rows.where(special).select(*keys, F.posexplode(special_segments(F.col("_text"))).alias("_seg", "_s"))
+            .withColumn("_sid", special_id[F.col("_s")]))
+    coded = segs.select(*keys, "_seg", F.when(F.col("_sid").isNotNull(), F.array("_sid")).otherwise(
+        enc_rows(p.pretokenize(p.normalize(F.col("_s"))))).alias("_ids"))
+    joined = (coded.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_seg", "_ids"))).alias("_p"))
+              .select(*keys, F.flatten(F.transform("_p", lambda x: x["_ids"])).alias(out)))
+    return plain.unionByName(joined)
 
 
 def bpe_decode(df: DataFrame, ids: str, model: BpeModel, key: str = "pair_id",

@@ -74,8 +74,7 @@ def save_tokenizer(vocab: DataFrame, merges: DataFrame | None, path: str,
 
 def load_tokenizer(spark, path: str) -> tuple[DataFrame, DataFrame | None]:
     vocab = spark.read.parquet(f"{path}/vocab")
-    try:
-        merges = spark.read.parquet(f"{path}/merges")
-    except Exception:  # noqa: BLE001 - a word vocabulary has no merges
-        merges = None
-    return vocab, merges
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(f"{path}/merges")
+    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    return vocab, spark.read.parquet(f"{path}/merges") if there else None   # word vocabularies have none

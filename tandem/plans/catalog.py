@@ -395,11 +395,19 @@ def q_tokenizer_tables(spark, sf_dir):
     return vocab
 
 
-@register("bpe_encode")
+@register("bpe_encode", C1_EN_WITH + f""", alphabet AS (SELECT DISTINCT unnest(string_split(word, '')) AS ch FROM en_words),
+    chars AS (SELECT corpus, pair_id, unnest(string_split(x, '')) AS ch, unnest(range(1, length(x) + 1)) AS i
+        FROM (SELECT corpus, pair_id, array_to_string(regexp_extract_all(strip_accents(lower(en)), {WORD_RE_SQL}), '') AS x FROM c1))
+    SELECT c1.corpus, c1.pair_id, coalesce(p.pieces, '') AS pieces FROM c1 LEFT JOIN (
+        SELECT corpus, pair_id, string_agg(coalesce(a.ch, '<unk>'), '' ORDER BY i) AS pieces
+        FROM chars LEFT JOIN alphabet a USING (ch) GROUP BY corpus, pair_id) p USING (corpus, pair_id)""")
 def q_bpe_encode(spark, sf_dir):
+    """Token strings of every English sentence joined, from its ids: the normalised text without white space,
+    characters unseen in training as <unk>."""
     model = _train_small(spark, sf_dir, "en")
-    enc = BP.bpe_encode(c1(spark, sf_dir).select("pair_id", "corpus", "en"), "en", model)
-    return enc.select("pair_id", F.size("ids").alias("n_ids"), ids_str("ids").alias("ids"))
+    enc = BP.bpe_encode(c1(spark, sf_dir).select("pair_id", "corpus", "en"), "en", model, key=["corpus", "pair_id"])
+    names = F.array(*(F.lit(t) for t in model.tokens))
+    return enc.select("corpus", "pair_id", F.array_join(F.transform("ids", lambda i: F.get(names, i)), "").alias("pieces"))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -771,10 +779,13 @@ def q_empty_refs(spark, sf_dir):
     return clean.empty_refs(d, ref="ref", batch="batch_id", pos="row_in_batch")
 
 
-@register("scoreboard", with_inputs("labels_long") + """PIVOT (SELECT split, metric, model, round(value, 4) AS value FROM labels_long)
-    ON model USING first(value) GROUP BY split, metric""")
+SOURCES = [f"src{i}" for i in range(20)]       # fixed values: the sources of the documents table
+
+@register("scoreboard", with_inputs("labels_long") + "SELECT split, metric, " + ", ".join(
+    f"max(CASE WHEN model = '{m}' THEN round(value, 4) END) AS {m}" for m in SOURCES)
+    + " FROM labels_long GROUP BY split, metric")
 def q_scoreboard(spark, sf_dir):
-    return ME.scoreboard(I.labels_long(spark, sf_dir))
+    return ME.scoreboard(I.labels_long(spark, sf_dir), SOURCES)
 
 
 EVAL_SQL_BODY = """SELECT 'copy' AS model, 'all' AS split, 'bleu' AS metric, bleu AS value FROM cb
@@ -866,6 +877,7 @@ def q_log_series(spark, sf_dir):
 MINED_SQL = (f"SELECT pair_id, CAST(f[1] AS DOUBLE) AS score, f[2] AS en, f[3] AS zh, f[4] AS from_lang, "
              f"f[5] AS to_lang FROM {_split_sql('raw_mined')}")
 MARGIN = 1.10
+# fixed value: the task prefix of the pre-trained model
 TASK_PREFIX = "translate English to Chinese: "
 
 
@@ -1049,7 +1061,7 @@ def q_encode_bitext(spark, sf_dir):
     en_model = BP.train_bpe(train, "en", "en", num_merges=20)
     zh_model = BP.train_bpe(train, "zh", "zh", num_merges=20)
     c = c1(spark, sf_dir).withColumn("uid", F.concat_ws(":", "corpus", "pair_id"))
-    en = BP.bpe_encode(c.select("uid", "en"), "en", en_model, key="uid", out="en_ids")
-    zh = BP.bpe_encode(c.select("uid", "zh"), "zh", zh_model, key="uid", out="zh_ids")
-    return c.select("uid", "split").join(en, "uid").join(zh, "uid").select(
-        "uid", "split", F.size("en_ids").alias("n_en"), F.size("zh_ids").alias("n_zh"))
+    en = BP.bpe_encode(c, "en", en_model, key=["uid", "split", "zh"], out="en_ids")
+    both = BP.bpe_encode(en, "zh", zh_model, key=["uid", "split", "en_ids"], out="zh_ids")
+    return both.select("uid", "split", F.size("en_ids").alias("n_en"), F.size("zh_ids").alias("n_zh"),
+                       ids_str("en_ids").alias("en_ids"), ids_str("zh_ids").alias("zh_ids"))

@@ -86,6 +86,27 @@ def test_matches_public_library(spark, lang):
         assert enc[pid] == lib.encode(t).ids
 
 
+@pytest.mark.parametrize("seed", [None, 1, 2])
+def test_self_pairs_keep_the_exact_order(spark, seed):
+    import random
+    rnd = random.Random(seed)
+    text = " ".join(["aaa"] * 10 + ["bc"] * 9) if seed is None else " ".join(
+        "".join(rnd.choice("ab") for _ in range(rnd.randint(1, 7))) for _ in range(40))
+    df = spark.createDataFrame([(1, text)], "pair_id int, t string")
+    lib = _library([text], 14, "en")
+    for options in ({}, {"batch": 1}, {"counting": "delta"}):
+        m = BP.train_bpe(df, "t", "en", vocab_size=14, **options)
+        assert {t: i for i, t in enumerate(m.tokens)} == lib.get_vocab(), options
+
+
+def test_rows_are_encoded_where_they_lie(spark):
+    m = _model(spark, "low lower lowest", 12)
+    rows = [("a", 1, "low lowest"), ("b", 1, "lower"), ("b", 2, None), ("c", 3, "low <eos> low")]
+    df = spark.createDataFrame(rows, "corpus string, pair_id int, t string")
+    got = {(r.corpus, r.pair_id): r.ids for r in BP.bpe_encode(df, "t", m, key=["corpus", "pair_id"]).collect()}
+    assert len(got) == 4 and got["b", 2] == [] and 3 in got["c", 3] and got["a", 1] != got["b", 1]
+
+
 def test_batched_rounds_reach_vocab_size(spark):
     m = _model(spark, "the quick brown fox jumps over the lazy dog " * 3, 40, batch=4)
     assert len(m.tokens) == 40 and len(set(m.tokens)) == 40
