@@ -210,13 +210,19 @@ def components(links: DataFrame) -> DataFrame:
 
 def _pairs_in_groups(rows: DataFrame, n: int) -> DataFrame:
     """Pairs of different components within groups of at most SMALL rows; rows: key, node, comp, n,
-    sig.  Groups meet by a hash of their key and are read in order, all pairs of a batch at once."""
+    sig, tag (the group's band, or band and partner), tags and keys (of all such groups of the node).
+    Groups meet by a hash of their key and are read in order, all pairs of a batch at once.  A pair
+    that several groups hold is emitted by the group of its first common tag alone."""
     kind = dict(rows.dtypes)["node"]
 
     def emit(t: pa.Table) -> pa.RecordBatch:
         key = t["key"].to_numpy()
         node, comp, size = (t[c].to_numpy() for c in ("node", "comp", "n"))
         sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, COORDS)
+        tag, tags = t["tag"].to_numpy(), t["tags"].combine_chunks()
+        held = np.zeros((len(key), BANDS * (1 + PARTNERS)), np.int64)      # 0: not in such a group
+        held[np.repeat(np.arange(len(key)), tags.value_lengths().to_numpy()), tags.flatten().to_numpy()] = (
+            t["keys"].combine_chunks().flatten().to_numpy())
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         ends = np.repeat(np.append(starts[1:], len(key)), np.diff(np.append(starts, len(key))))
         out_a, out_b = [], []
@@ -227,9 +233,11 @@ def _pairs_in_groups(rows: DataFrame, n: int) -> DataFrame:
             j = i + step
             ok = (comp[i] != comp[j]) & (np.minimum(size[i], size[j]) * OUT_OF >= np.maximum(size[i], size[j]) * NEEDED)
             i, j = i[ok], j[ok]
-            for s in range(0, len(i), 1 << 16):
-                p, q = i[s: s + (1 << 16)], j[s: s + (1 << 16)]
-                near = (sig[p] == sig[q]).sum(axis=1) >= AGREE
+            for s in range(0, len(i), 1 << 13):
+                p, q = i[s: s + (1 << 13)], j[s: s + (1 << 13)]
+                near = np.flatnonzero((sig[p] == sig[q]).sum(axis=1) >= AGREE)
+                common = (held[p[near]] == held[q[near]]) & (held[p[near]] != 0)
+                near = near[common.argmax(axis=1) == tag[p[near]]] if len(near) else near
                 out_a.append(np.minimum(node[p[near]], node[q[near]]))
                 out_b.append(np.maximum(node[p[near]], node[q[near]]))
         a = np.concatenate(out_a) if out_a else np.zeros(0, node.dtype)
@@ -251,7 +259,7 @@ def _pairs_in_groups(rows: DataFrame, n: int) -> DataFrame:
         if rest is not None and rest.num_rows:
             yield emit(rest.combine_chunks())
 
-    return (rows.select("key", "node", "comp", "n", "sig").repartition(n, "key").sortWithinPartitions("key", "node")
+    return (rows.select("key", "node", "comp", "n", "sig", "tag", "tags", "keys").repartition(n, "key").sortWithinPartitions("key", "node")
             .mapInArrow(run, f"a {kind}, b {kind}").distinct())
 
 
@@ -294,12 +302,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     large = mixed.where(F.col("m") > SMALL)
     ring = F.concat("bands", "bands")
     second = (large.select("key", "band", "node", "comp").join(classes.select("node", "bands"), "node")
-              .select("node", "comp", "key", F.explode(F.slice(ring, F.col("band") + 2, F.lit(PARTNERS))).alias("other"))
-              .select("node", "comp", F.xxhash64("key", "other").alias("key")))
+              .select("node", "comp", "key", "band", F.posexplode(
+                  F.slice(ring, F.col("band") + 2, F.lit(PARTNERS))).alias("turn", "other"))
+              .select("node", "comp", F.xxhash64("key", "other").alias("key"),
+                      (BANDS + F.col("band") * PARTNERS + F.col("turn")).alias("tag")))
     second = written(_mixed(second), "split_groups")
-    small = (mixed.where(F.col("m") <= SMALL).select("key", "node", "comp")
-             .union(second.where(F.col("m") <= SMALL).select("key", "node", "comp")))
-    pairs = _pairs_in_groups(small.join(facts, "node"), n)
+    small = (mixed.where(F.col("m") <= SMALL).select("key", "node", "comp", F.col("band").alias("tag"))
+             .union(second.where(F.col("m") <= SMALL).select("key", "node", "comp", "tag")))
+    tags = (small.groupBy("node").agg(F.collect_set(F.struct("tag", "key")).alias("g"))    # at most one per tag
+            .select("node", F.col("g.tag").alias("tags"), F.col("g.key").alias("keys")))
+    pairs = _pairs_in_groups(small.join(facts.join(tags, "node"), "node"), n)
     still = second.where(F.col("m") > SMALL)
     edges = [still.where(F.col("comp") != F.col(c)).select(
         F.least("node", f"{c}_node").alias("a"), F.greatest("node", f"{c}_node").alias("b")) for c in ("lo", "hi")]
