@@ -1,8 +1,9 @@
 """MinHash near-dedup (6): circulant MinHash, banding, exact Jaccard verification, components.
 
 Two permutations of the 64-bit ring make all ``COORDS`` coordinates: shingles are placed by the first, and
-coordinate k is the minimum of the second, circularly shifted by k.  ``ROWS`` coordinates make a band
-(``COORDS / ROWS`` bands); at a similarity of 0.75 a pair misses all bands with probability 5e-6.
+coordinate k is the minimum of the second, circularly shifted by k.  ``ROWS`` of the first ``BANDED``
+coordinates make a band (``BANDS`` bands); at a similarity of 0.75 a pair misses all bands with probability
+5e-6.
 
 Equal shingle sets are one class first (128-bit fingerprint); links are sought between classes only and no
 group is ever expanded into all its pairs:
@@ -30,12 +31,12 @@ from pyspark.sql import functions as F
 from tandem.llm.common import SPACE_WORDS, mix64, partitions, shingle_hashes, slices, split_words, written
 
 SHINGLE = 5
-COORDS, ROWS = 128, 4
-BANDS = COORDS // ROWS
+COORDS, BANDED, ROWS = 256, 128, 4
+BANDS = BANDED // ROWS
 NEEDED, OUT_OF = 75, 100
 SMALL = 256
 FIRST_BANDS, PARTNERS = 8, 8
-AGREE = 75
+AGREE = 162
 SLOTS = 1 << 22
 BLOCK = 1 << 14
 PLACE, ODD1, ODD2 = 0x51ED270B, np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -78,7 +79,7 @@ def signatures(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def band_keys(sig: np.ndarray) -> np.ndarray:
     """[documents, BANDS] 64-bit keys; the band number is part of the key."""
     h = np.broadcast_to(mix64(np.arange(BANDS, dtype=np.uint64), 5), (len(sig), BANDS)).copy()
-    rows = sig.reshape(len(sig), BANDS, ROWS)
+    rows = sig[:, :BANDED].reshape(len(sig), BANDS, ROWS)
     for k in range(ROWS):
         h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, k], 11 + k)
     return h.view(np.int64)
@@ -172,12 +173,16 @@ def _fits(n_a: str, n_b: str) -> Column:
     return F.least(n_a, n_b) * OUT_OF >= F.greatest(n_a, n_b) * NEEDED
 
 
-def _links(docs: DataFrame, pairs: DataFrame, classes: DataFrame, key: str, text: str, kind: str,
-           name: str) -> DataFrame:
-    """Pairs (a < b, distinct) confirmed on full sets."""
+def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) that pass the filters of size and signature."""
     facts = classes.select("node", "n", "sig")
-    near = _alike(pairs.join(facts.toDF("a", "n_a", "sig_a"), "a").join(facts.toDF("b", "n_b", "sig_b"), "b")
+    return _alike(pairs.join(facts.toDF("a", "n_a", "sig_a"), "a").join(facts.toDF("b", "n_b", "sig_b"), "b")
                   .where(_fits("n_a", "n_b")))
+
+
+def _links(docs: DataFrame, near: DataFrame, classes: DataFrame, key: str, text: str, kind: str,
+           name: str) -> DataFrame:
+    """Filtered pairs (a < b, distinct) confirmed on full sets."""
     near = written(near, f"{name}_near")
     ids = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
     sets = written(_sets_of(docs, classes.select("node", "fp").join(ids, "node"), key, text, kind), f"{name}_sets")
@@ -266,7 +271,8 @@ def _pairs_in_groups(rows: DataFrame, n: int) -> DataFrame:
 def _mixed(rows: DataFrame) -> DataFrame:
     """Rows (key, node, comp, ..) of groups that hold several components, with the group's size m."""
     groups = (rows.groupBy("key").agg(F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                      F.min_by("node", "comp").alias("lo_node"), F.max_by("node", "comp").alias("hi_node"))
+                                      F.min(F.struct("comp", "node"))["node"].alias("lo_node"),
+                                      F.max(F.struct("comp", "node"))["node"].alias("hi_node"))
               .where("lo < hi"))
     return rows.join(groups, "key")
 
@@ -291,7 +297,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     members = written(members.join(groups, "key"), "members")
     star = members.where((F.col("band") < FIRST_BANDS) & (F.col("node") != F.col("center"))).select(
         F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    first = _links(docs, star, classes, key, text, kind, "round1")
+    first = _links(docs, _near(star, classes), classes, key, text, kind, "round1")
     comp = components(first)
 
     def with_comp(rows: DataFrame) -> DataFrame:
@@ -315,8 +321,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     still = second.where(F.col("m") > SMALL)
     edges = [still.where(F.col("comp") != F.col(c)).select(
         F.least("node", f"{c}_node").alias("a"), F.greatest("node", f"{c}_node").alias("b")) for c in ("lo", "hi")]
-    pairs = pairs.union(edges[0]).union(edges[1]).distinct().join(star, ["a", "b"], "left_anti")
-    more = _links(docs, written(pairs, "round2"), classes, key, text, kind, "round2")
+    pairs = pairs.union(_near(edges[0].union(edges[1]).distinct(), classes)).distinct()   # groups have filtered theirs
+    more = _links(docs, pairs.join(star, ["a", "b"], "left_anti"), classes, key, text, kind, "round2")
     if not more.isEmpty():
         comp = components(first.union(more))
     out = signed.select(key, "n_shingles", "fp").join(classes.select("fp", "node"), "fp", "left")
