@@ -12,7 +12,9 @@ group is ever expanded into all its pairs:
 * round 2 looks at the groups of all bands that still hold several components.  Groups of up to ``SMALL``
   members compare the members of different components; larger groups are first split by one of the
   next ``PARTNERS`` bands (a pair at 0.75 shares two bands so close with probability 0.999), and what is
-  still large after that is linked to the members of its smallest and its largest component.
+  still large after that is linked to the members of its smallest and its largest component;
+* round 3 looks at the groups that were still large and hold several components even now: every member outside
+  the group's most frequent component is compared with every member, in blocks of about ``BLOCK_ROWS`` rows.
 
 Candidates must agree in ``AGREE`` of the coordinates (at 0.75: 4.3 standard deviations below the mean,
 missed with probability 1e-5) and in size; every link is then confirmed on the full shingle sets.
@@ -21,6 +23,7 @@ missed with probability 1e-5) and in size; every link is then confirmed on the f
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +34,13 @@ from pyspark.sql import functions as F
 from tandem.llm.common import SPACE_WORDS, mix64, partitions, shingle_hashes, slices, split_words, written
 
 SHINGLE = 5
-COORDS, BANDED, ROWS = 256, 128, 4
+COORDS, BANDED, ROWS = 512, 128, 4
 BANDS = BANDED // ROWS
 NEEDED, OUT_OF = 75, 100
 SMALL = 256
+BLOCK_ROWS = 2048
 FIRST_BANDS, PARTNERS = 8, 8
-AGREE = 162
+AGREE = 342
 SLOTS = 1 << 22
 BLOCK = 1 << 14
 PLACE, ODD1, ODD2 = 0x51ED270B, np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -214,9 +218,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _pairs_in_groups(rows: DataFrame, n: int) -> DataFrame:
-    """Pairs of different components within groups of at most SMALL rows; rows: key, node, comp, n,
-    sig, tag (the group's band, or band and partner), tags and keys (of all such groups of the node).
-    Groups meet by a hash of their key and are read in order, all pairs of a batch at once.  A pair
+    """Pairs of different components within groups or blocks of bounded size; rows: key, node, comp, n,
+    sig, tag (the group's band, or band and partner), tags and keys (of all such groups of the node).  Groups meet by a hash of their key and are read in order, all pairs of a batch at once.  A pair
     that several groups hold is emitted by the group of its first common tag alone."""
     kind = dict(rows.dtypes)["node"]
 
@@ -231,7 +234,7 @@ def _pairs_in_groups(rows: DataFrame, n: int) -> DataFrame:
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         ends = np.repeat(np.append(starts[1:], len(key)), np.diff(np.append(starts, len(key))))
         out_a, out_b = [], []
-        for step in range(1, SMALL):
+        for step in count(1):
             i = np.flatnonzero(np.arange(len(key)) + step < ends)
             if len(i) == 0:
                 break
@@ -277,6 +280,29 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return rows.join(groups, "key")
 
 
+def _tags(rows: DataFrame) -> DataFrame:
+    """node, tags and keys of all its groups: at most one key per tag."""
+    return (rows.groupBy("node").agg(F.collect_set(F.struct("tag", "key")).alias("g"))
+            .select("node", F.col("g.tag").alias("tags"), F.col("g.key").alias("keys")))
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Rows (key, node, comp, tag) of large groups as rows of blocks: a block holds some members outside the
+    group's most frequent component and some of all its members; every such pair meets in a block."""
+    sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    groups = sizes.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m")).select(
+        "key", F.col("top.comp").alias("top"), F.ceil((F.col("m") - F.col("top.c")) / BLOCK_ROWS).alias("xs"),
+        F.ceil(F.col("m") / BLOCK_ROWS).alias("ys"))
+    rows = (rows.select("key", "node", "comp", "tag").join(groups, "key")
+            .withColumn("x", F.pmod(F.xxhash64("node", F.lit(1)), "xs"))
+            .withColumn("y", F.pmod(F.xxhash64("node", F.lit(2)), "ys")))
+    every = rows.withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("xs") - 1)))
+    others = (rows.where("comp != top and ys > 1").withColumnRenamed("y", "own")
+              .withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ys") - 1))).where("y != own"))
+    cols = [F.xxhash64("key", "x", "y").alias("key"), "node", "comp", "tag"]
+    return every.select(*cols).union(others.select(*cols))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, n_shingles, component_id (smallest key reachable over links of Jaccard
     similarity >= 0.75 of 5-word shingle sets, the own included), kept (key = component_id).
@@ -315,16 +341,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     second = written(_mixed(second), "split_groups")
     small = (mixed.where(F.col("m") <= SMALL).select("key", "node", "comp", F.col("band").alias("tag"))
              .union(second.where(F.col("m") <= SMALL).select("key", "node", "comp", "tag")))
-    tags = (small.groupBy("node").agg(F.collect_set(F.struct("tag", "key")).alias("g"))    # at most one per tag
-            .select("node", F.col("g.tag").alias("tags"), F.col("g.key").alias("keys")))
-    pairs = _pairs_in_groups(small.join(facts.join(tags, "node"), "node"), n)
+    pairs = _pairs_in_groups(small.join(facts.join(_tags(small), "node"), "node"), n)
     still = second.where(F.col("m") > SMALL)
     edges = [still.where(F.col("comp") != F.col(c)).select(
         F.least("node", f"{c}_node").alias("a"), F.greatest("node", f"{c}_node").alias("b")) for c in ("lo", "hi")]
-    pairs = pairs.union(_near(edges[0].union(edges[1]).distinct(), classes)).distinct()   # groups have filtered theirs
+    pairs = written(pairs.union(_near(edges[0].union(edges[1]).distinct(), classes)).distinct(), "pairs")   # all filtered
     more = _links(docs, pairs.join(star, ["a", "b"], "left_anti"), classes, key, text, kind, "round2")
     if not more.isEmpty():
         comp = components(first.union(more))
+    rest = written(_mixed(with_comp(still.select("key", "node", "tag"))), "rest")
+    if not rest.isEmpty():
+        blocks = _blocks(rest).join(facts.join(_tags(rest), "node"), "node")
+        untried = _pairs_in_groups(blocks, n).join(star.union(pairs), ["a", "b"], "left_anti")
+        last = _links(docs, untried, classes, key, text, kind, "round3")
+        if not last.isEmpty():
+            comp = components(first.union(more).union(last))
     out = signed.select(key, "n_shingles", "fp").join(classes.select("fp", "node"), "fp", "left")
     out = out.join(comp, "node", "left").withColumn(
         "component_id", F.when(F.col("fp").isNull(), F.col(key)).otherwise(F.coalesce("comp", "node")))

@@ -44,9 +44,10 @@ def test_fixture_equals_brute_force(spark):
     check(spark, [(r[0], r[1]) for r in {r[0]: r for r in fixture.rows() if r[0] is not None}.values()])
 
 
-@pytest.mark.parametrize("small", [32, 3])
-def test_families_at_all_similarities(spark, small, monkeypatch):
+@pytest.mark.parametrize("small,block", [(32, 2048), (3, 2048), (3, 4)])
+def test_families_at_all_similarities(spark, small, block, monkeypatch):
     monkeypatch.setattr(minhash, "SMALL", small)
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", block)
     rnd = random.Random(5)
     word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(5))
     docs = []
