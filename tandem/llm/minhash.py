@@ -17,7 +17,8 @@ group is ever expanded into all its pairs:
   the group's most frequent component is compared with every member, in blocks of about ``BLOCK_ROWS`` rows.
 
 Candidates must agree in ``AGREE`` of the coordinates (at 0.75: 4.3 standard deviations below the mean,
-missed with probability 1e-5) and in size; every link is then confirmed on the full shingle sets.
+missed with probability 1e-5) and in size, and their counts of shingles per hash bucket must leave room for
+the intersection (an upper bound, so nothing is missed by it); every link is then confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ BANDS = BANDED // ROWS
 NEEDED, OUT_OF = 75, 100
 SMALL = 256
 BLOCK_ROWS = 2048
+BUCKETS, FULL = 256, 255
 FIRST_BANDS, PARTNERS = 8, 8
 AGREE = 342
 SLOTS = 1 << 22
@@ -99,7 +101,7 @@ def _sign(docs: DataFrame, key: str, text: str, kind: str) -> DataFrame:
             fp = [xxhash.xxh3_128_digest(raw[8 * s: 8 * e]) if e > s else None
                   for s, e in zip(bounds[:-1], bounds[1:])]
             keys = pa.array(band_keys(sig).ravel())
-            small = (sig & np.uint64(255)).astype(np.uint8)
+            small = np.hstack([(sig & np.uint64(255)).astype(np.uint8), bucket_counts(h, bounds)])
             yield pa.RecordBatch.from_arrays(
                 [b.column(key), pa.array(n.astype(np.int64)), pa.array(fp, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BANDS, pa.int32()), keys),
@@ -110,6 +112,23 @@ def _sign(docs: DataFrame, key: str, text: str, kind: str) -> DataFrame:
         run, f"{key} {kind}, n_shingles long, fp binary, bands array<long>, sig binary")
 
 
+def bucket_counts(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """[documents, BUCKETS] shingles per hash bucket, FULL standing for FULL and more."""
+    n = len(bounds) - 1
+    at = np.repeat(np.arange(n) * BUCKETS, np.diff(bounds)) + (h & np.uint64(BUCKETS - 1)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=n * BUCKETS), FULL).astype(np.uint8).reshape(n, BUCKETS)
+
+
+def may_be_linked(x: np.ndarray, y: np.ndarray, n_x: np.ndarray, n_y: np.ndarray) -> np.ndarray:
+    """Which pairs of rows (coordinates, then bucket counts) of n_x and n_y shingles pass the filters."""
+    ok = (x[:, :COORDS] == y[:, :COORDS]).sum(axis=1) >= AGREE
+    at = np.flatnonzero(ok)
+    low = np.minimum(x[at, COORDS:], y[at, COORDS:])
+    both = low.sum(axis=1, dtype=np.int64)                       # at least the intersection, unless FULL
+    ok[at] = (low == FULL).any(axis=1) | (OUT_OF * both >= NEEDED * (n_x[at] + n_y[at] - both))
+    return ok
+
+
 def _slot(c: Column) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
 
@@ -164,13 +183,13 @@ def _alike(joined: DataFrame) -> DataFrame:
     """Pairs whose sizes and signatures allow a similarity of 0.75."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, COORDS)
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, COORDS + BUCKETS)
                     for c in ("sig_a", "sig_b"))
-            keep = pa.array((x == y).sum(axis=1) >= AGREE)
+            keep = pa.array(may_be_linked(x, y, b.column("n_a").to_numpy(), b.column("n_b").to_numpy()), pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
 
     kinds = dict(joined.dtypes)
-    return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(run, f"a {kinds['a']}, b {kinds['b']}")
+    return joined.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(run, f"a {kinds['a']}, b {kinds['b']}")
 
 
 def _fits(n_a: str, n_b: str) -> Column:
@@ -226,7 +245,7 @@ def _pairs_in_groups(rows: DataFrame, n: int) -> DataFrame:
     def emit(t: pa.Table) -> pa.RecordBatch:
         key = t["key"].to_numpy()
         node, comp, size = (t[c].to_numpy() for c in ("node", "comp", "n"))
-        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, COORDS)
+        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, COORDS + BUCKETS)
         tag, tags = t["tag"].to_numpy(), t["tags"].combine_chunks()
         held = np.zeros((len(key), BANDS * (1 + PARTNERS)), np.int64)      # 0: not in such a group
         held[np.repeat(np.arange(len(key)), tags.value_lengths().to_numpy()), tags.flatten().to_numpy()] = (
@@ -243,7 +262,7 @@ def _pairs_in_groups(rows: DataFrame, n: int) -> DataFrame:
             i, j = i[ok], j[ok]
             for s in range(0, len(i), 1 << 13):
                 p, q = i[s: s + (1 << 13)], j[s: s + (1 << 13)]
-                near = np.flatnonzero((sig[p] == sig[q]).sum(axis=1) >= AGREE)
+                near = np.flatnonzero(may_be_linked(sig[p], sig[q], size[p], size[q]))
                 common = (held[p[near]] == held[q[near]]) & (held[p[near]] != 0)
                 near = near[common.argmax(axis=1) == tag[p[near]]] if len(near) else near
                 out_a.append(np.minimum(node[p[near]], node[q[near]]))

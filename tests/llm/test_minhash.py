@@ -79,3 +79,20 @@ def test_estimates_follow_similarity():
     sig = minhash.signatures(h, b)
     s = len(np.intersect1d(h[:b[1]], h[b[1]:])) / len(np.unique(h))
     assert abs((sig[0] == sig[1]).mean() - s) < 0.13
+
+
+def test_bucket_counts_never_refuse_a_link():
+    import numpy as np
+    rnd = np.random.default_rng(3)
+    for n in (1, 7, 200, 30_000, 90_000):
+        shared, own = rnd.integers(0, 2**63, n, np.uint64), rnd.integers(0, 2**63, max(1, n // 8), np.uint64)
+        sets = [np.unique(shared), np.unique(np.concatenate([shared, own]))]
+        x, y = (minhash.bucket_counts(s, np.array([0, len(s)])) for s in sets)
+        same = np.zeros((1, minhash.COORDS), np.uint8)
+        linked = 100 * len(sets[0]) >= 75 * len(sets[1])
+        got = minhash.may_be_linked(np.hstack([same, x]), np.hstack([same, y]),
+                                    *(np.array([len(s)]) for s in sets))[0]
+        assert got or not linked
+    far = rnd.integers(0, 2**63, 400, np.uint64).reshape(2, 200)
+    x, y = (minhash.bucket_counts(np.unique(s), np.array([0, len(np.unique(s))])) for s in far)
+    assert not minhash.may_be_linked(np.hstack([same, x]), np.hstack([same, y]), np.array([200]), np.array([200]))[0]
