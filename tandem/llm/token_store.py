@@ -17,12 +17,13 @@ the one blank before it, begins, and a white-space run is one pre-token up to it
 Texts are therefore cut there (and between ASCII letters and ASCII punctuation other than the
 apostrophe), equal pieces are found by an exact Arrow dictionary, and each is split into pre-tokens
 and encoded by the tokenizer's own model once per slice (and kept in a bounded cache); texts with white
-space beyond ASCII are encoded whole.
+space beyond ASCII, and texts that hold the string of an added token, are encoded whole.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -128,7 +129,9 @@ class PieceEncoder:
         import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True     # their strings are ordinary text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        #: texts that no piece may be cut from: added tokens are found in the whole text only
+        self.uncut = "|".join([ODD_SPACE, *map(re.escape, added)])
         self.tokenize = self.tokenizer.model.tokenize
         self.find = regex.compile(PRE_TOKEN).findall
         self.table = {b: c for c, b in byte_alphabet().items()}
@@ -200,7 +203,7 @@ def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts joined, bounds per text)."""
     enc_of = encoder(path)
-    odd = pc.match_substring_regex(texts, ODD_SPACE).to_numpy(zero_copy_only=False).astype(bool)
+    odd = pc.match_substring_regex(texts, enc_of.uncut).to_numpy(zero_copy_only=False).astype(bool)
     plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
     arr, bounds = _pieces(plain)
     enc = arr.dictionary_encode()

@@ -69,6 +69,17 @@ def test_pieces_encode_like_whole_texts():
         assert ids[bounds[i]: bounds[i + 1]].tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_added_tokens_encode_like_the_file():
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "a <|endoftext| b", None, "",
+             "\u3000<|endoftext|>", "plain words", "<|ENDOFTEXT|> 中<|endoftext|>中"]
+    ids, bounds = token_store.encode_texts(pa.array(texts), PATH)
+    assert ids[bounds[0]: bounds[1]].tolist() == [64, 220, 50256, 275]
+    for i, t in enumerate(texts):
+        assert ids[bounds[i]: bounds[i + 1]].tolist() == tok.encode(t or "", add_special_tokens=False).ids, repr(t)
+
+
 def test_store_and_read_back(spark, tmp_path):
     path = str(tmp_path / "tokens")
     token_store.write_tokens(fixture.documents(spark), path, PATH, 2)
