@@ -63,6 +63,19 @@ def test_families_at_all_similarities(spark, small, block, monkeypatch):
     check(spark, list(enumerate(docs)))
 
 
+def test_split_of_large_groups_loses_no_link(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "SMALL", 1)            # every group is large
+    monkeypatch.setattr(minhash, "FIRST_BANDS", 1)
+    monkeypatch.setattr(minhash, "PARTNERS", 1)         # pairs that share no neighbouring bands are common
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    docs = []
+    for _ in range(200):
+        base = [word() for _ in range(100)]
+        docs += [" ".join(base), " ".join([word() for _ in range(13)] + base[13:])]
+    check(spark, list(enumerate(docs)))
+
+
 def test_odd_rows_and_empty(spark):
     got = minhash.near_duplicates(fixture.documents(spark)).collect()
     assert len(got) == len(fixture.rows())
