@@ -31,7 +31,8 @@ NOTICES = {
     "released into the public domain": "public-domain", "all rights reserved": "all-rights-reserved",
 }
 TAG = "spdx license identifier"
-TAGGED = re.compile(r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+()\- \t]{0,400})", re.I)
+#: To the line end, the first foreign character or the next tag.
+TAGGED = re.compile(r"SPDX-License-Identifier:[ \t]*((?:(?!SPDX-License-Identifier:)[A-Za-z0-9.+()\- \t])*)", re.I)
 #: How freely a text under a label may be used, by the first part of the label; others 0.5.
 FREEDOM = {"cc0": 1.0, "public": 1.0, "mit": 0.95, "isc": 0.95, "bsd": 0.95, "apache": 0.9, "cc": 0.7,
            "mpl": 0.6, "epl": 0.6, "lgpl": 0.5, "gpl": 0.3, "agpl": 0.2, "all": 0.05}
@@ -47,65 +48,57 @@ def freedom(label: str) -> float:
 def parse_expression(text: str) -> tuple[list[str], float | None]:
     """Shunting-yard: the longest valid expression at the start of ``text`` as (lower-case licence
     ids in order, value): ``or`` takes the freer side, ``and`` the stricter, ``with`` an exception
-    that moves the left side half way to free.  Nothing valid: ([], None)."""
-    tokens = re.findall(r"[()]|[A-Za-z0-9.+-]+", text)
-    for end in range(len(tokens), 0, -1):
-        got = _evaluate(tokens[:end])
-        if got is not None:
-            return got
-    return [], None
-
-
-def _evaluate(tokens: list[str]) -> tuple[list[str], float] | None:
-    values: list[tuple[list[str], float]] = []
+    that moves the left side half way to free.  Nothing valid: ([], None).  One pass, no length limit."""
+    ids: list[str] = []
+    values: list[tuple[int, float]] = []               # (place of its first id, value)
     ops: list[str] = []
+    best, operand, depth = None, True, 0
 
-    def reduce_once() -> bool:
+    def reduce_once() -> None:
         op = ops.pop()
-        if op == "(" or len(values) < 2:
-            return False
-        (ids_b, b), (ids_a, a) = values.pop(), values.pop()
+        (start, b), (first, a) = values.pop(), values.pop()
         if op == "with":
-            values.append((ids_a, (1 + a) / 2))
+            del ids[start:]
+            values.append((first, (1 + a) / 2))
         else:
-            values.append((ids_a + ids_b, max(a, b) if op == "or" else min(a, b)))
-        return True
+            values.append((first, max(a, b) if op == "or" else min(a, b)))
 
-    operand = True
-    for t in tokens:
-        low = t.lower()
+    for m in re.finditer(r"[()]|[A-Za-z0-9.+-]+", text):
+        low = m[0].lower()
         if low in PRIORITY:
             if operand:
-                return None
+                break
             while ops and ops[-1] != "(" and PRIORITY[ops[-1]] >= PRIORITY[low]:
-                if not reduce_once():
-                    return None
+                reduce_once()
             ops.append(low)
             operand = True
-        elif t == "(":
+        elif low == "(":
             if not operand:
-                return None
-            ops.append(t)
-        elif t == ")":
-            if operand:
-                return None
-            while ops and ops[-1] != "(":
-                if not reduce_once():
-                    return None
-            if not ops:
-                return None
+                break
+            ops.append(low)
+            depth += 1
+        elif low == ")":
+            if operand or not depth:
+                break
+            while ops[-1] != "(":
+                reduce_once()
             ops.pop()
+            depth -= 1
         else:
-            if not operand or not re.search(r"[A-Za-z0-9]", t):
-                return None
-            values.append(([low], freedom(low)))
+            if not operand or not re.search(r"[A-Za-z0-9]", low):
+                break
+            values.append((len(ids), freedom(low)))
+            ids.append(low)
             operand = False
-    if operand:
-        return None
-    while ops:
-        if not reduce_once():
-            return None
-    return values[0] if len(values) == 1 else None
+        if not operand and not depth:                  # a valid end: at most three operators are open
+            n, value = len(ids), values[-1][1]
+            for op, (_, left) in zip(reversed(ops), reversed(values[:-1])):
+                if op == "with":
+                    n, value = values[-1][0], (1 + left) / 2
+                else:
+                    value = max(left, value) if op == "or" else min(left, value)
+            best = n, value
+    return ([], None) if best is None else (ids[: best[0]], best[1])
 
 
 @functools.lru_cache(maxsize=1)

@@ -48,6 +48,21 @@ def test_expressions():
     assert parse("AND MIT") == ([], None) and parse("") == ([], None) and parse("(MIT")[1] is None
 
 
+def test_long_expressions_are_read_to_their_end(spark):
+    names = [f"Licence-{i}.0" for i in range(3000)]
+    tag = "SPDX-License-Identifier: "
+    texts = [f"{tag}({' OR '.join(names)}) AND MIT\nnot this", f"{tag}{' AND '.join(names)} WITH x-1",
+             f"{tag}MIT {'word ' * 200}{tag}GPL-2.0", "x " + tag + "(" * 500 + "MIT" + ")" * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.license_scan(docs).collect()}
+    low = [x.lower() for x in names]
+    assert got[0].labels == ",".join(sorted([*low, "mit"])) and got[0].score == 0.5
+    assert got[0].expressions == [texts[0][len(tag):-9]]
+    assert got[1].labels == ",".join(sorted(low)) and got[1].score == 0.5
+    assert got[2].labels == "gpl-2.0,mit" and got[2].score == 0.3 and len(got[2].expressions) == 2
+    assert got[3].labels == "mit" and got[3].score == 0.95
+
+
 def brute_base(text):
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
