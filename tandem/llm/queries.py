@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm import (decontaminate, fingerprint, katz, langid, licenses, minhash, mixing, pii, token_counts,
-                        token_store)
+from tandem.llm import (decontaminate, divergence, fingerprint, katz, langid, licenses, minhash, mixing, oracles, pii,
+                        token_counts, token_store, topk, whitening)
 from tandem.session import read_table, scratch_path
 
 END_ID = 2
@@ -74,8 +74,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_topk(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_counts, op2_lm_scoring, op3_fingerprints, op4_language_id, op5_license_scan,
-        op6_near_duplicates, op7_token_store, op8_mixing, op9_pii, op10_decontamination)}
-ORACLES: dict[str, str] = {}
+        op6_near_duplicates, op7_token_store, op8_mixing, op9_pii, op10_decontamination, op11_source_divergence, op12_whitening,
+        op13_exact_topk)}
+ORACLES: dict[str, str] = {
+    "op11_source_divergence": oracles.SOURCE_DIVERGENCE, "op13_exact_topk": oracles.EXACT_TOPK}
