@@ -29,7 +29,7 @@ from tandem.llm.common import partitions, slices, split_words, written
 SCALE = 1_000_000_000
 LEAST = 10                  # documents of the lang
 TOP = 10                    # ranks of part ``term``
-HELD = 1 << 17              # counts a task holds before it passes them on
+SPREAD = 4                  # leading items of a path that place it in a task
 CHUNK = 1 << 19             # node-ancestor combinations computed at a time
 LETTERS = np.ones(256, bool)              # [^\x00-\x40\x5B-\x60\x7B-\x7F]+ after lower-casing
 LETTERS[:0x61] = False
@@ -37,45 +37,24 @@ LETTERS[0x7B:0x80] = False
 
 
 def term_counts(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences and documents, summed per task in bounded parts first."""
+    """(lang, source, term, n, docs): occurrences and documents, summed per slice, then per task, then over all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, list[int]] = {}
-
-        def flush() -> pa.RecordBatch:
-            keys = list(held)
-            cols = [pa.array([k[i] for k in keys], pa.string()) for i in range(2)]
-            cols += [pa.array([k[2].decode() for k in keys], pa.string())]
-            cols += [pa.array([v[i] for v in held.values()], pa.int64()) for i in range(2)]
-            held.clear()
-            return pa.RecordBatch.from_arrays(cols, names=["lang", "source", "term", "n", "docs"])
-
         for b in slices(batches, "text"):
             w = split_words(b.column("text"), LETTERS)
             if not len(w.codes):
                 continue
-            group = pa.StructArray.from_arrays([b.column("lang"), b.column("source")], names=["l", "s"])
-            pairs = [(x["l"], x["s"]) for x in group.to_pylist()]
+            pairs = list(zip(b.column("lang").to_pylist(), b.column("source").to_pylist()))
             of = {g: i for i, g in enumerate(dict.fromkeys(pairs))}
-            groups = list(of)
             by = np.array([of[g] for g in pairs], np.int64)
-            owner = np.repeat(np.arange(b.num_rows), w.counts())
             size = len(w.uniq)
-            each, n = np.unique(owner * size + w.codes, return_counts=True)       # (document, term)
-            cell, at = np.unique(by[each // size] * size + each % size, return_inverse=True)
-            total, seen = np.bincount(at, n).astype(np.int64), np.bincount(at)
-            words = w.uniq_bytes()
-            for c, t, s in zip(cell.tolist(), total.tolist(), seen.tolist()):
-                key = (*groups[c // size], words[c % size])
-                have = held.get(key)
-                if have is None:
-                    held[key] = [t, s]
-                else:
-                    have[0] += t
-                    have[1] += s
-            if len(held) > HELD:
-                yield flush()
-        if held:
-            yield flush()
+            each, n = np.unique(np.repeat(np.arange(b.num_rows), w.counts()) * size + w.codes, return_counts=True)
+            cell, at = np.unique(by[each // size] * size + each % size, return_inverse=True)     # each: (document, term)
+            group = pa.array(cell // size)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([g[i] for g in of], pa.string()).take(group) for i in range(2)),
+                 w.uniq.cast(pa.string()).take(pa.array(cell % size)),
+                 pa.array(np.bincount(at, n).astype(np.int64)), pa.array(np.bincount(at))],
+                names=["lang", "source", "term", "n", "docs"])
 
     plain = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(n)
                           for c, n in ((text, "text"), (lang, "lang"), (source, "source"))))
@@ -95,12 +74,14 @@ def divergence(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
-def term_rows(docs: DataFrame, text: str, lang: str, source: str, least: int) -> DataFrame:
-    """(lang, term, row): the kept terms with their nonzero counts, [(source, n)] in source order."""
-    counts = term_counts(docs, text, lang, source)
-    row = F.array_sort(F.collect_list(F.struct("source", "n")))
-    return (counts.groupBy("lang", "term").agg(row.alias("row"), F.sum("docs").alias("docs"))
-            .where(F.col("docs") >= least).select("lang", "term", "row"))
+def kept_cells(docs: DataFrame, text: str, lang: str, source: str, least: int) -> DataFrame:
+    """(lang, source, term, n, whole, lead): the nonzero counts of the kept terms; whole is the term's count in the lang,
+    lead is true in one cell of each term."""
+    term = Window.partitionBy("lang", "term")               # one row a source at most
+    return (term_counts(docs, text, lang, source)
+            .withColumns({"whole": F.sum("n").over(term), "docs": F.sum("docs").over(term),
+                          "lead": F.row_number().over(term.orderBy("source")) == 1})
+            .where(F.col("docs") >= least).drop("docs"))
 
 
 def _corrections(p: np.ndarray, z: np.ndarray, q: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -180,7 +161,9 @@ def pair_corrections(paths: DataFrame) -> DataFrame:
         close(0)
         yield from flush()
 
-    spread = paths.repartitionByRange(partitions(paths.sparkSession), "lang", "path").sortWithinPartitions("lang", "path")
+    head = F.transform(F.slice("path", 1, SPREAD), lambda x: F.struct(x["at"], x["n"]))
+    spread = (paths.repartitionByRange(partitions(paths.sparkSession), F.col("lang"), head, F.xxhash64("path"))
+              .sortWithinPartitions("lang", "path"))
     return (spread.mapInArrow(run, "lang string, a long, b long, v long")
             .groupBy("lang", "a", "b").agg(F.sum("v").alias("v")))
 
@@ -198,32 +181,32 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     cost their own size.  Other columns are not read.
     """
     every = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"))))
-    rows = written(term_rows(docs, text, lang, source, least), "term_rows")
-    cells = rows.select("lang", "term", F.explode("row").alias("r")).select("lang", "term", "r.source", "r.n")
-    terms = rows.groupBy("lang").agg(F.count("*").alias("terms"))
-    place = Window.partitionBy("lang").orderBy("source")
+    cells = written(kept_cells(docs, text, lang, source, least), "cells")
+    used = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count_if("lead").alias("terms"))
+    of_lang = Window.partitionBy("lang")                     # one row a source
     groups = written(
-        every.distinct().join(cells.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
-        .join(terms, "lang", "left")
-        .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("terms", F.lit(0)).alias("terms"))
-        .withColumn("at", F.row_number().over(place).cast("long"))
+        every.distinct().join(used, ["lang", "source"], "left").na.fill(0, ["total", "terms"])
+        .withColumns({"terms": F.sum("terms").over(of_lang), "whole_total": F.sum("total").over(of_lang),
+                      "at": F.row_number().over(of_lang.orderBy("source")).cast("long")})
         .withColumn("z", share(F.lit(0), F.col("total"), F.col("terms"))), "groups")
     marked = written(cells.join(groups, ["lang", "source"])
-                     .withColumn("p", share(F.col("n"), F.col("total"), F.col("terms")))
-                     .select("lang", "source", "term", "at", "n", "p", "z"), "marked")
+                     .withColumns({"p": share(F.col("n"), F.col("total"), F.col("terms")),
+                                   "q": share(F.col("whole"), F.col("whole_total"), F.col("terms"))})
+                     .select("lang", "source", "term", "at", "n", "p", "z", "q"), "marked")
 
     item = F.struct("at", "n", "p", "z")
     paths = (marked.groupBy("lang", "term").agg(F.array_sort(F.collect_list(item)).alias("path"))
              .groupBy("lang", "path").agg(F.count("*").alias("m")))
-    common = pair_corrections(written(paths, "paths"))
-    both = common.select("lang", "a", "b", "v").unionByName(
+    common = written(pair_corrections(paths), "corrections")
+    both = common.unionByName(
         common.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "v"))
 
     other = groups.select("lang", F.col("source").alias("item"), F.col("at").alias("b"), F.col("z").alias("y"))
     levels = marked.groupBy("lang", "at", "n", "p", "z").agg(F.count("*").alias("m"))
     gain = F.col("m") * (divergence(F.col("p"), F.col("y")) - divergence(F.col("z"), F.col("y")))
-    single = (levels.join(other.drop("item"), "lang").where("at <> b")
-              .groupBy("lang", F.col("at").alias("a"), "b").agg(F.sum(gain).alias("v")))
+    single = written(
+        levels.join(other.drop("item"), "lang").where("at <> b")
+        .groupBy("lang", F.col("at").alias("a"), "b").agg(F.sum(gain).alias("v")), "singles")
     extra = (both.unionByName(single).unionByName(
         single.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "v"))
         .groupBy("lang", "a", "b").agg(F.sum("v").alias("v")))
@@ -233,12 +216,9 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
              .select("lang", "source", F.lit("pair").alias("part"), "item",
                      (none + F.coalesce("v", F.lit(0))).alias("value")))
 
-    whole = terms.join(groups.groupBy("lang").agg(F.sum("total").alias("total")), "lang")
-    average = (marked.groupBy("lang", "term").agg(F.sum("n").alias("n")).join(whole, "lang")
-               .select("lang", "term", share(F.col("n"), F.col("total"), F.col("terms")).alias("q")))
-    above = (marked.join(average, ["lang", "term"]).where("p > q")
-             .select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"),
-                     divergence(F.col("p"), F.col("q")).alias("value")))
+    above = marked.where("p > q").select(
+        "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"),
+        divergence(F.col("p"), F.col("q")).alias("value"))
     order = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
     ranked = F.row_number().over(order)
     return (pairs.withColumn("rank", ranked)
