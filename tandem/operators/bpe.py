@@ -1,37 +1,53 @@
 """Byte-pair encoding: pair counts (A3), best pair (O3), merge learning (A4), encoding
 and the per-language tokenizer pipelines (X6).
 
-Training keeps the word table ``(word, syms array<int>, c bigint)`` distributed; each round is one
-Spark job (explode adjacent pairs -> partial/final sum -> top-1) and one array rewrite of only the
-words that contain the chosen pair.  Only the chosen merge (one row) comes back to the driver.
-Lineage is cut with a reliable checkpoint every few rounds.
+Training keeps the word table ``(syms array<int>, c bigint)`` distributed, and learns many merges a
+round.  A round takes the first ``candidates`` pairs in merge order and indexes them: every word is cut into its
+runs, the stretches whose neighbours form candidate pairs, and equal runs are counted together.  All
+occurrences of a candidate pair, and of every pair with a symbol that its merges create, lie in runs (next to a
+run such a pair is at most as frequent as an old pair that is no candidate), so the merges found on the run
+counts are the exact next ones for as long as they come before the first pair that is no candidate.
+Only runs come back to the driver, and only if they are few; otherwise the round takes fewer candidates, in the end one,
+which needs no runs.  The merges of a round are applied to the word table in one pass that touches the runs only.
 
 Rules (T12): specials get ids 0-3, the alphabet follows in code-point order, merges are appended;
-each round takes the pair with the highest count, ties to the lowest (left id, right id); pairs
-seen once are merged; training stops at the vocabulary size or when no pair is left.
+the next merge is the pair with the highest count, ties to the lowest (left id, right id); pairs
+seen once are merged; a merge whose string is a token already takes that token's id; training stops at the
+vocabulary size or when no pair is left.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from typing import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import (SPECIALS, UNK_ID, normalize, pretok_bytes, pretok_words,
                               symbols_to_text)
+from ..session import drop_path, scratch_path
 from .encode import bounded_collect, sized_broadcast
 from .vocab import CHAR_PATTERN
 
 VOCAB_SIZE = 30_000
 WORDS_PER_TASK = 25_000
+CANDIDATES = 4096            # pairs a round may choose from
+FIRST = 256                  # and those of the first round
+MAX_RUNS = 20_000            # distinct runs a round may bring to the driver,
+MAX_SYMBOLS = 400_000        # and their symbols
+LONG_WORD = 64               # symbols from which a word is merged through a heap
 CACHE_WORDS = 200_000        # words an encoding task keeps
 INLINE_ALPHABET = 4096      # alphabets up to this size are mapped to ids with a literal map
-SPECIALS_PATTERN = "|".join(s.replace("<", "\\<").replace(">", "\\>") for s in SPECIALS)
+MARKS = [chr(0xFDD0 + i) for i in range(len(SPECIALS))]      # non-characters
+SPARE_MARK = chr(0xFDD0 + len(SPECIALS))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -147,6 +163,8 @@ def initial_words(word_counts: DataFrame) -> tuple[list[str], DataFrame]:
     alpha = sorted(r[0] for r in bounded_collect(
         word_counts.select(F.explode(chars).alias("ch")).distinct(), what="alphabet"))
     tokens = list(SPECIALS) + alpha
+    if not alpha:
+        return tokens, word_counts.select("word", "c", F.array().cast("array<int>").alias("syms"))
     if len(alpha) <= INLINE_ALPHABET:
         # a small alphabet (byte level: at most 256 symbols) is a literal map: ids are looked up
         # inside the row, no explode, join or regroup
@@ -164,145 +182,262 @@ def initial_words(word_counts: DataFrame) -> tuple[list[str], DataFrame]:
     return tokens, words
 
 
-def _exact_prefix(top: list, limit: int) -> list[tuple[int, int]]:
-    """Merges of the sorted candidate list that are provably the next exact merges.
+def _code(a: int, b: int) -> int:
+    return a << 32 | b
 
-    The first is the exact next merge.  A later candidate that shares no symbol with the chosen
-    ones keeps its count, and every pair whose count can still move (it touches a chosen symbol,
-    or is created by a chosen merge) is bounded by an old count that is strictly smaller -- so it
-    is the next merge too.  After a merge of a symbol with itself the bound fails: its new pair
-    (aa, a) can reach the count of (a, a) itself, so a self-pair ends the round.  Stop at the first
-    candidate that cannot be proven."""
-    chosen: list[tuple[int, int]] = []
-    touched: set[int] = set()
-    for i, r in enumerate(top):
-        if len(chosen) == limit:
-            break
-        a, b, c = r["a"], r["b"], r["count"]
-        if chosen:
-            if a in touched or b in touched:
-                break
-            # the first later pair touching a chosen symbol (or the candidate's own symbols) must
-            # be strictly below; if the list ends before one is seen, nothing is proven
-            bound = None
-            for r2 in top[i + 1:]:
-                if r2["a"] in touched or r2["b"] in touched:
-                    bound = r2["count"]
-                    break
-            if bound is None and len(top) == i + 1:
-                bound = 0
-            if bound is None or not c > bound:
-                break
-        chosen.append((a, b))
-        touched.update((a, b))
-        if a == b:
+
+def merge_symbols(syms: list[int], table: dict[int, tuple[int, int]]) -> list[int]:
+    """Apply merges ``pair code -> (rank, new id)`` to one word: lowest rank first, leftmost first."""
+    if len(syms) > LONG_WORD:
+        return _merge_long(syms, table)
+    while len(syms) > 1:
+        hits = [(hit[0], i, hit[1]) for i in range(len(syms) - 1)
+                if (hit := table.get(syms[i] << 32 | syms[i + 1])) is not None]
+        if not hits:
             break
-    return chosen
+        rank, _, new = min(hits)
+        at = {i for r, i, _ in hits if r == rank}
+        out, i = [], 0
+        while i < len(syms):
+            if i in at:
+                out.append(new)
+                i += 2
+            else:
+                out.append(syms[i])
+                i += 1
+        syms = out
+    return syms
 
 
-def _apply_merges(frame: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
-    # one projection per merge: nesting them in one expression would repeat the array
-    for a, b, new in merges:
-        frame = frame.select(merge_pair(F.col("syms"), a, b, new).alias("syms"), "c")
-    return frame
+def _merge_long(syms: list[int], table: dict[int, tuple[int, int]]) -> list[int]:
+    """The same for a long word in n log n: a heap of (rank, place) over a linked list."""
+    syms, n = list(syms), len(syms)
+    left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+    heap = [(hit[0], i, syms[i], syms[i + 1]) for i in range(n - 1)
+            if (hit := table.get(syms[i] << 32 | syms[i + 1])) is not None]
+    heapq.heapify(heap)
+
+    def push(i: int, j: int) -> None:
+        hit = table.get(syms[i] << 32 | syms[j])
+        if hit is not None:
+            heapq.heappush(heap, (hit[0], i, syms[i], syms[j]))
+
+    while heap:
+        _, i, a, b = heapq.heappop(heap)
+        j = right[i]
+        if syms[i] != a or j >= n or syms[j] != b:
+            continue                                   # one of the two was merged meanwhile
+        syms[i], syms[j] = table[a << 32 | b][1], -1
+        right[i] = right[j]
+        if right[j] < n:
+            left[right[j]] = i
+            push(i, right[j])
+        if left[i] >= 0:
+            push(left[i], i)
+    return [x for x in syms if x >= 0]
+
+
+class _Words:
+    """The words of one Arrow batch, flat; ``codes`` is the pair that starts at a place, -1 at the end of a word."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        col = batch.column("syms")
+        self.lens = col.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.weight = batch.column("c").to_numpy()
+        self.word = np.repeat(np.arange(len(self.lens)), self.lens)
+        self.codes = np.full(len(self.flat), -1, np.int64)
+        self.codes[:-1] = self.flat[:-1] << 32 | self.flat[1:]
+        self.codes[np.cumsum(self.lens)[self.lens > 0] - 1] = -1
+
+    def runs(self, candidates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first place, number of symbols) of every run; ``candidates`` are sorted codes."""
+        at = np.minimum(np.searchsorted(candidates, self.codes), len(candidates) - 1)
+        linked = np.concatenate([[False], candidates[at] == self.codes, [False]])
+        first = np.flatnonzero(linked[1:] & ~linked[:-1])
+        return first, np.flatnonzero(linked[:-1] & ~linked[1:]) - first + 1
+
+
+def _spread(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Concatenation of ``arange(starts[i], starts[i] + lens[i])``."""
+    return np.arange(int(lens.sum())) + np.repeat(starts - (np.cumsum(lens) - lens), lens)
+
+
+def _lists(flat: np.ndarray, lens: np.ndarray) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
+
+
+def coded_pair_counts(words: DataFrame) -> DataFrame:
+    """A3 on pair codes (``left << 32 | right``): ``pair, count``, summed per batch before the shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            w = _Words(b)
+            at = np.flatnonzero(w.codes >= 0)
+            pair, inverse = np.unique(w.codes[at], return_inverse=True)
+            n = np.zeros(len(pair), np.int64)
+            np.add.at(n, inverse, w.weight[w.word[at]])
+            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
+
+    return words.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("count"))
+
+
+def run_counts(words: DataFrame, candidates: np.ndarray) -> DataFrame:
+    """``run, c``: the runs of the candidate pairs with their counts, equal runs together."""
+    sent = words.sparkSession.sparkContext.broadcast(np.sort(candidates))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            w = _Words(b)
+            first, lens = w.runs(sent.value)
+            yield pa.RecordBatch.from_arrays(
+                [_lists(w.flat[_spread(first, lens)], lens), pa.array(w.weight[w.word[first]])], names=["run", "c"])
+
+    return words.mapInArrow(run, "run array<int>, c long").groupBy("run").agg(F.sum("c").alias("c"))
+
+
+def merged_words(words: DataFrame, candidates: np.ndarray, merges: list[tuple[int, int, int]]) -> DataFrame:
+    """The word table after the merges of a round; only runs are rewritten, equal ones once a task."""
+    table = {_code(a, b): (rank, new) for rank, (a, b, new) in reversed(list(enumerate(merges)))}
+    sent = words.sparkSession.sparkContext.broadcast((np.sort(candidates), table))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, ranks = sent.value
+        known: dict[bytes, np.ndarray] = {}
+        for b in batches:
+            w = _Words(b)
+            first, lens = w.runs(codes)
+            parts = []
+            for i, n in zip(first.tolist(), lens.tolist()):
+                piece = w.flat[i: i + n]
+                key = piece.tobytes()
+                got = known.get(key)
+                if got is None:
+                    if len(known) >= CACHE_WORDS:
+                        known.clear()
+                    got = known[key] = np.array(merge_symbols(piece.tolist(), ranks), np.int64)
+                parts.append(got)
+            size = np.array([len(x) for x in parts], np.int64)
+            kept = np.ones(len(w.flat), np.int64)          # symbols that a place becomes
+            kept[_spread(first, lens)] = 0
+            stays = np.flatnonzero(kept)
+            kept[first] = size
+            to = np.cumsum(kept) - kept
+            out = np.empty(int(kept.sum()), np.int64)
+            out[to[stays]] = w.flat[stays]
+            if parts:
+                out[_spread(to[first], size)] = np.concatenate(parts)
+            lens = np.bincount(w.word, kept, len(w.lens)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([_lists(out, lens), b.column("c")], names=["syms", "c"])
+
+    return words.select("syms", "c").mapInArrow(run, "syms array<int>, c long")
+
+
+def merges_from_runs(runs: list[list[int]], weights: list[int], bound: tuple[int, int, int] | None, tokens: list[str],
+                     ids: dict[str, int], limit: int) -> list[tuple[int, int, int]]:
+    """The next merges that come before ``bound`` = (-count, left, right), at most ``limit`` new tokens; ``tokens`` and ``ids``
+    are extended.  Counts are updated in the runs that hold the merged pair.  A merge into a token that is there
+    already is the last: its pairs may also occur outside the runs."""
+    counts: dict[tuple[int, int], int] = defaultdict(int)
+    where: dict[tuple[int, int], set[int]] = defaultdict(set)
+
+    def put(i: int, sign: int, seen: set) -> None:
+        for pair in zip(runs[i], runs[i][1:]):
+            counts[pair] += sign * weights[i]
+            seen.add(pair)
+            if sign > 0:
+                where[pair].add(i)
+
+    for i in range(len(runs)):
+        put(i, 1, set())
+    heap = [(-n, *pair) for pair, n in counts.items()]
+    heapq.heapify(heap)
+    merges: list[tuple[int, int, int]] = []
+    goal = len(tokens) + limit
+    while heap and len(tokens) < goal:
+        top = heapq.heappop(heap)
+        pair = top[1:]
+        if not top[0] or counts[pair] != -top[0]:
+            continue                                   # out of date; its count was pushed when it changed
+        if bound is not None and top >= bound:
+            break
+        name = tokens[pair[0]] + tokens[pair[1]]
+        again = name in ids
+        if not again:
+            ids[name] = len(tokens)
+            tokens.append(name)
+        merges.append((*pair, ids[name]))
+        if again:
+            break
+        table, changed = {_code(*pair): (0, ids[name])}, set()
+        for i in where.pop(pair):
+            if pair in zip(runs[i], runs[i][1:]):
+                put(i, -1, changed)
+                runs[i] = merge_symbols(runs[i], table)
+                put(i, 1, changed)
+        for other in changed:
+            if counts[other]:
+                heapq.heappush(heap, (-counts[other], *other))
+    return merges
 
 
-def _choose(top: list, room: int, batch) -> list[tuple[int, int]]:
-    if batch == "exact":
-        return _exact_prefix(top, room)
-    k = min(int(batch), room)
-    chosen, used = [], set()
-    for r in top:
-        if len(chosen) == k:
-            break
-        if r["a"] in used or r["b"] in used:
-            continue
-        chosen.append((r["a"], r["b"]))
-        used.update((r["a"], r["b"]))
-    return chosen
+def _write_words(words: DataFrame) -> tuple[DataFrame, str]:
+    spark = words.sparkSession
+    path = scratch_path(spark, "bpe-words")
+    words.write.parquet(path)
+    return spark.read.schema("syms array<int>, c long").parquet(path), path
 
 
 def train_bpe(df: DataFrame, text: str, lang: str, vocab_size: int = VOCAB_SIZE,
-              num_merges: int | None = None, batch: int | str = "exact",
-              candidates: int = 64, checkpoint_every: int = 8,
-              counting: str = "full") -> BpeModel:
+              num_merges: int | None = None, candidates: int = CANDIDATES) -> BpeModel:
     """A4: learn merges until ``vocab_size`` entries (or ``num_merges`` merges) or no pair is left.
 
-    ``batch="exact"`` (default) gives the exact merge list of the rule above, taking several
-    merges per Spark round when they are provably the next ones (:func:`_exact_prefix`).
-    ``batch=1`` is one merge per round.  ``batch=k`` applies up to ``k`` symbol-disjoint top
-    pairs per round (approximate order, far fewer rounds for 30k vocabularies).
-
-    ``counting="full"`` recounts every adjacent pair of the word table each round (one fused
-    job).  ``counting="delta"`` keeps the pair-count table and updates it with the pairs of the
-    words that contain a chosen pair only (old pairs subtracted, new ones added): the word table
-    is then only filtered and rewritten per round, never exploded -- the form for large
-    vocabularies.  Both give the same merges.
+    Per round: count pairs, take the first ``candidates`` (a quarter of them while there are more than ``MAX_RUNS`` runs), collect
+    their runs, find the next merges, rewrite the word table below the shared folder.  The result does not depend on
+    ``candidates``; 1 is one merge a round.
     """
-    if counting not in ("full", "delta"):
-        raise ValueError(f"unknown counting {counting!r}")
-    wc = training_words(df, text, lang)
-    tokens, words = initial_words(wc)
-    words = words.select("syms", "c").persist()
-    # one task per ~25k distinct words: every round scans this table, so its partition count
-    # follows its size rather than the shuffle setting
-    n_words = words.count()
-    n_parts = max(1, min(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                         -(-n_words // WORDS_PER_TASK)))
-    staged = words
-    words = words.repartition(n_parts).checkpoint(eager=True)
-    staged.unpersist()
-    counts = pair_counts(words).checkpoint(eager=True) if counting == "delta" else None
+    spark = df.sparkSession
+    counted = training_words(df, text, lang).persist(StorageLevel.MEMORY_AND_DISK)
+    tokens, words = initial_words(counted)
+    tasks = max(1, -(-counted.count() // WORDS_PER_TASK))
+    words, path = _write_words(words.select("syms", "c").repartition(tasks))
+    counted.unpersist()
     model = BpeModel(lang, tokens)
+    ids = {t: i for i, t in enumerate(tokens)}
     target = vocab_size if num_merges is None else len(tokens) + num_merges
-    rounds = 0
-    prev = None
-    while len(model.tokens) < target:
-        room = target - len(model.tokens)
-        k = candidates if batch == "exact" else (1 if int(batch) == 1 else 4 * int(batch))
-        source = counts if counting == "delta" else pair_counts(words)
-        chosen = _choose(best_pairs(source, k).collect(), room, batch)
-        if not chosen:
+    k = max(1, min(candidates, FIRST))
+    while len(tokens) < target:
+        top = coded_pair_counts(words).orderBy(F.desc("count"), "pair").limit(k + 1).collect()
+        if not top:
             break
-        merges = []
-        for a, b in chosen:
-            new = len(model.tokens)
-            model.tokens.append(model.tokens[a] + model.tokens[b])
-            model.merges.append((a, b, new))
-            merges.append((a, b, new))
-        rounds += 1
-        cut = rounds % checkpoint_every == 0
-        nxt = _apply_merges(words, merges)
-        if counting == "delta":
-            touched = None
-            for a, b, _ in merges:
-                t = F.array_contains("syms", a) & F.array_contains("syms", b)
-                touched = t if touched is None else touched | t
-            before = words.where(touched)
-            delta = pair_counts(_apply_merges(before, merges)).unionByName(
-                pair_counts(before).select("a", "b", (-F.col("count")).alias("count")))
-            upd = (counts.unionByName(delta).groupBy("a", "b").agg(F.sum("count").alias("count"))
-                   .where(F.col("count") != 0))
-            upd = upd.checkpoint(eager=True) if cut else upd.persist()
-            upd.count()
-            counts.unpersist()
-            counts = upd
-            nxt = nxt.checkpoint(eager=True) if cut else nxt.persist()
-            nxt.count()
-            words.unpersist()
-            words = nxt
-            continue
-        nxt = nxt.checkpoint(eager=True) if cut else nxt.persist()
-        if prev is not None:
-            prev.unpersist()
-        prev = words
-        words = nxt
-    if prev is not None:
-        prev.unpersist()
-    if counts is not None:
-        counts.unpersist()
-    words.unpersist()
-    model.rounds = rounds
+        order = [(-r["count"], r["pair"] >> 32, r["pair"] & 0xFFFFFFFF) for r in top]
+        merges: list[tuple[int, int, int]] = []
+        while not merges:
+            codes = np.array([r["pair"] for r in top[:k]], np.int64)
+            if k == 1:
+                _, a, b = order[0]
+                merges = merges_from_runs([[a, b]], [1], None, tokens, ids, 1)
+                break
+            runs = run_counts(words, codes).persist(StorageLevel.MEMORY_AND_DISK)
+            size = runs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("run")).alias("symbols")).first()
+            few = size["n"] <= MAX_RUNS and (size["symbols"] or 0) <= MAX_SYMBOLS
+            if few:
+                found = runs.toArrow()
+                merges = merges_from_runs(found["run"].to_pylist(), found["c"].to_pylist(),
+                                          order[k] if len(order) > k else None, tokens, ids, target - len(tokens))
+            runs.unpersist()
+            if not few:
+                k = max(1, k // 4)
+                continue
+        model.merges += merges
+        model.rounds += 1
+        if len(tokens) < target:
+            last = path
+            words, path = _write_words(merged_words(words, codes, merges))
+            drop_path(spark, last)
+        if k == 1 or size["n"] * 4 < MAX_RUNS:
+            k = min(candidates, 4 * k)
+    drop_path(spark, path)
     return model
 
 
@@ -310,40 +445,17 @@ def train_bpe(df: DataFrame, text: str, lang: str, vocab_size: int = VOCAB_SIZE,
 # encoding
 # ---------------------------------------------------------------------------------------------
 
-def encode_word_py(word: str, char_ids: dict, ranks: dict) -> list[int]:
-    """Merge loop of one word: repeatedly merge the lowest-rank adjacent pair, leftmost first."""
-    syms = [char_ids.get(ch, UNK_ID) for ch in word]
-    while len(syms) > 1:
-        best = None
-        for i in range(len(syms) - 1):
-            r = ranks.get((syms[i], syms[i + 1]))
-            if r is not None and (best is None or r[0] < best[0]):
-                best = r
-        if best is None:
-            break
-        rank, a, b, new = best
-        out, i = [], 0
-        while i < len(syms):
-            if i + 1 < len(syms) and syms[i] == a and syms[i + 1] == b:
-                out.append(new)
-                i += 2
-            else:
-                out.append(syms[i])
-                i += 1
-        syms = out
-    return syms
-
-
 def _encoder_udf(spark: SparkSession, model: BpeModel):
+    """Words -> ids; a word that is a special string is its id."""
     n_special = len(SPECIALS)
     char_ids = {t: i for i, t in enumerate(model.tokens) if i >= n_special and len(t) == 1}
-    ranks = {(a, b): (r, a, b, new) for r, (a, b, new) in enumerate(model.merges)}
-    bc = spark.sparkContext.broadcast((char_ids, ranks))
+    ranks = {_code(a, b): (r, new) for r, (a, b, new) in enumerate(model.merges)}
+    bc = spark.sparkContext.broadcast((char_ids, ranks, {t: [i] for i, t in enumerate(SPECIALS)}))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def enc_rows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        cids, rk = bc.value
-        cache: dict[str, list[int]] = {}      # words of the whole task, bounded
+        cids, table, special = bc.value
+        cache: dict[str, list[int]] = dict(special)      # words of the whole task, bounded
 
         def one(ws):
             out = []
@@ -352,7 +464,8 @@ def _encoder_udf(spark: SparkSession, model: BpeModel):
                 if got is None:
                     if len(cache) >= CACHE_WORDS:
                         cache.clear()
-                    got = cache[w] = encode_word_py(w, cids, rk)
+                        cache.update(special)
+                    got = cache[w] = merge_symbols([cids.get(ch, UNK_ID) for ch in w], table)
                 out.extend(got)
             return out
         for rows in batches:
@@ -361,33 +474,47 @@ def _encoder_udf(spark: SparkSession, model: BpeModel):
     return enc_rows
 
 
-def special_segments(text: Column) -> Column:
-    """Split a sentence on the literal special strings, keeping them as their own segments."""
-    pattern = f"{SPECIALS_PATTERN}|(?:(?!{SPECIALS_PATTERN})[\\s\\S])+"
-    return F.regexp_extract_all(text, F.lit(pattern), 0)
+def _marked(text: Column) -> Column:
+    """Special strings as one mark each (T11), before the text is normalised; marks in the text itself become a
+    further code point, which no vocabulary has."""
+    text = F.translate(text, "".join(MARKS), SPARE_MARK * len(MARKS))
+    for special, mark in zip(SPECIALS, MARKS):
+        text = F.replace(text, F.lit(special), F.lit(mark))
+    return text
+
+
+def words_and_specials(text: Column, pipeline: TextPipeline) -> Column:
+    """Normalised, pre-tokenised words of a sentence; special strings are words of their own."""
+    plain = pipeline.normalize(_marked(text))
+    marks = "".join(MARKS)
+    names = F.create_map(*[x for s, m in zip(SPECIALS, MARKS) for x in (F.lit(m), F.lit(s))])
+    segments = F.regexp_extract_all(plain, F.lit(f"[{marks}]|[^{marks}]+"), 0)
+    cut = F.flatten(F.transform(segments, lambda s: F.when(
+        F.length(s).eqNullSafe(1) & names[s].isNotNull(), F.array(names[s])).otherwise(pipeline.pretokenize(s))))
+    return F.when(plain.rlike(f"[{marks}]"), cut).otherwise(pipeline.pretokenize(plain))
 
 
 def bpe_encode(df: DataFrame, text: str, model: BpeModel, key: str | Sequence[str] = "pair_id",
                out: str = "ids") -> DataFrame:
-    """sentence -> ids; ``key`` is one column or the list of columns that identify a row.
+    """sentence -> ids; ``key`` is the column or columns carried along.
 
-    Rows are encoded where they lie: normalise and pre-tokenise in the JVM, then one iterator pandas
-    UDF with a word cache per task -- no shuffle, so no hot word.  Only rows that hold a special
-    string are cut into segments first and put together again by ``key``."""
+    Rows are encoded where they lie: mark special strings, normalise and pre-tokenise in the JVM, then one iterator
+    pandas UDF with a word cache per task -- the input is read once, there is no shuffle, so no hot word."""
     keys = [key] if isinstance(key, str) else list(key)
-    p = tokenizer_for(model.lang)
     enc_rows = _encoder_udf(df.sparkSession, model)
-    rows = df.select(*keys, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    special = F.col("_text").rlike(SPECIALS_PATTERN)
-    plain = rows.where(~special).select(*keys, enc_rows(p.pretokenize(p.normalize(F.col("_text")))).alias(out))
-    special_id = F.create_map(*[x for i, s in enumerate(SPECIALS) for x in (F.lit(s), F.lit(i))])
-    segs = (rows.where(special).select(*keys, F.posexplode(special_segments(F.col("_text"))).alias("_seg", "_s"))
-            .withColumn("_sid", special_id[F.col("_s")]))
-    coded = segs.select(*keys, "_seg", F.when(F.col("_sid").isNotNull(), F.array("_sid")).otherwise(
-        enc_rows(p.pretokenize(p.normalize(F.col("_s"))))).alias("_ids"))
-    joined = (coded.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_seg", "_ids"))).alias("_p"))
-              .select(*keys, F.flatten(F.transform("_p", lambda x: x["_ids"])).alias(out)))
-    return plain.unionByName(joined)
+    words = words_and_specials(F.coalesce(F.col(text), F.lit("")), tokenizer_for(model.lang))
+    return df.select(*keys, words.alias("_words")).select(*keys, enc_rows("_words").alias(out))
+
+
+def token_strings(spark: SparkSession, model: BpeModel, ids: str) -> Column:
+    """The tokens of an id array joined without a separator; the token list is looked up in the worker."""
+    bc = spark.sparkContext.broadcast(model.tokens)
+
+    @F.pandas_udf(T.StringType())
+    def join(rows: pd.Series) -> pd.Series:
+        tokens = bc.value
+        return rows.map(lambda xs: "".join([tokens[i] for i in xs]))
+    return join(F.col(ids))
 
 
 def bpe_decode(df: DataFrame, ids: str, model: BpeModel, key: str = "pair_id",

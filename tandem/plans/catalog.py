@@ -342,15 +342,13 @@ def q_decode_ids(spark, sf_dir):
 
 from ..operators import bpe as BP  # noqa: E402
 
-BPE_MERGES_IN_QUERY = 40   # merges learned by the registered keys (the full 30k is a parameter)
-
-
 def c1_train(spark, sf_dir) -> DataFrame:
     return c1(spark, sf_dir).where(F.col("split") == "train")
 
 
-def _train_small(spark, sf_dir, lang: str) -> "BP.BpeModel":
-    return BP.train_bpe(c1_train(spark, sf_dir), lang, lang, num_merges=BPE_MERGES_IN_QUERY)
+def _train(spark, sf_dir, lang: str) -> "BP.BpeModel":
+    """A4 to its end: 30,000 entries or no pair left."""
+    return BP.train_bpe(c1_train(spark, sf_dir), lang, lang)
 
 
 C1_EN_WORD_CTES = [
@@ -382,13 +380,13 @@ def q_bpe_best_pair(spark, sf_dir):
 
 @register("bpe_merges")
 def q_bpe_merges(spark, sf_dir):
-    return _train_small(spark, sf_dir, "en").merges_frame(spark)
+    return _train(spark, sf_dir, "en").merges_frame(spark)
 
 
 @register("tokenizer_tables")
 def q_tokenizer_tables(spark, sf_dir):
     from ..session import scratch_path
-    m = _train_small(spark, sf_dir, "zh")
+    m = _train(spark, sf_dir, "zh")
     path = scratch_path(spark, "tokenizer")
     VO.save_tokenizer(m.vocab_frame(spark), m.merges_frame(spark), path)
     vocab, _ = VO.load_tokenizer(spark, path)
@@ -404,10 +402,17 @@ def q_tokenizer_tables(spark, sf_dir):
 def q_bpe_encode(spark, sf_dir):
     """Token strings of every English sentence joined, from its ids: the normalised text without white space,
     characters unseen in training as <unk>."""
-    model = _train_small(spark, sf_dir, "en")
+    model = _train(spark, sf_dir, "en")
     enc = BP.bpe_encode(c1(spark, sf_dir).select("pair_id", "corpus", "en"), "en", model, key=["corpus", "pair_id"])
-    names = F.array(*(F.lit(t) for t in model.tokens))
-    return enc.select("corpus", "pair_id", F.array_join(F.transform("ids", lambda i: F.get(names, i)), "").alias("pieces"))
+    return enc.select("corpus", "pair_id", BP.token_strings(spark, model, "ids").alias("pieces"))
+
+
+@register("bpe_ids")
+def q_bpe_ids(spark, sf_dir):
+    """The ids of every English sentence under the full model (compared with the public library in tests)."""
+    enc = BP.bpe_encode(c1(spark, sf_dir).select("pair_id", "corpus", "en"), "en", _train(spark, sf_dir, "en"),
+                        key=["corpus", "pair_id"])
+    return enc.select("corpus", "pair_id", F.size("ids").alias("n_ids"), ids_str("ids").alias("ids"))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -1058,8 +1063,8 @@ def q_unigram_encode(spark, sf_dir):
 @register("encode_bitext")
 def q_encode_bitext(spark, sf_dir):
     train = c1_train(spark, sf_dir)
-    en_model = BP.train_bpe(train, "en", "en", num_merges=20)
-    zh_model = BP.train_bpe(train, "zh", "zh", num_merges=20)
+    en_model = BP.train_bpe(train, "en", "en")
+    zh_model = BP.train_bpe(train, "zh", "zh")
     c = c1(spark, sf_dir).withColumn("uid", F.concat_ws(":", "corpus", "pair_id"))
     en = BP.bpe_encode(c, "en", en_model, key=["uid", "split", "zh"], out="en_ids")
     both = BP.bpe_encode(en, "zh", zh_model, key=["uid", "split", "en_ids"], out="zh_ids")

@@ -91,6 +91,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder whose rows are no longer read."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def release(spark: SparkSession) -> None:
     """Drop the intermediates operators persisted (bucketed rows, vocabularies, BPE word tables)
     once their results have been consumed."""

@@ -8,9 +8,9 @@ from tandem.operators import bpe as BP
 WORDS = "low low lower newest newest widest ab ab cd cd"
 
 
-def _model(spark, text, vocab_size, lang="en", batch="exact"):
+def _model(spark, text, vocab_size, lang="en", candidates=BP.CANDIDATES):
     df = spark.createDataFrame([(1, text)], "pair_id long, en string")
-    return BP.train_bpe(df, "en", lang, vocab_size=vocab_size, batch=batch)
+    return BP.train_bpe(df, "en", lang, vocab_size=vocab_size, candidates=candidates)
 
 
 def test_merges_golden(spark):
@@ -20,9 +20,9 @@ def test_merges_golden(spark):
     assert m.tokens[17:] == ["es", "lo", "est"]
 
 
-@pytest.mark.parametrize("batch", ["exact", 1])
-def test_merge_ties(spark, batch):
-    m = _model(spark, "zy zy ab ab ba ba aaa aaa aaaa", 100, batch=batch)
+@pytest.mark.parametrize("candidates", [BP.CANDIDATES, 2, 1])
+def test_merge_ties(spark, candidates):
+    m = _model(spark, "zy zy ab ab ba ba aaa aaa aaaa", 100, candidates=candidates)
     merged = [(m.tokens[a], m.tokens[b]) for a, b, _ in m.merges]
     assert merged == [("a", "a"), ("a", "b"), ("b", "a"), ("z", "y"), ("aa", "a"), ("aa", "aa")]
 
@@ -94,7 +94,7 @@ def test_self_pairs_keep_the_exact_order(spark, seed):
         "".join(rnd.choice("ab") for _ in range(rnd.randint(1, 7))) for _ in range(40))
     df = spark.createDataFrame([(1, text)], "pair_id int, t string")
     lib = _library([text], 14, "en")
-    for options in ({}, {"batch": 1}, {"counting": "delta"}):
+    for options in ({}, {"candidates": 1}, {"candidates": 3}):
         m = BP.train_bpe(df, "t", "en", vocab_size=14, **options)
         assert {t: i for i, t in enumerate(m.tokens)} == lib.get_vocab(), options
 
@@ -107,22 +107,88 @@ def test_rows_are_encoded_where_they_lie(spark):
     assert len(got) == 4 and got["b", 2] == [] and 3 in got["c", 3] and got["a", 1] != got["b", 1]
 
 
-def test_batched_rounds_reach_vocab_size(spark):
-    m = _model(spark, "the quick brown fox jumps over the lazy dog " * 3, 40, batch=4)
-    assert len(m.tokens) == 40 and len(set(m.tokens)) == 40
-    exact = _model(spark, "the quick brown fox jumps over the lazy dog " * 3, 40)
-    assert set(m.tokens[:len(exact.tokens) - len(exact.merges)]) == set(exact.tokens[:len(exact.tokens) - len(exact.merges)])
+def brute_bpe(words, size):
+    """Recount every pair of every word before each merge; a string that is a token keeps its id."""
+    alphabet = sorted({c for w in words for c in w})
+    tokens = ["<unk>", "<pad>", "<bos>", "<eos>", *alphabet]
+    table = {w: [tokens.index(c) for c in w] for w in words}
+    merges = []
+    while len(tokens) < size:
+        counts = {}
+        for w, s in table.items():
+            for p in zip(s, s[1:]):
+                counts[p] = counts.get(p, 0) + words[w]
+        if not counts:
+            break
+        a, b = min(counts, key=lambda p: (-counts[p], p))
+        name = tokens[a] + tokens[b]
+        if name not in tokens:
+            tokens.append(name)
+        new = tokens.index(name)
+        merges.append((a, b, new))
+        for w, s in table.items():
+            out, i = [], 0
+            while i < len(s):
+                hit = s[i:i + 2] == [a, b]
+                out.append(new if hit else s[i])
+                i += 2 if hit else 1
+            table[w] = out
+    return tokens, merges
+
+
+@pytest.mark.parametrize("seed,candidates", [(1, 64), (2, 8)])
+def test_learning_to_the_end_equals_recounting(spark, monkeypatch, seed, candidates):
+    """Few letters, so strings come about in two ways; few runs allowed, so rounds shrink."""
+    import random
+    from collections import Counter
+    rnd = random.Random(seed)
+    words = Counter("".join(rnd.choice("abc") for _ in range(rnd.randint(1, 9))) for _ in range(80))
+    words["ab" * 60] += 3
+    monkeypatch.setattr(BP, "MAX_RUNS", 40)
+    df = spark.createDataFrame([(i, " ".join([w] * c)) for i, (w, c) in enumerate(words.items())], "pair_id int, t string")
+    m = BP.train_bpe(df, "t", "en", vocab_size=70, candidates=candidates)
+    assert (m.tokens, m.merges) == brute_bpe(words, 70)
 
 
-def test_delta_counting_equals_full(spark):
-    from tandem.plans import inputs as I
+@pytest.mark.parametrize("lang", ["en", "zh"])
+def test_full_vocabulary_equals_public_library(spark, lang):
+    """No pair is left (or 30,000 entries are reached): tokens, ids and encodings are those of the library."""
     from tests.conftest import SF001
-    b = I.bitext(spark, SF001).cache()
-    full = BP.train_bpe(b, "en", "en", num_merges=25)
-    delta = BP.train_bpe(b, "en", "en", num_merges=25, counting="delta")
-    assert full.merges == delta.merges and full.tokens == delta.tokens
-    approx = BP.train_bpe(b, "en", "en", num_merges=25, counting="delta", batch=3)
-    assert len(approx.merges) == 25
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").where("text is not null")
+    b = docs.select(F.col("doc_id").alias("pair_id"), F.col("text").alias(lang)).cache()
+    texts = {r[0]: r[1] for r in b.collect()}
+    lib = _library(list(texts.values()), 30_000, lang)
+    ours = BP.train_bpe(b, lang, lang)
+    assert len(ours.merges) > 5000 and ours.rounds < 40
+    assert lib.get_vocab() == {t: i for i, t in enumerate(ours.tokens)}
+    for r in BP.bpe_encode(b, lang, ours).collect():
+        assert r["ids"] == lib.encode(texts[r["pair_id"]]).ids
+
+
+def test_long_words_merge_like_short_ones():
+    import random
+    rnd = random.Random(3)
+    table = {BP._code(a, b): (r, 10 + r) for r, (a, b) in enumerate(
+        [(1, 1), (1, 2), (10, 1), (2, 10), (11, 11), (14, 3), (3, 3), (16, 16), (10, 10), (18, 18)])}
+    for _ in range(200):
+        word = [rnd.randint(1, 3) for _ in range(rnd.randint(1, 60))]
+        assert BP._merge_long(word, table) == BP.merge_symbols(word, table)
+    assert len(BP.merge_symbols([1] * 1_000_000, table)) == 125_000
+
+
+def test_empty_corpus_learns_nothing(spark):
+    m = BP.train_bpe(spark.createDataFrame([], "pair_id int, t string"), "t", "en")
+    assert m.tokens == ["<unk>", "<pad>", "<bos>", "<eos>"] and m.merges == []
+
+
+def test_special_strings_inside_other_text(spark):
+    m = _model(spark, "low lower lowest eos bos", 40)
+    rows = [(1, "low<eos>low"), (2, "<EOS> low"), (3, "<pad><bos> \ufdd1low"), (4, "")]
+    got = {r["pair_id"]: r["ids"] for r in BP.bpe_encode(
+        spark.createDataFrame(rows, "pair_id int, t string"), "t", m).collect()}
+    low = m.tokens.index("low")
+    assert got[1] == [low, 3, low] and got[3] == [1, 2, 0, low] and got[4] == []
+    assert 3 not in got[2] and got[2][-1] == low            # lower-cased only after the special strings were found
 
 
 def test_byte_level_roundtrip(spark):
