@@ -88,16 +88,3 @@ def word_ids_sides(df: DataFrame, keys: list[str], sides: dict, vocab: DataFrame
     g = joined.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("_s"))
     return g.select(*keys, *[F.transform(F.filter("_s", of_side(j)), lambda x: x["id"]).alias(name)
                              for j, name in enumerate(names)])
-
-
-def encode_distinct(df: DataFrame, key: str, words: str, encoder, out: str = "ids") -> DataFrame:
-    """Each distinct word is encoded once by ``encoder`` (a Column function, e.g. a pandas UDF)
-    and joined back to its occurrences; ids are regrouped per row in word order.  The distinct
-    is partially aggregated map-side; a hot word's join partition is split by AQE."""
-    occ = df.select(key, F.posexplode(words).alias("_w", "word"))
-    coded = occ.select("word").distinct().select("word", encoder(F.col("word")).alias("_ids"))
-    pieces = occ.join(coded, "word").select(key, "_w", "_ids")
-    base = df.select(key, F.lit(-1).alias("_w"), F.array().cast("array<int>").alias("_ids"))
-    grouped = pieces.unionByName(base).groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("_w", "_ids"))).alias("_s"))
-    return grouped.select(key, F.flatten(F.transform("_s", lambda x: x["_ids"])).alias(out))

@@ -1,15 +1,22 @@
-"""Encoding with a given unigram vocabulary of pieces (F8, C3): SentencePiece-style best-path
-segmentation of each whitespace word (prefixed by U+2581), unknown characters as the unknown id
-(runs merged), the end token appended and the whole truncated to 128 ids including it (T14), plus
-the attention mask.  Ids follow the mT5 convention (T25): pad 0, end 1, unknown 2.
+"""Encoding with a given unigram vocabulary of pieces (F8, C3): normalisation, best-path segmentation of each
+word (prefixed by U+2581), unknown characters as byte pieces or as the unknown id (runs merged), the end token
+appended and the whole truncated to 128 ids including it (T14), plus the attention mask.  Ids follow the mT5
+convention (T25): pad 0, end 1, unknown 2.
 
-The vocabulary is an input table ``pieces(piece, score)`` (the pre-trained one is not shipped);
+A row is encoded where it lies, by an iterator pandas UDF with a word cache per task: no explode, no shuffle, so no
+hot word.  Ids are those of the public library's unigram model for the same pieces (tested).
+
+The vocabulary is an input table ``pieces(piece, score, id)`` (the pre-trained one is not shipped);
 :func:`pieces_from_counts` derives one from word counts for tests and examples.
 """
 
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,13 +24,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.arrays import MAX_IDS, T5_EOS_ID, T5_UNK_ID
-from ..functions.text import py_split_ws
-from .encode import bounded_collect, encode_distinct
+from .encode import bounded_collect
 from .split import dense_position
 
 SPACE = "▁"
 T5_SPECIALS = ["<pad>", "</s>", "<unk>"]
 UNK_PENALTY = 10.0
+CACHE_WORDS = 200_000        # words an encoding task keeps
+SCORE_DIGITS = 6             # of a derived piece, as in a written pieces file
+BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
+
+# The public character rules that come before NFKC.  Controls that are dropped, and white space and
+# invisible characters that become a space.
+DROPPED = [*range(0x01, 0x09), 0x0B, *range(0x0E, 0x20), 0x7F, 0x8F, 0x9F]
+SPACED = [0x09, 0x0A, 0x0C, 0x0D, 0x1680, *range(0x200B, 0x2010), 0x2028, 0x2029, 0x2581, 0xFEFF, 0xFFFD]
+CHARACTER_MAP = dict.fromkeys(DROPPED) | dict.fromkeys(SPACED, " ")
+
+
+def normalise_pieces(text: str) -> str:
+    """Character map, then NFKC; ASCII without controls is its own normal form."""
+    if text.isascii() and text.isprintable():
+        return text
+    return unicodedata.normalize("NFKC", text.translate(CHARACTER_MAP))
 
 
 def pieces_from_counts(counts: DataFrame, word: str = "word", count: str = "count",
@@ -39,68 +61,104 @@ def pieces_from_counts(counts: DataFrame, word: str = "word", count: str = "coun
     char_pieces = chars.select(F.explode(F.array(F.col("ch"), F.concat(F.lit(SPACE), F.col("ch"))))
                                .alias("piece"), "c")
     allp = words.unionByName(char_pieces).groupBy("piece").agg(F.sum("c").alias("c"))
-    # the corpus total is one row: attached by a broadcast equi-join on a constant key
-    scored = allp.withColumn("_k", F.lit(1)).join(F.broadcast(total.withColumn("_k", F.lit(1))), "_k")
-    scored = scored.select("piece", (F.log(F.col("c")) - F.log(F.col("_t"))).alias("score"))
+    n = total.first()["_t"] or 1
+    scored = allp.select("piece", F.round(F.log(F.col("c")) - math.log(n), SCORE_DIGITS).alias("score"))
     ranked = dense_position(scored.withColumn("_neg", -F.col("score")), ["_neg", "piece"], out="_r")
     return ranked.select("piece", "score", (F.col("_r") + len(T5_SPECIALS)).cast("int").alias("id"))
 
 
-def best_path_py(word: str, pieces: dict, max_len: int, unk_score: float) -> list[int]:
-    """Viterbi over one word: highest total score; an uncovered character is the unknown id with
-    ``unk_score``; consecutive unknowns merge into one."""
-    n = len(word)
+@dataclass
+class Pieces:
+    """Pieces for the best path: ``longest`` bounds the pieces that start with a character; ``byte_ids`` is empty
+    without byte fallback."""
+    table: dict[str, tuple[float, int]]
+    unk_score: float
+    byte_ids: list[int] = field(default_factory=list)
+    longest: dict[str, int] = field(default_factory=dict)
+
+    @classmethod
+    def of(cls, rows: list[tuple[str, float, int]], byte_fallback: bool = False) -> "Pieces":
+        lowest = min((s for _, s, _ in rows), default=0.0)
+        found = {int(m[1], 16): i for p, _, i in rows if (m := BYTE_PIECE.fullmatch(p))} if byte_fallback else {}
+        table = {p: (s, i) for p, s, i in rows if p and not (found and BYTE_PIECE.fullmatch(p))}
+        out = cls(table, lowest - UNK_PENALTY, [found[b] for b in range(256)] if len(found) == 256 else [])
+        for p in table:
+            out.longest[p[0]] = max(out.longest.get(p[0], 0), len(p))
+        return out
+
+    def unknown(self, run: str) -> list[int]:
+        return [self.byte_ids[b] for b in run.encode()] if self.byte_ids else [T5_UNK_ID]
+
+
+def best_path(word: str, pieces: Pieces) -> list[int]:
+    """Segmentation of highest total score, linear in the word: from every place the pieces that start there, and the
+    character alone as unknown if it is no piece; among equal scores the one whose last piece is longest.  A run of unknown
+    characters is one unknown, or its bytes."""
+    n, table = len(word), pieces.table
     best = [0.0] + [-math.inf] * n
     back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
-    for i in range(1, n + 1):
-        for j in range(max(0, i - max_len), i):
-            if best[j] == -math.inf:
-                continue
-            hit = pieces.get(word[j:i])
-            if hit is not None:
-                s = best[j] + hit[0]
-                if s > best[i]:
-                    best[i], back[i] = s, (j, hit[1])
-        if word[i - 1] not in pieces and best[i - 1] != -math.inf:
-            s = best[i - 1] + unk_score
-            if s > best[i]:
-                best[i], back[i] = s, (i - 1, T5_UNK_ID)
-    ids, i = [], n
+    for i, ch in enumerate(word):
+        here = best[i]
+        for j in range(i + 1, min(n, i + pieces.longest.get(ch, 0)) + 1):
+            hit = table.get(word[i:j])
+            if hit is not None and here + hit[0] > best[j]:
+                best[j], back[j] = here + hit[0], (i, hit[1])
+        if ch not in table and here + pieces.unk_score > best[i + 1]:
+            best[i + 1], back[i + 1] = here + pieces.unk_score, (i, -1)
+    path, i = [], n
     while i > 0:
-        j, pid = back[i]
-        ids.append(pid)
-        i = j
-    ids.reverse()
-    out = []
-    for pid in ids:
-        if pid == T5_UNK_ID and out and out[-1] == T5_UNK_ID:
-            continue
-        out.append(pid)
+        start, pid = back[i]
+        if pid == -1 and path and path[-1][1] == -1:
+            path[-1] = (start, -1, path[-1][2])
+        else:
+            path.append((start, pid, i))
+        i = start
+    out: list[int] = []
+    for start, pid, end in reversed(path):
+        out.extend(pieces.unknown(word[start:end]) if pid == -1 else (pid,))
     return out
 
 
-def unigram_encoder(spark, pieces: DataFrame):
-    """Pandas UDF word -> ids over a broadcast pieces dictionary (size checked first)."""
+def best_path_py(word: str, pieces: dict, max_len: int, unk_score: float) -> list[int]:
+    """:func:`best_path` over a plain dictionary ``piece -> (score, id)``."""
+    made = Pieces.of([(p, s, i) for p, (s, i) in pieces.items() if len(p) <= max_len])
+    made.unk_score = unk_score
+    return best_path(word, made)
+
+
+def unigram_encoder(spark, pieces: DataFrame, byte_fallback: bool = False):
+    """Pandas UDF text -> ids over a broadcast pieces dictionary (size checked first)."""
     rows = bounded_collect(pieces.select("piece", "score", "id"), what="pieces table")
-    table = {r["piece"]: (float(r["score"]), int(r["id"])) for r in rows}
-    max_len = max((len(p) for p in table), default=1)
-    unk = (min((s for s, _ in table.values()), default=0.0)) - UNK_PENALTY
-    bc = spark.sparkContext.broadcast(table)
+    bc = spark.sparkContext.broadcast(
+        Pieces.of([(r["piece"], float(r["score"]), int(r["id"])) for r in rows], byte_fallback))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def enc(words: pd.Series) -> pd.Series:
-        t = bc.value
-        return words.map(lambda w: best_path_py(w, t, max_len, unk))
+    def enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        table = bc.value
+        cache: dict[str, list[int]] = {}
+
+        def one(text):
+            out = []
+            for w in normalise_pieces(text or "").split():
+                got = cache.get(w)
+                if got is None:
+                    if len(cache) >= CACHE_WORDS:
+                        cache.clear()
+                    got = cache[w] = best_path(SPACE + w, table)
+                out.extend(got)
+            return out
+        for texts in batches:
+            yield texts.map(one, na_action=None)
     return enc
 
 
-def unigram_encode(df: DataFrame, text: str, pieces: DataFrame, key: str = "pair_id",
-                   max_ids: int = MAX_IDS) -> DataFrame:
-    """F8: ``key, input_ids, attention_mask``; the end token is inside the ``max_ids`` cap."""
-    enc = unigram_encoder(df.sparkSession, pieces)
-    words = df.select(key, F.transform(py_split_ws(F.col(text)),
-                                       lambda w: F.concat(F.lit(SPACE), w)).alias("words"))
-    ids = encode_distinct(words, key, "words", enc, out="ids")
-    capped = F.concat(F.slice("ids", 1, max_ids - 1), F.array(F.lit(T5_EOS_ID)))
-    return ids.select(key, capped.alias("input_ids")).withColumn(
+def unigram_encode(df: DataFrame, text: str, pieces: DataFrame, key: str | Sequence[str] = "pair_id",
+                   max_ids: int = MAX_IDS, byte_fallback: bool = False) -> DataFrame:
+    """F8: ``key, input_ids, attention_mask``; the end token is inside the ``max_ids`` cap.  With ``byte_fallback`` (and
+    all 256 pieces ``<0x00>`` to ``<0xFF>`` in the table) unknown characters become their UTF-8 bytes."""
+    keys = [key] if isinstance(key, str) else list(key)
+    enc = unigram_encoder(df.sparkSession, pieces, byte_fallback)
+    ids = df.select(*keys, enc(F.col(text)).alias("_ids"))
+    capped = F.concat(F.slice("_ids", 1, max_ids - 1), F.array(F.lit(T5_EOS_ID)))
+    return ids.select(*keys, capped.alias("input_ids")).withColumn(
         "attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))

@@ -1052,11 +1052,53 @@ def _doc_pieces(spark, sf_dir):
     return UG.pieces_from_counts(counts)
 
 
-@register("unigram_encode")
+PY_WORD_SQL = "[^" + "".join(f"\\x{{{ord(c):x}}}" for c in TX.PY_WHITESPACE) + "]+"
+UNK_PENALTY_SQL = int(UG.UNK_PENALTY)
+PIECE_CTES = [
+    ("doc_counts", f"""SELECT w, count(*) AS c FROM (SELECT unnest(regexp_extract_all(text, '{PY_WORD_SQL}')) AS w
+        FROM documents) GROUP BY w"""),
+    ("piece_counts", """SELECT piece, sum(c) AS c FROM (
+        SELECT '▁' || w AS piece, c FROM doc_counts WHERE c >= 4
+        UNION ALL SELECT unnest([ch, '▁' || ch]) AS piece, c
+            FROM (SELECT unnest(string_split(w, '')) AS ch, c FROM doc_counts)) GROUP BY piece"""),
+    ("pieces", """SELECT piece, score, CAST(row_number() OVER (ORDER BY score DESC, piece) + 2 AS INTEGER) AS id
+        FROM (SELECT piece, round(ln(c) - ln((SELECT sum(c) FROM doc_counts)), 6) AS score FROM piece_counts)"""),
+    ("sides", """SELECT 'en' AS lang, pair_id, en AS x FROM bitext UNION ALL SELECT 'zh', pair_id, zh FROM bitext"""),
+    ("side_words", """SELECT lang, pair_id, '▁' || w AS w, i FROM (SELECT lang, pair_id, unnest(l) AS w, unnest(range(len(l))) AS i
+        FROM (SELECT lang, pair_id, regexp_extract_all(nfc_normalize(x), '\\S+') AS l FROM sides))"""),
+    ("todo", "SELECT DISTINCT w FROM side_words"),
+    ("arcs", f"""SELECT w, s, s + n AS e, id, score FROM (
+            SELECT w, unnest(range(length(w))) AS s FROM todo) t, LATERAL (SELECT unnest(range(1, length(t.w) - t.s + 1)) AS n) u
+            JOIN pieces ON piece = substr(w, s + 1, n)
+        UNION ALL
+        SELECT w, s, s + 1, 2, (SELECT min(score) FROM pieces) - {UNK_PENALTY_SQL} FROM (
+            SELECT w, unnest(range(length(w))) AS s FROM todo) t
+        WHERE NOT EXISTS (SELECT 1 FROM pieces WHERE piece = substr(w, s + 1, 1))"""),
+    ("paths", """SELECT w, 0 AS e, [0.0::DOUBLE] AS best, [[]::INTEGER[]] AS ids FROM todo
+        UNION ALL
+        SELECT p.w, p.e + 1, list_append(p.best, x.score), list_append(p.ids, x.ids)
+        FROM paths p JOIN LATERAL (
+            SELECT max(p.best[a.s + 1] + a.score) AS score,
+                   arg_max(list_append(p.ids[a.s + 1], a.id), (p.best[a.s + 1] + a.score, -a.s)) AS ids
+            FROM arcs a WHERE a.w = p.w AND a.e = p.e + 1) x ON true
+        WHERE p.e < length(p.w)"""),
+    ("word_pieces", """SELECT w, list_filter(ids[e + 1], lambda x, i: x <> 2 OR i = 1 OR ids[e + 1][i - 1] <> 2) AS ids
+        FROM paths WHERE e = length(w)"""),
+    ("coded", """SELECT s.lang, s.pair_id, coalesce(t.ids, []::INTEGER[])[1:127] || [1] AS ids FROM sides s LEFT JOIN (
+        SELECT lang, pair_id, flatten(list(p.ids ORDER BY i)) AS ids FROM side_words JOIN word_pieces p USING (w)
+        GROUP BY lang, pair_id) t USING (lang, pair_id)"""),
+]
+
+
+@register("unigram_encode", with_inputs("bitext", extra=PIECE_CTES).replace("WITH ", "WITH RECURSIVE ", 1) + """SELECT lang,
+    pair_id, CAST(len(ids) AS INTEGER) AS n_ids, array_to_string(ids, ' ') AS input_ids, CAST(len(ids) AS INTEGER) AS n_mask
+    FROM coded""")
 def q_unigram_encode(spark, sf_dir):
-    b = I.bitext(spark, sf_dir)
-    e = UG.unigram_encode(b, "zh", _doc_pieces(spark, sf_dir))
-    return e.select("pair_id", F.size("input_ids").alias("n_ids"), _s("input_ids").alias("input_ids"),
+    """Both sides of every pair, encoded with the pieces of the documents."""
+    b, pieces = I.bitext(spark, sf_dir), _doc_pieces(spark, sf_dir).persist()
+    sides = [UG.unigram_encode(b, lang, pieces).withColumn("lang", F.lit(lang)) for lang in ("en", "zh")]
+    e = sides[0].unionByName(sides[1])
+    return e.select("lang", "pair_id", F.size("input_ids").alias("n_ids"), _s("input_ids").alias("input_ids"),
                     F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_mask"))
 
 

@@ -50,3 +50,50 @@ def test_unigram_encode_end_token_and_cap(spark):
     got = {r["pair_id"]: r for r in U.unigram_encode(df, "t", pieces).collect()}
     assert got[1]["input_ids"][-1] == 1 and got[1]["attention_mask"] == [1] * len(got[1]["input_ids"])
     assert len(got[2]["input_ids"]) == 128 and got[2]["input_ids"][-1] == 1
+
+
+def _library(pieces, byte_fallback):
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+    from tokenizers.models import Unigram
+    tok = Tokenizer(Unigram([("<pad>", 0.0), ("</s>", 0.0), ("<unk>", 0.0), *pieces], unk_id=2, byte_fallback=byte_fallback))
+    tok.normalizer = normalizers.Sequence([normalizers.Nmt(), normalizers.NFKC()])
+    tok.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.Metaspace()])
+    return tok
+
+
+TEXTS = ["", "  ", "low lower", "ｆｕｌｌ width ﬁ … ½", "e\u0301 \u1e9b\u0323 a\u200bb\ufeff\tc\x07d", "中文 字 🙂🙂 x🙂y", "a\u00a0b\u3000c",
+         "▁ x▁y", "na\u00efve \u0130 \u212b", "x" * 300, "\u0085 z"]
+
+
+def test_ids_equal_the_public_library(spark):
+    """Given pieces of the documents, whole texts of the documents and odd ones, with and without byte pieces."""
+    from pyspark.sql import functions as F
+    from tandem.functions.text import py_split_ws
+    from tandem.operators import vocab as VO
+    from tests.conftest import SF001
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select(F.col("doc_id").alias("k"), "text").where("text is not null")
+    odd = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(TEXTS)], "k long, text string")
+    rows = docs.unionByName(odd).cache()
+    derived = U.pieces_from_counts(VO.word_counts(docs.where("k % 2 = 0"),
+                                                  py_split_ws(F.col("text"))))
+    table = [(r["piece"], r["score"]) for r in derived.orderBy("id").collect()]
+    for byte_fallback in (False, True):
+        pieces = table + ([(f"<0x{b:02X}>", -20.0) for b in range(256)] if byte_fallback else [])
+        frame = spark.createDataFrame([(p, s, i + 3) for i, (p, s) in enumerate(pieces)], "piece string, score double, id int")
+        lib = _library(pieces, byte_fallback)
+        texts = {r["k"]: r["text"] for r in rows.collect()}
+        for r in U.unigram_encode(rows, "text", frame, key="k", max_ids=1 << 30, byte_fallback=byte_fallback).collect():
+            assert r["input_ids"] == lib.encode(texts[r["k"]]).ids + [1], (texts[r["k"]][:60], byte_fallback)
+
+
+def test_rows_are_encoded_where_they_lie(spark):
+    pieces = spark.createDataFrame([(p, s, i) for p, (s, i) in PIECES.items()], "piece string, score double, id int")
+    df = spark.createDataFrame([(1, "a", "ab"), (2, "a", None)], "pair_id long, corpus string, t string")
+    out = U.unigram_encode(df, "t", pieces, key=["pair_id", "corpus"])
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r["pair_id"]: r["input_ids"] for r in out.collect()} == {1: [4, 1], 2: [1]}
+
+
+def test_long_word_is_linear():
+    made = U.Pieces.of([(p, s, i) for p, (s, i) in PIECES.items()])
+    assert len(U.best_path("abc" * 300_000, made)) == 600_000
