@@ -1,17 +1,17 @@
 """Evaluation: BLEU statistics (A7) and scores (A8, A9), masked cross-entropy (A10, A11),
 greedy picks (O2), the score board (A14) and the evaluation report (C5, S10).
 
-BLEU statistics are mergeable sums: n-grams of both sides are exploded with a side flag and
-grouped once on ``(row, n, gram)`` -- clipped matches are ``least(hyp, ref)`` -- then summed per
-``n``.  One shuffle on a key that no single row can make hot, plus a 4-group final sum whose
-partial aggregation happens map-side.
+BLEU statistics are mergeable sums: every task counts the n-grams of its rows and clips them there
+(Arrow batches, no n-gram leaves its row), and one sum of a dozen numbers per task ends it.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,30 +31,60 @@ def ngrams(tokens: Column, n: int) -> Column:
     )).otherwise(F.array().cast("array<string>"))
 
 
+def clipped_counts(hyp: pa.ListArray, ref: pa.ListArray, max_order: int = MAX_ORDER) -> list[np.ndarray]:
+    """Per row and order: matches clipped by the reference, n-grams of hyp, n-grams of ref (three arrays an order).
+
+    Rows are counted together: tokens get a code, an n-gram's code comes from its (n-1)-gram's and its last token's, and
+    the counts of (row, n-gram) of both sides are intersected sorted.  A row of which either side is null counts nothing."""
+    rows = len(hyp)
+    usable = np.logical_and(*(x.is_valid().to_numpy(zero_copy_only=False) for x in (hyp, ref)))
+    lens = [np.where(usable, x.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), 0).astype(np.int64) for x in (hyp, ref)]
+    flat = [x.filter(pa.array(usable)).flatten() for x in (hyp, ref)]
+    codes = pa.chunked_array([x.cast(pa.string()).fill_null("") for x in flat]).combine_chunks().dictionary_encode()
+    token = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    size = max(1, len(codes.dictionary))
+    every = np.concatenate(lens)
+    ends = np.repeat(np.cumsum(every), every)                       # of the row side a token is in
+    row = np.repeat(np.concatenate([np.arange(rows), np.arange(rows)]), every)
+    first_ref = int(lens[0].sum())
+    at, gram = np.arange(len(token)), token
+    out = []
+    for n in range(1, max_order + 1):
+        if n > 1:
+            keep = at + n <= ends[at]
+            at, gram = at[keep], gram[keep]
+            gram = np.unique(gram * size + token[at + n - 1], return_inverse=True)[1]
+        wide = int(gram.max()) + 1 if len(gram) else 1
+        key, hyp_side = row[at] * wide + gram, at < first_ref
+        h, r = (np.unique(k, return_counts=True) for k in (key[hyp_side], key[~hyp_side]))
+        both, i, j = np.intersect1d(h[0], r[0], assume_unique=True, return_indices=True)
+        out.append(np.bincount(both // wide, np.minimum(h[1][i], r[1][j]), rows).astype(np.int64))
+        out += [np.maximum(x - n + 1, 0) for x in lens]
+    return out
+
+
 def bleu_stats(df: DataFrame, hyp: str, ref: str, key: str = "pair_id",
                by: Sequence[str] = (), max_order: int = MAX_ORDER) -> DataFrame:
     """``[by...,] n, matches, total, ref_total`` (the n=1 totals are the two lengths).
-    ``hyp``/``ref`` are token-array columns; one reference per row."""
-    keys = [key] if isinstance(key, str) else list(key)
-    grams = []
-
-    def item(n, h, r):
-        return lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(h).alias("h"),
-                                  F.lit(r).alias("r"))
-
-    for n in range(1, max_order + 1):
-        grams.append(F.transform(ngrams(F.col(hyp), n), item(n, 1, 0)))
-        grams.append(F.transform(ngrams(F.col(ref), n), item(n, 0, 1)))
-    ex = df.select(*by, *keys, F.explode(F.concat(*grams)).alias("x"))
-    per_gram = ex.groupBy(*by, *keys, F.col("x.n").alias("n"), F.col("x.g").alias("g")).agg(
-        F.sum("x.h").alias("h"), F.sum("x.r").alias("r"))
-    stats = per_gram.groupBy(*by, "n").agg(
-        F.sum(F.least("h", "r")).alias("matches"), F.sum("h").alias("total"),
-        F.sum("r").alias("ref_total"))
-    return stats.select(*by, F.col("n").cast("int").alias("n"),
-                        F.col("matches").cast("bigint").alias("matches"),
-                        F.col("total").cast("bigint").alias("total"),
-                        F.col("ref_total").cast("bigint").alias("ref_total"))
+    ``hyp``/``ref`` are token-array columns; one reference per row.  Counted inside the rows; the only exchange is that of
+    the last sum, of a row a task, order and group."""
+    names = [f"{s}{n}" for n in range(1, max_order + 1) for s in ("m", "t", "r")]
+    tags = [f"_by{i}" for i in range(len(by))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            stats = clipped_counts(b.column("h"), b.column("r"), max_order)
+            yield pa.RecordBatch.from_arrays([*(b.column(t) for t in tags), *(pa.array(x) for x in stats)], names=[*tags, *names])
+
+    rows = df.select(*(F.col(c).alias(t) for c, t in zip(by, tags)), F.col(hyp).cast("array<string>").alias("h"),
+                     F.col(ref).cast("array<string>").alias("r"))
+    schema = ", ".join([f"{t} {rows.schema[t].dataType.simpleString()}" for t in tags] + [f"{c} long" for c in names])
+    orders = F.explode(F.array(*(F.struct(F.lit(n).alias("n"), F.col(f"m{n}").alias("matches"), F.col(f"t{n}").alias("total"),
+                                          F.col(f"r{n}").alias("ref_total")) for n in range(1, max_order + 1))))
+    stats = (rows.mapInArrow(run, schema).select(*(F.col(t).alias(c) for c, t in zip(by, tags)), orders.alias("x"))
+             .groupBy(*by, F.col("x.n").alias("n"))
+             .agg(*(F.sum(f"x.{c}").alias(c) for c in ("matches", "total", "ref_total"))))
+    return stats.where((F.col("total") > 0) | (F.col("ref_total") > 0))
 
 
 def _pivot_stats(stats: DataFrame, by: Sequence[str], max_order: int) -> DataFrame:

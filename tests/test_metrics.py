@@ -68,3 +68,38 @@ def test_evaluate_from_ids(spark):
     assert abs(cut["bleu"] - 100.0) < 1e-9
     raw = {r["metric"]: r["value"] for r in M.evaluate_ids(df, "p", "r", vocab, split_tok).collect()}
     assert raw["hyp_len"] == 5.0 and raw["bleu"] < 100.0
+
+
+def test_clipped_counts_equal_counters(spark):
+    """Random rows, repeated tokens, empty and null sides, tokens with blanks; whole table and by group."""
+    import random
+    from collections import Counter
+    rnd = random.Random(5)
+    rows = []
+    for i in range(300):
+        side = [[rnd.choice(["a", "b", "c c", "", "dd"]) for _ in range(rnd.randint(0, 9))] for _ in range(2)]
+        rows.append((i, rnd.choice("xy"), *side))
+    rows += [(300, "x", None, ["a"]), (301, "y", ["a"], None), (302, "x", [], []), (303, "y", ["a"] * 5000, ["a"] * 4000)]
+    want = Counter()
+    for _, g, h, r in rows:
+        if h is None or r is None:
+            continue
+        for n in range(1, 5):
+            hs, rs = (Counter(tuple(s[i:i + n]) for i in range(len(s) - n + 1)) for s in (h, r))
+            want[g, n] += 0
+            want[g, n, "m"] += sum((hs & rs).values())
+            want[g, n, "t"] += sum(hs.values())
+            want[g, n, "r"] += sum(rs.values())
+    df = spark.createDataFrame(rows, "pair_id long, g string, h array<string>, r array<string>").repartition(3)
+    by = M.bleu_stats(df, "h", "r", by=["g"])
+    got = {(r["g"], r["n"]): (r["matches"], r["total"], r["ref_total"]) for r in by.collect()}
+    assert got == {(g, n): tuple(want[g, n, s] for s in "mtr") for g in "xy" for n in range(1, 5)}
+    whole = M.bleu_stats(df, "h", "r")
+    assert {r["n"]: r["matches"] for r in whole.collect()} == {n: want["x", n, "m"] + want["y", n, "m"] for n in range(1, 5)}
+    plan = whole._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Aggregate" not in plan.split("MapInArrow")[1]
+
+
+def test_bleu_stats_of_no_rows(spark):
+    df = spark.createDataFrame([], "pair_id long, h array<string>, r array<string>")
+    assert M.bleu_stats(df, "h", "r").count() == 0
