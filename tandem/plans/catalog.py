@@ -87,6 +87,54 @@ def q_src_mined_tsv(spark, sf_dir):
     return tsv.read_mined(I.raw_mined(spark, sf_dir))
 
 
+CORPUS_FILES = 16           # files the lines of a corpus are dealt to
+
+
+def corpus_files(spark, sf_dir, name: str) -> str:
+    """A corpus as text files, one a bucket of pair ids, its lines in order; the files S1-S3 read."""
+    lines = I.BUILDERS[name](spark, sf_dir).withColumn("bucket", F.pmod("pair_id", F.lit(CORPUS_FILES)))
+    path = scratch_path(spark, f"corpus-{name}")
+    (lines.repartition(CORPUS_FILES, "bucket").sortWithinPartitions("bucket", "pair_id").select("bucket", "value")
+     .write.partitionBy("bucket").text(path))
+    return path
+
+
+def _files_sql(name: str) -> str:
+    """Lines of the files with the ids that reading them gives: the file's number in path order, the line's offset."""
+    return f"""(SELECT CAST((dense_rank() OVER (ORDER BY CAST(bucket AS VARCHAR)) - 1) * {1 << tsv.FILE_BITS} + before AS BIGINT) AS pair_id,
+        CAST(before AS BIGINT) AS "offset", string_split(value, chr(9)) AS f FROM (
+        SELECT bucket, value, coalesce(sum(strlen(value) + 1) OVER (PARTITION BY bucket ORDER BY pair_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        FROM (SELECT pair_id, value, pair_id % {CORPUS_FILES} AS bucket FROM {name}) b) o)"""
+
+
+def _file_lines(spark, sf_dir, name: str) -> DataFrame:
+    return tsv.read_text_lines(spark, corpus_files(spark, sf_dir, name))
+
+
+def _with_offset(parsed: DataFrame) -> DataFrame:
+    return parsed.withColumn("offset", F.col("pair_id").bitwiseAND(F.lit((1 << tsv.FILE_BITS) - 1)))
+
+
+@register("src_pairs_file", with_inputs("raw_news") +
+          f"""SELECT pair_id, "offset", f[1] AS en, f[2] AS zh FROM {_files_sql('raw_news')}""")
+def q_src_pairs_file(spark, sf_dir):
+    return _with_offset(tsv.read_pairs(_file_lines(spark, sf_dir, "raw_news")))
+
+
+@register("src_titles_file", with_inputs("raw_titles") +
+          f"""SELECT pair_id, "offset", f[2] AS en, f[1] AS zh FROM {_files_sql('raw_titles')}""")
+def q_src_titles_file(spark, sf_dir):
+    return _with_offset(tsv.read_titles(_file_lines(spark, sf_dir, "raw_titles")))
+
+
+@register("src_mined_file", with_inputs("raw_mined") +
+          """SELECT pair_id, "offset", CAST(f[1] AS DOUBLE) AS score, f[2] AS en, f[3] AS zh, f[4] AS from_lang, """
+          f"f[5] AS to_lang FROM {_files_sql('raw_mined')}")
+def q_src_mined_file(spark, sf_dir):
+    return _with_offset(tsv.read_mined(_file_lines(spark, sf_dir, "raw_mined")))
+
+
 @register("strip_pairs", with_inputs("bitext") +
           f"SELECT pair_id, {sql_strip('en')} AS en, {sql_strip('zh')} AS zh FROM bitext")
 def q_strip_pairs(spark, sf_dir):

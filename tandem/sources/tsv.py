@@ -8,12 +8,16 @@ routed to a rejects frame (``QUARANTINE``) or dropped (``DROPMALFORMED``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import split_fields
+from ..operators.encode import sized_broadcast
 
 PAIR_FIELDS = ("en", "zh")                                  # S1
 TITLE_FIELDS = ("zh", "en")                                 # S2: reversed on input (T2)
@@ -22,16 +26,64 @@ MINED_FIELDS = ("score", "en", "zh", "from_lang", "to_lang")  # S3
 MODES = ("FAILFAST", "DROPMALFORMED", "QUARANTINE")
 
 
+FILE_BITS = 40              # a line id is the file's number in path order, then the line's byte offset in the file
+
+
+def _offsets(rows: DataFrame) -> DataFrame:
+    """Adds ``inside``: bytes of the lines before a line in its split; a task reads the lines of a split in order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, done = None, 0
+        for b in batches:
+            size = pc.binary_length(b.column("value")).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            start = b.column("start").to_numpy()
+            file = b.column("file").dictionary_encode()
+            code = file.indices.to_numpy(zero_copy_only=False)
+            new = np.ones(len(size), bool)
+            new[1:] = (code[1:] != code[:-1]) | (start[1:] != start[:-1])
+            if len(size):
+                new[0] = last != (file.dictionary[int(code[0])].as_py(), int(start[0]))
+            total = np.cumsum(size)
+            before = total - size
+            first = np.flatnonzero(new)
+            base = np.zeros(len(size), np.int64)
+            cut = int(first[0]) if len(first) else len(size)
+            base[:cut] = done
+            base[cut:] = -np.repeat(before[first], np.diff(np.append(first, len(size))))
+            inside = before + base
+            if len(size):
+                last, done = (file.dictionary[int(code[-1])].as_py(), int(start[-1])), int(inside[-1] + size[-1])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(inside)], names=[*b.schema.names, "inside"])
+
+    return rows.mapInArrow(run, "file string, start long, value string, inside long")
+
+
 def read_text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines of text files with a line key and the file path.
+    """Lines of text files: ``pair_id, file, offset, value``.
 
-    ``pair_id`` is the partition-local row counter, unique and stable for the same files and
-    ``spark.sql.files.maxPartitionBytes``; it is what the seeded split keys on.
-    """
+    ``offset`` is the byte at which a line begins in its file and ``pair_id`` the file's number in path order with the
+    offset behind it (``FILE_BITS``), so ids, and the seeded split that keys on them, are the same for every layout of
+    the scan.  A file is read in splits by many tasks: one pass sums the bytes of the lines of every split (in the JVM, one
+    row a split), whose running sum is the offset of the split's first line; the other numbers the lines behind it.  Lines end at a
+    line feed; a carriage return before it is dropped.  Files beyond 1 TB or 8M files are refused."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return (spark.read.text(paths)
-            .select(F.monotonically_increasing_id().alias("pair_id"),
-                    F.col("_metadata.file_path").alias("file"), "value"))
+    raw = (spark.read.option("lineSep", "\n").text(paths)
+           .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"))
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (raw.groupBy("file", "start").agg(F.sum(F.octet_length("value") + 1).cast("long").alias("size"))
+              .withColumn("base", F.coalesce(F.sum("size").over(before), F.lit(0))))
+    files = F.broadcast(_file_numbers(spark, raw))       # the listing the driver holds anyway
+    heads = sized_broadcast(splits.join(files, "file").select("file", "start", "base", "number"))
+    offset = F.col("base") + F.col("inside")
+    checked = F.when((offset < 1 << FILE_BITS) & (F.col("number") < 1 << 63 - FILE_BITS), F.col("number")).otherwise(
+        F.raise_error(F.lit("too many files or too large a file for line ids")).cast("long"))
+    return _offsets(raw).join(heads, ["file", "start"]).select(
+        (F.shiftleft(checked, FILE_BITS) + offset).alias("pair_id"), "file", offset.alias("offset"),
+        F.regexp_replace("value", "\r$", "").alias("value"))
+
+
+def _file_numbers(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    found = sorted(r["file"] for r in raw.select("file").distinct().collect())
+    return spark.createDataFrame([(f, i) for i, f in enumerate(found)], "file string, number long")
 
 
 def _arity_ok(fields, k: int):
