@@ -1111,7 +1111,7 @@ PIECE_CTES = [
             FROM (SELECT unnest(string_split(w, '')) AS ch, c FROM doc_counts)) GROUP BY piece"""),
     ("pieces", """SELECT piece, score, CAST(row_number() OVER (ORDER BY score DESC, piece) + 2 AS INTEGER) AS id
         FROM (SELECT piece, round(ln(c) - ln((SELECT sum(c) FROM doc_counts)), 6) AS score FROM piece_counts)"""),
-    ("sides", """SELECT 'en' AS lang, pair_id, en AS x FROM bitext UNION ALL SELECT 'zh', pair_id, zh FROM bitext"""),
+    ("sides", """SELECT 'en' AS lang, pair_id, en AS x FROM {source} UNION ALL SELECT 'zh', pair_id, zh FROM {source}"""),
     ("side_words", """SELECT lang, pair_id, '▁' || w AS w, i FROM (SELECT lang, pair_id, unnest(l) AS w, unnest(range(len(l))) AS i
         FROM (SELECT lang, pair_id, regexp_extract_all(nfc_normalize(x), '\\S+') AS l FROM sides))"""),
     ("todo", "SELECT DISTINCT w FROM side_words"),
@@ -1138,7 +1138,11 @@ PIECE_CTES = [
 ]
 
 
-@register("unigram_encode", with_inputs("bitext", extra=PIECE_CTES).replace("WITH ", "WITH RECURSIVE ", 1) + """SELECT lang,
+def piece_ctes(source: str) -> list[tuple[str, str]]:
+    return [(n, sql.format(source=source) if n == "sides" else sql) for n, sql in PIECE_CTES]
+
+
+@register("unigram_encode", with_inputs("bitext", extra=piece_ctes("bitext")).replace("WITH ", "WITH RECURSIVE ", 1) + """SELECT lang,
     pair_id, CAST(len(ids) AS INTEGER) AS n_ids, array_to_string(ids, ' ') AS input_ids, CAST(len(ids) AS INTEGER) AS n_mask
     FROM coded""")
 def q_unigram_encode(spark, sf_dir):
@@ -1160,3 +1164,48 @@ def q_encode_bitext(spark, sf_dir):
     both = BP.bpe_encode(en, "zh", zh_model, key=["uid", "split", "en_ids"], out="zh_ids")
     return both.select("uid", "split", F.size("en_ids").alias("n_en"), F.size("zh_ids").alias("n_zh"),
                        ids_str("en_ids").alias("en_ids"), ids_str("zh_ids").alias("zh_ids"))
+
+
+from . import pipelines as PL  # noqa: E402
+from ..sources import store  # noqa: E402
+
+
+@register("bpe_published")
+def q_bpe_published(spark, sf_dir):
+    """C2 written and read back: every split of the published version with the ids of both sides."""
+    base = scratch_path(spark, "bpe-store")
+    PL.encode_bitext_bpe(c1(spark, sf_dir), base)
+    splits = [store.load_published(spark, base, typ) for typ in ("train", "eval", "test")]
+    return splits[0].unionByName(splits[1]).unionByName(splits[2]).select(
+        "corpus", "pair_id", "split", F.size("en_ids").alias("n_en"), F.size("zh_ids").alias("n_zh"),
+        ids_str("en_ids").alias("en_ids"), ids_str("zh_ids").alias("zh_ids"))
+
+
+C1_KEYED = ("c1_keyed", "SELECT corpus || ':' || CAST(pair_id AS VARCHAR) AS pair_id, en, zh, split FROM c1")
+
+
+@register("pieces_published", with_inputs("raw_news", "raw_titles", "raw_mined", extra=[*C1_CTES, C1_KEYED, *piece_ctes("c1_keyed")])
+          .replace("WITH ", "WITH RECURSIVE ", 1) + """SELECT k.pair_id AS uid, k.split, array_to_string(e.ids, ' ') AS en_ids,
+    array_to_string(z.ids, ' ') AS zh_ids FROM c1_keyed k JOIN coded e ON e.pair_id = k.pair_id AND e.lang = 'en'
+    JOIN coded z ON z.pair_id = k.pair_id AND z.lang = 'zh' WHERE k.split IN ('val', 'test')""")
+def q_pieces_published(spark, sf_dir):
+    """C3 written and read back: the val and test splits of the published version, both sides."""
+    base = scratch_path(spark, "pieces-store")
+    PL.encode_bitext_pieces(c1(spark, sf_dir), base, _doc_pieces(spark, sf_dir))
+    both = store.load_published(spark, base, "eval").unionByName(store.load_published(spark, base, "test"))
+    return both.select(F.concat_ws(":", "corpus", "pair_id").alias("uid"), "split", ids_str("en_ids").alias("en_ids"),
+                       ids_str("zh_ids").alias("zh_ids"))
+
+
+@register("stream_bpe_encode", ORACLES["bpe_encode"])
+def q_stream_bpe_encode(spark, sf_dir):
+    """ST1 with the full BPE model: token strings of every English sentence joined, from the ids the stream wrote."""
+    base, out = scratch_path(spark, "stream-model"), scratch_path(spark, "stream-ids")
+    rows = c1(spark, sf_dir).select("corpus", "pair_id", "en", "split").persist()
+    model = BP.train_bpe(rows.where("split = 'train'"), "en", "en")
+    store.publish_encoded(spark, base, {"en_vocab": model.vocab_frame(spark), "en_merges": model.merges_frame(spark)})
+    src, schema = _stream_dir(spark, rows.drop("split"), "stream-sentences")
+    rows.unpersist()
+    sentences = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(src)
+    ST.encode_bpe_stream(sentences, base, "en", out, scratch_path(spark, "stream-ckpt"), text="en", key=("corpus", "pair_id"))
+    return spark.read.parquet(out).select("corpus", "pair_id", BP.token_strings(spark, model, "ids").alias("pieces"))

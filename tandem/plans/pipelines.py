@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.arrays import MAX_IDS
+from ..operators import bpe as BP, unigram as UG
 from ..operators.clean import (clean_pairs, convert_script, convert_where, margin_filter,
                                prefix_source)
 from ..operators.split import SEED, exact_split, union_corpora
+from ..sources import store
 from ..sources.tsv import read_mined, read_pairs, read_titles
 
 
@@ -45,3 +50,34 @@ def split_summary(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_pairs"),
         F.round(F.avg(F.length("en")), 6).alias("avg_en_chars"),
         F.round(F.avg(F.length("zh")), 6).alias("avg_zh_chars"))
+
+
+def encode_bitext_bpe(pairs: DataFrame, base: str, key: Sequence[str] = ("corpus", "pair_id"),
+                      vocab_size: int = BP.VOCAB_SIZE) -> int:
+    """Learn a model per side on the train split, encode every split with them, and publish models and splits as one
+    version below ``base`` (its number is returned)."""
+    spark = pairs.sparkSession
+    train = pairs.where(F.col("split") == "train")
+    models = {side: BP.train_bpe(train, side, side, vocab_size=vocab_size) for side in ("en", "zh")}
+    coded = BP.bpe_encode(pairs, "en", models["en"], key=[*key, "split", "zh"], out="en_ids")
+    coded = BP.bpe_encode(coded, "zh", models["zh"], key=[*key, "split", "en_ids"], out="zh_ids")
+    tables = {f"{side}_{kind}": frame for side, m in models.items()
+              for kind, frame in (("vocab", m.vocab_frame(spark)), ("merges", m.merges_frame(spark)))}
+    return store.publish_encoded(spark, base, tables, coded)
+
+
+def encode_bitext_pieces(pairs: DataFrame, base: str, pieces: DataFrame, key: Sequence[str] = ("corpus", "pair_id"),
+                         max_ids: int = MAX_IDS, byte_fallback: bool = False) -> int:
+    """Encode both sides of every split with given pieces and publish the pieces and the splits as one version."""
+    keys = list(key)
+    en = UG.unigram_encode(pairs, "en", pieces, [*keys, "split", "zh"], max_ids, byte_fallback).select(
+        *keys, "split", "zh", F.col("input_ids").alias("en_ids"), F.col("attention_mask").alias("en_mask"))
+    both = UG.unigram_encode(en, "zh", pieces, [*keys, "split", "en_ids", "en_mask"], max_ids, byte_fallback).select(
+        *keys, "split", "en_ids", "en_mask", F.col("input_ids").alias("zh_ids"), F.col("attention_mask").alias("zh_mask"))
+    return store.publish_encoded(pairs.sparkSession, base, {"pieces": pieces}, both)
+
+
+def load_bpe_model(spark: SparkSession, base: str, side: str, number: int | None = None) -> BP.BpeModel:
+    """The model of one side of a published version."""
+    number, _ = store.published(spark, base, number)
+    return BP.BpeModel.from_frames(side, *(store.load_table(spark, base, f"{side}_{kind}", number) for kind in ("vocab", "merges")))

@@ -8,6 +8,7 @@ Parquet with the checkpoint under the shared folder, so a restarted query resume
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,10 +17,13 @@ from pyspark.sql import types as T
 
 from ..functions import arrays as A
 from ..functions.text import UNK_ID, pretok_words, py_strip
+from ..operators.bpe import BpeModel, bpe_encode
 from ..operators.clean import nonempty_pairs
 from ..operators.encode import bounded_collect
 from ..operators.logs import DICT_LOG_MARKER, drop_missing, parse_losses
 from ..operators.split import hash_split
+from ..plans.pipelines import load_bpe_model
+from ..sources.store import published
 from ..sources.tsv import parse_fields
 
 
@@ -95,3 +99,31 @@ def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, mode: str = "a
     else:
         q = w.outputMode("append").format("parquet").option("path", path).start()
     q.awaitTermination()
+
+
+def run_to_batches(stream: DataFrame, path: str, checkpoint: str, change=lambda rows: rows) -> None:
+    """Run a stream over everything available into ``path/batch=<id>``, each micro-batch through ``change``.  A batch that
+    is run again after a failure overwrites its own folder, so no row is lost or written twice."""
+    def sink(rows: DataFrame, batch: int) -> None:
+        change(rows).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    (stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+     .foreachBatch(sink).start().awaitTermination())
+
+
+def encode_bpe_stream(sentences: DataFrame, base: str, side: str, path: str, checkpoint: str, text: str = "text",
+                      key: Sequence[str] = ("pair_id",)) -> None:
+    """ST1: sentence stream -> ``key, ids, model_version`` below ``path`` with the model of ``side`` published last under
+    ``base`` (:mod:`tandem.sources.store`).  Every micro-batch looks for the last version, so a new model
+    takes effect with the next batch, and a batch has one."""
+    spark = sentences.sparkSession
+    models: dict[int, BpeModel] = {}
+
+    def change(rows: DataFrame) -> DataFrame:
+        number, _ = published(spark, base)
+        if number not in models:
+            models.clear()
+            models[number] = load_bpe_model(spark, base, side, number)
+        return bpe_encode(rows, text, models[number], key=list(key)).withColumn("model_version", F.lit(number))
+
+    run_to_batches(sentences, path, checkpoint, change)
