@@ -1,13 +1,18 @@
 """Token <-> id: word-id lookup (J3), id -> token decode (J4, F18), and the size-checked broadcast
 used by every vocabulary join.
 
-Lookups are explode -> equi-join on the vocabulary -> ordered regroup by the row key.  The
-regroup's ``collect_list`` is partially aggregated map-side (all tokens of a row sit in the same
-partition after a broadcast join), so the shuffle carries about one array per row.
+A vocabulary of up to ``SHIP_BYTES`` (checked before it is brought over) is sent to the workers as two Arrow columns, and
+rows are looked up where they lie, a batch at a time: no explode, no shuffle, so no hot token.  A larger one is
+joined by shuffle: tokens are exploded and salted by their place, the vocabulary has a copy per salt, so a token that
+holds a third of all places is dealt to many tasks; rows are put together again by their key.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +21,8 @@ from ..functions.text import SPECIALS, UNK_ID
 # Vocabularies up to this many rows are broadcast (30k-token models are ~1 MB); bigger ones are
 # joined by shuffle.  The size is counted before the plan is chosen.
 BROADCAST_MAX_ROWS = 2_000_000
+SHIP_BYTES = 256 << 20       # vocabularies up to this size go to the workers whole
+SALTS = 16
 
 
 def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -41,38 +48,93 @@ def _regroup(df: DataFrame, key: str, pos: str, value: Column, out: str) -> Data
         key, F.transform("_s", lambda x: x["v"]).alias(out))
 
 
+def shipped(vocab: DataFrame, max_bytes: int = SHIP_BYTES) -> Broadcast | None:
+    """(tokens, ids) of a vocabulary by ascending id, or None if it is larger than ``max_bytes``."""
+    rows = vocab.select(F.col("token"), F.col("id").cast("long").alias("id")).persist()
+    size = rows.agg(F.sum(F.octet_length("token") + 16)).first()[0] or 0
+    sent = None
+    if size <= max_bytes:
+        table = rows.orderBy("id").toArrow().combine_chunks()
+        tokens, ids = (pa.concat_arrays(table[c].chunks) if table[c].num_chunks else pa.array([], t)
+                       for c, t in (("token", pa.string()), ("id", pa.int64())))
+        sent = vocab.sparkSession.sparkContext.broadcast((tokens.cast(pa.string()), ids))
+    rows.unpersist()
+    return sent
+
+
+def _offsets(rows: pa.Array) -> pa.Array:
+    """Offsets of the lists of ``rows`` within its flattened values; a null is an empty list."""
+    return pa.array(np.concatenate([[0], np.cumsum(rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]), pa.int32())
+
+
+def ids_udf(sent: Broadcast, unk: int = UNK_ID):
+    """Token array -> id array (``unk`` when missing) over a shipped vocabulary."""
+    @F.arrow_udf("array<int>")
+    def lookup(rows: pa.Array) -> pa.Array:
+        tokens, ids = sent.value
+        at = pc.index_in(rows.flatten().cast(pa.string()), value_set=tokens)
+        found = ids.take(at).fill_null(unk).cast(pa.int32())
+        return pa.ListArray.from_arrays(_offsets(rows), found)
+    return lookup
+
+
+def decode_lists(sent: Broadcast, n_specials: int, sep: str):
+    """Id lists -> their tokens joined by ``sep``, without specials and ids the vocabulary does not have."""
+    def decode(rows: pa.Array) -> pa.Array:
+        tokens, ids = sent.value
+        known = ids.to_numpy()
+        flat = rows.flatten().cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
+        at = np.minimum(np.searchsorted(known, flat), max(0, len(known) - 1))
+        hit = (known[at] == flat) & (flat >= n_specials) if len(known) else np.zeros(len(flat), bool)
+        ends = np.concatenate([[0], np.cumsum(hit)])[_offsets(rows).to_numpy()]
+        words = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens.take(pa.array(at[hit])))
+        return pc.binary_join(words, sep)
+    return decode
+
+
+def _salted(exploded: DataFrame, on: str, vocab: DataFrame) -> DataFrame:
+    """Left join on ``on``; a hot value is dealt to ``SALTS`` tasks by its place in the row."""
+    left = exploded.withColumn("_salt", F.pmod("_pos", F.lit(SALTS)))
+    right = vocab.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.join(right, [on, "_salt"], "left").drop("_salt")
+
+
 def word_ids(df: DataFrame, tokens: str, vocab: DataFrame, key: str = "pair_id",
-             out: str = "ids", unk: int = UNK_ID, max_broadcast_rows: int = BROADCAST_MAX_ROWS
-             ) -> DataFrame:
+             out: str = "ids", unk: int = UNK_ID, max_bytes: int = SHIP_BYTES) -> DataFrame:
     """``key, out`` with each token replaced by its vocabulary id (``unk`` when missing)."""
-    v = sized_broadcast(vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id")),
-                        max_broadcast_rows)
+    sent = shipped(vocab, max_bytes)
+    if sent is not None:
+        return df.select(key, ids_udf(sent, unk)(F.col(tokens)).alias(out))
     exploded = df.select(key, F.posexplode_outer(tokens).alias("_pos", "_tok"))
-    joined = exploded.join(v, "_tok", "left")
+    joined = _salted(exploded, "_tok", vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id")))
     return _regroup(joined, key, "_pos", F.coalesce(F.col("_id"), F.lit(unk)), out)
 
 
 def decode_ids(df: DataFrame, ids: str, vocab: DataFrame, key: str = "pair_id",
                out: str = "text", n_specials: int = len(SPECIALS), sep: str = " ",
-               max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               max_bytes: int = SHIP_BYTES) -> DataFrame:
     """J4 + F18: ids -> tokens, specials skipped, joined by ``sep`` (the word form; the
     byte-level form decodes with :func:`tandem.functions.text.symbols_to_text`)."""
-    v = sized_broadcast(vocab.select(F.col("id").alias("_id"), F.col("token").alias("_tok")),
-                        max_broadcast_rows)
+    sent = shipped(vocab, max_bytes)
+    if sent is not None:
+        return df.select(key, F.arrow_udf(decode_lists(sent, n_specials, sep), "string")(F.col(ids)).alias(out))
     kept = F.filter(F.col(ids), lambda x: x >= n_specials)
     exploded = df.select(key, F.posexplode_outer(kept).alias("_pos", "_id"))
-    joined = exploded.join(v, "_id", "left")
+    joined = _salted(exploded, "_id", vocab.select(F.col("id").alias("_id"), F.col("token").alias("_tok")))
     toks = _regroup(joined, key, "_pos", F.col("_tok"), "_toks")
     return toks.select(key, F.array_join("_toks", sep).alias(out))
 
 
 def word_ids_sides(df: DataFrame, keys: list[str], sides: dict, vocab: DataFrame,
-                   unk: int = UNK_ID, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """J3 for several token columns at once: ``sides = {out_col: tokens Column}``.  One explode,
-    one vocabulary join and one regroup by ``keys`` for all sides (no join back)."""
-    v = sized_broadcast(vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id")),
-                        max_broadcast_rows)
+                   unk: int = UNK_ID, max_bytes: int = SHIP_BYTES) -> DataFrame:
+    """J3 for several token columns at once: ``sides = {out_col: tokens Column}``; beyond ``max_bytes`` one explode, one
+    join and one regroup by ``keys`` for all sides (no join back)."""
+    sent = shipped(vocab, max_bytes)
+    if sent is not None:
+        lookup = ids_udf(sent, unk)
+        return df.select(*keys, *(lookup(col).alias(name) for name, col in sides.items()))
     names = list(sides)
+
     def tag(j):
         return lambda t, i: F.struct(F.lit(j).alias("side"), i.alias("pos"), t.alias("_tok"))
 
@@ -81,10 +143,10 @@ def word_ids_sides(df: DataFrame, keys: list[str], sides: dict, vocab: DataFrame
 
     tagged = [F.transform(col, tag(j)) for j, col in enumerate(sides.values())]
     ex = df.select(*keys, F.explode_outer(F.concat(*tagged)).alias("x")).select(
-        *keys, "x.side", "x.pos", "x._tok")
-    joined = ex.join(v, "_tok", "left")
+        *keys, "x.side", F.col("x.pos").alias("_pos"), "x._tok")
+    joined = _salted(ex, "_tok", vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id")))
     item = F.when(F.col("side").isNotNull(), F.struct(
-        "side", "pos", F.coalesce(F.col("_id"), F.lit(unk)).alias("id")))
+        "side", F.col("_pos").alias("pos"), F.coalesce(F.col("_id"), F.lit(unk)).alias("id")))
     g = joined.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("_s"))
     return g.select(*keys, *[F.transform(F.filter("_s", of_side(j)), lambda x: x["id"]).alias(name)
                              for j, name in enumerate(names)])

@@ -9,32 +9,30 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import SPECIALS
-from .encode import bounded_collect
+from .encode import decode_ids, decode_lists, shipped
 
 
 def parallel_decode(df: DataFrame, ids: str, vocab: DataFrame, key: str = "pair_id",
                     out: str = "text", sep: str = " ") -> DataFrame:
-    """Ids -> text per partition (``mapInPandas``) with the id -> token table broadcast once;
-    specials skipped.  The JVM form is :func:`tandem.operators.encode.decode_ids`."""
-    rows = bounded_collect(vocab.select("id", "token"), what="vocabulary")
-    table = {int(r["id"]): r["token"] for r in rows}
-    bc = df.sparkSession.sparkContext.broadcast(table)
-    n_spec = len(SPECIALS)
+    """Ids -> text per partition (``mapInArrow``) with the id -> token table sent once, specials skipped; a table too
+    large to send (:func:`tandem.operators.encode.shipped`) is joined instead."""
+    sent = shipped(vocab)
+    if sent is None:
+        return decode_ids(df, ids, vocab, key=key, out=out, sep=sep, max_bytes=0)
     key_type = df.schema[key].dataType.simpleString()
+    decode = decode_lists(sent, len(SPECIALS), sep)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t = bc.value
-        for pdf in batches:
-            text = pdf[ids].map(lambda a: sep.join(t[i] for i in a if i >= n_spec and i in t))
-            yield pd.DataFrame({key: pdf[key], out: text})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(key), decode(b.column(ids))], names=[key, out])
 
-    return df.select(key, ids).mapInPandas(run, f"{key} {key_type}, {out} string")
+    return df.select(key, ids).mapInArrow(run, f"{key} {key_type}, {out} string")
 
 
 def predict_batches(df: DataFrame, ids: str, make_predict_fn: Callable, seq_len: int,

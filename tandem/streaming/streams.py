@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import arrays as A
-from ..functions.text import UNK_ID, pretok_words, py_strip
+from ..functions.text import pretok_words, py_strip
 from ..operators.bpe import BpeModel, bpe_encode
 from ..operators.clean import nonempty_pairs
-from ..operators.encode import bounded_collect
+from ..operators.encode import ids_udf, shipped
 from ..operators.logs import DICT_LOG_MARKER, drop_missing, parse_losses
 from ..operators.split import hash_split
 from ..plans.pipelines import load_bpe_model
@@ -27,25 +27,12 @@ from ..sources.store import published
 from ..sources.tsv import parse_fields
 
 
-def lookup_ids_udf(spark: SparkSession, vocab: DataFrame, max_rows: int = 2_000_000):
-    """Token array -> id array through a broadcast dictionary (a stream cannot regroup rows
-    without state, so the J3 join is replaced by an in-row lookup).  The vocabulary size is
-    checked before it is broadcast."""
-    rows = bounded_collect(vocab.select("token", "id"), max_rows, "vocabulary")
-    table = {r["token"]: r["id"] for r in rows}
-    bc = spark.sparkContext.broadcast(table)
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def lookup(tokens: pd.Series) -> pd.Series:
-        d = bc.value
-        return tokens.map(lambda ts: [d.get(t, UNK_ID) for t in ts])
-    return lookup
-
-
 def encode_stream(sentences: DataFrame, vocab: DataFrame, text: str = "text") -> DataFrame:
     """ST1: sentence stream -> lower-cased words -> ids -> ``[BOS] + ids[:128] + [EOS]``."""
-    lookup = lookup_ids_udf(sentences.sparkSession, vocab)
-    ids = lookup(pretok_words(F.lower(F.col(text))))
+    sent = shipped(vocab)                # a stream has no rows to regroup, so the vocabulary must fit
+    if sent is None:
+        raise ValueError("the vocabulary is too large to send to the workers of a stream")
+    ids = ids_udf(sent)(pretok_words(F.lower(F.col(text))))
     return sentences.withColumn("ids", A.wrap_ids(A.truncate_ids(ids)))
 
 

@@ -27,12 +27,34 @@ def test_load_split_prunes_partitions(spark, tmp_path):
         ENC.load_split(spark, path, "dev", model="word")
 
 
-def test_word_ids_broadcasts_vocab(spark):
-    vocab = spark.createDataFrame([("a", 4), ("b", 5)], "token string, id int")
-    df = spark.createDataFrame([(1, ["a", "c", "b"])], "pair_id long, t array<string>")
+def test_word_ids_are_looked_up_in_the_row(spark):
+    vocab = spark.createDataFrame([("<unk>", 0), ("b", 5), ("a", 4)], "token string, id int")
+    rows = [(1, ["a", "c", "b"]), (2, []), (3, None), (4, [None, "a"]), (5, ["a"] * 3)]
+    df = spark.createDataFrame(rows, "pair_id long, t array<string>").repartition(2)
+    want = {1: [4, 0, 5], 2: [], 3: [], 4: [0, 4], 5: [4, 4, 4]}
     out = E.word_ids(df, "t", vocab)
-    assert out.first()["ids"] == [4, 0, 5]
-    assert "BroadcastHashJoin" in _plan(out)
+    assert {r["pair_id"]: r["ids"] for r in out.collect()} == want
+    assert "Generate" not in _plan(out) and "Join" not in _plan(out)
+    large = E.word_ids(df, "t", vocab, max_bytes=0)          # joined by shuffle, salted
+    assert {r["pair_id"]: r["ids"] for r in large.collect()} == want and "Join" in _plan(large)
+    sides = {"x": F.col("t"), "y": F.reverse("t")}
+    both = [{r["pair_id"]: (r["x"], r["y"]) for r in E.word_ids_sides(df, ["pair_id"], sides, vocab, max_bytes=m).collect()}
+            for m in (0, E.SHIP_BYTES)]
+    assert both[1] == {k: (v, v[::-1]) for k, v in want.items()}
+    assert {k: v for k, v in both[0].items() if k != 3} == {k: v for k, v in both[1].items() if k != 3}
+
+
+def test_ids_are_decoded_in_the_row(spark):
+    vocab = spark.createDataFrame([("<eos>", 3), ("a", 4), ("b", 7)], "token string, id int")
+    rows = [(1, [2, 7, 5, 4, 3]), (2, []), (3, None), (4, [3]), (5, [4, 4])]
+    df = spark.createDataFrame(rows, "pair_id long, i array<int>").repartition(2)
+    want = {1: "b a", 2: "", 3: "", 4: "", 5: "a a"}
+    for m in (0, E.SHIP_BYTES):
+        assert {r["pair_id"]: r["text"] for r in E.decode_ids(df, "i", vocab, max_bytes=m).collect()} == want
+    from tandem.operators.scoring import parallel_decode
+    assert {r["pair_id"]: r["text"] for r in parallel_decode(df, "i", vocab).collect()} == want
+    none = vocab.limit(0)
+    assert {r["text"] for r in E.decode_ids(df, "i", none).collect()} == {""}
 
 
 def test_scan_prunes_columns(spark):
