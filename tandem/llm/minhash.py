@@ -17,8 +17,8 @@ group is ever expanded into all its pairs:
   even now: every member outside the group's most frequent component is compared with every member, in blocks of
   about ``BLOCK_ROWS`` rows.  So the split loses no pair, it only leaves fewer components to round 3.
 
-Candidates must agree in ``AGREE`` of the coordinates (at 0.75: 4.3 standard deviations below the mean,
-missed with probability 1e-5) and in size, and their counts of shingles per hash bucket must leave room for
+Candidates must agree in ``AGREE`` of the coordinates, of which rows carry the last four bits (different
+minima agree by chance in 1 of 16; at 0.75: 4.4 standard deviations below the mean, missed with probability 1e-5), and in size, and their counts of shingles per hash bucket must leave room for
 the intersection (an upper bound, so nothing is missed by it); every link is then confirmed on the full shingle sets.
 """
 
@@ -41,9 +41,10 @@ BANDS = BANDED // ROWS
 NEEDED, OUT_OF = 75, 100
 SMALL = 256
 BLOCK_ROWS = 2048
-BUCKETS, FULL = 256, 255
+BUCKETS, FULL = 256, 15
+HALVES = COORDS + BUCKETS       # four-bit fields of a signature, two a byte
 FIRST_BANDS, PARTNERS = 8, 8
-AGREE = 342
+AGREE = 350
 SLOTS = 1 << 22
 BLOCK = 1 << 14
 PLACE, ODD1, ODD2 = 0x51ED270B, np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -102,7 +103,7 @@ def _sign(docs: DataFrame, key: str, text: str, kind: str) -> DataFrame:
             fp = [xxhash.xxh3_128_digest(raw[8 * s: 8 * e]) if e > s else None
                   for s, e in zip(bounds[:-1], bounds[1:])]
             keys = pa.array(band_keys(sig).ravel())
-            small = np.hstack([(sig & np.uint64(255)).astype(np.uint8), bucket_counts(h, bounds)])
+            small = packed(np.hstack([(sig & np.uint64(15)).astype(np.uint8), bucket_counts(h, bounds)]))
             yield pa.RecordBatch.from_arrays(
                 [b.column(key), pa.array(n.astype(np.int64)), pa.array(fp, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BANDS, pa.int32()), keys),
@@ -120,11 +121,22 @@ def bucket_counts(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(at, minlength=n * BUCKETS), FULL).astype(np.uint8).reshape(n, BUCKETS)
 
 
+def packed(fields: np.ndarray) -> np.ndarray:
+    """Rows of four-bit fields, two a byte."""
+    return fields[:, ::2] | fields[:, 1::2] << 4
+
+
+#: Equal four-bit fields of two bytes, by their exclusive or.
+SAME = np.array([(x & 15 == 0) + (x >> 4 == 0) for x in range(256)], np.uint8)
+
+
 def may_be_linked(x: np.ndarray, y: np.ndarray, n_x: np.ndarray, n_y: np.ndarray) -> np.ndarray:
-    """Which pairs of rows (coordinates, then bucket counts) of n_x and n_y shingles pass the filters."""
-    ok = (x[:, :COORDS] == y[:, :COORDS]).sum(axis=1) >= AGREE
+    """Which pairs of rows (coordinates, then bucket counts, packed) of n_x and n_y shingles pass the filters."""
+    c = COORDS // 2
+    ok = SAME[x[:, :c] ^ y[:, :c]].sum(axis=1, dtype=np.int64) >= AGREE
     at = np.flatnonzero(ok)
-    low = np.minimum(x[at, COORDS:], y[at, COORDS:])
+    p, q = x[at, c:], y[at, c:]
+    low = np.hstack([np.minimum(p & 15, q & 15), np.minimum(p >> 4, q >> 4)])
     both = low.sum(axis=1, dtype=np.int64)                       # at least the intersection, unless FULL
     ok[at] = (low == FULL).any(axis=1) | (OUT_OF * both >= NEEDED * (n_x[at] + n_y[at] - both))
     return ok
@@ -184,7 +196,7 @@ def _alike(joined: DataFrame) -> DataFrame:
     """Pairs whose sizes and signatures allow a similarity of 0.75."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, COORDS + BUCKETS)
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, HALVES // 2)
                     for c in ("sig_a", "sig_b"))
             keep = pa.array(may_be_linked(x, y, b.column("n_a").to_numpy(), b.column("n_b").to_numpy()), pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
@@ -246,7 +258,7 @@ def _pairs_in_groups(rows: DataFrame, n: int) -> DataFrame:
     def emit(t: pa.Table) -> pa.RecordBatch:
         key = t["key"].to_numpy()
         node, comp, size = (t[c].to_numpy() for c in ("node", "comp", "n"))
-        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, COORDS + BUCKETS)
+        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, HALVES // 2)
         tag, tags = t["tag"].to_numpy(), t["tags"].combine_chunks()
         held = np.zeros((len(key), BANDS * (1 + PARTNERS)), np.int64)      # 0: not in such a group
         held[np.repeat(np.arange(len(key)), tags.value_lengths().to_numpy()), tags.flatten().to_numpy()] = (

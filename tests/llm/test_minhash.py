@@ -103,9 +103,9 @@ def test_bucket_counts_never_refuse_a_link():
         x, y = (minhash.bucket_counts(s, np.array([0, len(s)])) for s in sets)
         same = np.zeros((1, minhash.COORDS), np.uint8)
         linked = 100 * len(sets[0]) >= 75 * len(sets[1])
-        got = minhash.may_be_linked(np.hstack([same, x]), np.hstack([same, y]),
+        got = minhash.may_be_linked(minhash.packed(np.hstack([same, x])), minhash.packed(np.hstack([same, y])),
                                     *(np.array([len(s)]) for s in sets))[0]
         assert got or not linked
     far = rnd.integers(0, 2**63, 400, np.uint64).reshape(2, 200)
     x, y = (minhash.bucket_counts(np.unique(s), np.array([0, len(np.unique(s))])) for s in far)
-    assert not minhash.may_be_linked(np.hstack([same, x]), np.hstack([same, y]), np.array([200]), np.array([200]))[0]
+    assert not minhash.may_be_linked(minhash.packed(np.hstack([same, x])), minhash.packed(np.hstack([same, y])), np.array([200]), np.array([200]))[0]
