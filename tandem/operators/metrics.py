@@ -179,7 +179,7 @@ def scoreboard(long: DataFrame, models: Sequence[str] | None = None) -> DataFram
     extra job that finds the pivot values (a bounded distinct otherwise)."""
     if models is None:
         from .encode import bounded_collect
-        models = sorted(r[0] for r in bounded_collect(long.select("model").distinct(), 10_000,
+        models = sorted(r[0] for r in bounded_collect(long.select("model").where("model is not null").distinct(), 10_000,
                                                        "model list"))
     return long.groupBy("split", "metric").pivot("model", list(models)).agg(
         F.round(F.first("value"), 4))

@@ -817,28 +817,30 @@ def q_cut_eos(spark, sf_dir):
     return c.select("corpus", "pair_id", _s(AR.truncate_ids(AR.cut_at_eos(pred))).alias("ids"))
 
 
-@register("empty_refs", IDS_WITH + """SELECT * FROM (SELECT batch_id, row_in_batch, ref,
+@register("empty_refs", IDS_WITH + """SELECT * FROM (SELECT split, batch_id, row_in_batch, ref,
         lag(ref) OVER w AS prev_ref, lead(ref) OVER w AS next_ref
-    FROM (SELECT b.batch_id, b.row_in_batch, coalesce((SELECT string_agg(v.token, ' ' ORDER BY u.i)
+    FROM (SELECT b.split, b.batch_id, b.row_in_batch, coalesce((SELECT string_agg(v.token, ' ' ORDER BY u.i)
             FROM (SELECT unnest(b.zh_ids) AS id, unnest(range(1, len(b.zh_ids) + 1)) AS i) u
             JOIN word_vocab v ON v.id = u.id WHERE u.id > 3), '') AS ref
-          FROM b512 b WHERE b.split = 'val') x
-    WINDOW w AS (PARTITION BY batch_id ORDER BY row_in_batch)) WHERE length(trim(ref)) = 0""")
+          FROM b512 b) x
+    WINDOW w AS (PARTITION BY split, batch_id ORDER BY row_in_batch)) WHERE length(trim(ref)) = 0""")
 def q_empty_refs(spark, sf_dir):
-    b = c1_batches(spark, sf_dir, BA.EVAL_BATCH).where(F.col("split") == "val")
-    dec = EN.decode_ids(b.select(F.struct("batch_id", "row_in_batch").alias("k"), "zh_ids"), "zh_ids",
+    b = c1_batches(spark, sf_dir, BA.EVAL_BATCH)
+    dec = EN.decode_ids(b.select(F.struct("split", "batch_id", "row_in_batch").alias("k"), "zh_ids"), "zh_ids",
                         doc_word_vocab(spark, sf_dir), key="k", out="ref")
-    d = dec.select("k.batch_id", "k.row_in_batch", "ref")
-    return clean.empty_refs(d, ref="ref", batch="batch_id", pos="row_in_batch")
-
+    d = dec.select("k.split", "k.batch_id", "k.row_in_batch", "ref")
+    return clean.empty_refs(d, ref="ref", batch=("split", "batch_id"), pos="row_in_batch")
 
-SOURCES = [f"src{i}" for i in range(20)]       # fixed values: the sources of the documents table
 
-@register("scoreboard", with_inputs("labels_long") + "SELECT split, metric, " + ", ".join(
-    f"max(CASE WHEN model = '{m}' THEN round(value, 4) END) AS {m}" for m in SOURCES)
-    + " FROM labels_long GROUP BY split, metric")
+@register("scoreboard", with_inputs("labels_long") + """SELECT k.split, k.metric, m.model, round(l.value, 4) AS value
+    FROM (SELECT DISTINCT split, metric FROM labels_long) k CROSS JOIN
+        (SELECT DISTINCT model FROM labels_long WHERE model IS NOT NULL) m
+    LEFT JOIN labels_long l ON l.split = k.split AND l.metric = k.metric AND l.model = m.model""")
 def q_scoreboard(spark, sf_dir):
-    return ME.scoreboard(I.labels_long(spark, sf_dir), SOURCES)
+    """The board over all models of the table, its cells as rows (a missing cell is null)."""
+    board = ME.scoreboard(I.labels_long(spark, sf_dir))
+    models = [F.col(f"`{m}`") for m in board.columns if m not in ("split", "metric")]
+    return board.unpivot(["split", "metric"], models, "model", "value")
 
 
 EVAL_SQL_BODY = """SELECT 'copy' AS model, 'all' AS split, 'bleu' AS metric, bleu AS value FROM cb
