@@ -9,8 +9,10 @@ such tokens with their neighbours are decoded; Viterbi runs over padded batches
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -105,16 +107,13 @@ def token_features(token: str) -> list[str]:
     return f
 
 
-def sequence_features(tokens: list[str]) -> list[list[str]]:
-    own = [token_features(t) for t in tokens]
-    out = []
-    for i, f in enumerate(own):
-        more = []
-        for k, name in ((-1, "prev"), (1, "next")):
-            j = i + k
-            more.append(f"{name}:{own[j][2]}" if 0 <= j < len(own) else f"{name}:edge")
-        out.append(f + more)
-    return out
+def sequence_features(tokens: list[str]) -> Iterator[list[str]]:
+    """Features of every token with its neighbours'; at most three tokens' are held at a time."""
+    before, own = "edge", token_features(tokens[0]) if tokens else []
+    for i in range(len(tokens)):
+        after = token_features(tokens[i + 1]) if i + 1 < len(tokens) else None
+        yield [*own, f"prev:{before}", f"next:{after[2] if after else 'edge'}"]
+        before, own = own[2], after
 
 
 def allowed(token: str) -> np.ndarray:
@@ -225,7 +224,7 @@ class Crf:
                     score[r, k] = self.emit[known].sum(axis=0)
                     score[r, k][~allowed(runs[i][k])] = -np.inf
             best = START + score[:, 0]
-            back = np.zeros(score.shape, np.int64)
+            back = np.zeros(score.shape, np.int8)
             back[:, 0] = np.arange(len(LABELS))
             for k in range(1, score.shape[1]):
                 cand = best[:, :, None] + full[None]
@@ -303,6 +302,20 @@ def crf_spans(texts: list[str], crf: Crf) -> list[list[tuple[str, int, int]]]:
     return out
 
 
+def clear_of(spans: list[tuple[str, int, int]], taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """``spans`` that overlap none of ``taken`` (which may overlap each other): of those that start before a
+    span's end, the farthest end decides."""
+    taken = sorted((s, e) for _, s, e in taken)
+    starts = [s for s, _ in taken]
+    far = list(itertools.accumulate((e for _, e in taken), max))
+    out = []
+    for x in spans:
+        at = bisect.bisect_left(starts, x[2])
+        if at == 0 or far[at - 1] <= x[1]:
+            out.append(x)
+    return out
+
+
 def _joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
@@ -312,8 +325,9 @@ def find_pii(docs: DataFrame, crf: Crf | None = None, key: str = "doc_id", text:
     "kind:start:end,..."), spans (base spans and the CRF's that overlap none of them, by start and
     kind), n_crf (spans the CRF added).  Offsets are code points, ends exclusive.
 
-    Null and empty texts have no spans; repeated rows give repeated rows; other columns are not
-    read.
+    Null and empty texts have no spans; repeated rows give repeated rows; an empty table gives an empty
+    one; other columns are not read.  A very long text is read whole in time about linear in its length; of a
+    run of tokens its scores are held (88 bytes a token).
     """
     kind = docs.schema[key].dataType.simpleString()
     model = crf or trained()
@@ -328,8 +342,7 @@ def find_pii(docs: DataFrame, crf: Crf | None = None, key: str = "doc_id", text:
             texts = [b.column(text)[int(i)].as_py() for i in rows]
             for i, t, more in zip(rows, texts, crf_spans(texts, model)):
                 own = base_spans(t)
-                taken = sorted((s, e) for _, s, e in own)
-                extra = [x for x in more if not any(s < x[2] and x[1] < e for s, e in taken)]
+                extra = clear_of(more, own)
                 for k, _, _ in own:
                     counts[k][i] += 1
                 counts["crf"][i] = len(extra)

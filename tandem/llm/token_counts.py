@@ -7,7 +7,7 @@ bytes is counted in O(m) steps and no piece is ever built.  A word w is matched
 unknown piece.
 
 Counting is per distinct word of a slice (exact Arrow dictionary encoding) and vectorised over
-words: all words take their k-th byte together.
+words: all words take their k-th byte together.  The last words left over, the longest, go on alone.
 """
 
 from __future__ import annotations
@@ -22,10 +22,13 @@ from pyspark.sql import DataFrame
 
 from tandem.llm.common import SPACE_WORDS, segment_sum, slices, split_words, text_bytes
 
+FEW = 128   # fewer words than this are counted faster one by one than by array passes
+
 
 def byte_alphabet() -> dict[str, int]:
     """Characters of a byte-level vocabulary -> bytes (printable bytes stand for themselves, the
     others are moved up from 256 in order)."""
+    # fixed values: the byte ranges of the public byte-level alphabet
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(own)]
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
@@ -85,6 +88,25 @@ class Automaton:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.to[at], -1)
 
+    @functools.cached_property
+    def moves(self) -> tuple[dict[int, int], list[int], list[int]]:
+        """The same tables for one word at a time: (state << 8 | byte) -> child, failure links, popped counts."""
+        return dict(zip(self.keys.tolist(), self.to.tolist())), self.fail.tolist(), self.popped.tolist()
+
+    def follow(self, state: int, total: int, rest: bytes) -> tuple[int, int]:
+        """State and count after ``rest``; state -1 if no piece covers it."""
+        to, fail, popped = self.moves
+        for b in rest:
+            nxt = to.get(state << 8 | b)
+            while nxt is None:
+                total += popped[state]
+                state = fail[state]
+                if state < 0:
+                    return -1, total
+                nxt = to.get(state << 8 | b)
+            state = nxt
+        return state, total
+
     def count(self, data: np.ndarray, off: np.ndarray, prefix: bytes = b"") -> np.ndarray:
         """Pieces of each string ``prefix + data[off[i]:off[i+1]]``; an uncoverable one counts 1."""
         lens = np.diff(off)
@@ -113,7 +135,11 @@ class Automaton:
         for k in range(int(lens.max(initial=0))):
             who = order[: np.searchsorted(ordered, -k, side="left")]
             who = who[~unknown[who]]
-            if len(who) == 0:
+            if len(who) < FEW:
+                for i in who.tolist():
+                    at, pieces = self.follow(int(state[i]), int(total[i]), data[off[i] + k: off[i + 1]].tobytes())
+                    unknown[i] = at < 0
+                    state[i], total[i] = max(at, 0), pieces
                 break
             feed(who, data[off[who] + k].astype(np.int64))
         who = np.flatnonzero(~unknown & (state != 0))
@@ -138,7 +164,8 @@ def token_counts(docs: DataFrame, vocab_path: str, prefix: bytes = b" ", key: st
     """Per row of ``docs``: key, n_words, n_tokens (pieces of all words), max_word_tokens.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, case kept.  Null and empty texts: 0, 0, 0.  Repeated rows
-    give repeated rows; other columns are not read.
+    give repeated rows, an empty table an empty one; other columns are not read.  Very long texts and words are
+    counted whole in time linear in their length.
     """
     kind = docs.schema[key].dataType.simpleString()
 

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 import re
 
@@ -113,6 +114,43 @@ def test_crf():
     assert pii.crf_spans([""], crf) == [[]]
 
 
+def test_viterbi_equals_path_enumeration():
+    """Every label path of short runs is scored; the decoded one is the best."""
+    crf = pii.trained()
+    full, n = crf.trans + pii.BLOCKED, len(pii.LABELS)
+    for run in (["call", "+1"], ["mail", "a@b.c", "now"], ["4111", "1111", "9"], ["10.0.0.1"], ["x=1", "y"]):
+        feats = list(pii.sequence_features(run))
+        emit = [crf.emit[[crf.index[f] for f in fs if f in crf.index]].sum(axis=0) for fs in feats]
+        emit = [np.where(pii.allowed(t), e, -np.inf) for t, e in zip(run, emit)]
+
+        def value(path):
+            return (pii.START[path[0]] + emit[0][path[0]]
+                    + sum(full[a, b] + emit[i + 1][b] for i, (a, b) in enumerate(zip(path, path[1:]))))
+        best = max(itertools.product(range(n), repeat=len(run)), key=value)
+        assert value(tuple(crf.viterbi([run])[0])) == pytest.approx(value(best))
+
+
+def test_overlaps_equal_brute_force():
+    rnd = random.Random(4)
+    for _ in range(500):
+        def some():
+            return [("k", s, s + rnd.randint(1, 12)) for s in sorted(rnd.sample(range(40), rnd.randint(0, 6)))]
+        spans, taken = some(), some()
+        assert pii.clear_of(spans, taken) == [
+            x for x in spans if not any(s < x[2] and x[1] < e for _, s, e in taken)]
+
+
+@pytest.mark.parametrize("text", ["mail bob@example.com or +1 212 555 0100 now\n" * 24_000, "7 " * 200_000,
+                                  "x1" * 500_000, "@" * 300_000])
+def test_long_texts(text):
+    """About 1 MB of contacts, of one line, of one word, of signs: whole, in time linear in the length."""
+    (spans,) = pii.crf_spans([text], pii.trained())
+    base = pii.base_spans(text)
+    kept = pii.clear_of(spans, base)
+    assert len(base) == 48_000 * text.startswith("mail")
+    assert all(0 <= s < e <= len(text) for _, s, e in kept)
+
+
 def brute_contamination(docs, items):
     wins = {}
     for item, t in items:

@@ -47,6 +47,20 @@ def test_automaton_on_random_vocabularies(seed):
     assert got.tolist() == [greedy(w, vocab) for w in words]
 
 
+@pytest.mark.parametrize("words", [3, 400])
+def test_long_words_go_on_alone(words):
+    """A word of 2 MB beside few or many short ones, and one that no piece covers far in."""
+    rnd = random.Random(words)
+    vocab = [b"a", b"b", b"ab", b"abba", b"bab"]
+    auto = token_counts.Automaton(vocab)
+    short = [bytes(rnd.choice(b"abc") for _ in range(rnd.randint(0, 9))) for _ in range(words)]
+    long = b"abbaab" * 350_000
+    every = [*short, long, long + b"c" + long, b"ab" * 200]
+    off = np.concatenate([[0], np.cumsum([len(w) for w in every])])
+    got = auto.count(np.frombuffer(b"".join(every), np.uint8), off)
+    assert got.tolist() == [*(greedy(w, set(vocab)) for w in short), 700_000, 1, greedy(every[-1], set(vocab))]
+
+
 def test_direct_access_codes():
     rnd = np.random.default_rng(1)
     for n in (0, 1, 7, 511, 512, 513, 5000):
