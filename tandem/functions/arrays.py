@@ -60,10 +60,15 @@ def padding_mask(col, pad: int = PAD_ID) -> Column:
 
 
 def all_false_mask(n) -> Column:
-    """the source mask, all false."""
+    """one row of the source mask, all false."""
     return F.array_repeat(F.lit(False), _c(n))
 
 
+def source_mask(n) -> Column:
+    """the source mask, n x n, all false (every position sees every other)."""
+    return F.array_repeat(all_false_mask(n), _c(n))
+
+
 def causal_mask(n) -> Column:
     """F16: square mask, 0 on and below the diagonal, -inf above."""
     n = _c(n)

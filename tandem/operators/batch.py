@@ -32,9 +32,15 @@ def assign_batches(df: DataFrame, order: Sequence[str], size: int = TRAIN_BATCH,
     bucket = hash_key_buckets(key_bucket, n) if key_bucket else None
     pos = dense_position(df, list(order), by=list(by), out="pos", total="_n", bucket=bucket,
                          num_partitions=n)
-    return (pos.withColumn("batch_id", F.floor(F.col("pos") / size).cast("bigint"))
-            .withColumn("row_in_batch", (F.col("pos") % size).cast("int"))
-            .withColumn("n_batches", F.ceil(F.col("_n") / size).cast("bigint")).drop("_n"))
+    return batches_at(pos, size, "pos", "_n").drop("_n")
+
+
+def batches_at(df: DataFrame, size: int = TRAIN_BATCH, pos: str = "split_pos", total: str = "split_size") -> DataFrame:
+    """W1 for rows whose place in their split is known (``exact_split`` gives it): arithmetic only, no shuffle."""
+    return df.withColumns({
+        "batch_id": F.floor(F.col(pos) / size).cast("bigint"),
+        "row_in_batch": (F.col(pos) % size).cast("int"),
+        "n_batches": F.ceil(F.col(total) / size).cast("bigint")})
 
 
 def first_k_per_batch(df: DataFrame, k: int = 2, batch_cols: Sequence[str] = ("split", "batch_id"),
@@ -90,7 +96,8 @@ def pad_for_t5(df: DataFrame, ids: str, labels: str,
 
 def model_batches(df: DataFrame, src: str, tgt: str,
                   batch_cols: Sequence[str] = ("split", "batch_id")) -> DataFrame:
-    """C4: wrapped, padded source and target, decoder input/output shift and the pad masks."""
+    """C4: wrapped, padded source and target, decoder input/output shift and the pad masks.  The square source and
+    target masks are the same for all rows of a batch: :func:`batch_masks` gives them once a batch."""
     x = wrap_and_truncate(wrap_and_truncate(df, src), tgt)
     x = pad_batches(pad_batches(x, src, batch_cols), tgt, batch_cols)
     return (x.withColumn("tgt_in", A.decoder_input(F.col(tgt)))
@@ -99,6 +106,15 @@ def model_batches(df: DataFrame, src: str, tgt: str,
             .withColumn("tgt_pad_mask", A.padding_mask(F.col("tgt_in"))))
 
 
+def batch_masks(batches: DataFrame, src: str, tgt_in: str = "tgt_in",
+                batch_cols: Sequence[str] = ("split", "batch_id")) -> DataFrame:
+    """F15 + F16 of :func:`model_batches`, one row per batch: the sides' padded lengths, ``src_mask`` (source x source, all
+    false) and ``tgt_mask`` (target x target, 0 on and below the diagonal, -inf above).  Every row of a batch has the
+    same lengths, so only two numbers a batch leave the tasks and the masks are made from them on read."""
+    sizes = batches.groupBy(*batch_cols).agg(F.max(F.size(src)).alias("src_len"), F.max(F.size(tgt_in)).alias("tgt_len"))
+    return sizes.withColumns({"src_mask": A.source_mask(F.col("src_len")), "tgt_mask": A.causal_mask(F.col("tgt_len"))})
+
+
 def causal_masks(lengths: DataFrame, n: str = "n") -> DataFrame:
     """F16: one mask per distinct length (joined to batches by length, a bounded broadcast)."""
     return lengths.select(n).distinct().withColumn("mask", A.causal_mask(F.col(n)))

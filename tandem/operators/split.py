@@ -5,12 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-MAX_OFFSET_ROWS = 1_000_000   # (bucket, group) pairs that dense_position may broadcast
+from ..session import scratch_table
+
 TEST_SIZE = 0.2      # first split: held-out test share (rounded up)
 VAL_SIZE = 0.125     # second split: share of the remainder held out as validation (rounded up)
 SEED = 1
@@ -24,118 +23,50 @@ def seeded_key(seed: int, *cols: str | Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 8), 16, 10).cast("bigint")
 
 
-def _tuple_le(cols, vals):
-    """Lexicographic ``(c1, c2, ...) <= (v1, v2, ...)`` as a Column."""
-    c, v = cols[0], F.lit(vals[0])
-    if len(cols) == 1:
-        return c <= v
-    return (c < v) | ((c == v) & _tuple_le(cols[1:], vals[1:]))
-
-
-def _bucket_tree(cols, bounds, lo: int = 0):
-    """Bucket index of the key tuple among sorted ``bounds`` by a binary search of comparisons."""
-    if not bounds:
-        return F.lit(lo)
-    mid = len(bounds) // 2
-    return F.when(_tuple_le(cols, bounds[mid]), _bucket_tree(cols, bounds[:mid], lo)) \
-        .otherwise(_bucket_tree(cols, bounds[mid + 1:], lo + mid + 1))
-
-
-def range_buckets(df: DataFrame, keys: Sequence[str], n: int, seed: int = 7,
-                  per_bucket: int = 16) -> Column:
-    """A range bucket (0..n-1) of the key tuple from bounds chosen on a sample of the keys.
-
-    The sample (about ``per_bucket * n`` key tuples, never the data) is taken once on the
-    driver, so the bucket is a fixed function of the row and every re-evaluation -- a retried
-    task, a lost executor -- puts a row in the same bucket.  A hot first key is split by the
-    next keys, since bounds are whole tuples."""
-    if n <= 1:
-        return F.lit(0)
-    cached = df.is_cached
-    key_rows = df.select(*keys) if cached else df.select(*keys).persist()
-    total = key_rows.count()
-    frac = min(1.0, per_bucket * n / max(total, 1))
-    sample = sorted(tuple(r) for r in key_rows.sample(False, frac, seed).collect())
-    if not cached:
-        key_rows.unpersist()
-    if not sample:
-        return F.lit(0)
-    bounds, seen = [], set()
-    for i in range(1, n):
-        b = sample[min(len(sample) - 1, i * len(sample) // n)]
-        if b not in seen:
-            seen.add(b)
-            bounds.append(b)
-    return _bucket_tree([F.col(k) for k in keys], sorted(bounds))
-
-
 def hash_key_buckets(key: str, n: int) -> Column:
-    """Range bucket of a uniform 32-bit key (``seeded_key``): no sampling needed."""
+    """Partition number (0..n-1) of a uniform 32-bit key (``seeded_key``), rising with it: no sampling needed."""
     return F.floor(F.col(key) * F.lit(n) / F.lit(4294967296)).cast("int")
 
 
 def dense_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
                    out: str = "pos", total: str | None = None,
-                   num_partitions: int | None = None, bucket: Column | None = None,
-                   persist: bool = True) -> DataFrame:
-    """0-based rank of every row inside its ``by`` group by the (unique) ``order`` columns.
-
-    No single-partition window.  Rows get a range bucket that is monotone in ``order`` (a
-    fixed function of the row, see :func:`range_buckets`), are hash-partitioned on it, sorted
-    locally and numbered with the partition-local row counter.  A small table of counts per
-    (bucket, group) -- at most ``buckets x groups`` rows, counted and checked before it is
-    broadcast -- supplies the offsets.  ``by`` must be a low-cardinality key (split, model).
-    ``total`` adds the group size.  With ``persist`` the bucketed rows are kept
-    (memory, then disk) so the count pass and the numbering pass share one computation of ``df``;
-    a lost block is recomputed from lineage and gets the same numbers (the bucket is a fixed
-    function of the row and rows are sorted on unique keys).
+                   num_partitions: int | None = None, bucket: Column | None = None) -> DataFrame:
+    """0-based rank of every row inside its ``by`` group by the (unique) ``order`` columns, as a prefix
+    scan in two levels.
+
+    1. Rows are dealt to ``num_partitions`` ordered partitions, sorted and written once to the shared folder
+       with the number of their partition and their place in it.  With ``bucket`` (a Column of partition
+       numbers that rises with ``order``, such as :func:`hash_key_buckets`) they go straight to that partition,
+       else by ranges of (``by``, ``order``), which split a hot group by the next columns.
+    2. Counts per (partition, group) are read from the written rows and summed over the partitions before;
+       this table is written too and joined by the size it has: broadcast when small, else by a shuffle.
+
+    Nothing goes through the driver and nothing is persisted: a lost executor reads the written rows again, and
+    a task that is retried while writing commits its file once.  ``by`` may have any number of groups; null
+    is a group of its own.  ``total`` adds the group size.  An empty input gives an empty result.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if bucket is None:
-        if not df.is_cached:
-            # the bound sample and the numbering pass then read one computation of the input
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        bucket = range_buckets(df, list(order), n)
-    # one task per bucket: the sort and numbering keep the full parallelism of the bucket count
-    parted = (df.withColumn("_b", bucket).repartition(n, "_b")
-              .sortWithinPartitions("_b", *by, *order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    if persist:
-        # the counts and the rows read one materialisation instead of computing the input twice
-        parted = parted.persist(StorageLevel.MEMORY_AND_DISK)
-    counts = parted.groupBy("_b", *by).agg(F.count(F.lit(1)).alias("_cnt"),
-                                           F.min("_mid").alias("_first"))
-    # the offsets table has one row per (bucket, group): collected with its size checked, the
-    # prefix sums are taken on the driver and the result is broadcast
-    rows = counts.limit(MAX_OFFSET_ROWS + 1).collect()
-    if len(rows) > MAX_OFFSET_ROWS:
-        raise ValueError(f"dense_position: more than {MAX_OFFSET_ROWS} (bucket, group) pairs; "
-                         f"'by' must be a low-cardinality key")
-    rows.sort(key=lambda r: (tuple((v is None, v) for v in (r[b] for b in by)), r["_b"]))
-    running: dict[tuple, int] = {}
-    sizes: dict[tuple, int] = {}
-    for r in rows:
-        g = tuple(r[b] for b in by)
-        sizes[g] = sizes.get(g, 0) + r["_cnt"]
-    table = []
-    for r in rows:
-        g = tuple(r[b] for b in by)
-        off = running.get(g, 0)
-        running[g] = off + r["_cnt"]
-        table.append((r["_b"], *g, r["_first"], off, sizes[g]))
-    schema = T.StructType([T.StructField("_b", parted.schema["_b"].dataType)]
-                          + [T.StructField(b, parted.schema[b].dataType) for b in by]
-                          + [T.StructField("_first", T.LongType()), T.StructField("_off", T.LongType()),
-                             T.StructField("_size", T.LongType())])
-    offsets = spark.createDataFrame(table, schema)
-    if total:
-        offsets = offsets.withColumnRenamed("_size", total)
-    else:
-        offsets = offsets.drop("_size")
-    return (parted.join(F.broadcast(offsets), ["_b", *by])
-            .withColumn(out, F.col("_off") + F.col("_mid") - F.col("_first"))
-            .drop("_b", "_mid", "_first", "_off"))
+    dealt = df.repartitionByRange(n, *by, *order) if bucket is None else df.repartitionById(n, bucket)
+    rows = scratch_table(dealt.sortWithinPartitions(*by, *order)
+                         .withColumn("_part", F.spark_partition_id())
+                         .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
+                         "positions")
+    # one row per (partition, group); a group's rows of a partition lie together, the first at _first
+    counts = rows.groupBy(*by, "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        *[F.col(b).alias(f"_by{i}") for i, b in enumerate(by)], F.col("_part").alias("_at"),
+        (F.coalesce(F.sum("_cnt").over(before), F.lit(0)) - F.col("_first")).alias("_off"),
+        *([F.sum("_cnt").over(group).alias("_size")] if total else []))
+    offsets = scratch_table(offsets, "offsets")
+    same = F.col("_part") == F.col("_at")
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"_by{i}"))
+    kept = [c for c in df.columns if c not in (out, total)]
+    return rows.join(offsets, same).select(
+        *kept, (F.col("_off") + F.col("_row")).alias(out), *([F.col("_size").alias(total)] if total else []))
 
 
 def seeded_order(df: DataFrame, key_cols: Sequence[str], seed: int = SEED,
@@ -164,15 +95,23 @@ def split_sizes(n: Column, test_size: float = TEST_SIZE, val_size: float = VAL_S
 
 def exact_split(df: DataFrame, key_cols: Sequence[str], seed: int = SEED,
                 test_size: float = TEST_SIZE, val_size: float = VAL_SIZE,
-                out: str = "split") -> DataFrame:
+                out: str = "split", pos: str | None = None, total: str | None = None) -> DataFrame:
     """Exact sizes -- ceil(0.2 n) test, then ceil(0.125 of the rest) val, the rest train --
-    over the seeded order.  One range exchange plus a bounded broadcast; no global window."""
+    over the seeded order.  One exchange of the rows; no global window.  ``pos`` and ``total`` add each row's place
+    in its split and the split's size, which batches need (W1): both follow from the rank by arithmetic."""
     ordered = seeded_order(df, key_cols, seed=seed, out="_rank", total="_n")
     n_test, n_val = split_sizes(F.col("_n"), test_size, val_size)
     r = F.col("_rank")
-    return (ordered.withColumn(out, F.when(r < n_test, "test")
-                               .when(r < n_test + n_val, "val").otherwise("train"))
-            .drop("_rank", "_n", "shuffle_key"))
+
+    def by_split(test, val, train):
+        return F.when(r < n_test, test).when(r < n_test + n_val, val).otherwise(train)
+
+    more = {out: by_split(F.lit("test"), F.lit("val"), F.lit("train"))}
+    if pos:
+        more[pos] = by_split(r, r - n_test, r - n_test - n_val).cast("bigint")
+    if total:
+        more[total] = by_split(n_test, n_val, F.col("_n") - n_test - n_val).cast("bigint")
+    return ordered.withColumns(more).drop("_rank", "_n", "shuffle_key")
 
 
 def hash_split(df: DataFrame, key_cols: Sequence[str], seed: int = SEED, out: str = "split",

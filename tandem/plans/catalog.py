@@ -59,9 +59,9 @@ C1_CTES = [
 C1_WITH = with_inputs("raw_news", "raw_titles", "raw_mined", extra=C1_CTES)
 
 
-def c1(spark, sf_dir) -> DataFrame:
+def c1(spark, sf_dir, positions: bool = False) -> DataFrame:
     return prepare_bitext(I.raw_news(spark, sf_dir), I.raw_titles(spark, sf_dir),
-                          I.raw_mined(spark, sf_dir), chars=SAMPLE_T2S_CHARS)
+                          I.raw_mined(spark, sf_dir), chars=SAMPLE_T2S_CHARS, positions=positions)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -471,18 +471,18 @@ from ..functions import arrays as AR  # noqa: E402
 from ..operators import batch as BA, metrics as ME  # noqa: E402
 
 
-def c1_ids(spark, sf_dir) -> DataFrame:
-    """C1 rows with word ids of both sides (doc vocabulary) and the seeded key."""
-    c = c1(spark, sf_dir)
-    ids = EN.word_ids_sides(c, ["corpus", "pair_id", "split"],
-                            {"en_ids": TX.pretok_words(F.lower("en")),
-                             "zh_ids": TX.pretok_words(F.lower("zh"))},
-                            doc_word_vocab(spark, sf_dir))
-    return ids.withColumn("shuffle_key", splitops.seeded_key(1, "corpus", "pair_id"))
+def c1_ids(spark, sf_dir, positions: bool = False) -> DataFrame:
+    """C1 rows with word ids of both sides (doc vocabulary)."""
+    c = c1(spark, sf_dir, positions)
+    return EN.word_ids_sides(c, [x for x in c.columns if x not in ("en", "zh")],
+                             {"en_ids": TX.pretok_words(F.lower("en")),
+                              "zh_ids": TX.pretok_words(F.lower("zh"))},
+                             doc_word_vocab(spark, sf_dir))
 
 
 def c1_batches(spark, sf_dir, size=BA.TRAIN_BATCH) -> DataFrame:
-    return BA.assign_batches(c1_ids(spark, sf_dir), ["shuffle_key", "corpus", "pair_id"], size)
+    """Batches by the place in the split that the exact split knows already."""
+    return BA.batches_at(c1_ids(spark, sf_dir, positions=True), size)
 
 
 IDS_CTES = WORD_VOCAB_CTES[:3] + [
@@ -521,8 +521,16 @@ def _sql_s(x):
 
 @register("assign_batches", IDS_WITH + "SELECT corpus, pair_id, split, batch_id, row_in_batch, n_batches FROM b128")
 def q_assign_batches(spark, sf_dir):
-    return c1_batches(spark, sf_dir).select("corpus", "pair_id", "split", "batch_id",
-                                            "row_in_batch", "n_batches")
+    """By a position of its own (any order and grouping); the other batch keys take the place in the split."""
+    rows = c1(spark, sf_dir).withColumn("shuffle_key", splitops.seeded_key(1, "corpus", "pair_id"))
+    return BA.assign_batches(rows.drop("en", "zh"), ["shuffle_key", "corpus", "pair_id"]).select(
+        "corpus", "pair_id", "split", "batch_id", "row_in_batch", "n_batches")
+
+
+@register("batches_at", IDS_WITH + "SELECT corpus, pair_id, split, batch_id, row_in_batch, n_batches FROM b128")
+def q_batches_at(spark, sf_dir):
+    return BA.batches_at(c1(spark, sf_dir, positions=True)).select(
+        "corpus", "pair_id", "split", "batch_id", "row_in_batch", "n_batches")
 
 
 @register("first_k_per_batch", IDS_WITH + "SELECT corpus, pair_id, split, batch_id, row_in_batch FROM b512 "
@@ -666,6 +674,20 @@ def q_model_batches(spark, sf_dir):
                     F.size(F.filter("src_pad_mask", lambda x: x)).alias("n_src_pad"))
 
 
+@register("batch_masks", IDS_WITH + """SELECT split, batch_id, CAST(s AS INTEGER) AS src_len, CAST(t AS INTEGER) AS tgt_len,
+        repeat('0', CAST(s * s AS INTEGER)) AS src_mask, array_to_string(flatten(list_transform(range(t), lambda i:
+            list_transform(range(t), lambda j: CASE WHEN j <= i THEN 0 ELSE 1 END))), '') AS tgt_mask
+    FROM (SELECT split, batch_id, max(len(psrc)) AS s, max(len(ptgt)) - 1 AS t FROM padded GROUP BY split, batch_id)""")
+def q_batch_masks(spark, sf_dir):
+    m = BA.batch_masks(BA.model_batches(c1_batches(spark, sf_dir), "en_ids", "zh_ids"), "en_ids")
+
+    def bits(mask, blocked):
+        return F.array_join(F.transform(F.flatten(mask), lambda v: F.when(blocked(v), "1").otherwise("0")), "")
+
+    return m.select("split", "batch_id", "src_len", "tgt_len", bits("src_mask", lambda v: v).alias("src_mask"),
+                    bits("tgt_mask", lambda v: v != 0.0).alias("tgt_mask"))
+
+
 @register("collate_udf", IDS_WITH + """SELECT corpus, pair_id, split, batch_id, row_in_batch,
         CAST(len(psrc) AS INTEGER) AS n_ids, array_to_string(psrc, ' ') AS ids FROM padded""")
 def q_collate_udf(spark, sf_dir):
@@ -995,7 +1017,7 @@ def q_sink_pairs_tsv(spark, sf_dir):
 
 def _write_splits(spark, sf_dir) -> str:
     path = scratch_path(spark, "encoded")
-    ENC.write_encoded(c1_ids(spark, sf_dir).drop("shuffle_key"), path, model="word")
+    ENC.write_encoded(c1_ids(spark, sf_dir), path, model="word")
     return path
 
 

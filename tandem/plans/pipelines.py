@@ -19,12 +19,14 @@ from ..sources.tsv import read_mined, read_pairs, read_titles
 def prepare_bitext(news_lines: DataFrame | None = None, titles_lines: DataFrame | None = None,
                    mined_lines: DataFrame | None = None, *, seed: int = SEED,
                    convert: str = "all", chars=None, phrases=None, prefix: str = "",
-                   min_margin: float | None = None, mode: str = "FAILFAST") -> DataFrame:
+                   min_margin: float | None = None, mode: str = "FAILFAST",
+                   positions: bool = False) -> DataFrame:
     """Raw corpora -> parse (S1-S3, P4) -> script conversion (F3, P3) -> union
     -> strip + non-empty (P1, P2) -> prefix (P6) -> exact seeded split (U2).
 
     Inputs are line frames (``pair_id, value``), e.g. from ``read_text_lines``.  Output:
-    ``corpus, pair_id, en, zh, split``.
+    ``corpus, pair_id, en, zh, split``; with ``positions`` also ``split_pos`` and ``split_size``, from which
+    batches follow without another shuffle (:func:`tandem.operators.batch.batches_at`).
     """
     frames = {}
     if news_lines is not None:
@@ -40,8 +42,9 @@ def prepare_bitext(news_lines: DataFrame | None = None, titles_lines: DataFrame
             .select("pair_id", "en", "zh")
     united = union_corpora(frames)
     cleaned = prefix_source(clean_pairs(united), prefix)
-    return exact_split(cleaned, ["corpus", "pair_id"], seed=seed).select(
-        "corpus", "pair_id", "en", "zh", "split")
+    more = ("split_pos", "split_size") if positions else (None, None)
+    return exact_split(cleaned, ["corpus", "pair_id"], seed=seed, pos=more[0], total=more[1]).select(
+        "corpus", "pair_id", "en", "zh", "split", *(more if positions else ()))
 
 
 def split_summary(df: DataFrame) -> DataFrame:

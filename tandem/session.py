@@ -97,10 +97,25 @@ def drop_path(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+_WRITTEN: list[str] = []
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back: later steps, and tasks that replace lost ones,
+    read the same rows.  :func:`release` deletes it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    _WRITTEN.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def release(spark: SparkSession) -> None:
-    """Drop the intermediates operators persisted (bucketed rows, vocabularies, BPE word tables)
+    """Drop the intermediates operators persisted or wrote (positions, vocabularies, BPE word tables)
     once their results have been consumed."""
     spark.catalog.clearCache()
+    while _WRITTEN:
+        drop_path(spark, _WRITTEN.pop())
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

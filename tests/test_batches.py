@@ -29,6 +29,16 @@ def test_shift_and_masks(spark):
     assert r[0] == [2, 5, 6, 3] and r[1] == [5, 6, 3, 1] and r[2] == [False] * 4 + [True]
 
 
+def test_square_masks_of_a_batch(spark):
+    df = spark.createDataFrame([("train", 0, [4, 5], [6]), ("train", 0, [4], [6, 7]), ("val", 0, [], [])],
+                               "split string, batch_id long, s array<int>, t array<int>")
+    m = {r["split"]: r for r in B.batch_masks(B.model_batches(df, "s", "t"), "s").collect()}
+    inf = float("-inf")
+    assert m["train"]["src_mask"] == [[False] * 4] * 4 and m["train"]["src_len"] == 4
+    assert m["train"]["tgt_mask"] == [[0.0, inf, inf], [0.0, 0.0, inf], [0.0, 0.0, 0.0]]
+    assert m["val"]["src_mask"] == [[False] * 2] * 2 and m["val"]["tgt_mask"] == [[0.0]]
+
+
 def test_batches_transpose_and_pad(spark):
     rows = [("train", i, list(range(4, 4 + (i % 3) + 1))) for i in range(10)]
     df = spark.createDataFrame(rows, "split string, k long, ids array<int>") \

@@ -45,13 +45,28 @@ def test_dense_position_by_group(spark):
         assert r["pos"] == r["id"] // 3 and r["n"] == 100
 
 
-def test_rows_shuffle_on_bucket_not_single_partition(spark):
-    """The rows move through a hash exchange on the range bucket; only the small per-bucket count
-    table is windowed (and broadcast)."""
+def test_positions_are_a_scan_of_written_rows(spark):
+    """What is returned reads two written tables: no shuffle of rows, no single partition, nothing persisted, at any
+    number of partitions."""
     df = spark.range(1000).withColumnRenamed("id", "pair_id")
-    plan = S.exact_split(df, ["pair_id"])._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(_b" in plan
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    for n in (200, 2000):
+        ordered = df.withColumn("k", S.seeded_key(1, "pair_id"))
+        out = S.dense_position(ordered, ["k", "pair_id"], num_partitions=n, bucket=S.hash_key_buckets("k", n), total="n")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+        for bad in ("hashpartitioning", "rangepartitioning", "SinglePartition", "InMemoryTableScan"):
+            assert bad not in plan, bad
+        assert sorted(r["pos"] for r in out.collect()) == list(range(1000))
+
+
+def test_places_in_the_split(spark):
+    df = spark.range(503).withColumnRenamed("id", "pair_id")
+    rows = S.exact_split(df, ["pair_id"], pos="p", total="n").collect()
+    again = S.dense_position(S.exact_split(df, ["pair_id"]).withColumn("k", S.seeded_key(1, "pair_id")),
+                             ["k", "pair_id"], by=["split"], total="n").collect()
+    assert {(r["pair_id"], r["split"], r["p"], r["n"]) for r in rows} == {
+        (r["pair_id"], r["split"], r["pos"], r["n"]) for r in again}
+    assert S.exact_split(df.limit(0), ["pair_id"], pos="p", total="n").collect() == []
 
 
 def test_hash_split_rates(spark):
@@ -73,12 +88,28 @@ def test_exact_split_independent_of_shuffle_partitions(spark):
     assert results[0] == results[1]
 
 
-def test_dense_position_rejects_unbounded_groups(spark, monkeypatch):
-    import pytest
-    monkeypatch.setattr(S, "MAX_OFFSET_ROWS", 10)
-    df = spark.range(100).select((F.col("id") % 50).alias("g"), "id")
-    with pytest.raises(ValueError):
-        S.dense_position(df, ["id"], by=["g"])
+def test_many_groups_null_group_and_clashing_columns(spark):
+    """Any number of groups, null as a group of its own, a column named like the result, the written tables
+    deleted on release."""
+    import os
+
+    from tandem import session
+    df = spark.range(3000).select(F.when(F.col("id") % 10 > 0, F.col("id") % 1000).alias("g"), "id", F.lit("x").alias("pos"))
+    out = S.dense_position(df, ["id"], by=["g"], total="n").collect()
+    groups = {}
+    for r in sorted(out, key=lambda r: r["id"]):
+        groups.setdefault(r["g"], []).append((r["pos"], r["n"]))
+    assert len(out) == 3000 and len(groups) == 901 and len(groups[None]) == 300
+    assert all(v == [(i, len(v)) for i in range(len(v))] for v in groups.values())
+    large = S.dense_position(df, ["id"], by=["g"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")       # offsets too large to broadcast
+    try:
+        assert sorted((r["id"], r["pos"]) for r in large.collect()) == sorted((r["id"], r["pos"]) for r in out)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    written = list(session._WRITTEN)
+    session.release(spark)
+    assert written and not any(os.path.exists(w) for w in written)
 
 
 def test_word_vocab_golden(spark):
@@ -91,17 +122,17 @@ def test_word_vocab_golden(spark):
     assert first == {0: "<unk>", 1: "<pad>", 2: "<bos>", 3: "<eos>"}
 
 
-def test_hot_first_key_is_split_across_buckets(spark):
-    """A third of the rows share one first key: bounds are whole key tuples, so that key's rows
-    still spread over several buckets, and the positions stay exact."""
+def test_hot_first_key_is_split_across_partitions(spark):
+    """A third of the rows share one first key or one group: ranges are of whole key tuples, so its rows still spread
+    over several partitions, and the positions stay exact."""
     n = 3000
     df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
-                               F.col("id")).cache()
-    bucket = S.range_buckets(df, ["k", "id"], 8)
-    sizes = [r["count"] for r in df.select(bucket.alias("b")).groupBy("b").count().collect()]
-    assert max(sizes) < n / 4
-    hot = df.where(F.col("k") == 0).select(bucket.alias("b")).distinct().count()
-    assert hot >= 2
+                               F.col("id"))
+    dealt = df.repartitionByRange(8, "k", "id").withColumn("b", F.spark_partition_id())
+    assert max(r["count"] for r in dealt.groupBy("b").count().collect()) < n / 4
+    assert dealt.where(F.col("k") == 0).select("b").distinct().count() >= 2
     expected = {t: i for i, t in enumerate(sorted((r["k"], r["id"]) for r in df.collect()))}
     out = S.dense_position(df, ["k", "id"]).collect()
     assert all(expected[(r["k"], r["id"])] == r["pos"] for r in out)
+    grouped = S.dense_position(df, ["id"], by=["k"]).where("k = 0").collect()
+    assert sorted(r["pos"] for r in grouped) == list(range(n // 3))
