@@ -3,14 +3,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import ahocorasick
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import py_strip
+from .encode import SHIP_BYTES
 
 # A few Traditional -> Simplified entries, enough for tests and examples.  Real
 # dictionaries are passed in as tables (the full public dictionaries are not shipped).
@@ -52,16 +54,21 @@ def margin_filter(df: DataFrame, threshold: float, col: str = "score") -> DataFr
 # Script conversion
 # ---------------------------------------------------------------------------------------------
 
-def _as_mapping(table) -> dict[str, str]:
+def _as_mapping(table, max_bytes: int = SHIP_BYTES) -> dict[str, str]:
+    """A dictionary given as a mapping or as a DataFrame (source, target).  Of several targets of a source the smallest
+    is taken; rows with a null are left out.  A table is sized before it is brought over: more than
+    ``max_bytes`` is refused."""
     if table is None:
         return {}
     if isinstance(table, Mapping):
         return dict(table)
-    # a DataFrame (src, dst): dictionaries are reference data with a fixed bound (a few
-    # thousand entries), so bringing them to the driver to build the expression is safe
-    from .encode import bounded_collect
-    rows = bounded_collect(table.select(*table.columns[:2]), what="dictionary")
-    return {r[0]: r[1] for r in rows}
+    rows = table.toDF("src", "dst").dropna().groupBy("src").agg(F.min("dst").alias("dst")).persist()
+    size = rows.agg(F.sum(F.octet_length("src") + F.octet_length("dst") + 16)).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"a dictionary of {size} bytes; at most {max_bytes} are sent to the tasks")
+    found = rows.orderBy("src").toArrow()
+    rows.unpersist()
+    return dict(zip(found["src"].to_pylist(), found["dst"].to_pylist()))
 
 
 def convert_chars(col: Column | str, chars) -> Column:
@@ -73,40 +80,58 @@ def convert_chars(col: Column | str, chars) -> Column:
     return F.translate(c, "".join(mapping), "".join(mapping.values()))
 
 
-def _longest_match_py(text: str, phrases: dict[str, str], max_len: int) -> str:
-    out, i, n = [], 0, len(text)
-    while i < n:
-        for L in range(min(max_len, n - i), 1, -1):
-            rep = phrases.get(text[i:i + L])
-            if rep is not None:
-                out.append(rep)
-                i += L
-                break
-        else:
-            out.append(text[i])
-            i += 1
-    return "".join(out)
+_BUILT: dict[str, ahocorasick.Automaton] = {}
 
 
-def convert_script(col: Column | str, chars=None, phrases=None) -> Column:
-    """phrases by longest match first (pandas UDF over a broadcast dictionary), then the
-    character table (JVM).  Without phrases everything stays in the JVM."""
+def _automaton(name: str, phrases: dict[str, str]) -> ahocorasick.Automaton:
+    """The automaton of a dictionary, built once a worker process (the one in use is kept)."""
+    if name not in _BUILT:
+        auto = ahocorasick.Automaton()
+        for src, dst in phrases.items():
+            auto.add_word(src, (len(src), dst))
+        auto.make_automaton()
+        _BUILT.clear()
+        _BUILT[name] = auto
+    return _BUILT[name]
+
+
+def replace_phrases(text: str, auto: ahocorasick.Automaton) -> str:
+    """``text`` with its leftmost-longest phrases replaced.  The automaton names all occurrences by rising end, so the last
+    one of a start is its longest."""
+    longest = {end - n + 1: (n, dst) for end, (n, dst) in auto.iter(text)}
+    out, at = [], 0
+    for start in sorted(longest):
+        if start >= at:
+            n, dst = longest[start]
+            out += [text[at: start], dst]
+            at = start + n
+    return "".join([*out, text[at:]]) if out else text
+
+
+def convert_phrases(col: Column | str, phrases) -> Column:
+    """phrases of a dictionary (mapping or table) replaced leftmost-longest by one automaton over all of them, Arrow
+    batches in the row, for batch and streaming frames alike.  A null stays null; an empty dictionary changes nothing; time
+    grows with the text and the occurrences in it, not with the dictionary or the length of its phrases."""
     c = F.col(col) if isinstance(col, str) else col
+    phrase_map = {k: v for k, v in _as_mapping(phrases).items() if k}
+    if not phrase_map:
+        return c
+    sent = SparkSession.getActiveSession().sparkContext.broadcast(phrase_map)
+    name = uuid.uuid4().hex
+
+    @F.arrow_udf("string")
+    def convert(rows: pa.Array) -> pa.Array:
+        auto = _automaton(name, sent.value)
+        return pa.array([x if x is None else replace_phrases(x, auto) for x in rows.to_pylist()], pa.string())
+
+    return convert(c)
+
+
+def convert_script(col: Column | str, chars=None, phrases=None) -> Column:
+    """F3 then J5: phrases by leftmost-longest match, then the character table (JVM).  Without phrases everything stays in
+    the JVM."""
     phrase_map = {k: v for k, v in _as_mapping(phrases).items() if len(k) > 1}
-    if phrase_map:
-        max_len = max(len(k) for k in phrase_map)
-        first = {k[0] for k in phrase_map}
-        from pyspark.sql import SparkSession
-        bc = SparkSession.getActiveSession().sparkContext.broadcast(phrase_map)
-
-        @F.pandas_udf(T.StringType())
-        def _phrases(s: pd.Series) -> pd.Series:
-            table = bc.value
-            return s.map(lambda x: _longest_match_py(x, table, max_len)
-                         if any(ch in first for ch in x) else x, na_action="ignore")
-
-        c = _phrases(c)
-    return convert_chars(c, chars)
+    return convert_chars(convert_phrases(col, phrase_map), chars)
 
 
 def convert_where(df: DataFrame, col: str = "zh", tag_col: str = "to_lang",

@@ -269,6 +269,30 @@ def q_script_convert(spark, sf_dir):
         "pair_id", clean.convert_script("zh", SAMPLE_T2S_CHARS).alias("zh"))
 
 
+PHRASE_LETTERS = 12         # words of so many letters, and their first four letters, are the phrases of the query's dictionary
+
+
+def phrase_table(spark, sf_dir) -> DataFrame:
+    """A dictionary (source, target) from the table's own words: long words turn round, their first four letters, where no
+    phrase covers them, into capitals.  Short phrases begin longer ones, so the longest match decides."""
+    words = I.bitext(spark, sf_dir).select(F.explode(F.regexp_extract_all(
+        F.lower("zh"), F.lit(f"[a-z]{{{PHRASE_LETTERS},}}"), F.lit(0))).alias("w")).distinct()
+    return words.select("w", F.reverse("w").alias("dst")).unionByName(
+        words.select(F.substring("w", 1, 4).alias("w"), F.upper(F.substring("w", 1, 4)).alias("dst")).distinct())
+
+
+@register("phrase_convert", with_inputs("bitext", extra=[
+    ("words", f"SELECT DISTINCT unnest(regexp_extract_all(lower(zh), '[a-z]{{{PHRASE_LETTERS},}}')) AS w FROM bitext"),
+    ("phrases", "SELECT w AS src, reverse(w) AS dst FROM words UNION SELECT w[1:4], upper(w[1:4]) FROM words"),
+    ("pattern", "SELECT string_agg(src, '|' ORDER BY len(src) DESC, src) || '|[\\s\\S]' AS p FROM phrases"),
+    ("dict", "SELECT map_from_entries(list((src, dst))) AS m FROM phrases")]) +
+          """SELECT pair_id, coalesce(array_to_string(list_transform(regexp_extract_all(lower(zh), p),
+        lambda x: coalesce(m[x], x)), ''), '') AS zh FROM bitext, pattern, dict""")
+def q_phrase_convert(spark, sf_dir):
+    return I.bitext(spark, sf_dir).select(
+        "pair_id", clean.convert_phrases(F.lower("zh"), phrase_table(spark, sf_dir)).alias("zh"))
+
+
 @register("zh_tokens", with_inputs("bitext") +
           f"SELECT pair_id, {_zh_tokens_sql('en')} AS tokens FROM bitext")
 def q_zh_tokens(spark, sf_dir):

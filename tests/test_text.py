@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tandem.functions import text as TX
+from tandem.operators import clean
 
 
 def one(spark, col, value):
@@ -95,3 +96,49 @@ def test_script_conversion_chars_and_phrases(spark):
     some = {r[0]: r[1] for r in C.convert_where(df, mode="non_simplified", chars=chars)
             .select("pair_id", "zh").collect()}
     assert allc == {"x": "软", "y": "软"} and some == {"x": "軟", "y": "软"}
+
+
+def brute_phrases(text, phrases):
+    out, i = [], 0
+    while i < len(text):
+        n = next((n for n in range(len(text) - i, 0, -1) if text[i:i + n] in phrases), 0)
+        out.append(phrases[text[i:i + n]] if n else text[i])
+        i += n or 1
+    return "".join(out)
+
+
+def test_phrases_equal_brute_force():
+    import random
+    rnd = random.Random(1)
+    for k in range(3000):
+        phrases = {"".join(rnd.choice("abc") for _ in range(rnd.randint(1, 5))): rnd.choice(["X", "", "YZ", "a"])
+                   for _ in range(rnd.randint(1, 6))}
+        text = "".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 14)))
+        assert clean.replace_phrases(text, clean._automaton(f"d{k}", phrases)) == brute_phrases(text, phrases), (phrases, text)
+
+
+def test_phrase_dictionary_as_a_table(spark):
+    """Nulls in rows and table, repeated sources, an empty table, two dictionaries in one plan, a long text, a size bound."""
+    import pytest
+    table = spark.createDataFrame([("軟體", "软件"), ("軟體", "软体"), ("軟體工程", "软件工程"), (None, "x"), ("y", None), ("", "z")],
+                                  "src string, dst string")
+    rows = [(1, "做軟體工程的軟體y"), (2, ""), (3, None), (4, "軟" * 500_000 + "軟體")]
+    df = spark.createDataFrame(rows, "i int, x string").repartition(2)
+    got = {r["i"]: (r["a"], r["b"]) for r in df.select(
+        "i", clean.convert_phrases("x", table).alias("a"), clean.convert_phrases("x", {"的": ""}).alias("b")).collect()}
+    # of two targets of a source the smaller one by code point
+    assert got[1] == ("做软件工程的" + min("软件", "软体") + "y", "做軟體工程軟體y")
+    assert got[2] == ("", "") and got[3] == (None, None) and len(got[4][0]) == 500_002 and "軟體" not in got[4][0]
+    assert [r["a"] for r in df.where("i < 3").orderBy("i").select(clean.convert_phrases("x", table.limit(0)).alias("a")).collect()] == [
+        rows[0][1], ""]
+    with pytest.raises(ValueError):
+        clean._as_mapping(table, max_bytes=10)
+
+
+def test_phrases_on_a_stream(spark, tmp_path):
+    spark.createDataFrame([("ab cabd",), (None,)], "x string").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("x string").parquet(str(tmp_path / "in"))
+    query = (stream.select(clean.convert_phrases("x", {"ab": "1", "abd": "2"}).alias("x")).writeStream.format("parquet")
+             .option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start(str(tmp_path / "out")))
+    query.awaitTermination()
+    assert {r["x"] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {"1 c2", None}
