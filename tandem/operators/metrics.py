@@ -153,10 +153,10 @@ def masked_loss(df: DataFrame, scores: str = "scores", label: str = "label",
                                    F.count(F.lit(1)).alias("n_rows"))
 
 
-def eval_loss(batch_losses: DataFrame, weighting: str = "batch") -> DataFrame:
+def eval_loss(batch_losses: DataFrame, weighting: str = "batch", by: Sequence[str] = ()) -> DataFrame:
     """Mean of batch means (``"batch"``, RNN/Transformer) or row-weighted (``"row"``, the
-    trainer's); both reported, ``loss`` is the chosen one."""
-    agg = batch_losses.agg(F.avg("loss").alias("loss_batch_mean"),
+    trainer's); both reported, ``loss`` is the chosen one.  ``by`` gives one row per group, such as a split."""
+    agg = batch_losses.groupBy(*by).agg(F.avg("loss").alias("loss_batch_mean"),
                            (F.sum(F.col("loss") * F.col("n_rows")) / F.sum("n_rows")).alias("loss_row_mean"),
                            F.count(F.lit(1)).alias("n_batches"))
     chosen = "loss_batch_mean" if weighting == "batch" else "loss_row_mean"
@@ -189,7 +189,8 @@ def evaluate(pred: DataFrame, ref: DataFrame, tokenize, key: str = "pair_id",
              by: Sequence[str] = (), losses: DataFrame | None = None, model: str = "model",
              weighting: str = "batch") -> DataFrame:
     """Predictions + references (joined by key, J2) -> BLEU (A7, A8) and, when given,
-    the loss (A10 -> A11), as a long ``model, split, metric, value`` table (S10)."""
+    the loss (A10 -> A11), as a long ``model, split, metric, value`` table (S10).  The loss is reported per split if
+    ``losses`` has the column ``by[0]``, else once for ``all``."""
     keys = [key] if isinstance(key, str) else list(key)
     j = pred.join(ref, keys)
     toks = j.select(*keys, *by, tokenize(F.col("pred")).alias("h"), tokenize(F.col("ref")).alias("r"))
@@ -202,8 +203,9 @@ def evaluate(pred: DataFrame, ref: DataFrame, tokenize, key: str = "pair_id",
                         F.struct(F.lit("ref_len").alias("metric"), F.col("ref_len").cast("double").alias("value")),
                     )).alias("m")).select("model", "split", "m.metric", "m.value")
     if losses is not None:
-        l = eval_loss(losses, weighting).select(
-            F.lit(model).alias("model"), F.lit("all").alias("split"),
+        own = [c for c in by[:1] if c in losses.columns]
+        l = eval_loss(losses, weighting, own).select(
+            F.lit(model).alias("model"), (F.col(own[0]).cast("string") if own else F.lit("all")).alias("split"),
             F.lit("loss").alias("metric"), F.col("loss").alias("value"))
         rows = rows.unionByName(l)
     return rows

@@ -103,3 +103,17 @@ def test_clipped_counts_equal_counters(spark):
 def test_bleu_stats_of_no_rows(spark):
     df = spark.createDataFrame([], "pair_id long, h array<string>, r array<string>")
     assert M.bleu_stats(df, "h", "r").count() == 0
+
+
+def test_evaluate_reports_the_loss_per_split(spark):
+    rows = [(1, "val", "a b c d", "a b c d"), (2, "test", "a b", "a c")]
+    pred = spark.createDataFrame(rows, "pair_id long, split string, pred string, ref string")
+    losses = spark.createDataFrame([("val", 1.0, 1), ("val", 3.0, 3), ("test", 5.0, 2)], "split string, loss double, n_rows long")
+    args = dict(by=["split"], tokenize=TX.pretok_words)
+    split = {(r["split"], r["metric"]): r["value"] for r in M.evaluate(
+        pred.drop("ref"), pred.select("pair_id", "ref"), losses=losses, **args).collect()}
+    assert split["val", "loss"] == 2.0 and split["test", "loss"] == 5.0 and split["val", "bleu"] > 0.99
+    rowed = M.evaluate(pred.drop("ref"), pred.select("pair_id", "ref"), losses=losses, weighting="row", **args)
+    assert {r["split"]: r["value"] for r in rowed.where("metric = 'loss'").collect()} == {"val": 2.5, "test": 5.0}
+    whole = M.evaluate(pred.drop("ref"), pred.select("pair_id", "ref"), losses=losses.drop("split"), **args)
+    assert [(r["split"], r["value"]) for r in whole.where("metric = 'loss'").collect()] == [("all", 3.0)]
