@@ -248,7 +248,25 @@ def q_pretok_words(spark, sf_dir):
                                              F.array_join(t, " ").alias("tokens"))
 
 
-@register("pretok_bytes")
+# The split pattern without its look-ahead: a mark before the last white space of a run that a character follows.
+SPACE_SQL = r"[\s\x0B\x{85}\p{Z}]"
+NO_SPACE_SQL = r"[^\s\x0B\x{85}\p{Z}]"
+SPACE_MARK = "\ue000"
+BYTE_PIECES_RE = (r"''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\x0B\x{85}\p{Z}\p{L}\p{N}" + SPACE_MARK + "]+|"
+                  + SPACE_SQL + "+")
+
+
+def _byte_pieces_sql(x: str) -> str:
+    """F5 in SQL: the pieces of ``x`` with a space in front, each as the symbols of its UTF-8 bytes (null: null)."""
+    symbols = "".join(TX.BYTE_TO_CHAR[b] for b in range(256)).replace("'", "''")
+    marked = (f"regexp_replace(CASE WHEN starts_with({x}, ' ') THEN {x} ELSE ' ' || {x} END, "
+              f"'({SPACE_SQL})({NO_SPACE_SQL})', '{SPACE_MARK}\\1\\2', 'g')")
+    return (f"list_transform(regexp_extract_all({marked}, '{BYTE_PIECES_RE}'), lambda p: array_to_string(list_transform("
+            f"range(strlen(p)), lambda i: substring('{symbols}', ('0x' || hex(p)[2 * i + 1:2 * i + 2])::INTEGER + 1, 1)), ''))")
+
+
+@register("pretok_bytes", with_inputs("bitext") + f"""SELECT pair_id, CAST(len(t) AS INTEGER) AS n_pieces, array_to_string(t, ' ') AS pieces
+    FROM (SELECT pair_id, {_byte_pieces_sql('zh')} AS t FROM bitext)""")
 def q_pretok_bytes(spark, sf_dir):
     t = TX.pretok_bytes("zh")
     return I.bitext(spark, sf_dir).select("pair_id", F.size(t).alias("n_pieces"),
@@ -281,11 +299,15 @@ def phrase_table(spark, sf_dir) -> DataFrame:
         words.select(F.substring("w", 1, 4).alias("w"), F.upper(F.substring("w", 1, 4)).alias("dst")).distinct())
 
 
-@register("phrase_convert", with_inputs("bitext", extra=[
+PHRASE_CTES = [
     ("words", f"SELECT DISTINCT unnest(regexp_extract_all(lower(zh), '[a-z]{{{PHRASE_LETTERS},}}')) AS w FROM bitext"),
     ("phrases", "SELECT w AS src, reverse(w) AS dst FROM words UNION SELECT w[1:4], upper(w[1:4]) FROM words"),
     ("pattern", "SELECT string_agg(src, '|' ORDER BY len(src) DESC, src) || '|[\\s\\S]' AS p FROM phrases"),
-    ("dict", "SELECT map_from_entries(list((src, dst))) AS m FROM phrases")]) +
+    ("dict", "SELECT map_from_entries(list((src, dst))) AS m FROM phrases"),
+]
+
+
+@register("phrase_convert", with_inputs("bitext", extra=PHRASE_CTES) +
           """SELECT pair_id, coalesce(array_to_string(list_transform(regexp_extract_all(lower(zh), p),
         lambda x: coalesce(m[x], x)), ''), '') AS zh FROM bitext, pattern, dict""")
 def q_phrase_convert(spark, sf_dir):
@@ -312,7 +334,10 @@ def q_cleanup_spaces(spark, sf_dir):
     return I.bitext(spark, sf_dir).select("pair_id", TX.cleanup_spaces(toks).alias("text"))
 
 
-@register("tokenizer_by_lang")
+@register("tokenizer_by_lang", with_inputs("bitext") + f"""SELECT pair_id,
+        array_to_string(regexp_extract_all(strip_accents(lower(en)), {WORD_RE_SQL}), ' ') AS en_tokens,
+        array_to_string({_byte_pieces_sql('x')}, ' ') AS zh_tokens
+    FROM (SELECT pair_id, en, strip_accents(lower(zh)) AS x FROM bitext)""")
 def q_tokenizer_by_lang(spark, sf_dir):
     from ..operators.bpe import tokenizer_for
     en, zh = tokenizer_for("en"), tokenizer_for("zh")
@@ -457,12 +482,16 @@ def q_bpe_merges(spark, sf_dir):
 
 @register("tokenizer_tables")
 def q_tokenizer_tables(spark, sf_dir):
+    """Both tables of the written tokenizer: entries by id, merges (token, right) by rank."""
     from ..session import scratch_path
     m = _train(spark, sf_dir, "zh")
     path = scratch_path(spark, "tokenizer")
     VO.save_tokenizer(m.vocab_frame(spark), m.merges_frame(spark), path)
-    vocab, _ = VO.load_tokenizer(spark, path)
-    return vocab
+    vocab, merges = VO.load_tokenizer(spark, path)
+    none = F.lit(None).cast("string")
+    return (vocab.select(F.lit("vocab").alias("part"), F.col("id").alias("place"), "token", none.alias("right"))
+            .unionByName(merges.select(F.lit("merges").alias("part"), F.col("rank").alias("place"),
+                                       F.col("left").alias("token"), "right")))
 
 
 @register("bpe_encode", C1_EN_WITH + f""", alphabet AS (SELECT DISTINCT unnest(string_split(word, '')) AS ch FROM en_words),
@@ -487,6 +516,18 @@ def q_bpe_ids(spark, sf_dir):
     return enc.select("corpus", "pair_id", F.size("ids").alias("n_ids"), ids_str("ids").alias("ids"))
 
 
+@register("byte_decode", C1_WITH + """SELECT corpus, pair_id, CASE WHEN starts_with(x, ' ') THEN x ELSE ' ' || x END AS text
+    FROM (SELECT corpus, pair_id, strip_accents(lower(zh)) AS x FROM c1)""")
+def q_byte_decode(spark, sf_dir):
+    """F7 then F18 at byte level: the second side under its own model and back from the ids; a normalised sentence
+    whose bytes were all seen in training comes back whole, with the space that the pre-tokeniser puts in front."""
+    model = _train(spark, sf_dir, "zh")
+    c = c1(spark, sf_dir).select(F.to_json(F.struct("corpus", "pair_id")).alias("uid"), "zh")
+    text = BP.bpe_decode(BP.bpe_encode(c, "zh", model, key="uid"), "ids", model, key="uid")
+    k = F.from_json("uid", "corpus string, pair_id bigint")
+    return text.select(k["corpus"].alias("corpus"), k["pair_id"].alias("pair_id"), "text")
+
+
 # ---------------------------------------------------------------------------------------------
 # 4. Batches
 # ---------------------------------------------------------------------------------------------
@@ -878,6 +919,18 @@ def q_empty_refs(spark, sf_dir):
     return clean.empty_refs(d, ref="ref", batch=("split", "batch_id"), pos="row_in_batch")
 
 
+@register("empty_raw_refs", with_inputs("raw_bad") + f"""SELECT * FROM (SELECT batch_id, pos, ref, lag(ref) OVER w AS prev_ref, lead(ref) OVER w AS next_ref
+    FROM (SELECT row_number() OVER (ORDER BY pair_id) - 1 AS pos, pos // 512 AS batch_id, f[2] AS ref
+          FROM {_split_sql('raw_bad')} WHERE len(f) = 2)
+    WINDOW w AS (PARTITION BY batch_id ORDER BY pos)) WHERE length({sql_strip('ref')}) = 0""")
+def q_empty_raw_refs(spark, sf_dir):
+    """P10 / W2 before any cleaning: the raw second sides, some of them blank, in batches by position."""
+    raw = tsv.read_pairs(I.raw_bad(spark, sf_dir), mode="DROPMALFORMED")
+    pos = splitops.dense_position(raw.select("pair_id", F.col("zh").alias("ref")), ["pair_id"], out="pos")
+    pos = pos.select(F.floor(F.col("pos") / BA.EVAL_BATCH).cast("bigint").alias("batch_id"), F.col("pos").cast("bigint"), "ref")
+    return clean.empty_refs(pos, ref="ref", batch="batch_id", pos="pos")
+
+
 @register("scoreboard", with_inputs("labels_long") + """SELECT k.split, k.metric, m.model, round(l.value, 4) AS value
     FROM (SELECT DISTINCT split, metric FROM labels_long) k CROSS JOIN
         (SELECT DISTINCT model FROM labels_long WHERE model IS NOT NULL) m
@@ -906,6 +959,42 @@ def q_evaluate(spark, sf_dir):
     return rep.select("model", "split", "metric", F.round("value", 6).alias("value"))
 
 
+EVAL_IDS_CTES = [
+    ("sampled", "SELECT corpus || ':' || CAST(pair_id AS VARCHAR) AS uid, split, en_ids || [3] || zh_ids AS p, zh_ids AS r "
+                "FROM b512 WHERE row_in_batch < 2"),
+    ("id_rows", """SELECT uid, 'h' AS side, unnest(ids) AS id, unnest(range(1, len(ids) + 1)) AS at
+            FROM (SELECT uid, p[1:list_position(p, 3) - 1] AS ids FROM sampled)
+        UNION ALL SELECT uid, 'r', unnest(r), unnest(range(1, len(r) + 1)) FROM sampled"""),
+    ("spelled", """SELECT uid, side, string_agg(v.token, ' ' ORDER BY i.at) AS text
+        FROM id_rows i JOIN word_vocab v ON v.id = i.id WHERE i.id > 3 GROUP BY uid, side"""),
+    ("texts", """SELECT s.uid, s.split, coalesce(h.text, '') AS ht, coalesce(r.text, '') AS rt FROM sampled s
+        LEFT JOIN spelled h ON h.uid = s.uid AND h.side = 'h' LEFT JOIN spelled r ON r.uid = s.uid AND r.side = 'r'"""),
+] + bleu_ctes(f"SELECT uid, split, {_zh_tokens_sql(_cleanup_sql('ht'))} AS h, {_zh_tokens_sql(_cleanup_sql('rt'))} AS r FROM texts",
+              keys="uid", by="split") + [
+    ("cb", corpus_bleu_sql("split")), ("nll", LOGITS_NLL_SQL),
+    ("split_losses", """SELECT split, avg(nll) AS loss FROM (SELECT *, CASE WHEN b < 200 THEN 'test' WHEN b < 300 THEN 'val' ELSE 'train' END AS split
+            FROM (SELECT *, ('0x' || substr(md5('1:' || CAST(vec_id AS VARCHAR)), 1, 8))::BIGINT % 1000 AS b FROM nll))
+        WHERE label <> 1 GROUP BY split, batch_id""")]
+
+
+@register("evaluate_ids", with_inputs("raw_news", "raw_titles", "raw_mined", "logits", extra=C1_CTES + IDS_CTES + EVAL_IDS_CTES) +
+    """SELECT 'ids' AS model, split, 'bleu' AS metric, bleu AS value FROM cb
+    UNION ALL SELECT 'ids', split, 'hyp_len', CAST(hyp_len AS DOUBLE) FROM cb
+    UNION ALL SELECT 'ids', split, 'ref_len', CAST(ref_len AS DOUBLE) FROM cb
+    UNION ALL SELECT 'ids', split, 'loss', round(avg(loss), 6) FROM split_losses GROUP BY split""")
+def q_evaluate_ids(spark, sf_dir):
+    """C5 from ids: the first rows of every batch, predictions cut at their end, both sides decoded and cleaned up,
+    BLEU and loss per split."""
+    b = c1_batches(spark, sf_dir, BA.EVAL_BATCH).select(
+        F.concat_ws(":", "corpus", "pair_id").alias("uid"), "split", "batch_id", "row_in_batch",
+        F.concat("en_ids", F.array(F.lit(AR.EOS_ID)), "zh_ids").alias("pred_ids"), F.col("zh_ids").alias("ref_ids"))
+    scores = splitops.hash_split(I.logits(spark, sf_dir), ["vec_id"])
+    losses = ME.masked_loss(scores, batch=["split", "batch_id"])
+    rep = ME.evaluate_ids(b, "pred_ids", "ref_ids", doc_word_vocab(spark, sf_dir), TX.zh_tokens, key="uid", by=["split"],
+                          cut_eos=True, first_k=2, cleanup=True, losses=losses, model="ids")
+    return rep.select("model", "split", "metric", F.round("value", 6).alias("value"))
+
+
 REPORT_CTES = bleu_ctes(f"SELECT corpus, pair_id, split, {_zh_tokens_sql('en')} AS h, {_zh_tokens_sql('zh')} AS r FROM c1",
                         keys="corpus, pair_id", by="split") + [("cb", corpus_bleu_sql("split"))]
 
@@ -989,6 +1078,16 @@ def q_convert_where(spark, sf_dir):
     return clean.convert_where(m, mode="non_simplified", chars=SAMPLE_T2S_CHARS).select("pair_id", "zh", "to_lang")
 
 
+@register("convert_where_phrases", with_inputs("bitext", "raw_mined", extra=[*PHRASE_CTES, ("mined", MINED_SQL)]) +
+          """SELECT pair_id, CASE WHEN to_lang <> 'zh-Hans' THEN coalesce(array_to_string(list_transform(
+        regexp_extract_all(zh, p), lambda x: coalesce(m[x], x)), ''), '') ELSE zh END AS zh, to_lang FROM mined, pattern, dict""")
+def q_convert_where_phrases(spark, sf_dir):
+    """P3 with a phrase dictionary made from the table, which meets the texts (both values of the tag occur)."""
+    m = tsv.read_mined(I.raw_mined(spark, sf_dir))
+    return clean.convert_where(m, mode="non_simplified", chars={}, phrases=phrase_table(spark, sf_dir)).select(
+        "pair_id", "zh", "to_lang")
+
+
 @register("prefix_source", with_inputs("bitext") + f"SELECT pair_id, '{TASK_PREFIX}' || en AS en FROM bitext")
 def q_prefix_source(spark, sf_dir):
     return clean.prefix_source(I.bitext(spark, sf_dir), TASK_PREFIX).select("pair_id", "en")
@@ -1025,6 +1124,19 @@ def q_unmatched_sides(spark, sf_dir):
     return unmatched_sides(en, zh, "en", "zh", key="uid")
 
 
+@register("unmatched_turns", """SELECT coalesce(a.uid, u.uid) AS uid, a.uid IS NOT NULL AS has_en, u.uid IS NOT NULL AS has_zh
+    FROM (SELECT conv_id || ':' || turn AS uid FROM conversations WHERE role = 'assistant') a
+    FULL JOIN (SELECT conv_id || ':' || (turn - 1) AS uid FROM conversations WHERE role = 'user') u ON a.uid = u.uid
+    WHERE a.uid IS NULL OR u.uid IS NULL""")
+def q_unmatched_turns(spark, sf_dir):
+    """J1's check on sides that do not meet: assistant turns without a user turn after them, and the reverse."""
+    from ..operators.pairing import unmatched_sides
+    t = I.read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    en = t.where("role = 'assistant'").select(F.concat_ws(":", "conv_id", "turn").alias("uid"))
+    zh = t.where("role = 'user'").select(F.concat_ws(":", "conv_id", F.col("turn") - 1).alias("uid"))
+    return unmatched_sides(en, zh, "en", "zh", key="uid")
+
+
 # ---------------------------------------------------------------------------------------------
 # 10. Sinks and split files
 # ---------------------------------------------------------------------------------------------
