@@ -277,6 +277,15 @@ def _trim(text: str, s: int, e: int) -> tuple[int, int]:
     return s, e
 
 
+def plausible(kind: str, span: str) -> bool:
+    """Whether a span of the model can be what it is called: a card has 12 to 19 digits that pass the checksum, a phone
+    7 to 15 digits."""
+    d = _digits(span)
+    if kind == "card":
+        return 12 <= len(d) <= 19 and luhn(d)
+    return kind != "phone" or 7 <= len(d) <= 15
+
+
 def crf_spans(texts: list[str], crf: Crf) -> list[list[tuple[str, int, int]]]:
     runs, owner = [], []
     for d, t in enumerate(texts):
@@ -294,7 +303,7 @@ def crf_spans(texts: list[str], crf: Crf) -> list[list[tuple[str, int, int]]]:
                 while e < len(path) and LABELS[path[e]] == "I-" + label[2:]:
                     e += 1
                 s_at, e_at = _trim(texts[d], run[k][1], run[e - 1][2])
-                if s_at < e_at:
+                if s_at < e_at and plausible(label[2:], texts[d][s_at:e_at]):
                     out[d].append((label[2:], s_at, e_at))
                 k = e
             else:
