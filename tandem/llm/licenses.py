@@ -37,6 +37,15 @@ TAGGED = re.compile(r"SPDX-License-Identifier:[ \t]*((?:(?!SPDX-License-Identifi
 FREEDOM = {"cc0": 1.0, "public": 1.0, "mit": 0.95, "isc": 0.95, "bsd": 0.95, "apache": 0.9, "cc": 0.7,
            "mpl": 0.6, "epl": 0.6, "lgpl": 0.5, "gpl": 0.3, "agpl": 0.2, "all": 0.05}
 PRIORITY = {"or": 1, "and": 2, "with": 3}
+#: Names an expression may hold: a family with its numbers and qualifiers, or a reference of one's own.  Fixed values.
+FAMILIES = """0bsd aal afl agpl apache apl apsl artistic beerware blessing bsd bsl cc cc0 cddl cecill cpl curl ecl efl epl eupl
+ftl gfdl gpl hpnd icu ijg imlib2 ipl isc jasper lgpl libpng lppl lpl mit mpl ms mulanpsl ncsa nist nposl ntp odbl odc oftl ofl
+openssl osl pddl php postgresql psf python ql qpl rpl rpsl ruby sgi sissl sleepycat smlnj spl ssh sspl tcl unicode unlicense
+upl vim w3c watcom wtfpl x11 xfree86 xnet zend zlib zpl""".split()
+NAME = re.compile(r"(?:licenseref-[a-z0-9.-]+|none|noassertion|"
+                  r"(?:%s)(?:-[a-z0-9.]+)*\+?)" % "|".join(sorted(FAMILIES, key=len, reverse=True)))
+#: An exception after ``with``.
+EXCEPTION = re.compile(r"[a-z0-9.]+(?:-[a-z0-9.]+)*-exception(?:-[a-z0-9.]+)*|additionref-[a-z0-9.-]+|linux-syscall-note")
 
 
 def freedom(label: str) -> float:
@@ -48,7 +57,9 @@ def freedom(label: str) -> float:
 def parse_expression(text: str) -> tuple[list[str], float | None]:
     """Shunting-yard: the longest valid expression at the start of ``text`` as (lower-case licence
     ids in order, value): ``or`` takes the freer side, ``and`` the stricter, ``with`` an exception
-    that moves the left side half way to free.  Nothing valid: ([], None).  One pass, no length limit."""
+    that moves the left side half way to free.  A name is of a known family, ``LicenseRef-...``, ``NONE`` or
+    ``NOASSERTION``, after ``with`` an exception; any other word is prose and ends the expression.  Nothing valid:
+    ([], None).  One pass, no length limit."""
     ids: list[str] = []
     values: list[tuple[int, float]] = []               # (place of its first id, value)
     ops: list[str] = []
@@ -73,7 +84,7 @@ def parse_expression(text: str) -> tuple[list[str], float | None]:
             ops.append(low)
             operand = True
         elif low == "(":
-            if not operand:
+            if not operand or ops and ops[-1] == "with":
                 break
             ops.append(low)
             depth += 1
@@ -85,7 +96,8 @@ def parse_expression(text: str) -> tuple[list[str], float | None]:
             ops.pop()
             depth -= 1
         else:
-            if not operand or not re.search(r"[A-Za-z0-9]", low):
+            known = EXCEPTION if ops and ops[-1] == "with" else NAME
+            if not operand or not known.fullmatch(low):
                 break
             values.append((len(ids), freedom(low)))
             ids.append(low)

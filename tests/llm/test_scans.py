@@ -45,14 +45,17 @@ def test_expressions():
     parse = licenses.parse_expression
     assert parse("MIT OR (GPL-2.0 AND Apache-2.0)") == (["mit", "gpl-2.0", "apache-2.0"], 0.95)
     assert parse("GPL-2.0 WITH Classpath-exception-2.0")[1] == pytest.approx(0.65)
-    assert parse("MIT and more words") == (["mit", "more"], 0.5)
+    assert parse("MIT and more words") == (["mit"], 0.95) == parse("mit AND see the notice")
+    assert parse("LicenseRef-Own-1 AND GPL-3.0+") == (["licenseref-own-1", "gpl-3.0+"], 0.3)
+    assert parse("MIT WITH more")[0] == parse("MIT WITH (GPL-2.0)")[0] == ["mit"]
+    assert parse("see the notice") == parse("mitigated") == parse("LicenseRef") == ([], None)
     assert parse("AND MIT") == ([], None) and parse("") == ([], None) and parse("(MIT")[1] is None
 
 
 def test_long_expressions_are_read_to_their_end(spark):
-    names = [f"Licence-{i}.0" for i in range(3000)]
+    names = [f"LicenseRef-{i}.0" for i in range(3000)]
     tag = "SPDX-License-Identifier: "
-    texts = [f"{tag}({' OR '.join(names)}) AND MIT\nnot this", f"{tag}{' AND '.join(names)} WITH x-1",
+    texts = [f"{tag}({' OR '.join(names)}) AND MIT\nnot this", f"{tag}{' AND '.join(names)} WITH x-exception-1",
              f"{tag}MIT {'word ' * 200}{tag}GPL-2.0", "x " + tag + "(" * 500 + "MIT" + ")" * 500]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r for r in licenses.license_scan(docs).collect()}
@@ -114,6 +117,15 @@ def test_crf():
     assert pii.crf_spans([""], crf) == [[]]
 
 
+def test_model_spans_keep_the_checksum():
+    """Cards of the model have digits that pass the checksum, phones a number's length; what fails is no span."""
+    assert pii.plausible("card", "4111-1111  1111 1111") and not pii.plausible("card", "2123465659789240")
+    assert not pii.plausible("card", "020 7946 0958") and pii.plausible("phone", "020 7946 0958")
+    texts = ["card 2123465659789240 was used", "card 4111 1111 1111 1111 was used", "the card 4337166598464390 was there"]
+    cards = [[t[s:e] for k, s, e in spans if k == "card"] for t, spans in zip(texts, pii.crf_spans(texts, pii.trained()))]
+    assert cards == [[], ["4111 1111 1111 1111"], []]
+
+
 def test_viterbi_equals_path_enumeration():
     """Every label path of short runs is scored; the decoded one is the best."""
     crf = pii.trained()
