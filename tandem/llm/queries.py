@@ -92,4 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_near_duplicates, op7_token_store, op8_mixing, op9_pii, op10_decontamination, op11_source_divergence, op12_whitening,
         op13_exact_topk)}
 ORACLES: dict[str, str] = {
+    "op6_near_duplicates": oracles.NEAR_DUPLICATES, "op8_mixing": oracles.MIXING,
+    "op10_decontamination": oracles.CONTAMINATION,
     "op11_source_divergence": oracles.SOURCE_DIVERGENCE, "op13_exact_topk": oracles.EXACT_TOPK}

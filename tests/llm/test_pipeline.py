@@ -60,3 +60,15 @@ def test_run_on_an_empty_table(spark, tmp_path):
     fixture.empty(spark).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_a_repeated_id_keeps_the_smallest_text_in_any_row_order(spark):
+    rows = [(1, "b text", "x"), (1, "a text", "z"), (1, "a text", "y"), (2, "two", "x"), (None, "t", "x"), (None, "t", "x")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string")
+        out = corpus_pipeline.near_dedup(spark, docs, SF001)
+        assert out.columns == docs.columns
+        got = sorted(map(tuple, out.collect()), key=str)
+        assert got == sorted([(1, "a text", "y"), (2, "two", "x"), (None, "t", "x"), (None, "t", "x")], key=str)
+    empty = docs.limit(0)
+    assert corpus_pipeline.near_dedup(spark, empty, SF001).count() == 0
