@@ -5,7 +5,8 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 the next stage's docs; all but the last return the columns of ``docs``, whatever further columns it has.
 
 * language_id keeps documents of a known language (``und``: null text, no letter, goes);
-* near_dedup keeps the smallest doc_id of each component, one row per doc_id;
+* near_dedup keeps the smallest doc_id of each component, one row per doc_id (of several, the one whose text is the
+  smallest by bytes, a null before all; of equal texts, the smallest row as JSON, so reruns agree);
 * decontaminate drops contaminated documents;
 * mix repeats each document as often as the mix takes it (0 to 3 times);
 * token_store encodes what is left and returns one row per document from the files.
@@ -51,7 +52,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = _without(docs, gone)
     if again.isEmpty():
         return kept
-    once = kept.join(again, KEY, "left_semi").dropDuplicates([KEY]).select(*docs.columns)
+    row = F.struct(*docs.columns)
+    once = kept.join(again, KEY, "left_semi").groupBy(KEY).agg(
+        F.min_by(row, F.struct("text", F.to_json(row))).alias("_row")).select("_row.*")
     return _without(kept, again).unionByName(once)
 
 
