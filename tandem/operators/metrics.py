@@ -19,6 +19,7 @@ from ..functions import arrays as A
 from ..functions.text import PAD_ID
 
 MAX_ORDER = 4
+SLICE_TOKENS = 200_000     # counted together in a task
 LOG_ZERO = -9999999999.0   # log of a zero precision in the smoothed score (fixed value)
 
 
@@ -63,6 +64,16 @@ def clipped_counts(hyp: pa.ListArray, ref: pa.ListArray, max_order: int = MAX_OR
     return out
 
 
+def token_slices(hyp: pa.ListArray, ref: pa.ListArray, tokens: int = SLICE_TOKENS) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of slices of about ``tokens`` tokens, a row whole: the arrays of a slice do not grow with the rows of a batch."""
+    size = sum(x.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for x in (hyp, ref))
+    total, at = np.cumsum(size), 0
+    while at < len(size):
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + tokens, "right")))
+        yield at, end - at
+        at = end
+
+
 def bleu_stats(df: DataFrame, hyp: str, ref: str, key: str = "pair_id",
                by: Sequence[str] = (), max_order: int = MAX_ORDER) -> DataFrame:
     """``[by...,] n, matches, total, ref_total`` (the n=1 totals are the two lengths).
@@ -73,8 +84,11 @@ def bleu_stats(df: DataFrame, hyp: str, ref: str, key: str = "pair_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            stats = clipped_counts(b.column("h"), b.column("r"), max_order)
-            yield pa.RecordBatch.from_arrays([*(b.column(t) for t in tags), *(pa.array(x) for x in stats)], names=[*tags, *names])
+            for at, size in token_slices(b.column("h"), b.column("r")):
+                part = b.slice(at, size)
+                stats = clipped_counts(part.column("h"), part.column("r"), max_order)
+                yield pa.RecordBatch.from_arrays([*(part.column(t) for t in tags), *(pa.array(x) for x in stats)],
+                                                 names=[*tags, *names])
 
     rows = df.select(*(F.col(c).alias(t) for c, t in zip(by, tags)), F.col(hyp).cast("array<string>").alias("h"),
                      F.col(ref).cast("array<string>").alias("r"))

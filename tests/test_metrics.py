@@ -117,3 +117,15 @@ def test_evaluate_reports_the_loss_per_split(spark):
     assert {r["split"]: r["value"] for r in rowed.where("metric = 'loss'").collect()} == {"val": 2.5, "test": 5.0}
     whole = M.evaluate(pred.drop("ref"), pred.select("pair_id", "ref"), losses=losses.drop("split"), **args)
     assert [(r["split"], r["value"]) for r in whole.where("metric = 'loss'").collect()] == [("all", 3.0)]
+
+
+def test_counts_are_taken_on_slices_of_bounded_tokens():
+    import pyarrow as pa
+    from tandem.operators import metrics as ME
+    hyp = pa.array([["a"] * n if n is not None else None for n in (3, 0, None, 9, 1, 1, 1)], pa.list_(pa.string()))
+    ref = pa.array([["a"], ["b"], ["a"], None, [], ["a"] * 2, ["a"]], pa.list_(pa.string()))
+    slices = list(ME.token_slices(hyp, ref, 4))
+    assert slices == [(0, 1), (1, 2), (3, 1), (4, 2), (6, 1)]
+    whole = ME.clipped_counts(hyp, ref)
+    parts = [ME.clipped_counts(hyp.slice(i, n), ref.slice(i, n)) for i, n in slices]
+    assert [x.tolist() for x in whole] == [[v for p in parts for v in p[k].tolist()] for k in range(len(whole))]

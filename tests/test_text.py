@@ -142,3 +142,11 @@ def test_phrases_on_a_stream(spark, tmp_path):
              .option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start(str(tmp_path / "out")))
     query.awaitTermination()
     assert {r["x"] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {"1 c2", None}
+
+
+def test_zh_tokens_evaluates_each_rule_once(spark):
+    rows = spark.createDataFrame([(" a ,b..中 (x) ",), ("",), (None,), ("、",), ("1-2 .5,",)], "x string")
+    out = rows.select(TX.zh_tokens("x").alias("t"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_replace") == 1 + len(TX.ZH_PUNCT_RULES)
+    assert [r["t"] for r in out.collect()] == [["a", ",", "b", ".", ".", "中", "(", "x", ")"], [], None, ["、"], ["1", "-", "2", ".", "5,"]]
