@@ -19,7 +19,7 @@ from ..functions import arrays as A
 from ..functions.text import pretok_words, py_strip
 from ..operators.bpe import BpeModel, bpe_encode
 from ..operators.clean import nonempty_pairs
-from ..operators.encode import ids_udf, shipped
+from ..operators.encode import ids_udf, shipped_index
 from ..operators.logs import DICT_LOG_MARKER, drop_missing, parse_losses
 from ..operators.split import hash_split
 from ..plans.pipelines import load_bpe_model
@@ -29,7 +29,7 @@ from ..sources.tsv import parse_fields
 
 def encode_stream(sentences: DataFrame, vocab: DataFrame, text: str = "text") -> DataFrame:
     """ST1: sentence stream -> lower-cased words -> ids -> ``[BOS] + ids[:128] + [EOS]``."""
-    sent = shipped(vocab)                # a stream has no rows to regroup, so the vocabulary must fit
+    sent = shipped_index(vocab)                # a stream has no rows to regroup, so the vocabulary must fit
     if sent is None:
         raise ValueError("the vocabulary is too large to send to the workers of a stream")
     ids = ids_udf(sent)(pretok_words(F.lower(F.col(text))))
