@@ -1308,7 +1308,8 @@ def piece_ctes(source: str) -> list[tuple[str, str]]:
 def q_unigram_encode(spark, sf_dir):
     """Both sides of every pair, encoded with the pieces of the documents."""
     b, pieces = I.bitext(spark, sf_dir), _doc_pieces(spark, sf_dir).persist()
-    sides = [UG.unigram_encode(b, lang, pieces).withColumn("lang", F.lit(lang)) for lang in ("en", "zh")]
+    enc = UG.unigram_encoder(spark, pieces)
+    sides = [UG.unigram_encode(b, lang, pieces, encoder=enc).withColumn("lang", F.lit(lang)) for lang in ("en", "zh")]
     e = sides[0].unionByName(sides[1])
     return e.select("lang", "pair_id", F.size("input_ids").alias("n_ids"), _s("input_ids").alias("input_ids"),
                     F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_mask"))

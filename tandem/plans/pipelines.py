@@ -73,10 +73,7 @@ def encode_bitext_pieces(pairs: DataFrame, base: str, pieces: DataFrame, key: Se
                          max_ids: int = MAX_IDS, byte_fallback: bool = False) -> int:
     """Encode both sides of every split with given pieces and publish the pieces and the splits as one version."""
     keys = list(key)
-    en = UG.unigram_encode(pairs, "en", pieces, [*keys, "split", "zh"], max_ids, byte_fallback).select(
-        *keys, "split", "zh", F.col("input_ids").alias("en_ids"), F.col("attention_mask").alias("en_mask"))
-    both = UG.unigram_encode(en, "zh", pieces, [*keys, "split", "en_ids", "en_mask"], max_ids, byte_fallback).select(
-        *keys, "split", "en_ids", "en_mask", F.col("input_ids").alias("zh_ids"), F.col("attention_mask").alias("zh_mask"))
+    both = UG.unigram_encode_sides(pairs, {"en": "en", "zh": "zh"}, pieces, [*keys, "split"], max_ids, byte_fallback)
     return store.publish_encoded(pairs.sparkSession, base, {"pieces": pieces}, both)
 
 

@@ -97,3 +97,28 @@ def test_rows_are_encoded_where_they_lie(spark):
 def test_long_word_is_linear():
     made = U.Pieces.of([(p, s, i) for p, (s, i) in PIECES.items()])
     assert len(U.best_path("abc" * 300_000, made)) == 600_000
+
+
+def test_pieces_are_flat_and_the_pieces_of_words_are_found():
+    """A worker holds a piece in some 32 bytes besides its text (a dictionary of tuples took over 200)."""
+    import pickle
+    import pyarrow as pa
+    rows = [(f"▁w{i}é", -1.0 - i % 7, i + 300) for i in range(20_000)] + [(p, s, i) for p, (s, i) in PIECES.items()]
+    table = pa.table({"token": [r[0] for r in rows], "score": [r[1] for r in rows], "id": [r[2] for r in rows]})
+    index = U.PieceIndex.of(table)
+    assert len(pickle.dumps(index, 5)) < 50 * len(rows)
+    whole = U.Pieces.of(rows)
+    words = ["▁w19999é", "▁w7éab", "▁abcbc", "▁xyab中", "▁", "▁" + "abc" * 2000]
+    known = index.within(words)
+    assert len(known.table) < 40
+    assert [U.best_path(w, known) for w in words] == [U.best_path(w, whole) for w in words]
+
+
+def test_both_sides_in_one_worker(spark):
+    pieces = spark.createDataFrame([(p, s, i) for p, (s, i) in PIECES.items()], "piece string, score double, id int")
+    df = spark.createDataFrame([(1, "ab abc", None), (1, "", "c")], "k long, en string, zh string")
+    out = U.unigram_encode_sides(df, {"en": "en", "zh": "zh"}, pieces, ["k"])
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    for side in ("en", "zh"):
+        alone = U.unigram_encode(df, side, pieces, key="k").collect()
+        assert sorted(r["input_ids"] for r in alone) == sorted(r[f"{side}_ids"] for r in out.collect())
