@@ -89,3 +89,17 @@ def test_pairing_and_unmatched_sides(spark):
     with pytest.raises(ValueError):
         P.assert_paired(en, zh)
     P.assert_paired(en.where("pair_id < 3"), zh.where("pair_id < 3"))
+
+
+def test_transpose_groups_rows_and_not_tokens(spark):
+    df = spark.createDataFrame([("a", 0, 1, [4, 5]), ("a", 0, 0, [6]), ("a", 0, 0, [3]), ("b", 0, 0, []), ("b", 1, 0, None)],
+                               "split string, batch_id long, row_in_batch int, ids array<int>")
+    got = {(r["split"], r["t"]): r["ids"] for r in B.transpose_batches(df, "ids").collect()}
+    assert got == {("a", 0): [3, 6, 4], ("a", 1): [5]}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = B.transpose_batches(B.pad_batches(df, "ids"), "ids")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange ") == 1
+    assert plan.index("Generate") < plan.index("Aggregate")           # tokens are rows only after the batch is turned
