@@ -87,14 +87,15 @@ def q_src_mined_tsv(spark, sf_dir):
     return tsv.read_mined(I.raw_mined(spark, sf_dir))
 
 
-CORPUS_FILES = 16           # files the lines of a corpus are dealt to
+CORPUS_FILES = 16           # texts the lines of a corpus are dealt to
 
 
 def corpus_files(spark, sf_dir, name: str) -> str:
     """A corpus as text files, one a bucket of pair ids, its lines in order; the files S1-S3 read."""
     lines = I.BUILDERS[name](spark, sf_dir).withColumn("bucket", F.pmod("pair_id", F.lit(CORPUS_FILES)))
     path = scratch_path(spark, f"corpus-{name}")
-    (lines.repartition(CORPUS_FILES, "bucket").sortWithinPartitions("bucket", "pair_id").select("bucket", "value")
+    parts = max(CORPUS_FILES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    (lines.repartitionByRange(parts, "bucket", "pair_id").sortWithinPartitions("bucket", "pair_id").select("bucket", "value")
      .write.partitionBy("bucket").text(path))
     return path
 
@@ -109,7 +110,7 @@ def _files_sql(name: str) -> str:
 
 
 def _file_lines(spark, sf_dir, name: str) -> DataFrame:
-    return tsv.read_text_lines(spark, corpus_files(spark, sf_dir, name))
+    return tsv.read_text_lines(spark, corpus_files(spark, sf_dir, name), folders=True)
 
 
 def _with_offset(parsed: DataFrame) -> DataFrame:

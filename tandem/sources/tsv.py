@@ -57,22 +57,24 @@ def _offsets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "file string, start long, value string, inside long")
 
 
-def read_text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_text_lines(spark: SparkSession, paths: str | Sequence[str], folders: bool = False) -> DataFrame:
     """Lines of text files: ``pair_id, file, offset, value``.
 
     ``offset`` is the byte at which a line begins in its file and ``pair_id`` the file's number in path order with the
     offset behind it (``FILE_BITS``), so ids, and the seeded split that keys on them, are the same for every layout of
     the scan.  A file is read in splits by many tasks: one pass sums the bytes of the lines of every split (in the JVM, one
     row a split), whose running sum is the offset of the split's first line; the other numbers the lines behind it.  Lines end at a
-    line feed; a carriage return before it is dropped.  Files beyond 1 TB or 8M files are refused."""
+    line feed; a carriage return before it is dropped.  Files beyond 1 TB or 8M files are refused.  With ``folders`` the files of
+    a folder count as one, its parts in name order: the text that many tasks wrote there."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = (spark.read.option("lineSep", "\n").text(paths)
            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"))
-    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    whole = F.regexp_replace("file", "/[^/]*$", "") if folders else F.col("file")
+    before = Window.partitionBy(whole).orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
     splits = (raw.groupBy("file", "start").agg(F.sum(F.octet_length("value") + 1).cast("long").alias("size"))
               .withColumn("base", F.coalesce(F.sum("size").over(before), F.lit(0))))
-    files = F.broadcast(_file_numbers(spark, raw))       # the listing the driver holds anyway
-    heads = sized_broadcast(splits.join(files, "file").select("file", "start", "base", "number"))
+    files = F.broadcast(_file_numbers(spark, raw.select(whole.alias("whole"))))       # the listing the driver holds anyway
+    heads = sized_broadcast(splits.join(files, whole == F.col("whole")).select("file", "start", "base", "number"))
     offset = F.col("base") + F.col("inside")
     checked = F.when((offset < 1 << FILE_BITS) & (F.col("number") < 1 << 63 - FILE_BITS), F.col("number")).otherwise(
         F.raise_error(F.lit("too many files or too large a file for line ids")).cast("long"))
@@ -82,8 +84,8 @@ def read_text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
 
 
 def _file_numbers(spark: SparkSession, raw: DataFrame) -> DataFrame:
-    found = sorted(r["file"] for r in raw.select("file").distinct().collect())
-    return spark.createDataFrame([(f, i) for i, f in enumerate(found)], "file string, number long")
+    found = sorted(r["whole"] for r in raw.distinct().collect())
+    return spark.createDataFrame([(f, i) for i, f in enumerate(found)], "whole string, number long")
 
 
 def _arity_ok(fields, k: int):

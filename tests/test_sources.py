@@ -93,3 +93,21 @@ def test_one_scan_carries_text_and_splits_come_by_broadcast(spark, tmp_path):
     path = write(tmp_path, {"a.tsv": FILES["a.tsv"]})
     plan = tsv.read_text_lines(spark, path).select("pair_id", "value")._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan.split("MapInArrow")[0]
+
+
+def test_parts_of_a_folder_are_one_text(spark, tmp_path):
+    for name, text in {"a/part-0": "x\ny1\n", "a/part-1": "z\n", "b/part-0": "中\nw\n"}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    rows = tsv.read_text_lines(spark, [str(tmp_path / "a"), str(tmp_path / "b")], folders=True).collect()
+    second = 1 << tsv.FILE_BITS
+    assert sorted((r["pair_id"], r["value"]) for r in rows) == [(0, "x"), (2, "y1"), (5, "z"), (second, "中"), (second + 4, "w")]
+
+
+def test_a_corpus_text_is_written_by_several_tasks(spark):
+    import glob
+    from tandem.plans import catalog as C
+    from tests.conftest import SF001
+    path = C.corpus_files(spark, SF001, "raw_titles")
+    found = glob.glob(path.removeprefix("file:") + "/bucket=*/*.txt")
+    assert len(found) > len({f.rsplit("/", 2)[1] for f in found})
