@@ -31,18 +31,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import (SPECIALS, UNK_ID, normalize, pretok_bytes, pretok_words,
-                              symbols_to_text)
+from ..functions.text import (BEYOND_LATIN, SPECIALS, UNK_ID, bound, byte_pieces, bytes_to_symbols, is_ascii, normalize,
+                              pretok_bytes, pretok_words, symbols_to_text)
 from ..session import drop_path, scratch_path
 from .encode import bounded_collect, sized_broadcast
 from .vocab import CHAR_PATTERN
 
 VOCAB_SIZE = 30_000
 WORDS_PER_TASK = 25_000
-CANDIDATES = 4096            # pairs a round may choose from
-FIRST = 256                  # and those of the first round
-MAX_RUNS = 20_000            # distinct runs a round may bring to the driver,
-MAX_SYMBOLS = 400_000        # and their symbols
+CANDIDATES = 32_768          # pairs a round may choose from
+FIRST = 64                   # and those of the first round
+MAX_RUNS = 100_000           # distinct runs a round may bring to the driver,
+MAX_SYMBOLS = 2_000_000      # and their symbols
 LONG_WORD = 64               # symbols from which a word is merged through a heap
 CACHE_WORDS = 200_000        # words an encoding task keeps
 INLINE_ALPHABET = 4096      # alphabets up to this size are mapped to ids with a literal map
@@ -150,10 +150,19 @@ class BpeModel:
 
 
 def training_words(df: DataFrame, text: str, lang: str) -> DataFrame:
-    """``word, c``: pre-tokenised words of the normalised text with their counts (A1)."""
-    p = tokenizer_for(lang)
-    return (df.select(F.explode(p.pretokenize(p.normalize(F.col(text)))).alias("word"))
-            .groupBy("word").agg(F.count(F.lit(1)).alias("c")))
+    """``word, c``: pre-tokenised words of the normalised text with their counts (A1).
+
+    What treats a word by itself is done once a distinct word: words of Latin text are the same places before and after it is
+    normalised, so they are cut and counted first; bytes are shown as symbols (one to one) after the pieces are counted."""
+    p, c = tokenizer_for(lang), F.col(text)
+
+    def counted(words: Column) -> DataFrame:
+        return df.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("c"))
+
+    if lang == "zh":
+        return counted(byte_pieces(p.normalize(c))).select(bytes_to_symbols("word").alias("word"), "c")
+    found = counted(F.when(c.rlike(BEYOND_LATIN), p.pretokenize(p.normalize(c))).otherwise(p.pretokenize(c)))
+    return found.select(p.normalize(F.col("word")).alias("word"), "c").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def initial_words(word_counts: DataFrame) -> tuple[list[str], DataFrame]:
@@ -297,7 +306,8 @@ def run_counts(words: DataFrame, candidates: np.ndarray) -> DataFrame:
 
 
 def merged_words(words: DataFrame, candidates: np.ndarray, merges: list[tuple[int, int, int]]) -> DataFrame:
-    """The word table after the merges of a round; only runs are rewritten, equal ones once a task."""
+    """The word table after the merges of a round, without the words that became one symbol; only runs are rewritten, equal
+    ones once a task."""
     table = {_code(a, b): (rank, new) for rank, (a, b, new) in reversed(list(enumerate(merges)))}
     sent = words.sparkSession.sparkContext.broadcast((np.sort(candidates), table))
 
@@ -328,7 +338,9 @@ def merged_words(words: DataFrame, candidates: np.ndarray, merges: list[tuple[in
             if parts:
                 out[_spread(to[first], size)] = np.concatenate(parts)
             lens = np.bincount(w.word, kept, len(w.lens)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([_lists(out, lens), b.column("c")], names=["syms", "c"])
+            more = lens > 1                                 # a word of one symbol has no pair any more
+            yield pa.RecordBatch.from_arrays(
+                [_lists(out[np.repeat(more, lens)], lens[more]), pa.array(w.weight[more])], names=["syms", "c"])
 
     return words.select("syms", "c").mapInArrow(run, "syms array<int>, c long")
 
@@ -436,7 +448,7 @@ def train_bpe(df: DataFrame, text: str, lang: str, vocab_size: int = VOCAB_SIZE,
             words, path = _write_words(merged_words(words, codes, merges))
             drop_path(spark, last)
         if k == 1 or size["n"] * 4 < MAX_RUNS:
-            k = min(candidates, 4 * k)
+            k = min(candidates, (16 if k > 1 and size["n"] * 16 < MAX_RUNS else 4) * k)
     drop_path(spark, path)
     return model
 
@@ -476,22 +488,25 @@ def _encoder_udf(spark: SparkSession, model: BpeModel):
 
 def _marked(text: Column) -> Column:
     """Special strings as one mark each (T11), before the text is normalised; marks in the text itself become a
-    further code point, which no vocabulary has."""
-    text = F.translate(text, "".join(MARKS), SPARE_MARK * len(MARKS))
+    further code point, which no vocabulary has.  A text without ``<`` and marks has neither."""
+    changed = F.translate(text, "".join(MARKS), SPARE_MARK * len(MARKS))
     for special, mark in zip(SPECIALS, MARKS):
-        text = F.replace(text, F.lit(special), F.lit(mark))
-    return text
+        changed = F.replace(changed, F.lit(special), F.lit(mark))
+    return F.when(text.contains("<") | (~is_ascii(text) & text.rlike(f"[{''.join(MARKS)}]")), changed).otherwise(text)
 
 
 def words_and_specials(text: Column, pipeline: TextPipeline) -> Column:
     """Normalised, pre-tokenised words of a sentence; special strings are words of their own."""
-    plain = pipeline.normalize(_marked(text))
     marks = "".join(MARKS)
     names = F.create_map(*[x for s, m in zip(SPECIALS, MARKS) for x in (F.lit(m), F.lit(s))])
-    segments = F.regexp_extract_all(plain, F.lit(f"[{marks}]|[^{marks}]+"), 0)
-    cut = F.flatten(F.transform(segments, lambda s: F.when(
-        F.length(s).eqNullSafe(1) & names[s].isNotNull(), F.array(names[s])).otherwise(pipeline.pretokenize(s))))
-    return F.when(plain.rlike(f"[{marks}]"), cut).otherwise(pipeline.pretokenize(plain))
+
+    def words(plain):
+        segments = F.regexp_extract_all(plain, F.lit(f"[{marks}]|[^{marks}]+"), 0)
+        cut = F.flatten(F.transform(segments, lambda s: F.when(
+            F.length(s).eqNullSafe(1) & names[s].isNotNull(), F.array(names[s])).otherwise(pipeline.pretokenize(s))))
+        return F.when(~is_ascii(plain) & plain.rlike(f"[{marks}]"), cut).otherwise(pipeline.pretokenize(plain))
+
+    return bound(pipeline.normalize(_marked(text)), words)
 
 
 def bpe_encode(df: DataFrame, text: str, model: BpeModel, key: str | Sequence[str] = "pair_id",

@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import py_strip
+from ..functions.text import bound, is_ascii, py_strip
 from .encode import SHIP_BYTES
 
 # A few Traditional -> Simplified entries, enough for tests and examples.  Real
@@ -36,8 +37,11 @@ def nonempty_pairs(df: DataFrame, cols: Sequence[str] = ("en", "zh")) -> DataFra
 
 
 def clean_pairs(df: DataFrame, cols: Sequence[str] = ("en", "zh")) -> DataFrame:
-    """P1 then P2, as the corpus loop does."""
-    return nonempty_pairs(strip_pairs(df, cols), cols)
+    """P1 then P2, as the corpus loop does.  A row gives one pair or none: as a filter over the stripped columns the texts
+    would be cut out of their line and stripped once for the filter and again for the columns."""
+    pair = F.array(F.struct(*[py_strip(c).alias(c) for c in cols]))
+    kept = F.filter(pair, lambda p: functools.reduce(lambda a, b: a & b, [F.length(p[c]) > 0 for c in cols]))
+    return df.select(*[c for c in df.columns if c not in cols], F.inline(kept)).select(*df.columns)
 
 
 def prefix_source(df: DataFrame, prefix: str = "", col: str = "en") -> DataFrame:
@@ -72,12 +76,16 @@ def _as_mapping(table, max_bytes: int = SHIP_BYTES) -> dict[str, str]:
 
 
 def convert_chars(col: Column | str, chars) -> Column:
-    """Single-character dictionary as one JVM ``translate``."""
+    """Single-character dictionary as one JVM ``translate``, which ASCII text skips if no character of it is mapped."""
     mapping = {k: v for k, v in _as_mapping(chars).items() if len(k) == 1 and len(v) == 1}
     c = F.col(col) if isinstance(col, str) else col
     if not mapping:
         return c
-    return F.translate(c, "".join(mapping), "".join(mapping.values()))
+    def converted(c):
+        return F.translate(c, "".join(mapping), "".join(mapping.values()))
+    if any(ch.isascii() for ch in mapping):
+        return converted(c)
+    return bound(c, lambda t: F.when(is_ascii(t), t).otherwise(converted(t)))
 
 
 _BUILT: dict[str, ahocorasick.Automaton] = {}

@@ -59,9 +59,9 @@ C1_CTES = [
 C1_WITH = with_inputs("raw_news", "raw_titles", "raw_mined", extra=C1_CTES)
 
 
-def c1(spark, sf_dir, positions: bool = False) -> DataFrame:
+def c1(spark, sf_dir, positions: bool = False, sides=("en", "zh")) -> DataFrame:
     return prepare_bitext(I.raw_news(spark, sf_dir), I.raw_titles(spark, sf_dir),
-                          I.raw_mined(spark, sf_dir), chars=SAMPLE_T2S_CHARS, positions=positions)
+                          I.raw_mined(spark, sf_dir), chars=SAMPLE_T2S_CHARS, positions=positions, sides=sides)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -479,7 +479,7 @@ def q_bpe_best_pair(spark, sf_dir):
 
 @register("bpe_merges")
 def q_bpe_merges(spark, sf_dir):
-    return _train(c1(spark, sf_dir), "en").merges_frame(spark)
+    return _train(c1(spark, sf_dir, sides=["en"]), "en").merges_frame(spark)
 
 
 @register("tokenizer_tables")
@@ -1185,10 +1185,13 @@ from ..operators import scoring as SC, unigram as UG  # noqa: E402
 from ..streaming import streams as ST  # noqa: E402
 
 
+STREAM_BLOCK = 8 << 20       # bytes of a row group: a trigger's few files are read by many tasks
+
+
 def _stream_dir(spark, frame: DataFrame, name: str) -> tuple[str, str]:
     """Land a frame as files of a streaming source; returns (source dir, schema DDL)."""
     path = scratch_path(spark, name)
-    frame.write.parquet(path)
+    frame.write.option("parquet.block.size", STREAM_BLOCK).parquet(path)
     return path, frame.schema.simpleString()[len("struct<"):-1].replace(":", " ")
 
 
@@ -1365,11 +1368,10 @@ def q_pieces_published(spark, sf_dir):
 def q_stream_bpe_encode(spark, sf_dir):
     """ST1 with the full BPE model: token strings of every English sentence joined, from the ids the stream wrote."""
     base, out = scratch_path(spark, "stream-model"), scratch_path(spark, "stream-ids")
-    rows = c1(spark, sf_dir).select("corpus", "pair_id", "en", "split").persist()
+    rows = c1(spark, sf_dir, sides=["en"])          # written once by the split
     model = BP.train_bpe(rows.where("split = 'train'"), "en", "en")
     store.publish_encoded(spark, base, {"en_vocab": model.vocab_frame(spark), "en_merges": model.merges_frame(spark)})
     src, schema = _stream_dir(spark, rows.drop("split"), "stream-sentences")
-    rows.unpersist()
     sentences = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(src)
     ST.encode_bpe_stream(sentences, base, "en", out, scratch_path(spark, "stream-ckpt"), text="en", key=("corpus", "pair_id"))
     return spark.read.parquet(out).select("corpus", "pair_id", BP.token_strings(spark, model, "ids").alias("pieces"))

@@ -101,13 +101,14 @@ def parse_fields(lines: DataFrame, names: Sequence[str], mode: str = "FAILFAST",
     k = len(names)
     fields = split_fields(F.col(value_col))
     keep = [c for c in keep if c in lines.columns]
-    parsed = lines.select(*keep, fields.alias("_f"), F.col(value_col).alias("_line"))
     if mode == "FAILFAST":
-        check = F.when(~_arity_ok(F.col("_f"), k), F.raise_error(F.format_string(
-            "expected %d tab-separated fields, got %d: %s", F.lit(k), F.size("_f"), F.col("_line"))))
-        parsed = parsed.withColumn("_f", F.coalesce(check.cast("array<string>"), F.col("_f")))
-    else:
-        parsed = parsed.where(_arity_ok(F.col("_f"), k))
+        def checked(f):
+            wrong = F.raise_error(F.format_string("expected %d tab-separated fields, got %d: %s", F.lit(k), F.size(f), F.col(value_col)))
+            return F.when(~_arity_ok(f, k), wrong.cast("array<string>")).otherwise(f)
+        # a generator: the line is split once, however often later columns and filters name a field
+        parts = F.transform(F.transform(F.array(fields), checked), lambda f: F.struct(*[f[i].alias(n) for i, n in enumerate(names)]))
+        return lines.select(*keep, F.inline(parts))
+    parsed = lines.select(*keep, fields.alias("_f")).where(_arity_ok(F.col("_f"), k))
     return parsed.select(*keep, *[F.col("_f")[i].alias(n) for i, n in enumerate(names)])
 
 

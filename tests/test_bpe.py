@@ -202,3 +202,56 @@ def test_byte_level_roundtrip(spark):
     dec = {r["pair_id"]: r["text"] for r in BP.bpe_decode(enc, "ids", m).collect()}
     for i, t in enumerate(texts):
         assert dec[i] == " " + normalize_py(t)
+
+
+ODD_TEXTS = ["Plain ASCII, it's 'S here_1\t\x1fx  y ", "Éa'Ś İstanbul ǅ naïve ¨´ x\x85y\xa0z ß_ÿ ǅ", "A\u0301b Ελλάς ΣΑΣ 한글 Ünal", "", None,
+             " <eos> é <PAD>", "\ufdd1 a", "日本 Ａ 電 \U0001d400 x\u0345", "\x7f\x00 tab\t'Re", "x" * 300 + " \u3000"]
+
+
+def test_latin_characters_keep_their_kind_when_normalised():
+    """Words may be cut before Latin text is normalised."""
+    import unicodedata
+    from tandem.functions.text import normalize_py
+
+    def kind(ch):
+        return "w" if ch.isalnum() and unicodedata.category(ch) != "No" or ch == "_" else "s" if ch.isspace() else "o"
+    for cp in range(0x250):
+        form = normalize_py(chr(cp))
+        assert len(form) == 1 and kind(form) == kind(chr(cp)), hex(cp)
+    for cp in [*range(0xD800), *range(0xE000, 0x11000)]:
+        form = normalize_py(chr(cp))
+        assert normalize_py(form) == form, hex(cp)
+
+
+@pytest.mark.parametrize("lang", ["en", "zh"])
+def test_training_words_of_odd_texts(spark, lang):
+    """As cut from the normalised text row by row by the public library, whatever path a row takes."""
+    from collections import Counter
+    from tokenizers.pre_tokenizers import ByteLevel, Whitespace
+    from tandem.functions.text import normalize_py
+    cut = Whitespace() if lang == "en" else ByteLevel()
+    want = Counter(w for t in ODD_TEXTS if t is not None for w, _ in cut.pre_tokenize_str(normalize_py(t)))
+    df = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "pair_id int, t string")
+    got = {r["word"]: r["c"] for r in BP.training_words(df, "t", lang).collect()}
+    if lang == "zh":
+        want[BP_SPACE] = got.get(BP_SPACE, 0)            # the empty text: the prefix space alone
+    assert got == {w: n for w, n in want.items() if n}
+
+
+BP_SPACE = "\u0120"
+
+
+def test_rounds_of_the_full_vocabulary(spark, monkeypatch):
+    """A round learns as many merges as its runs allow: 30,000 entries or the end in a dozen rounds (38 jobs before)."""
+    from tests.conftest import SF001
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").where("text is not null")
+    sizes, write = [], BP._write_words
+
+    def counted(words):
+        table, path = write(words)
+        sizes.append(table.count())
+        assert len(sizes) == 1 or table.where(F.size("syms") < 2).count() == 0
+        return table, path
+    monkeypatch.setattr(BP, "_write_words", counted)
+    m = BP.train_bpe(docs.select(F.col("text").alias("t")), "t", "en")
+    assert m.rounds <= 7 and sizes == sorted(sizes, reverse=True) and sizes[-1] < sizes[0] // 2

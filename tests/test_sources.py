@@ -111,3 +111,26 @@ def test_a_corpus_text_is_written_by_several_tasks(spark):
     path = C.corpus_files(spark, SF001, "raw_titles")
     found = glob.glob(path.removeprefix("file:") + "/bucket=*/*.txt")
     assert len(found) > len({f.rsplit("/", 2)[1] for f in found})
+
+
+def test_sides_leave_rows_and_splits_as_they_are(spark):
+    lines = spark.createDataFrame([(i, f"\u3000Left {i} é\t{'right' if i % 7 else ' '} {i}\u2003" if i % 5 else f"{i}\t \u3000")
+                                   for i in range(60)], "pair_id long, value string")
+    both = prepare_bitext(news_lines=lines)
+    assert both.columns == ["corpus", "pair_id", "en", "zh", "split"] and both.count() == 48
+    for side in ("en", "zh"):
+        one = prepare_bitext(news_lines=lines, sides=[side])
+        assert one.columns == ["corpus", "pair_id", side, "split"]
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, both.select(*one.columns).collect()))
+
+
+def test_a_line_is_cut_once(spark):
+    """The fields of a line and the filter on its stripped texts are not worked out again from the line."""
+    lines = spark.createDataFrame([(1, " a\tb ")], "pair_id long, value string")
+    plan = prepare_plan(tsv.read_pairs(lines))
+    assert plan.count("split(") == 1, plan
+
+
+def prepare_plan(pairs):
+    from tandem.operators.clean import clean_pairs
+    return clean_pairs(pairs)._jdf.queryExecution().optimizedPlan().toString()
