@@ -18,6 +18,7 @@ vocabulary size or when no pair is left.
 
 from __future__ import annotations
 
+import functools
 import heapq
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import (BEYOND_LATIN, SPECIALS, UNK_ID, bound, byte_pieces, bytes_to_symbols, is_ascii, normalize,
+from ..functions.text import (SPECIALS, UNK_ID, bound, byte_pieces, bytes_to_symbols, is_ascii, normalize,
                               pretok_bytes, pretok_words, symbols_to_text)
 from ..session import drop_path, scratch_path
 from .encode import bounded_collect, sized_broadcast
@@ -152,17 +153,21 @@ class BpeModel:
 def training_words(df: DataFrame, text: str, lang: str) -> DataFrame:
     """``word, c``: pre-tokenised words of the normalised text with their counts (A1).
 
-    What treats a word by itself is done once a distinct word: words of Latin text are the same places before and after it is
-    normalised, so they are cut and counted first; bytes are shown as symbols (one to one) after the pieces are counted."""
+    No word crosses a space, so texts are cut at their spaces first, which needs no regular expression, and what lies between is
+    normalised and cut into words once a distinct part.  At byte level that holds for a space before a visible character, so only
+    ASCII texts whose spaces are single and inside go this way, the others whole."""
     p, c = tokenizer_for(lang), F.col(text)
-
-    def counted(words: Column) -> DataFrame:
-        return df.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("c"))
-
     if lang == "zh":
-        return counted(byte_pieces(p.normalize(c))).select(bytes_to_symbols("word").alias("word"), "c")
-    found = counted(F.when(c.rlike(BEYOND_LATIN), p.pretokenize(p.normalize(c))).otherwise(p.pretokenize(c)))
-    return found.select(p.normalize(F.col("word")).alias("word"), "c").groupBy("word").agg(F.sum("c").alias("c"))
+        other = functools.reduce(lambda a, b: a | b, [c.contains(x) for x in ("  ", "\t", "\n", "\x0b", "\f", "\r")])
+        whole = ~is_ascii(c) | other | c.startswith(" ") | c.endswith(" ") | (c == "")
+        pieces = lambda x: byte_pieces(p.normalize(x))
+    else:
+        whole, pieces = F.lit(False), lambda x: p.pretokenize(p.normalize(x))
+    parts = (df.select(F.explode(F.when(whole, F.array(c)).otherwise(F.split(c, " ", -1))).alias("part"))
+             .groupBy("part").agg(F.count(F.lit(1)).alias("n")))
+    counted = (parts.select(F.explode(pieces(F.col("part"))).alias("word"), "n")
+               .groupBy("word").agg(F.sum("n").alias("c")))
+    return counted.select(bytes_to_symbols("word").alias("word"), "c") if lang == "zh" else counted
 
 
 def initial_words(word_counts: DataFrame) -> tuple[list[str], DataFrame]:
