@@ -227,7 +227,8 @@ BP_SPACE = "\u0120"
 
 
 def test_rounds_of_the_full_vocabulary(spark, monkeypatch):
-    """A round learns as many merges as its runs allow: 30,000 entries or the end in a dozen rounds (38 jobs before)."""
+    """A round learns as many merges as its runs allow: few rounds to the end, and
+    words of one symbol leave the table."""
     from tests.conftest import SF001
     docs = spark.read.parquet(f"{SF001}/documents.parquet").where("text is not null")
     sizes, write = [], BP._write_words
