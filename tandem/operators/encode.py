@@ -172,6 +172,85 @@ class TokenIndex:
         return out
 
 
+CHUNK_BYTES = 4 << 20        # of the texts that are encoded together
+CACHE_PARTS = 300_000        # parts of texts an encoding task keeps,
+CACHE_IDS = 4_000_000        # and their ids
+
+
+class PartEncoder:
+    """Texts -> id lists in a worker, an Arrow batch at a time.
+
+    Texts are cut at their spaces and what lies between is encoded once (the parts of a task are kept, up to a bound); the ids
+    of a text are those of its parts one after another, gathered without a loop over the words of the rows.  A subclass
+    gives the ids of parts and names the texts that are not cut."""
+
+    def __init__(self):
+        self._reset()
+
+    def _reset(self) -> None:
+        self.slots: dict[str, int] = {}
+        self.flat, self.lens, self.absent = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def whole(self, texts: pa.Array) -> np.ndarray:
+        """Which texts are one part."""
+        return np.zeros(len(texts), bool)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts, the number of ids of each, and whether a text with that part must be encoded whole."""
+        raise NotImplementedError
+
+    def _slots(self, parts: pa.Array) -> np.ndarray:
+        coded = parts.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        at = np.fromiter((self.slots.get(p, -1) for p in distinct), np.int64, len(distinct))
+        new = [distinct[i] for i in np.flatnonzero(at < 0).tolist()]
+        if new:
+            flat, lens, absent = self.encode(new)
+            at[at < 0] = np.arange(len(self.lens), len(self.lens) + len(new))
+            self.slots.update(zip(new, range(len(self.lens), len(self.lens) + len(new))))
+            self.flat, self.lens = np.concatenate([self.flat, flat.astype(np.int32)]), np.concatenate([self.lens, lens])
+            self.absent = np.concatenate([self.absent, absent])
+        return at[coded.indices.to_numpy(zero_copy_only=False)]
+
+    def _chunk(self, texts: pa.Array, whole: np.ndarray) -> pa.Array:
+        if len(self.slots) > CACHE_PARTS or len(self.flat) > CACHE_IDS:
+            self._reset()
+        cut = pc.split_pattern(texts.filter(pa.array(~whole)), " ")
+        counts = np.concatenate([cut.value_lengths().to_numpy(zero_copy_only=False), np.ones(int(whole.sum()), np.int64)])
+        slots = self._slots(pa.concat_arrays([cut.flatten(), texts.filter(pa.array(whole))]))
+        order = np.concatenate([np.flatnonzero(~whole), np.flatnonzero(whole)])
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        missing = self.absent[slots]
+        if missing.any():
+            again = np.zeros(len(texts), bool)
+            again[order[np.diff(np.concatenate([[0], np.cumsum(missing)])[ends]) > 0]] = True
+            again &= ~whole
+            again[order[counts == 1]] = False
+            if again.any():
+                return self._chunk(texts, whole | again)
+        lens = self.lens[slots]
+        total = np.concatenate([[0], np.cumsum(lens)])[ends]
+        ids = self.flat[spread((np.cumsum(self.lens) - self.lens)[slots], lens)]
+        out = pa.ListArray.from_arrays(pa.array(total, pa.int32()), pa.array(ids))
+        if not whole.any():
+            return out
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return out.take(pa.array(back))
+
+    def __call__(self, texts: pa.Array) -> pa.Array:
+        """Id lists of texts without nulls."""
+        texts = texts.cast(pa.string())
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))])
+        out, at = [], 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(ends, ends[at] + CHUNK_BYTES, "right")) - 1)
+            rows = texts.slice(at, end - at)
+            out.append(self._chunk(rows, self.whole(rows)))
+            at = end
+        return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
+
+
 def _offsets(rows: pa.Array) -> pa.Array:
     """Offsets of the lists of ``rows`` within its flattened values; a null is an empty list."""
     return pa.array(np.concatenate([[0], np.cumsum(rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]), pa.int32())

@@ -241,3 +241,55 @@ def test_rounds_of_the_full_vocabulary(spark, monkeypatch):
     monkeypatch.setattr(BP, "_write_words", counted)
     m = BP.train_bpe(docs.select(F.col("text").alias("t")), "t", "en")
     assert m.rounds <= 7 and sizes == sorted(sizes, reverse=True) and sizes[-1] < sizes[0] // 2
+
+
+def test_words_merged_together_like_alone(monkeypatch):
+    import random
+    import numpy as np
+    rnd = random.Random(5)
+    merges = [(1, 1, 10), (1, 2, 11), (10, 1, 12), (2, 10, 13), (11, 11, 14), (14, 3, 15), (3, 3, 16), (16, 16, 17), (10, 10, 18), (18, 18, 19), (1, 2, 11)]
+    words = [[rnd.randint(0, 3) for _ in range(rnd.choice([0, 1, 2, 3, 8, 40, 90]))] for _ in range(400)]
+    table = {BP._code(a, b): (r, new) for r, (a, b, new) in enumerate(merges)}
+    for block in (1, 50, 1 << 17):
+        monkeypatch.setattr(BP, "MERGE_SYMBOLS", block)
+        flat, lens = BP.MergeTable(merges).merge(np.array([x for w in words for x in w], np.int64), np.array([len(w) for w in words]))
+        ends = np.cumsum(lens)
+        assert [flat[e - n: e].tolist() for e, n in zip(ends, lens)] == [BP.merge_symbols(w, table) for w in words]
+    assert BP.MergeTable([]).merge(np.array([1, 2, 1]), np.array([2, 0, 1]))[0].tolist() == [1, 2, 1]
+
+
+@pytest.mark.parametrize("lang", ["en", "zh"])
+def test_odd_texts_encoded_by_parts(spark, lang):
+    """Texts that are cut at their spaces, and those that are not, get the ids of their words, cut by the public library, one by one."""
+    import random
+    from tokenizers.pre_tokenizers import ByteLevel, Whitespace
+    from tandem.functions.text import SPECIALS, normalize_py
+    rnd = random.Random(9)
+    some = ["a", "it's", "'s", "'re", "x'd", "don't", "-'t", "1's", "'", "\u00e9", "\u0301", "\u4e2d\u6587", "one", "Two", "\u0130", "\u1e9e"]
+    texts = [t for t in ODD_TEXTS if t is not None and not any(s in t for s in SPECIALS) and "\ufdd1" not in t]
+    texts += [" ".join(rnd.choices(some, k=rnd.randint(1, 7))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "pair_id int, t string").cache()
+    model = BP.train_bpe(df, "t", lang, num_merges=60)
+    table = {BP._code(a, b): (r, new) for r, (a, b, new) in enumerate(model.merges)}
+    ids = {t: i for i, t in enumerate(model.tokens)}
+    cut = Whitespace() if lang == "en" else ByteLevel()
+    got = {r["pair_id"]: r["ids"] for r in BP.bpe_encode(df, "t", model).collect()}
+    for i, t in enumerate(texts):
+        words = [w for w, _ in cut.pre_tokenize_str(normalize_py(t))] or ([BP_SPACE] if lang == "zh" else [])
+        want = [x for w in words for x in BP.merge_symbols([ids.get(c, 0) for c in w], table)]
+        assert got[i] == want, (t, words)
+
+
+def test_a_part_of_the_texts_is_encoded_once():
+    """What lies between two spaces goes through the merges once a task, however often it comes; a text with a special string, or
+    one whose spaces meet, is encoded whole at byte level."""
+    import pyarrow as pa
+    for lang in ("en", "zh"):
+        asked = []
+        encoder = BP.BpeEncoder(BP.BpeModel(lang, ["<unk>", "<pad>", "<bos>", "<eos>", "a", "b", BP_SPACE]), bytes(0x110000))
+        real = encoder.encode
+        encoder.encode = lambda texts, real=real: asked.extend(texts) or real(texts)
+        out = encoder(pa.array(["a b a", "b a", "", "a<eos> a"] * 50)).to_pylist() + encoder(pa.array(["b b  a"])).to_pylist()
+        assert len(asked) == len(set(asked)) <= 5
+        assert out[0] == ([4, 5, 4] if lang == "en" else [6, 4, 6, 5, 6, 4]) and out[3] == ([4, 3, 4] if lang == "en" else [6, 4, 3, 6, 4])
+        assert out[2] == ([] if lang == "en" else [6]) and out[-1] == ([5, 5, 4] if lang == "en" else [6, 5, 6, 5, 6, 6, 4])
