@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from ..functions.text import (BYTE_TO_CHAR, SPACE_KIND, SPECIALS, UNK_ID, WordCutter, byte_pieces, bytes_to_symbols,
                               char_classes, is_ascii, normalize, normalize_fast, pretok_bytes, pretok_words, symbols_to_text)
 from ..session import drop_path, scratch_path
-from .encode import HASH_BASE, PartEncoder, _buffers, bounded_collect, sized_broadcast, spread
+from .encode import HASH_BASE, PartEncoder, _buffers, bounded_collect, sized_broadcast, spread, words_at
 from .vocab import CHAR_PATTERN
 
 VOCAB_SIZE = 30_000
@@ -609,10 +609,7 @@ class BpeEncoder(PartEncoder):
             begins |= space
             begins[1:] |= (codes[:-1] >= ord(MARKS[0])) & (codes[:-1] <= ord(MARKS[-1]))
         at = np.flatnonzero(begins)
-        data = plain.encode()
-        place = at if len(data) == len(codes) else np.concatenate(
-            [[0], np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))])[at]
-        words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.append(place, len(data)).astype(np.int32)), pa.py_buffer(data)])
+        words = words_at(plain, codes, at)
         part = np.cumsum(space)[at] - 1
         if self.bytes:
             return words, np.bincount(part, minlength=len(texts)), np.diff(np.append(np.flatnonzero(space), len(codes))) == 1

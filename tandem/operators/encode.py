@@ -172,7 +172,16 @@ class TokenIndex:
         return out
 
 
-CHUNK_BYTES = 4 << 20        # of the texts that are encoded together
+def words_at(text: str, codes: np.ndarray, at: np.ndarray) -> pa.Array:
+    """``text``, whose code points are ``codes``, cut at the places ``at`` (the first is 0) into UTF-8 words."""
+    data = text.encode()
+    if len(data) != len(codes):
+        at = np.concatenate([[0], np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))])[at]
+    ends = np.append(at, len(data)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+CHUNK_BYTES = 2 << 20        # of the texts that are encoded together
 CACHE_PARTS = 300_000        # parts of texts an encoding task keeps,
 CACHE_IDS = 4_000_000        # and their ids
 

@@ -122,3 +122,51 @@ def test_both_sides_in_one_worker(spark):
     for side in ("en", "zh"):
         alone = U.unigram_encode(df, side, pieces, key="k").collect()
         assert sorted(r["input_ids"] for r in alone) == sorted(r[f"{side}_ids"] for r in out.collect())
+
+
+def test_paths_found_together_equal_those_found_alone():
+    """Many words step by step, with unknown characters, equal scores, empty and long words."""
+    import random
+    import numpy as np
+    import pyarrow as pa
+    rnd = random.Random(4)
+    rows = [(p, s, i) for p, (s, i) in PIECES.items()] + [("aa", -5.0, 20), ("aaa", -7.5, 21), ("é", -3.0, 22), ("éa", -5.5, 23)]
+    index = U.PieceIndex.of(pa.table({"token": [r[0] for r in rows], "score": [r[1] for r in rows], "id": [r[2] for r in rows]}))
+    whole = U.Pieces.of(rows)
+    words = ["▁" + "".join(rnd.choices("abcéxy", k=rnd.choice([0, 1, 3, 9, 30]))) for _ in range(500)] + [""]
+    flat, lens = index.best_paths("".join(words), np.array([len(w) for w in words]))
+    ends = np.cumsum(lens)
+    assert [flat[e - n: e].tolist() for e, n in zip(ends, lens)] == [U.best_path(w, whole) for w in words]
+    mixed = words[:20] + ["▁" + "abx" * 50] + words[20:40] + ["▁" + "é" * 200]
+    flat, lens = U.PieceEncoder(index)._paths(mixed)
+    assert flat.tolist() == [i for w in mixed for i in U.best_path(w, whole)] and len(lens) == len(mixed)
+
+
+def test_a_part_of_the_texts_is_encoded_once(monkeypatch):
+    """Texts are cut at their spaces and a part goes through normalisation and the best path once; odd texts get what the whole
+    normalised text gives."""
+    import pyarrow as pa
+    from tandem.operators import encode as EN
+    rows = [(p, s, i) for p, (s, i) in PIECES.items()]
+    index = U.PieceIndex.of(pa.table({"token": [r[0] for r in rows], "score": [r[1] for r in rows], "id": [r[2] for r in rows]}))
+    whole, encoder, asked = U.Pieces.of(rows), U.PieceEncoder(index), []
+    real = encoder.encode
+    encoder.encode = lambda texts: asked.extend(texts) or real(texts)
+    texts = (["ab abc ab", "abc  ab", "á ́b", "a¨b ½", "a\nb c\td", "\x07a\x1cb\x85c ", "\x00 a"] + TEXTS) * 5
+    monkeypatch.setattr(EN, "CHUNK_BYTES", 100)
+    got = encoder(pa.array(texts)).to_pylist()
+    assert got == [[i for w in U.normalise_pieces(t).split() for i in U.best_path("▁" + w, whole)] for t in texts]
+    assert len(asked) == len(set(asked))
+
+
+def test_counts_are_read_once(spark):
+    from pyspark.sql import functions as F
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def word(w):
+        seen.add(1)
+        return w
+    counts = spark.createDataFrame([("ab", 5), ("abc", 4), ("c", 1)], "w string, count long").select(
+        word.asNondeterministic()("w").alias("word"), "count")
+    assert U.pieces_from_counts(counts).count() > 3 and seen.value == 3
