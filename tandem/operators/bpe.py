@@ -22,6 +22,7 @@ import functools
 import heapq
 import itertools
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -30,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
+from pyspark import Broadcast, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -680,16 +681,28 @@ _SEGMENTS = re.compile(f"[{''.join(MARKS)}]|[^{''.join(MARKS)}]+")
 _MARK_BYTES = pa.array([m.encode() for m in MARKS], pa.binary())
 
 
+_KEPT: dict[str, BpeEncoder] = {}
+ENCODERS = 2                 # a worker process keeps: those of both sides
+
+
+def _encoder(name: str, sent: Broadcast) -> BpeEncoder:
+    """The encoder of a model, with what it has encoded, once a worker process."""
+    if name not in _KEPT:
+        while len(_KEPT) >= ENCODERS:
+            _KEPT.pop(next(iter(_KEPT)))
+        lang, tokens, merges, classes = sent.value
+        _KEPT[name] = BpeEncoder(BpeModel(lang, tokens, merges), classes)
+    return _KEPT[name]
+
+
 def _encoder_udf(spark: SparkSession, model: BpeModel):
-    """Texts -> ids; the cache of an encoder lives as long as its task."""
+    """Texts -> ids."""
     bc = spark.sparkContext.broadcast((model.lang, model.tokens, model.merges, char_classes(spark)))
+    name = uuid.uuid4().hex
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def enc_rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lang, tokens, merges, classes = bc.value
-        encoder = BpeEncoder(BpeModel(lang, tokens, merges), classes)
-        for texts in batches:
-            yield encoder(texts)
+    def enc_rows(texts: pa.Array) -> pa.Array:
+        return _encoder(name, bc)(texts)
 
     return enc_rows
 

@@ -293,3 +293,20 @@ def test_a_part_of_the_texts_is_encoded_once():
         assert len(asked) == len(set(asked)) <= 5
         assert out[0] == ([4, 5, 4] if lang == "en" else [6, 4, 6, 5, 6, 4]) and out[3] == ([4, 3, 4] if lang == "en" else [6, 4, 3, 6, 4])
         assert out[2] == ([] if lang == "en" else [6]) and out[-1] == ([5, 5, 4] if lang == "en" else [6, 5, 6, 5, 6, 6, 4])
+
+
+def test_both_sides_in_one_worker(spark, monkeypatch):
+    """As C2 encodes them: the ids of both sides come from one pass; a worker keeps the encoders of both models and no more."""
+    en, zh = _model(spark, WORDS, 20), BP.train_bpe(spark.createDataFrame([("low lower",)], "t string"), "t", "zh")
+    df = spark.createDataFrame([(1, "low zzq", "lower"), (2, None, "low")], "k int, en string, zh string")
+    coded = BP.bpe_encode(df, "en", en, key=["k", "zh"], out="en_ids")
+    coded = BP.bpe_encode(coded, "zh", zh, key=["k", "en_ids"], out="zh_ids").select("*", F.size("en_ids"), F.reverse("en_ids"))
+    assert coded._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    for side, model in (("en", en), ("zh", zh)):
+        alone = {r["k"]: r["ids"] for r in BP.bpe_encode(df, side, model, key="k").collect()}
+        assert alone == {r["k"]: r[f"{side}_ids"] for r in coded.collect()}
+    monkeypatch.setattr(BP, "_KEPT", {})
+    for name in "abcb":
+        sent = type("Sent", (), {"value": ("en", en.tokens, en.merges, bytes(0x110000))})
+        assert BP._encoder(name, sent) is BP._encoder(name, sent)
+    assert [*BP._KEPT] == ["c", "b"] or [*BP._KEPT] == ["b", "c"]
