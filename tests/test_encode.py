@@ -28,6 +28,20 @@ def test_index_finds_every_token_and_no_other(monkeypatch, hashes):
     assert index.null_id == len(words) + 1
 
 
+def test_rare_tokens_are_told_by_the_small_table():
+    """What the table lets through is looked up; the same places are found, and most stretches that are no token stop there."""
+    words = _words(3000)
+    index = EN.TokenIndex.of(pa.table({"token": words, "id": range(len(words))}))
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    starts = np.random.default_rng(1).integers(0, len(data), 20_000)
+    ends = np.minimum(starts + np.random.default_rng(2).integers(0, 12, 20_000), len(data))
+    found = index.find(data, starts, ends)
+    assert (index.find(data, starts, ends, rare=True) == found).all() and (found >= 0).any()
+    digit = index._digits(EN.part_hashes(data, starts, ends), 8 * len(index._bits))
+    passed = index._bits[digit >> 3] >> (digit & 7).astype(np.uint8) & 1 > 0
+    assert passed[found >= 0].all() and passed[found < 0].mean() < 0.15
+
+
 def test_a_worker_holds_no_more_than_the_vocabulary():
     """No table is built from it for a lookup."""
     words = [f"w{i}" for i in range(50_000)]
