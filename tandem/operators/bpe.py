@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import functools
 import heapq
-import itertools
 import re
 import uuid
 from collections import defaultdict
